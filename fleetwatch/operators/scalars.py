@@ -53,7 +53,8 @@ def fn_template(
     c: Column = F.lit(template.replace("{DirectorySeparator}", "/").replace("\\", "/"))
     values = {t: F.nullif(v.cast("string"), F.lit("")) for t, v in tokens.items()}
     for token, value in values.items():
-        c = F.when(value.isNull(), F.replace(c, F.lit("{" + token + "}"), F.lit(""))).otherwise(c)
+        mark = "{" + token + "}"
+        c = F.replace(c, F.lit(mark), F.when(value.isNull(), "").otherwise(mark))
     for joint, closed in (
         (r"[_$]*_[_$]*", "_"),
         (r"[-$]*-[-$]*", "-"),

@@ -266,9 +266,8 @@ def temp_file_layout(database_files: DataFrame, database: str = "tempdb") -> Dat
 def normalise_counters(memory_counters: DataFrame) -> DataFrame:
     """Short object names, cleaned counter names and MB values of raw memory counters."""
     named = memory_counters
-    kind = F.lit(None).cast("string")
-    for name in ("Cursor", "Memory Node", "Buffer Node", "Plan Cache", "Buffer Manager", "Memory Manager"):
-        kind = F.when(F.col("object_name").contains(name), name).otherwise(kind)
+    known = "Memory Manager|Buffer Manager|Plan Cache|Buffer Node|Memory Node|Cursor"
+    kind = F.nullif(F.regexp_extract("object_name", f"({known})", 1), F.lit(""))
     raw_name = F.rtrim("counter_name")
     page_like = raw_name.ilike("% pages") | raw_name.ilike("%Node Memory (KB)%") | (
         raw_name == "Page life expectancy"
@@ -302,23 +301,30 @@ TREE_IDS = {
 }
 
 
-def _tree_slot():
-    """Tree node of a normalised counter row, or NULL when it is not part of the tree."""
-    o, c, i, s = (F.col(x) for x in ("object_name", "counter_name", "instance_name", "short_name"))
+def _tree_node():
+    """(id, parent_id, label) of a normalised counter row, or NULL when it is not part of the tree."""
+    o, c, i, w = (F.col(x) for x in ("object_name", "counter_name", "instance_name", "short_name"))
     mm = o == "Memory Manager"
     plan = (o == "Plan Cache") & (c == "Cache")
+
+    def node(slot, label=c):
+        number, parent = TREE_IDS[slot]
+        return F.struct(
+            F.lit(number).alias("id"), F.lit(parent).cast("int").alias("parent_id"), label.alias("label")
+        )
+
     return (
-        F.when(plan & (i != "_Total"), "plan_item")
-        .when(plan & (i == "_Total"), "plan")
-        .when(o == "Cursor", "clerk")
-        .when(mm & (c == "Target Server Memory"), "root")
-        .when(mm & (c == "Total Server Memory"), "total")
-        .when(mm & (c == "Maximum Workspace Memory"), "workspace")
-        .when(mm & (c == "Granted Workspace Memory"), "granted")
-        .when(mm & (c == "Stolen Server Memory"), "stolen")
-        .when(mm & c.isin("Database Cache Memory", "Free Memory"), "cache")
-        .when(mm & s.isin("Connection", "Lock", "Optimizer", "SQL"), "clerk")
-        .when(mm & (s == "Reserved"), "reserved")
+        F.when(plan & (i != "_Total"), node("plan_item", i))
+        .when(plan & (i == "_Total"), node("plan", F.concat(F.lit("Plan "), c)))
+        .when(o == "Cursor", node("clerk"))
+        .when(mm & (c == "Target Server Memory"), node("root"))
+        .when(mm & (c == "Total Server Memory"), node("total"))
+        .when(mm & (c == "Maximum Workspace Memory"), node("workspace"))
+        .when(mm & (c == "Granted Workspace Memory"), node("granted"))
+        .when(mm & (c == "Stolen Server Memory"), node("stolen"))
+        .when(mm & c.isin("Database Cache Memory", "Free Memory"), node("cache"))
+        .when(mm & w.isin("Connection", "Lock", "Optimizer", "SQL"), node("clerk"))
+        .when(mm & (w == "Reserved"), node("reserved"))
     )
 
 
@@ -328,26 +334,9 @@ def memory_tree(memory_counters: DataFrame, grants: DataFrame) -> DataFrame:
     spark = memory_counters.sparkSession
     renames = spark.createDataFrame(COUNTER_RENAMES, "old_name string, new_name string")
     counters = J.join_rename_map(J.join_drop_superseded(normalise_counters(memory_counters)), renames)
-    slot_id = F.lit(None).cast("int")
-    slot_parent = F.lit(None).cast("int")
-    for slot, (node, parent) in TREE_IDS.items():
-        slot_id = F.when(F.col("_slot") == slot, node).otherwise(slot_id)
-        slot_parent = F.when(F.col("_slot") == slot, F.lit(parent).cast("int")).otherwise(slot_parent)
-    label = (
-        F.when(F.col("_slot") == "plan_item", F.col("instance_name"))
-        .when(F.col("_slot") == "plan", F.concat(F.lit("Plan "), "counter_name"))
-        .otherwise(F.col("counter_name"))
-    )
-    nodes = (
-        counters.withColumn("_slot", _tree_slot())
-        .filter(F.col("_slot").isNotNull())
-        .select(
-            *keys,
-            slot_id.alias("id"),
-            slot_parent.alias("parent_id"),
-            label.alias("counter_name"),
-            "value_mb",
-        )
+    # inline() evaluates the node once per row and drops rows without one.
+    nodes = counters.select(*keys, "value_mb", F.inline(F.array_compact(F.array(_tree_node())))).select(
+        *keys, "id", "parent_id", F.col("label").alias("counter_name"), "value_mb"
     )
     used = grants.groupBy(*keys).agg((F.sum("used_memory_kb").cast("double") / 1024).alias("value_mb"))
     workspace = J.join_cross_constant(used, [(1221, 1220), (1111, 1110)], ["id", "parent_id"]).select(

@@ -1,0 +1,16 @@
+"""Registered queries."""
+
+from __future__ import annotations
+
+from importlib import import_module
+
+MODULES = ("core",)
+
+
+def load():
+    """All registered queries by key."""
+    from fleetwatch.queries import registry
+
+    for name in MODULES:
+        import_module(f"fleetwatch.queries.{name}")
+    return registry.QUERIES
