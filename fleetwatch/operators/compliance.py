@@ -564,7 +564,7 @@ def cmp_32bit(servers: DataFrame) -> DataFrame:
 
 
 def cmp_startup_options(registry: DataFrame) -> DataFrame:
-    bad = F.col("registry_key").ilike(r"%MSSQLServer\\Parameters") & (F.col("value_data") == "-x")
+    bad = F.col("registry_key").ilike(r"%MSSQLServer%Parameters") & (F.col("value_data") == "-x")
     return _per_server(registry, bad, "53", "Startup options", F.col("value_data"))
 
 

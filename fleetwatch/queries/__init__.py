@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("core",)
+MODULES = ("core", "health_q", "compliance_q")
 
 
 def load():
