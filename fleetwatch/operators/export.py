@@ -29,23 +29,20 @@ def mnt_compact(
 ) -> DataFrame:
     """Rewrite the partitions of ``inventory`` (partition_id, bytes) into files of about ``target_bytes``.
 
-    Rows are spread inside a partition by their position in the old files, so a
-    large partition is written by many tasks.  The new files are complete in a
-    staging table before the old partitions are replaced.  Returns the number of
-    rows written per partition.
+    Rows are ranged by partition and old position into as many tasks as the
+    chosen bytes need files, so a large partition is written by many tasks.  The
+    new files are complete in a staging table before the old partitions are
+    replaced.  Returns the number of rows written per partition.
     """
-    sizes = inventory.select(
-        F.col("partition_id").alias("_pid"),
-        F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1)).cast("int").alias("_files"),
-    )
+    chosen = inventory.select(F.col("partition_id").alias("_pid"), "bytes")
+    total = chosen.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    files = max(int(-(-total // target_bytes)), 1)
     data = spark.read.parquet(path)
-    source = data.select("*", F.col("_metadata.row_index").alias("_row"))
-    chosen = source.join(sizes, F.col(partition_col) == F.col("_pid")).withColumn(
-        "_slot", F.pmod(F.col("_row"), F.col("_files"))
-    )
+    rows = data.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     staging = work_path(spark, "compact")
     (
-        chosen.repartition(F.col(partition_col), F.col("_slot"))
+        rows.join(chosen, F.col(partition_col) == F.col("_pid"))
+        .repartitionByRange(files, F.col(partition_col), F.col("_file"), F.col("_row"))
         .select(*data.columns)
         .write.partitionBy(partition_col)
         .parquet(staging)

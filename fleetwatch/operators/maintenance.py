@@ -142,8 +142,8 @@ def bkp_eligible(
     """Backup eligibility and the first reason against it."""
     c = F.col
     is_log, is_diff, is_full = (backup_type == t for t in ("LOG", "DIFF", "FULL"))
-    in_group = c("replica_role").isNotNull()
-    not_primary = c("replica_role") != "PRIMARY"
+    in_group = c("availability_group").isNotNull()
+    not_primary = F.coalesce(c("replica_role") != "PRIMARY", F.lit(True))
     not_preferred = ~F.coalesce(c("is_preferred_replica"), F.lit(False))
     against: list[tuple[Column, str]] = [
         (c("state_desc") != "ONLINE", "not online"),

@@ -99,7 +99,7 @@ def previous_value(
     """
     sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(time)))
     w = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
-    inner = sliced.withColumn("_prev", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    inner = sliced.withColumn("_before", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w))
     last = sliced.groupBy(*keys, "_slice").agg(
         F.max_by(F.col(value), F.struct(time, tie)).alias("_last")
     )
@@ -114,8 +114,8 @@ def previous_value(
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return (
         inner.join(carried, cond)
-        .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carried")).otherwise(F.col("_prev")))
-        .drop("_slice", "_prev", "_rn", "_s", "_carried", *[f"_k_{k}" for k in keys])
+        .withColumn(out, F.when(F.col("_first") == 1, F.col("_carried")).otherwise(F.col("_before")))
+        .drop("_slice", "_before", "_first", "_s", "_carried", *[f"_k_{k}" for k in keys])
     )
 
 

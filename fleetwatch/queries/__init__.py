@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("core", "health_q", "compliance_q")
+MODULES = ("core", "health_q", "compliance_q", "maintenance_q", "source_q")
 
 
 def load():

@@ -84,9 +84,9 @@ def main() -> int:
             problem = f"{type(error).__name__}: {str(error)[:700]}"
         took = time.time() - start
         if problem or took > 8:
-            print(f"{key} {took:.1f}s {problem or 'ok'}", flush=True)
+            print(f"\n## {key} {took:.1f}s {problem or 'ok'}", flush=True)
         failed += bool(problem)
-    print("failed", failed)
+    print("\n## failed", failed)
     return failed
 
 

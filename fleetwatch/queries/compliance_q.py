@@ -345,13 +345,10 @@ def _(t):
     return C.cmp_percent_growth(t("database_files"))
 
 
-def temp_files_sql():
-    return fsql("(SELECT server_id, COUNT(*) AS n FROM v_database_files WHERE database_name = 'tempdb' AND type_desc = 'ROWS' AND size_pages > 49000 GROUP BY 1)", "74", "Only one tempdb data file", where="n = 1", current="n")
-
-
-@query("cmp_single_temp_file", temp_files_sql())
+@query("cmp_single_temp_file", fsql(
+    "(SELECT server_id, COUNT(*) AS n FROM v_temp_files WHERE database_name = 'tempdb' AND type_desc = 'ROWS' GROUP BY 1)", "74", "Only one tempdb data file", where="n = 1", current="n"))
 def _(t):
-    return C.cmp_single_temp_file(t("database_files").filter("size_pages > 49000"))
+    return C.cmp_single_temp_file(t("temp_files"))
 
 
 @query("cmp_log_files_same_drive", fsql(

@@ -9,7 +9,7 @@ from fleetwatch.operators import findings as FD
 from fleetwatch.operators import health as H
 from fleetwatch.operators import logs as L
 from fleetwatch.plans import reports
-from fleetwatch.queries.core import BENIGN_SQL, CAUSES, CAUSES_SQL, E, O, REASONS_SQL, noise_sql
+from fleetwatch.queries.core import CAUSES, CAUSES_SQL, E, O, REASONS_SQL, noise_sql
 from fleetwatch.queries.findings_sql import fsql, stamp
 from fleetwatch.queries.registry import query
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
@@ -468,4 +468,3 @@ def _(t):
     return L.sec_auth_failures(t("os_events"), t.spark.createDataFrame(L.FAILURE_REASONS, "code string, reason string"), AS_OF_EVENTS, hours=240)
 
 
-__all__ = ["BENIGN_SQL"]

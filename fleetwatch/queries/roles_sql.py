@@ -288,6 +288,10 @@ SELECT {srv('(p_partkey % 50) % 3')} AS server_id, {db('p_partkey % 50')} AS dat
   {i('p_size * 1024')} AS size_pages, CASE WHEN p_size % 3 = 0 THEN 128 ELSE 8192 END AS growth,
   p_size % 7 = 0 AS is_percent_growth, CAST(p_size % 2 AS INT) AS data_space_id
 FROM {{part}}""",
+    "temp_files": f"""
+SELECT {srv('p_partkey % 1100')} AS server_id, 'tempdb' AS database_name, p_partkey AS file_id,
+  CASE WHEN p_size % 5 = 0 THEN 'LOG' ELSE 'ROWS' END AS type_desc, concat('D:/temp/f', {s('p_partkey')}) AS physical_name,
+  {i('p_size * 1024')} AS size_pages FROM {{part}}""",
     "suspect_pages": f"""
 SELECT {srv('user_id % 3')} AS server_id, {db('user_id')} AS database_name, ts AS event_time FROM {{events}}""",
     "page_repairs": f"""
