@@ -73,21 +73,20 @@ def seconds_between(start, end) -> Column:
     return datediff_boundary("SECOND", start, end)
 
 
-def any_ilike(c, patterns: Iterable[str]) -> Column:
-    """True when any case-insensitive LIKE pattern matches."""
-    out = F.lit(False)
-    for p in patterns:
-        out = out | col(c).ilike(p)
-    return out
-
-
 def like_to_regex(pattern: str, escape: str = "|") -> str:
-    """LIKE pattern with an escape character as an anchored, case-insensitive regex."""
+    """Regular expression (for a search) equal to a LIKE pattern with an escape character."""
+    start = "" if pattern.startswith("%") else r"\A"
+    end = "" if pattern.endswith("%") and not pattern.endswith(escape + "%") else r"\z"
+    body = pattern.strip("%") if not start and not end else pattern
+    if start and not end:
+        body = pattern.rstrip("%")
+    elif end and not start:
+        body = pattern.lstrip("%")
     out, i = [], 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == escape and i + 1 < len(pattern):
-            out.append(re.escape(pattern[i + 1]))
+    while i < len(body):
+        ch = body[i]
+        if ch == escape and i + 1 < len(body):
+            out.append(re.escape(body[i + 1]))
             i += 1
         elif ch == "%":
             out.append(".*")
@@ -96,18 +95,22 @@ def like_to_regex(pattern: str, escape: str = "|") -> str:
         else:
             out.append(re.escape(ch))
         i += 1
-    return "(?is)^" + "".join(out) + "$"
+    return start + "".join(out) + end
 
 
 def any_like_regex(patterns: Iterable[str], escape: str = "|") -> str:
-    bodies = [like_to_regex(p, escape)[len("(?is)"):] for p in patterns]
-    return "(?is)" + "|".join(f"(?:{b})" for b in bodies)
+    """One case-insensitive expression for a whole pattern list."""
+    return "(?isu)" + "|".join(like_to_regex(p, escape) for p in patterns)
 
 
-def name_pattern(item: Column) -> Column:
-    """Name pattern where only ``%`` is a wildcard: ``_`` and ``\\`` are literal."""
-    escaped = F.replace(item, F.lit("\\"), F.lit("\\\\"))
-    return F.replace(escaped, F.lit("_"), F.lit("\\_"))
+def any_ilike(c, patterns: Iterable[str]) -> Column:
+    """True when any case-insensitive LIKE pattern matches; the text is read once for all patterns."""
+    patterns = list(patterns)
+    if not patterns:
+        return F.lit(False)
+    if len(patterns) == 1:
+        return col(c).ilike(patterns[0])
+    return col(c).rlike(any_like_regex(patterns, escape="\\"))
 
 
 def version_array(c) -> Column:

@@ -14,6 +14,7 @@ from fleetwatch.operators import compliance_rules as R
 from fleetwatch.operators.aggregates import agg_having_distinct, agg_having_latest_age, agg_having_multi, agg_two_level
 from fleetwatch.operators.findings import CRITICAL, OK, WARN, cmp_report, cmp_score, findings
 from fleetwatch.plans.ordering import string_list, top_k
+from fleetwatch.session import literal_table
 
 __all__ = ["cmp_report", "cmp_score"]
 
@@ -22,7 +23,8 @@ FINE = "no problem found"
 
 def setting_targets(spark: SparkSession, states: Sequence[str] = ("live",)) -> DataFrame:
     rows = [r for r in R.SETTING_TARGETS if r[3] in states]
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         rows,
         "name string, target_value bigint, check_id int, state string, min_version string, max_version string",
     )
@@ -146,7 +148,8 @@ def _violations(rows: DataFrame, check_id: str, name: str, scope=None, details=N
 def cmp_version(servers: DataFrame, version_map: DataFrame | None = None) -> DataFrame:
     """10: product name and whether the patch level is the latest of its version."""
     if version_map is None:
-        version_map = servers.sparkSession.createDataFrame(
+        version_map = literal_table(
+        servers.sparkSession,
             R.VERSION_NAMES, "prefix string, product string, latest string"
         )
     prefix = F.substring("product_version", 1, 4)
@@ -347,21 +350,14 @@ def cmp_asymmetric_keys(keys: DataFrame, bits: int = 2048) -> DataFrame:
 
 def cmp_toolset_version(objects: DataFrame, expected: DataFrame) -> DataFrame:
     """37: every expected object is present at its expected version."""
-    total = expected.agg(F.count(F.lit(1)).alias("_total"))
-    good = (
-        objects.join(expected, "object_name", "left")
-        .groupBy("server_id")
-        .agg(
-            F.count_distinct(
-                F.when(F.col("version") == F.col("expected_version"), F.col("object_name"))
-            ).alias("_good")
-        )
-        .join(total)
+    total = expected.count()
+    good = objects.join(expected, "object_name", "left").groupBy("server_id").agg(
+        F.count_distinct(F.when(F.col("version") == F.col("expected_version"), F.col("object_name"))).alias("_good")
     )
-    ok = F.col("_good") == F.col("_total")
+    ok = F.col("_good") == total
     return findings(
         good, "37", "Maintenance objects", severity=F.when(ok, OK).otherwise(WARN), current=F.col("_good"),
-        target=F.col("_total"), achieved=ok,
+        target=total, achieved=ok,
     )
 
 
@@ -404,7 +400,7 @@ def cmp_parallelism(schedulers: DataFrame, servers: DataFrame, settings: DataFra
 
 def expected_flags(spark: SparkSession) -> DataFrame:
     rows = [(major, flag) for major, flags in R.EXPECTED_FLAGS for flag in flags]
-    return spark.createDataFrame(rows, "major int, flag string")
+    return literal_table(spark, rows, "major int, flag string")
 
 
 def cmp_flags_missing(expected: DataFrame, enabled: DataFrame) -> DataFrame:
@@ -417,7 +413,8 @@ def cmp_flags_missing(expected: DataFrame, enabled: DataFrame) -> DataFrame:
 
 def flag_advice(spark: SparkSession) -> DataFrame:
     rows = [(i, *r) for i, r in enumerate(R.FLAG_ADVICE)]
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         rows,
         "priority int, flag string, min_version string, max_version string, extra string, advice string",
     )
@@ -510,7 +507,7 @@ def cmp_job_steps(job_steps: DataFrame, jobs: DataFrame, job_like: str = "%MAINT
 
 def error_advice(spark: SparkSession) -> DataFrame:
     rows = [(n, words) for numbers, words in R.ERROR_ADVICE for n in numbers]
-    return spark.createDataFrame(rows, "error_number int, advice string")
+    return literal_table(spark, rows, "error_number int, advice string")
 
 
 def cmp_integrity_errors(command_log: DataFrame, advice: DataFrame, as_of, days: int = 7) -> DataFrame:

@@ -116,13 +116,16 @@ def table_digest(df: DataFrame) -> DataFrame:
 
 def export_verify(df: DataFrame, path: str) -> DataFrame:
     """Compare a DataFrame with its export: rows, hash, ok."""
-    written = table_digest(df.sparkSession.read.schema(df.schema).parquet(path)).select(
-        F.col("rows").alias("_rows"), F.col("hash").alias("_hash")
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    both = table_digest(df).withColumn("_side", F.lit(0)).unionByName(
+        table_digest(written).withColumn("_side", F.lit(1))
     )
-    return table_digest(df).join(written).select(
-        "rows",
-        "hash",
-        (F.col("rows").eqNullSafe(F.col("_rows")) & F.col("hash").eqNullSafe(F.col("_hash"))).alias("ok"),
+    mine = lambda c: F.max(F.when(F.col("_side") == 0, F.col(c)))
+    other = lambda c: F.max(F.when(F.col("_side") == 1, F.col(c)))
+    return both.agg(
+        mine("rows").alias("rows"),
+        mine("hash").alias("hash"),
+        (mine("rows").eqNullSafe(other("rows")) & mine("hash").eqNullSafe(other("hash"))).alias("ok"),
     )
 
 

@@ -34,7 +34,7 @@ def _string(v) -> Column:
 
 def findings(
     df: DataFrame,
-    check_id: str,
+    check_id: str | Column,
     name: str | Column,
     *,
     severity: int | Column = WARN,
@@ -49,7 +49,7 @@ def findings(
     at = F.lit(None) if observed_at is None else S.col(observed_at)
     return df.select(
         F.col("server_id").cast("string").alias("server_id"),
-        F.lit(check_id).alias("check_id"),
+        _string(check_id).alias("check_id"),
         _string(scope).alias("scope"),
         (severity if isinstance(severity, Column) else F.lit(severity)).cast("int").alias("severity"),
         _string(name).alias("name"),

@@ -167,36 +167,95 @@ def _log_summary(error_log: DataFrame, as_of, pattern: str, check_id: str, name:
     )
 
 
+# Check id, name, patterns and whether rows are summarised per message.
+LOG_CHECKS = (
+    ("4.1", "Login failed", ("%login failed%",), False),
+    ("4.2", "Filegroup is full", ("%filegroup is full%", "%voll ist%"), False),
+    ("4.3", "Unable to run a system task", ("%SQL Server was unable%",), True),
+    ("4.4", "Failed to start", ("%failed to start%",), True),
+    ("4.5", "Terminating a system task", ("%terminating a system%",), True),
+    ("4.6", "Dispatcher was unable", ("%Dispatcher was unable%",), True),
+    ("4.7", "Insufficient memory", ("%insufficient system memory%",), True),
+    ("4.8", "Memory allocation failure", ("%memory allocation failure%",), True),
+)
+
+
+def _log_check(error_log: DataFrame, as_of, check_id: str) -> DataFrame:
+    _, name, patterns, summarise = next(c for c in LOG_CHECKS if c[0] == check_id)
+    if summarise:
+        return _log_summary(error_log, as_of, patterns[0], check_id, name)
+    return _log_rows(error_log, as_of, patterns, check_id, name)
+
+
 def hc_login_failed(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_rows(error_log, as_of, ["%login failed%"], "4.1", "Login failed")
+    return _log_check(error_log, as_of, "4.1")
 
 
 def hc_filegroup_full(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_rows(error_log, as_of, ["%filegroup is full%", "%voll ist%"], "4.2", "Filegroup is full")
+    return _log_check(error_log, as_of, "4.2")
 
 
 def hc_system_task(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%SQL Server was unable%", "4.3", "Unable to run a system task")
+    return _log_check(error_log, as_of, "4.3")
 
 
 def hc_failed_to_start(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%failed to start%", "4.4", "Failed to start")
+    return _log_check(error_log, as_of, "4.4")
 
 
 def hc_terminating_task(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%terminating a system%", "4.5", "Terminating a system task")
+    return _log_check(error_log, as_of, "4.5")
 
 
 def hc_dispatcher(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%Dispatcher was unable%", "4.6", "Dispatcher was unable")
+    return _log_check(error_log, as_of, "4.6")
 
 
 def hc_insufficient_memory(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%insufficient system memory%", "4.7", "Insufficient memory")
+    return _log_check(error_log, as_of, "4.7")
 
 
 def hc_allocation_failure(error_log: DataFrame, as_of) -> DataFrame:
-    return _log_summary(error_log, as_of, "%memory allocation failure%", "4.8", "Memory allocation failure")
+    return _log_check(error_log, as_of, "4.8")
+
+
+def log_findings(error_log: DataFrame, as_of) -> DataFrame:
+    """All log checks in one pass: the row checks, and the summaries from one aggregation."""
+    window = S.since_yesterday("log_date", as_of)
+
+    def tagged(checks):
+        hit = F.array(
+            *[
+                F.when(S.any_ilike("text", patterns), F.struct(F.lit(i).alias("check_id"), F.lit(n).alias("check_name")))
+                for i, n, patterns, _ in checks
+            ]
+        )
+        return error_log.filter(window).select("server_id", "log_date", "process_info", "text", F.inline(F.array_compact(hit)))
+
+    rows = tagged([c for c in LOG_CHECKS if not c[3]])
+    single = findings(rows, F.col("check_id"), F.col("check_name"), scope=F.col("process_info"), details=F.col("text"), observed_at="log_date")
+    grouped = (
+        tagged([c for c in LOG_CHECKS if c[3]])
+        .groupBy("server_id", "check_id", "check_name", "text")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("log_date").alias("first_ts"),
+            F.max("log_date").alias("last_ts"),
+        )
+    )
+    summary = findings(
+        grouped,
+        F.col("check_id"),
+        F.col("check_name"),
+        severity=CRITICAL,
+        current=F.col("n"),
+        target=0,
+        details=S.text(
+            F.col("n"), " times between ", S.stamp("first_ts"), " and ", S.stamp("last_ts"), ": ", F.col("text")
+        ),
+        observed_at="last_ts",
+    )
+    return single.unionByName(summary)
 
 
 def hc_jobs_disabled(jobs: DataFrame, allow: Sequence[str] = ()) -> DataFrame:
@@ -310,31 +369,56 @@ def hc_connections_peak(perf: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def _option(databases: DataFrame, col: str, wrong: bool, check_id: str, name: str) -> DataFrame:
-    rows = databases.filter(F.col(col) == wrong)
+# Check id, name, database option and its wrong value.
+OPTION_CHECKS = (
+    ("10.2", "Auto close enabled", "is_auto_close_on", True),
+    ("10.3", "Auto shrink enabled", "is_auto_shrink_on", True),
+    ("10.4", "Auto create statistics disabled", "is_auto_create_stats_on", False),
+    ("10.5", "Auto update statistics disabled", "is_auto_update_stats_on", False),
+    ("10.6", "Asynchronous statistics enabled", "is_auto_update_stats_async_on", True),
+)
+
+
+def option_findings(databases: DataFrame, checks=OPTION_CHECKS) -> DataFrame:
+    """Database options with a wrong value, all options in one scan."""
+    wrong = F.array(
+        *[
+            F.when(
+                F.col(c) == bad,
+                F.struct(F.lit(i).alias("check_id"), F.lit(n).alias("check_name"), F.lit(int(bad)).alias("value")),
+            )
+            for i, n, c, bad in checks
+        ]
+    )
+    rows = databases.select("server_id", "database_name", F.inline(F.array_compact(wrong)))
     return findings(
-        rows, check_id, name, scope=F.col("database_name"), current=F.col(col).cast("int"), target=int(not wrong)
+        rows,
+        F.col("check_id"),
+        F.col("check_name"),
+        scope=F.col("database_name"),
+        current=F.col("value"),
+        target=1 - F.col("value"),
     )
 
 
 def hc_auto_close(databases: DataFrame) -> DataFrame:
-    return _option(databases, "is_auto_close_on", True, "10.2", "Auto close enabled")
+    return option_findings(databases, OPTION_CHECKS[0:1])
 
 
 def hc_auto_shrink(databases: DataFrame) -> DataFrame:
-    return _option(databases, "is_auto_shrink_on", True, "10.3", "Auto shrink enabled")
+    return option_findings(databases, OPTION_CHECKS[1:2])
 
 
 def hc_auto_create_stats(databases: DataFrame) -> DataFrame:
-    return _option(databases, "is_auto_create_stats_on", False, "10.4", "Auto create statistics disabled")
+    return option_findings(databases, OPTION_CHECKS[2:3])
 
 
 def hc_auto_update_stats(databases: DataFrame) -> DataFrame:
-    return _option(databases, "is_auto_update_stats_on", False, "10.5", "Auto update statistics disabled")
+    return option_findings(databases, OPTION_CHECKS[3:4])
 
 
 def hc_async_stats(databases: DataFrame) -> DataFrame:
-    return _option(databases, "is_auto_update_stats_async_on", True, "10.6", "Asynchronous statistics enabled")
+    return option_findings(databases, OPTION_CHECKS[4:5])
 
 
 def _cpu(cpu_samples: DataFrame, col: str, as_of, limit: int, check_id: str, name: str) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwatch.functions import semantics as S
 from fleetwatch.plans.ordering import latest_row, running_max
+from fleetwatch.session import settled
 
 
 def join_inner_history(backupset: DataFrame, backupfile: DataFrame) -> DataFrame:
@@ -136,7 +137,8 @@ def join_not_exists_open(jobs: DataFrame, activity: DataFrame) -> DataFrame:
 
 
 def join_semi_gate(a: DataFrame, gate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return a.join(gate.select(*keys).distinct(), list(keys), "left_semi")
+    """Rows of ``a`` whose key occurs in ``gate``; the distinct gate keys are settled first."""
+    return a.join(settled(gate.select(*keys).distinct(), "gate"), list(keys), "left_semi")
 
 
 def join_cross_constant(a: DataFrame, rows: Sequence[tuple], schema: Sequence[str]) -> DataFrame:
@@ -147,53 +149,40 @@ def join_cross_constant(a: DataFrame, rows: Sequence[tuple], schema: Sequence[st
     return a.withColumn("_c", F.explode(literals)).select(*a.columns, "_c.*")
 
 
+# Counters of one server and snapshot: a handful of rows, whatever the fleet's size.
+_SNAPSHOT = Window.partitionBy("server_id", "snapshot_ts")
+_OLD = ("Buffer Manager", "Buffer Node")
+
+
 def join_rename_map(counters: DataFrame, map_df: DataFrame) -> DataFrame:
     """Old-generation buffer counters take their new name unless the server reports the new one."""
-    servers = ["server_id", "snapshot_ts"]
-    present = (
-        counters.filter(F.col("object_name") == "Memory Manager")
-        .select(*servers, F.col("counter_name").alias("_present"))
-        .distinct()
-    )
-    old = counters.filter(F.col("object_name").isin("Buffer Manager", "Buffer Node"))
-    keep = counters.filter(
-        F.col("object_name").isNull() | ~F.col("object_name").isin("Buffer Manager", "Buffer Node")
-    )
-    mapped = old.join(map_df, old.counter_name == map_df.old_name, "left").drop("old_name")
-    p = present.select(*[F.col(s).alias(f"_{s}") for s in servers], "_present")
-    cond = F.col("new_name") == F.col("_present")
-    for s in servers:
-        cond = cond & (F.col(s) == F.col(f"_{s}"))
-    renamed = (
-        mapped.join(p, cond, "left")
-        .withColumn(
-            "counter_name",
-            F.when(F.col("_present").isNull(), F.coalesce("new_name", "counter_name")).otherwise(
-                F.col("counter_name")
+    is_old = F.coalesce(F.col("object_name").isin(*_OLD), F.lit(False))
+    present = F.collect_set(F.when(F.col("object_name") == "Memory Manager", F.col("counter_name"))).over(_SNAPSHOT)
+    mapped = counters.withColumn("_present", present).join(
+        map_df, F.col("counter_name") == F.col("old_name"), "left"
+    )
+    rename = is_old & F.col("new_name").isNotNull() & ~F.array_contains("_present", F.col("new_name"))
+    return mapped.withColumns(
+        {
+            "counter_name": F.when(rename, F.col("new_name")).otherwise(F.col("counter_name")),
+            "object_name": F.when(is_old, F.replace("object_name", F.lit("Buffer"), F.lit("Memory"))).otherwise(
+                F.col("object_name")
             ),
-        )
-        .withColumn("object_name", F.replace("object_name", F.lit("Buffer"), F.lit("Memory")))
-        .select(*counters.columns)
-    )
-    return keep.unionByName(renamed)
+        }
+    ).select(*counters.columns)
 
 
 def join_drop_superseded(counters: DataFrame) -> DataFrame:
     """Drop old-generation rows whose new-generation twin (Buffer -> Memory, same short name) exists."""
-    servers = ["server_id", "snapshot_ts"]
-    twins = counters.select(
-        *[F.col(s).alias(f"_{s}") for s in servers],
-        F.col("object_name").alias("_object"),
-        F.col("short_name").alias("_short"),
-    ).distinct()
-    cond = (
-        F.col("object_name").isin("Buffer Manager", "Buffer Node")
-        & (F.replace("object_name", F.lit("Buffer"), F.lit("Memory")) == F.col("_object"))
-        & (F.col("short_name") == F.col("_short"))
-    )
-    for s in servers:
-        cond = cond & (F.col(s) == F.col(f"_{s}"))
-    return counters.join(twins, cond, "left_anti")
+    key = lambda o: F.concat_ws("|", o, F.col("short_name"))
+    reported = F.collect_set(key(F.col("object_name"))).over(_SNAPSHOT)
+    twin = key(F.replace("object_name", F.lit("Buffer"), F.lit("Memory")))
+    gone = F.col("object_name").isin(*_OLD) & F.array_contains("_reported", twin)
+    return (
+        counters.withColumn("_reported", reported)
+        .filter(~F.coalesce(gone, F.lit(False)))
+        .drop("_reported")
+    )
 
 
 def join_update_from(

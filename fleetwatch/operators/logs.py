@@ -190,13 +190,15 @@ def web_status_rows(access_log: DataFrame, causes: Sequence[tuple[int, str]] = H
 def web_status_summary(access_log: DataFrame, status: int = 405) -> DataFrame:
     """First and last time, request count and client list of one status."""
     rows = access_log.filter(F.col("sc_status") == status)
-    facts = rows.agg(
-        F.min("log_time").alias("first_time"),
-        F.max("log_time").alias("last_time"),
-        F.count(F.lit(1)).alias("requests"),
+    first, last, requests = rows.agg(F.min("log_time"), F.max("log_time"), F.count(F.lit(1))).first()
+    stamp = lambda v: F.lit(None if v is None else str(v)).cast("timestamp_ntz")
+    return string_list(rows, [], "c_ip", "ips").select(
+        "chunk_no",
+        "ips",
+        stamp(first).alias("first_time"),
+        stamp(last).alias("last_time"),
+        F.lit(requests).cast("bigint").alias("requests"),
     )
-    ips = string_list(rows, [], "c_ip", "ips").select("chunk_no", "ips")
-    return ips.join(facts)
 
 
 def web_suspicious_ips(access_log: DataFrame, n: int = 10) -> DataFrame:

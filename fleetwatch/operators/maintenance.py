@@ -300,10 +300,6 @@ def export_layout(
     Plan columns: server_id, instance_name, database_name, backup_type, partial,
     copy_only, files, extension.
     """
-    rows = plan.withColumn("file_no", F.explode(F.sequence(F.lit(1), F.col("files"))))
-    number = F.when(F.col("files") >= 10, F.lpad(F.col("file_no").cast("string"), 2, "0")).otherwise(
-        F.col("file_no").cast("string")
-    )
     safe = F.rtrim(F.regexp_replace("database_name", r'[\\/:*?"<>|]', ""))
     tokens = {
         "ServerName": F.col("server_id"),
@@ -312,8 +308,13 @@ def export_layout(
         "BackupType": F.col("backup_type"),
         "Partial": F.when(F.col("partial"), "PARTIAL"),
         "CopyOnly": F.when(F.col("copy_only"), "COPY_ONLY"),
-        "FileNumber": number,
         "FileExtension": F.col("extension"),
         **time_tokens(S.ts(as_of)),
     }
-    return fn_template(rows, template, tokens, "path", separator)
+    # The path is built once per plan row; only the file number differs per file.
+    filled = fn_template(plan, template, tokens, "path", separator)
+    rows = filled.withColumn("file_no", F.explode(F.sequence(F.lit(1), F.col("files"))))
+    number = F.when(F.col("files") >= 10, F.lpad(F.col("file_no").cast("string"), 2, "0")).otherwise(
+        F.col("file_no").cast("string")
+    )
+    return rows.withColumn("path", F.replace("path", F.lit("{FileNumber}"), number))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch.functions import semantics as S
-from fleetwatch.plans.ordering import string_list
+from fleetwatch.session import literal_table
 
 # Keywords that stand for a group of databases.
 DATABASE_KEYWORDS = {
@@ -37,7 +37,7 @@ def _matches(name: Column, pattern: str) -> Column:
         return name.isNotNull()
     if "%" not in pattern:
         return F.lower(name) == pattern.lower()
-    return name.rlike(S.like_to_regex(pattern.replace("|", "||").replace("_", "|_")))
+    return name.rlike(S.any_like_regex([pattern.replace("|", "||").replace("_", "|_")]))
 
 
 def _decide(df: DataFrame, items: list[tuple[Column, bool, int]]) -> DataFrame:
@@ -119,10 +119,13 @@ def sel_missing_names(inventory: DataFrame, spec: str, delimiter: str = ",") ->
         for item, _, _ in parse_list(spec, delimiter)
         if "%" not in item and item.upper() not in {*DATABASE_KEYWORDS, "AVAILABILITY_GROUP_DATABASES"}
     ]
-    spark = inventory.sparkSession
-    names = spark.createDataFrame([(n,) for n in wanted], "missing_name string")
-    present = inventory.select(F.lower("name").alias("_name")).filter(
-        F.col("_name").isin([n.lower() for n in wanted])
-    ).distinct()
+    names = literal_table(inventory.sparkSession, [(n,) for n in wanted], "missing_name string")
+    present = (
+        inventory.select(F.lower("name").alias("_name"))
+        .filter(F.col("_name").isin([n.lower() for n in wanted]))
+        .distinct()
+    )
     missing = names.join(present, F.lower("missing_name") == F.col("_name"), "left_anti")
-    return string_list(missing, [], "missing_name", "missing_names").select("missing_names")
+    # At most one row per name of the parameter list.
+    listed = F.array_join(F.array_sort(F.collect_set("missing_name")), ", ")
+    return missing.agg(F.nullif(listed, F.lit("")).alias("missing_names"))

@@ -14,6 +14,7 @@ from fleetwatch.operators.filters import flt_exclusion_list, flt_system_objects
 from fleetwatch.operators.scalars import fn_first_word, fn_string_cleanup, fn_unit_conversion
 from fleetwatch.operators.windows import win_share_of_total
 from fleetwatch.plans.ordering import string_list, top_k
+from fleetwatch.session import literal_table, settled
 
 # Background wait types of the wait report.
 BENIGN_WAITS = """
@@ -206,31 +207,27 @@ def index_usage(usage: DataFrame) -> DataFrame:
 
 def stale_stats_tables(table_stats: DataFrame, indexes: DataFrame, columns: DataFrame) -> DataFrame:
     """Tables that need a statistics update, with kind and index / column / statistics counts."""
-    grouped = A.agg_having_ratio(table_stats).withColumn(
-        "object_id", F.concat_ws(".", F.col("schema_id").cast("string"), "table_name")
+    grouped = settled(
+        A.agg_having_ratio(table_stats).withColumn(
+            "object_id", F.concat_ws(".", F.col("schema_id").cast("string"), "table_name")
+        ),
+        "stale",
     )
+    total = grouped.count()
     counted = J.join_scalar_counts(grouped, indexes, columns)
-    clustered = (
-        indexes.groupBy("object_id")
-        .agg(F.max(F.col("is_clustered").cast("int")).alias("_c"))
-    )
-    total = counted.agg(F.count(F.lit(1)).alias("no_of_occurrences"))
+    clustered = indexes.groupBy("object_id").agg(F.max(F.col("is_clustered").cast("int")).alias("_c"))
     kind = F.when(F.col("_c") == 1, "Clustered").when(F.col("_c") == 0, "Heap").otherwise("Indexed View")
-    return (
-        counted.join(clustered, "object_id", "left")
-        .join(total)
-        .select(
-            "schema_id",
-            "table_name",
-            "object_id",
-            "no_of_occurrences",
-            kind.alias("clustered_heap"),
-            F.when(F.col("_c") == 0, F.col("index_count") - 1).otherwise(F.col("index_count")).alias("index_count"),
-            "column_count",
-            "stat_count",
-            "row_count",
-            "mods",
-        )
+    return counted.join(clustered, "object_id", "left").select(
+        "schema_id",
+        "table_name",
+        "object_id",
+        F.lit(total).alias("no_of_occurrences"),
+        kind.alias("clustered_heap"),
+        F.when(F.col("_c") == 0, F.col("index_count") - 1).otherwise(F.col("index_count")).alias("index_count"),
+        "column_count",
+        "stat_count",
+        "row_count",
+        "mods",
     )
 
 
@@ -331,8 +328,7 @@ def _tree_node():
 def memory_tree(memory_counters: DataFrame, grants: DataFrame) -> DataFrame:
     """Five-level memory tree per server and snapshot with a residual row for other clerks."""
     keys = ["server_id", "snapshot_ts"]
-    spark = memory_counters.sparkSession
-    renames = spark.createDataFrame(COUNTER_RENAMES, "old_name string, new_name string")
+    renames = literal_table(memory_counters.sparkSession, COUNTER_RENAMES, "old_name string, new_name string")
     counters = J.join_rename_map(J.join_drop_superseded(normalise_counters(memory_counters)), renames)
     # inline() evaluates the node once per row and drops rows without one.
     nodes = counters.select(*keys, "value_mb", F.inline(F.array_compact(F.array(_tree_node())))).select(

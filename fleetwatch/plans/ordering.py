@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwatch.session import shared_dir
+from fleetwatch.session import settled, work_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -26,32 +26,36 @@ def rank_in_group(
 ) -> DataFrame:
     """``row_number() over (partition by groups order by order)`` by range partitions.
 
-    The sorted rows are cut from their lineage with a reliable checkpoint, so
-    both passes (counts, then numbers) see the same ranges even when executors
-    are lost.  ``order`` must end in a unique key to make the numbering stable
-    and to let the ranges split ties.
+    The sorted ranges are written to the shared folder, so both passes (counts,
+    then numbers) see the same ranges even when executors are lost, and the
+    first pass reads only the group columns.  ``order`` must end in a unique key
+    to make the numbering stable and to let the ranges split ties.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     keys = [F.col(g).asc() for g in groups] + _sort_columns(order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
-    tagged = tagged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)).withColumn(
+    path = work_path(spark, "ranged")
+    ranged.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.parquet(path)
+    tagged = stored.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     )
-    # One row per (range, group): first local position and rows of the group in the range.
+    # One row per (range, group): at most one per range plus one per group.
     pieces = tagged.groupBy("_part", *groups).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     before = (
-        Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        if groups
-        else Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*(groups or [F.lit(0)]))
+        .orderBy("_part")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = pieces.select(
-        F.col("_part").alias("_op"),
-        *[F.col(g).alias(f"_o_{g}") for g in groups],
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+    offsets = settled(
+        pieces.select(
+            F.col("_part").alias("_op"),
+            *[F.col(g).alias(f"_o_{g}") for g in groups],
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+        ),
+        "offsets",
     )
     cond = F.col("_part") == F.col("_op")
     for g in groups:
@@ -59,7 +63,7 @@ def rank_in_group(
     return (
         tagged.join(offsets, cond)
         .withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("bigint"))
-        .drop("_mid", "_part", "_pos", "_op", "_offset", *[f"_o_{g}" for g in groups])
+        .select(*df.columns, out)
     )
 
 
@@ -95,7 +99,7 @@ def previous_value(
 
     Each key's history is cut into time slices so a busy key spreads over many
     tasks; the first row of a slice takes the last value of the key's previous
-    non-empty slice, found among one row per (key, slice).
+    non-empty slice, found among one row per (key, slice).  Keys must not be NULL.
     """
     sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(time)))
     w = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
@@ -111,9 +115,9 @@ def previous_value(
     )
     cond = F.col("_slice") == F.col("_s")
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
     return (
-        inner.join(carried, cond)
+        inner.join(carried, cond, "left")
         .withColumn(out, F.when(F.col("_first") == 1, F.col("_carried")).otherwise(F.col("_before")))
         .drop("_slice", "_before", "_first", "_s", "_carried", *[f"_k_{k}" for k in keys])
     )
@@ -150,10 +154,10 @@ def running_max(
     carried = peaks.withColumn("_carry", F.max("_peak").over(before)).drop("_peak")
     cond = F.col("_slice") == F.col("_s")
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
     return (
         sliced.withColumn("_inner", F.max(value).over(inside))
-        .join(carried, cond)
+        .join(carried, cond, "left")
         .withColumn(out, F.greatest("_inner", "_carry"))
         .drop("_slice", "_s", "_inner", "_carry", *[f"_k_{k}" for k in keys])
     )
@@ -175,14 +179,16 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def with_group_total(df: DataFrame, groups: Sequence[str], total: Column, out: str) -> DataFrame:
     """Attach an aggregate of the row's group.
 
-    Aggregate-then-join: the totals hold one row per group, so Spark broadcasts
-    them while they are small and splits hot keys when they are not.
+    The totals (one row per group) are settled first, so the join knows their
+    size: small totals are broadcast and the rows never shuffle.
     """
-    totals = df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in groups]).agg(total.alias(out))
-    cond = F.lit(True)
-    for g in groups:
+    totals = settled(
+        df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in groups]).agg(total.alias(out)), "totals"
+    )
+    cond = F.col(groups[0]).eqNullSafe(F.col(f"_g_{groups[0]}"))
+    for g in groups[1:]:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return df.join(totals, cond).drop(*[f"_g_{g}" for g in groups])
+    return df.join(totals, cond).select(*df.columns, out)
 
 
 def string_list(

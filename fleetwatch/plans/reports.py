@@ -40,19 +40,7 @@ def health_findings(roles: Mapping[str, DataFrame], as_of) -> DataFrame:
         H.hc_file_growth(r["trace"], r["database_files"], r["volumes"], as_of),
     ]
     parts += [
-        check(r["error_log"], as_of)
-        for check in (
-            H.hc_login_failed,
-            H.hc_filegroup_full,
-            H.hc_system_task,
-            H.hc_failed_to_start,
-            H.hc_terminating_task,
-            H.hc_dispatcher,
-            H.hc_insufficient_memory,
-            H.hc_allocation_failure,
-        )
-    ]
-    parts += [
+        H.log_findings(r["error_log"], as_of),
         H.hc_jobs_disabled(r["jobs"]),
         H.hc_agent_errors(r["agent_log"], as_of),
         H.hc_jobs_failed(r["jobs"], r["job_history"], r["job_activity"], as_of),
@@ -64,16 +52,7 @@ def health_findings(roles: Mapping[str, DataFrame], as_of) -> DataFrame:
         H.hc_deadlocks(r["deadlocks"], as_of),
         H.hc_unknown_activity(r["activity"], r["cpu_samples"], as_of),
         H.hc_web_traffic(r["access_log"], as_of),
-    ]
-    parts += [
-        check(r["databases"])
-        for check in (
-            H.hc_auto_close,
-            H.hc_auto_shrink,
-            H.hc_auto_create_stats,
-            H.hc_auto_update_stats,
-            H.hc_async_stats,
-        )
+        H.option_findings(r["databases"]),
     ]
     return union_findings(*parts)
 

@@ -10,6 +10,7 @@ from fleetwatch.operators import compliance_rules as R
 from fleetwatch.queries.core import E, O
 from fleetwatch.queries.findings_sql import fsql, stamp
 from fleetwatch.queries.registry import query
+from fleetwatch.session import literal_table
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
 
 FINE = f"'{C.FINE}'"
@@ -209,7 +210,7 @@ def _(t):
     f"(SELECT t.server_id, COUNT(DISTINCT CASE WHEN t.version = x.expected THEN t.object_name END) AS n FROM v_toolset t LEFT JOIN {values(R.TOOLSET_EXPECTED, 'x(object_name, expected)')} ON x.object_name = t.object_name GROUP BY 1)",
     "37", "Maintenance objects", severity="CASE WHEN n = 4 THEN 0 ELSE 1 END", current="n", target="4", achieved="n = 4"))
 def _(t):
-    return C.cmp_toolset_version(t("toolset"), t.spark.createDataFrame(R.TOOLSET_EXPECTED, "object_name string, expected_version string"))
+    return C.cmp_toolset_version(t("toolset"), literal_table(t.spark, R.TOOLSET_EXPECTED, "object_name string, expected_version string"))
 
 
 @query("cmp_parallelism", fsql(
@@ -396,7 +397,7 @@ def _(t):
     "v_user_tables", "83", "User table in system database", scope="database_name", details=f"concat('table ', table_name, ' created ', {stamp('created_at')})",
     where="database_name IN ('master', 'msdb', 'model') AND NOT is_ms_shipped AND NOT ((database_name IN ('master', 'msdb') AND table_name = 'CommandLog') OR (database_name = 'msdb' AND table_name IN ('Queue', 'QueueDatabase')))"))
 def _(t):
-    return C.cmp_user_tables_in_system(t("user_tables"), t.spark.createDataFrame(R.SYSTEM_TABLE_ALLOW, "database_name string, table_name string"))
+    return C.cmp_user_tables_in_system(t("user_tables"), literal_table(t.spark, R.SYSTEM_TABLE_ALLOW, "database_name string, table_name string"))
 
 
 def slow_sql(check, name, stall, ops, ms):

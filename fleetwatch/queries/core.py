@@ -14,6 +14,7 @@ from fleetwatch.operators import selectors as SEL
 from fleetwatch.operators import windows as W
 from fleetwatch.operators import workload as WL
 from fleetwatch.queries.registry import query
+from fleetwatch.session import literal_table
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
 
 E = f"TIMESTAMP '{AS_OF_EVENTS}'"
@@ -121,7 +122,7 @@ REASONS_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in L.FAILURE_REA
 @query("prj_case_map", f"""
 SELECT a.*, COALESCE(r.reason, 'Other') AS reason FROM v_auth_failures a LEFT JOIN {REASONS_SQL} ON lower(a.sub_status) = lower(r.code)""")
 def _(t):
-    return FL.prj_case_map(t("auth_failures"), "sub_status", t.spark.createDataFrame(L.FAILURE_REASONS, "code string, reason string"))
+    return FL.prj_case_map(t("auth_failures"), "sub_status", literal_table(t.spark, L.FAILURE_REASONS, "code string, reason string"))
 
 
 @query("prj_environment", """
@@ -287,7 +288,7 @@ def _(t):
 
 @query("join_rename_map", NORMAL_SQL + " SELECT server_id, snapshot_ts, object_name, counter_name, instance_name, value_mb FROM renamed")
 def _(t):
-    names = t.spark.createDataFrame(WL.COUNTER_RENAMES, "old_name string, new_name string")
+    names = literal_table(t.spark, WL.COUNTER_RENAMES, "old_name string, new_name string")
     return J.join_rename_map(J.join_drop_superseded(_norm(t)), names).select(
         "server_id", "snapshot_ts", "object_name", "counter_name", "instance_name", "value_mb"
     )
@@ -841,7 +842,7 @@ WITH w AS (SELECT *, CAST(wait_time_ms AS DOUBLE) * 100 / SUM(wait_time_ms) OVER
 
 @query("wait_top_cause", TOP_WAIT_SQL + f"SELECT w.server_id, w.wait_type, wait_time_ms / 1000 AS seconds, pct, COALESCE(c.cause, 'unknown, to be analysed') AS cause FROM w LEFT JOIN {CAUSES_SQL} ON c.wait_type = w.wait_type WHERE rn = 1")
 def _(t):
-    return WL.wait_top_cause(t("wait_stats"), t.spark.createDataFrame(CAUSES, "wait_type string, cause string"), BENIGN)
+    return WL.wait_top_cause(t("wait_stats"), literal_table(t.spark, CAUSES, "wait_type string, cause string"), BENIGN)
 
 
 @query("integrity_check_speed", f"""

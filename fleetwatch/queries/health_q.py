@@ -12,6 +12,7 @@ from fleetwatch.plans import reports
 from fleetwatch.queries.core import CAUSES, CAUSES_SQL, E, O, REASONS_SQL, noise_sql
 from fleetwatch.queries.findings_sql import fsql, stamp
 from fleetwatch.queries.registry import query
+from fleetwatch.session import literal_table
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
 
 YESTERDAY = "TIMESTAMP '2024-01-30'"
@@ -24,7 +25,7 @@ VERSIONS_SQL = "(VALUES " + ", ".join(f"({a}, '{b}', TIMESTAMP '{c}')" for a, b,
 
 
 def version_map(t):
-    return t.spark.createDataFrame(VERSIONS, "major_version int, target_level string, released_at string").withColumn(
+    return literal_table(t.spark, VERSIONS, "major_version int, target_level string, released_at string").withColumn(
         "released_at", F.col("released_at").cast("timestamp_ntz")
     )
 
@@ -237,7 +238,7 @@ WAIT_SHORT = "(SELECT server_id, wait_type, row_number() OVER (PARTITION BY serv
       JOIN {WAIT_SHORT} w ON w.server_id = r.server_id AND w.rn = 1 LEFT JOIN {CAUSES_SQL} ON c.wait_type = w.wait_type)""",
     "10.10", "CPU pressure", where="pct > 23", current="printf('%.2f', pct)", target="23", details="concat('top wait ', wait_type, ': ', cause)"))
 def _(t):
-    return H.hc_cpu_pressure(t("wait_stats"), t.spark.createDataFrame(CAUSES, "wait_type string, cause string"))
+    return H.hc_cpu_pressure(t("wait_stats"), literal_table(t.spark, CAUSES, "wait_type string, cause string"))
 
 
 @query("hc_deadlocks", fsql("v_deadlocks", "11.1", "Deadlock", where=f"event_time > {DAY24} AND event_time <= {E}", details="deadlock_graph", at="event_time"))
@@ -465,6 +466,6 @@ SELECT time, replacement_strings[6] AS "user", replacement_strings[14] AS client
   COALESCE((SELECT reason FROM {REASONS_SQL} WHERE lower(code) = lower(replacement_strings[10])), 'Other') AS sub_reason
 FROM v_os_events WHERE log_name = 'Security' AND event_id = 4625 AND time > {E} - INTERVAL 240 HOUR AND time <= {E}""")
 def _(t):
-    return L.sec_auth_failures(t("os_events"), t.spark.createDataFrame(L.FAILURE_REASONS, "code string, reason string"), AS_OF_EVENTS, hours=240)
+    return L.sec_auth_failures(t("os_events"), literal_table(t.spark, L.FAILURE_REASONS, "code string, reason string"), AS_OF_EVENTS, hours=240)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "fleetwatch", cpus: int | None = None) -> SparkSession:
@@ -46,3 +46,33 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written intermediate table."""
     return f"{shared_dir(spark).rstrip('/')}/fleetwatch/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """A small aggregate written to the shared folder and read back.
+
+    The written size is exact, so Spark itself decides whether the table may be
+    broadcast, and a lost executor never repeats the scan behind it.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """Constant rows as a local relation, whose known size makes it a broadcast side."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"_{i}" for i in range(len(fields)))
+    casts = ", ".join(f"CAST(_{i} AS {kind}) AS {name}" for i, (name, kind) in enumerate(fields))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
