@@ -149,15 +149,18 @@ def join_cross_constant(a: DataFrame, rows: Sequence[tuple], schema: Sequence[st
     return a.withColumn("_c", F.explode(literals)).select(*a.columns, "_c.*")
 
 
-# Counters of one server and snapshot: a handful of rows, whatever the fleet's size.
-_SNAPSHOT = Window.partitionBy("server_id", "snapshot_ts")
+def _snapshot():
+    """Counters of one server and snapshot: a handful of rows, whatever the fleet's size."""
+    return Window.partitionBy("server_id", "snapshot_ts")
+
+
 _OLD = ("Buffer Manager", "Buffer Node")
 
 
 def join_rename_map(counters: DataFrame, map_df: DataFrame) -> DataFrame:
     """Old-generation buffer counters take their new name unless the server reports the new one."""
     is_old = F.coalesce(F.col("object_name").isin(*_OLD), F.lit(False))
-    present = F.collect_set(F.when(F.col("object_name") == "Memory Manager", F.col("counter_name"))).over(_SNAPSHOT)
+    present = F.collect_set(F.when(F.col("object_name") == "Memory Manager", F.col("counter_name"))).over(_snapshot())
     mapped = counters.withColumn("_present", present).join(
         map_df, F.col("counter_name") == F.col("old_name"), "left"
     )
@@ -175,7 +178,7 @@ def join_rename_map(counters: DataFrame, map_df: DataFrame) -> DataFrame:
 def join_drop_superseded(counters: DataFrame) -> DataFrame:
     """Drop old-generation rows whose new-generation twin (Buffer -> Memory, same short name) exists."""
     key = lambda o: F.concat_ws("|", o, F.col("short_name"))
-    reported = F.collect_set(key(F.col("object_name"))).over(_SNAPSHOT)
+    reported = F.collect_set(key(F.col("object_name"))).over(_snapshot())
     twin = key(F.replace("object_name", F.lit("Buffer"), F.lit("Memory")))
     gone = F.col("object_name").isin(*_OLD) & F.array_contains("_reported", twin)
     return (

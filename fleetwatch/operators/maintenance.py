@@ -215,7 +215,7 @@ def bkp_file_count(
 ) -> DataFrame:
     """Files per backup from its size, the largest file size and the directory count.
 
-    An unknown or zero size falls back to one file per directory.
+    An unknown size, or one below a byte per directory, falls back to one file per directory.
     """
     size = F.col(size_col)
     dirs = F.lit(directories)
@@ -227,7 +227,7 @@ def bkp_file_count(
         files = dirs
     else:
         per_dir = F.ceil(F.floor(size / dirs) / F.lit(max_file_mb * S.MB))
-        files = F.when(size.isNull() | (size == 0), dirs).otherwise(
+        files = F.when(size.isNull() | (size < dirs), dirs).otherwise(
             F.least(per_dir, F.lit(max_files // directories)) * dirs
         )
     return databases.withColumn("files", files.cast("bigint"))

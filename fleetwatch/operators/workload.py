@@ -116,13 +116,19 @@ def wait_top_cause(
 ) -> DataFrame:
     """Largest wait per server with its cause text."""
     kept = flt_exclusion_list(waits, "wait_type", benign)
-    share = win_share_of_total(kept, "wait_time_ms")
-    top = top_k(share, ["server_id"], [F.col("wait_time_ms").desc(), F.col("wait_type")], 1)
+    top = (
+        kept.groupBy("server_id")
+        .agg(
+            F.sum("wait_time_ms").alias("_total"),
+            F.min(F.struct((-F.col("wait_time_ms")).alias("minus"), "wait_type")).alias("_top"),
+        )
+        .select("server_id", F.col("_top.wait_type").alias("wait_type"), (-F.col("_top.minus")).alias("_ms"), "_total")
+    )
     return top.join(causes, "wait_type", "left").select(
         "server_id",
         "wait_type",
-        (F.col("wait_time_ms") / 1000).alias("seconds"),
-        "pct",
+        (F.col("_ms") / 1000).alias("seconds"),
+        F.try_divide(F.col("_ms").cast("double") * 100, F.col("_total")).alias("pct"),
         F.coalesce("cause", F.lit("unknown, to be analysed")).alias("cause"),
     )
 

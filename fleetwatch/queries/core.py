@@ -480,8 +480,8 @@ def _(t):
 
 
 @query("agg_string_list", """
-SELECT server_id, 0 AS chunk_no, string_agg(database_name, ', ' ORDER BY database_name) AS names, COUNT(*) AS n
-FROM (SELECT DISTINCT server_id, database_name FROM v_backupset) GROUP BY 1""")
+WITH k AS (SELECT *, (row_number() OVER (PARTITION BY server_id ORDER BY database_name) - 1) // 1000 AS chunk_no FROM (SELECT DISTINCT server_id, database_name FROM v_backupset))
+SELECT server_id, chunk_no, string_agg(database_name, ', ' ORDER BY database_name) AS names, COUNT(*) AS n FROM k GROUP BY 1, 2""")
 def _(t):
     return A.agg_string_list(t("backupset"), ["server_id"], "database_name")
 

@@ -413,7 +413,10 @@ def _(t):
 
 
 @query("web_status_summary", """
-SELECT 0 AS chunk_no, string_agg(DISTINCT c_ip, ', ' ORDER BY c_ip) AS ips, MIN(log_time) AS first_time, MAX(log_time) AS last_time, COUNT(*) AS requests FROM v_access_log WHERE sc_status = 405""")
+WITH r AS (SELECT * FROM v_access_log WHERE sc_status = 405),
+k AS (SELECT c_ip, (row_number() OVER (ORDER BY c_ip) - 1) // 1000 AS chunk_no FROM (SELECT DISTINCT c_ip FROM r))
+SELECT chunk_no, string_agg(c_ip, ', ' ORDER BY c_ip) AS ips, (SELECT MIN(log_time) FROM r) AS first_time, (SELECT MAX(log_time) FROM r) AS last_time,
+  (SELECT COUNT(*) FROM r) AS requests FROM k GROUP BY 1""")
 def _(t):
     return L.web_status_summary(t("access_log"))
 

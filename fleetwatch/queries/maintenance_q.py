@@ -181,8 +181,9 @@ def _(t):
 
 
 @query("bkp_failed_latest", """
-WITH n AS (SELECT *, row_number() OVER (PARTITION BY database_name ORDER BY id DESC) AS rn FROM v_command_log WHERE command_type = 'DBCC_CHECKDB')
-SELECT 0 AS chunk_no, string_agg(database_name, ',' ORDER BY database_name) AS names, COUNT(*) AS n FROM n WHERE rn = 1 AND error_number <> 0""")
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY database_name ORDER BY id DESC) AS rn FROM v_command_log WHERE command_type = 'DBCC_CHECKDB'),
+k AS (SELECT database_name, (row_number() OVER (ORDER BY database_name) - 1) // 1000 AS chunk_no FROM n WHERE rn = 1 AND error_number <> 0)
+SELECT chunk_no, string_agg(database_name, ',' ORDER BY database_name) AS names, COUNT(*) AS n FROM k GROUP BY 1""")
 def _(t):
     return M.bkp_failed_latest(t("command_log"), "DBCC_CHECKDB")
 

@@ -35,7 +35,23 @@ _DDL = {
     "current_value string, target_value string, achieved boolean, details string, observed_at timestamp_ntz",
 }
 
-ROLES: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _schema(ddl: str) -> T.StructType:
+    """Schema of a column list, built without a running session."""
+    fields = (f.strip().split(" ", 1) for f in ddl.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
+
+ROLES: dict[str, T.StructType] = {name: _schema(ddl) for name, ddl in _DDL.items()}
 
 
 def src_snapshot(spark: SparkSession, path: str, role: str) -> DataFrame:
