@@ -26,12 +26,17 @@ def setting_targets(spark: SparkSession, states: Sequence[str] = ("live",)) -> D
     return literal_table(
         spark,
         rows,
-        "name string, target_value bigint, check_id int, state string, min_version string, max_version string",
+        "name string, target_value bigint, check_id int, state string, min_version string, max_version string, "
+        "applies_to string",
     )
 
 
 def cmp_settings(settings: DataFrame, targets: DataFrame) -> DataFrame:
-    """Observed value against target per server and setting (version bounds honoured when present)."""
+    """Observed value against target per server and setting.
+
+    Version bounds and server conditions of the targets are honoured when the
+    settings carry product_version, is_clustered or uses_replication.
+    """
     joined = settings.join(targets, "name")
     if "product_version" in settings.columns and "min_version" in targets.columns:
         v = S.version_array("product_version")
@@ -39,7 +44,22 @@ def cmp_settings(settings: DataFrame, targets: DataFrame) -> DataFrame:
             (F.col("min_version").isNull() | (v >= S.version_array("min_version")))
             & (F.col("max_version").isNull() | (v < S.version_array("max_version")))
         )
+    if "applies_to" in targets.columns:
+        flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in settings.columns else F.lit(False)
+        clustered, replicated = flag("is_clustered"), flag("uses_replication")
+        applies = F.col("applies_to")
+        joined = joined.filter(
+            applies.isNull()
+            | ((applies == "clustered") & clustered)
+            | ((applies == "single") & ~clustered)
+            | ((applies == "replicated") & replicated)
+            | ((applies == "unreplicated") & ~replicated)
+        )
     ok = F.col("value_in_use") == F.col("target_value")
+    advice = S.text("set ", F.col("name"), " to ", F.col("target_value"))
+    for level, words in R.FILESTREAM_LEVELS:
+        is_level = (F.col("name") == "filestream access level") & (F.col("value_in_use") == level)
+        advice = F.when(is_level, words).otherwise(advice)
     return findings(
         joined,
         "settings",
@@ -48,7 +68,7 @@ def cmp_settings(settings: DataFrame, targets: DataFrame) -> DataFrame:
         current=F.col("value_in_use"),
         target=F.col("target_value"),
         achieved=ok,
-        details=F.when(ok, FINE).otherwise(S.text("set ", F.col("name"), " to ", F.col("target_value"))),
+        details=F.when(ok, FINE).otherwise(advice),
     )
 
 

@@ -2,90 +2,100 @@
 
 from __future__ import annotations
 
-# Setting, target, check id, rule state, lowest and highest (exclusive) product version.
+# Setting, target, check id, rule state, lowest and highest (exclusive) product
+# version, server condition.
 # State: live = scored, off = kept but disabled, info = target without a check.
 SETTING_TARGETS = (
-    ("access check cache bucket count", 0, 300, "live", None, None),
-    ("access check cache quota", 0, 301, "live", None, None),
-    ("Ad Hoc Distributed Queries", 0, 302, "live", None, None),
-    ("affinity I/O mask", 0, 303, "off", None, None),
-    ("affinity mask", 0, 304, "off", None, None),
-    ("affinity64 I/O mask", 0, 305, "off", None, None),
-    ("affinity64 mask", 0, 306, "off", None, None),
-    ("Agent XPs", 1, 307, "info", None, None),
-    ("allow polybase export", 0, 308, "info", None, None),
-    ("allow updates", 0, 309, "live", None, None),
-    ("automatic soft-NUMA disabled", 0, 310, "live", None, None),
-    ("backup checksum default", 0, 311, "info", None, None),
-    ("backup compression default", 1, 312, "live", None, None),
-    ("blocked process threshold (s)", 0, 313, "info", None, None),
-    ("c2 audit mode", 0, 314, "off", None, None),
-    ("clr enabled", 1, 315, "live", "14", "15"),
-    ("clr enabled", 0, 315, "live", None, "14"),
-    ("clr enabled", 0, 315, "live", "15", None),
-    ("clr strict security", 1, 316, "live", "14", "15"),
-    ("clr strict security", 0, 316, "live", None, "14"),
-    ("clr strict security", 0, 316, "live", "15", None),
-    ("common criteria compliance enabled", 0, 317, "off", None, None),
-    ("contained database authentication", 1, 318, "info", None, None),
-    ("cost threshold for parallelism", 5, 319, "info", None, None),
-    ("cross db ownership chaining", 0, 320, "live", None, None),
-    ("cursor threshold", -1, 321, "info", None, None),
-    ("Database Mail XPs", 0, 322, "live", None, None),
-    ("default full-text language", 1031, 323, "info", None, None),
-    ("default language", 1, 324, "info", None, None),
-    ("default trace enabled", 1, 325, "live", None, None),
-    ("disallow results from triggers", 0, 326, "off", None, None),
-    ("EKM provider enabled", 0, 327, "info", None, None),
-    ("external scripts enabled", 0, 328, "info", None, None),
-    ("filestream access level", 0, 329, "live", None, None),
-    ("fill factor (%)", 0, 330, "info", None, None),
-    ("ft crawl bandwidth (max)", 100, 331, "off", None, None),
-    ("ft crawl bandwidth (min)", 0, 332, "off", None, None),
-    ("ft notify bandwidth (max)", 100, 333, "off", None, None),
-    ("ft notify bandwidth (min)", 0, 334, "off", None, None),
-    ("hadoop connectivity", 0, 335, "info", None, None),
-    ("index create memory (KB)", 0, 336, "info", None, None),
-    ("in-doubt xact resolution", 0, 337, "info", None, None),
-    ("lightweight pooling", 0, 338, "live", None, None),
-    ("locks", 0, 339, "info", None, None),
-    ("max degree of parallelism", 0, 340, "info", None, None),
-    ("max full-text crawl range", 4, 341, "info", None, None),
-    ("max server memory (MB)", 2147483647, 342, "info", None, None),
-    ("max text repl size (B)", 65536, 343, "info", None, None),
-    ("max worker threads", 0, 344, "info", None, None),
-    ("media retention", 0, 345, "info", None, None),
-    ("min memory per query (KB)", 1024, 346, "info", None, None),
-    ("min server memory (MB)", 0, 347, "info", None, None),
-    ("nested triggers", 1, 348, "info", None, None),
-    ("network packet size (B)", 4096, 349, "info", None, None),
-    ("Ole Automation Procedures", 0, 350, "live", None, None),
-    ("open objects", 0, 351, "live", None, None),
-    ("optimize for ad hoc workloads", 0, 352, "info", None, None),
-    ("PH timeout (s)", 60, 353, "info", None, None),
-    ("polybase network encryption", 1, 354, "info", None, None),
-    ("precompute rank", 0, 355, "info", None, None),
-    ("priority boost", 0, 358, "live", None, None),
-    ("query governor cost limit", 0, 359, "info", None, None),
-    ("query wait (s)", -1, 360, "info", None, None),
-    ("recovery interval (min)", 0, 361, "info", None, None),
-    ("remote access", 1, 362, "live", None, None),
-    ("remote admin connections", 0, 363, "live", None, None),
-    ("remote data archive", 0, 364, "info", None, None),
-    ("remote login timeout (s)", 10, 365, "info", None, None),
-    ("remote proc trans", 0, 366, "info", None, None),
-    ("remote query timeout (s)", 600, 367, "info", None, None),
-    ("Replication XPs", 0, 368, "info", None, None),
-    ("scan for startup procs", 0, 369, "live", None, None),
-    ("server trigger recursion", 1, 370, "info", None, None),
-    ("set working set size", 0, 371, "info", None, None),
-    ("show advanced options", 0, 372, "info", None, None),
-    ("SMO and DMO XPs", 1, 373, "info", None, None),
-    ("transform noise words", 0, 374, "info", None, None),
-    ("two digit year cutoff", 2049, 375, "info", None, None),
-    ("user connections", 0, 376, "info", None, None),
-    ("user options", 0, 377, "info", None, None),
-    ("xp_cmdshell", 0, 378, "live", None, None),
+    ("access check cache bucket count", 0, 300, "live", None, None, None),
+    ("access check cache quota", 0, 301, "live", None, None, None),
+    ("Ad Hoc Distributed Queries", 0, 302, "live", None, None, None),
+    ("affinity I/O mask", 0, 303, "off", None, None, None),
+    ("affinity mask", 0, 304, "off", None, None, None),
+    ("affinity64 I/O mask", 0, 305, "off", None, None, None),
+    ("affinity64 mask", 0, 306, "off", None, None, None),
+    ("Agent XPs", 1, 307, "info", None, None, None),
+    ("allow polybase export", 0, 308, "info", None, None, None),
+    ("allow updates", 0, 309, "live", None, None, None),
+    ("automatic soft-NUMA disabled", 0, 310, "live", None, None, None),
+    ("backup checksum default", 0, 311, "info", None, None, None),
+    ("backup compression default", 1, 312, "live", None, None, None),
+    ("blocked process threshold (s)", 0, 313, "info", None, None, None),
+    ("c2 audit mode", 0, 314, "off", None, None, None),
+    ("clr enabled", 1, 315, "live", "14", "15", None),
+    ("clr enabled", 0, 315, "live", None, "14", None),
+    ("clr enabled", 0, 315, "live", "15", None, None),
+    ("clr strict security", 1, 316, "live", "14", "15", None),
+    ("clr strict security", 0, 316, "live", None, "14", None),
+    ("clr strict security", 0, 316, "live", "15", None, None),
+    ("common criteria compliance enabled", 0, 317, "off", None, None, None),
+    ("contained database authentication", 1, 318, "info", None, None, None),
+    ("cost threshold for parallelism", 5, 319, "info", None, None, None),
+    ("cross db ownership chaining", 0, 320, "live", None, None, None),
+    ("cursor threshold", -1, 321, "info", None, None, None),
+    ("Database Mail XPs", 0, 322, "live", None, None, None),
+    ("default full-text language", 1031, 323, "info", None, None, None),
+    ("default language", 1, 324, "info", None, None, None),
+    ("default trace enabled", 1, 325, "live", None, None, None),
+    ("disallow results from triggers", 0, 326, "off", None, None, None),
+    ("EKM provider enabled", 0, 327, "info", None, None, None),
+    ("external scripts enabled", 0, 328, "info", None, None, None),
+    ("filestream access level", 0, 329, "live", None, None, None),
+    ("fill factor (%)", 0, 330, "info", None, None, None),
+    ("ft crawl bandwidth (max)", 100, 331, "off", None, None, None),
+    ("ft crawl bandwidth (min)", 0, 332, "off", None, None, None),
+    ("ft notify bandwidth (max)", 100, 333, "off", None, None, None),
+    ("ft notify bandwidth (min)", 0, 334, "off", None, None, None),
+    ("hadoop connectivity", 0, 335, "info", None, None, None),
+    ("index create memory (KB)", 0, 336, "info", None, None, None),
+    ("in-doubt xact resolution", 0, 337, "info", None, None, None),
+    ("lightweight pooling", 0, 338, "live", None, None, None),
+    ("locks", 0, 339, "info", None, None, None),
+    ("max degree of parallelism", 0, 340, "info", None, None, None),
+    ("max full-text crawl range", 4, 341, "info", None, None, None),
+    ("max server memory (MB)", 2147483647, 342, "info", None, None, None),
+    ("max text repl size (B)", 65536, 343, "info", None, None, None),
+    ("max worker threads", 0, 344, "info", None, None, None),
+    ("media retention", 0, 345, "info", None, None, None),
+    ("min memory per query (KB)", 1024, 346, "info", None, None, None),
+    ("min server memory (MB)", 0, 347, "info", None, None, None),
+    ("nested triggers", 1, 348, "info", None, None, None),
+    ("network packet size (B)", 4096, 349, "info", None, None, None),
+    ("Ole Automation Procedures", 0, 350, "live", None, None, None),
+    ("open objects", 0, 351, "live", None, None, None),
+    ("optimize for ad hoc workloads", 0, 352, "info", None, None, None),
+    ("PH timeout (s)", 60, 353, "info", None, None, None),
+    ("polybase network encryption", 1, 354, "info", None, None, None),
+    ("precompute rank", 0, 355, "info", None, None, None),
+    ("priority boost", 0, 358, "live", None, None, None),
+    ("query governor cost limit", 0, 359, "info", None, None, None),
+    ("query wait (s)", -1, 360, "info", None, None, None),
+    ("recovery interval (min)", 0, 361, "info", None, None, None),
+    ("remote access", 1, 362, "live", None, None, None),
+    ("remote admin connections", 0, 363, "live", None, None, "single"),
+    ("remote admin connections", 1, 363, "live", None, None, "clustered"),
+    ("remote data archive", 0, 364, "info", None, None, None),
+    ("remote login timeout (s)", 10, 365, "info", None, None, None),
+    ("remote proc trans", 0, 366, "info", None, None, None),
+    ("remote query timeout (s)", 600, 367, "info", None, None, None),
+    ("Replication XPs", 0, 368, "info", None, None, None),
+    ("scan for startup procs", 0, 369, "live", None, None, "unreplicated"),
+    ("scan for startup procs", 1, 369, "live", None, None, "replicated"),
+    ("server trigger recursion", 1, 370, "info", None, None, None),
+    ("set working set size", 0, 371, "info", None, None, None),
+    ("show advanced options", 0, 372, "info", None, None, None),
+    ("SMO and DMO XPs", 1, 373, "info", None, None, None),
+    ("transform noise words", 0, 374, "info", None, None, None),
+    ("two digit year cutoff", 2049, 375, "info", None, None, None),
+    ("user connections", 0, 376, "info", None, None, None),
+    ("user options", 0, 377, "info", None, None, None),
+    ("xp_cmdshell", 0, 378, "live", None, None, None),
+)
+
+# File-stream access level and what it allows.
+FILESTREAM_LEVELS = (
+    (1, "SQL access to file streams only"),
+    (2, "SQL access and local streaming"),
+    (3, "SQL access, local and remote streaming"),
 )
 
 # Version prefix, product name, latest patch level.

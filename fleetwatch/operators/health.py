@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetwatch.functions import semantics as S
 from fleetwatch.operators import joins as J
 from fleetwatch.operators.aggregates import agg_having_latest_age, agg_size_total
-from fleetwatch.operators.findings import CRITICAL, OK, WARN, findings, hc_traffic_light
+from fleetwatch.operators.findings import CRITICAL, OK, WARN, findings
 from fleetwatch.operators.windows import top_peak_sample
 from fleetwatch.operators.workload import wait_signal_ratio, wait_top_cause
 from fleetwatch.plans.ordering import latest_row, top_k
@@ -532,23 +532,23 @@ def hc_web_traffic(access_log: DataFrame, as_of, hours: int = 24) -> DataFrame:
 def hc_server_summary(servers: DataFrame, files: DataFrame, all_findings: DataFrame) -> DataFrame:
     """Inventory facts per server with its status; ``no problems`` when it has no finding."""
     sizes = agg_size_total(files)
-    counts = all_findings.filter(F.col("severity") > OK).groupBy("server_id").agg(
-        F.count(F.lit(1)).alias("problems")
+    rollup = all_findings.groupBy("server_id").agg(
+        F.max("severity").alias("severity"), F.count_if(F.col("severity") > OK).alias("problems")
     )
+    status = F.when(F.col("severity") >= CRITICAL, "RED").when(F.col("severity") == WARN, "YELLOW")
     return (
         servers.select("server_id", "boot_time", "instance_count")
         .join(sizes, "server_id", "left")
-        .join(counts, "server_id", "left")
-        .join(hc_traffic_light(all_findings), "server_id", "left")
+        .join(rollup, "server_id", "left")
         .select(
             "server_id",
             "boot_time",
             "instance_count",
             F.coalesce("databases", F.lit(0)).alias("databases"),
             F.coalesce("total_gb", F.lit(0.0)).alias("total_gb"),
-            F.coalesce("status", F.lit("GREEN")).alias("status"),
-            F.when(F.col("problems").isNull(), "no problems")
-            .otherwise(S.text(F.col("problems"), " problems"))
+            status.otherwise("GREEN").alias("status"),
+            F.when(F.col("problems") > 0, S.text(F.col("problems"), " problems"))
+            .otherwise("no problems")
             .alias("summary"),
         )
     )

@@ -253,6 +253,31 @@ def chk_last_good(command_log: DataFrame, inventory: DataFrame) -> DataFrame:
     return inventory.select("database_name").distinct().join(good, "database_name", "left")
 
 
+def chk_eligible(databases: DataFrame, replicas: str = "ALL") -> DataFrame:
+    """Databases an integrity check may read: online, reachable, and on a replica that allows it.
+
+    ``replicas`` is ALL, PRIMARY, SECONDARY or PREFERRED_BACKUP_REPLICA; a
+    secondary must be readable by all connections.
+    """
+    role = F.col("replica_role")
+    reachable = (F.col("state_desc") == "ONLINE") & ~(
+        (F.col("user_access") == "SINGLE_USER") & ~F.col("is_accessible")
+    )
+    readable = role.isNull() | (role == "PRIMARY") | (
+        (role == "SECONDARY") & (F.col("secondary_connections") == "ALL")
+    )
+    wanted = {
+        "ALL": F.lit(True),
+        "PRIMARY": role == "PRIMARY",
+        "SECONDARY": role == "SECONDARY",
+        "PREFERRED_BACKUP_REPLICA": F.col("is_preferred_replica"),
+    }[replicas]
+    chosen = F.col("availability_group").isNull() | F.coalesce(wanted, F.lit(False))
+    return databases.withColumn(
+        "check_eligible", F.coalesce(reachable & readable, F.lit(False)) & chosen
+    )
+
+
 def cmd_outcome(command_log: DataFrame) -> DataFrame:
     """Runs, longest duration and share of all runs per command type and outcome."""
     status = (

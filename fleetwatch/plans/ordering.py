@@ -86,6 +86,16 @@ def running_sum(df: DataFrame, position: str, value: str, out: str, block: int =
     )
 
 
+def _slice_unit(df: DataFrame, keys: Sequence[str], time: str, max_rows: int) -> str:
+    """Coarsest time unit whose fullest (key, unit) slice stays below ``max_rows``."""
+    for unit in ("DAY", "HOUR", "MINUTE"):
+        sizes = df.groupBy(*keys, F.date_trunc(unit, F.col(time)).alias("_s")).count()
+        largest = sizes.agg(F.max("count")).first()[0]
+        if (largest or 0) <= max_rows:
+            return unit
+    return "SECOND"
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
@@ -93,15 +103,18 @@ def previous_value(
     tie: str,
     value: str,
     out: str,
-    slice_unit: str = "HOUR",
+    max_rows: int = 5_000_000,
 ) -> DataFrame:
     """``lag(value) over (partition by keys order by time, tie)`` sliced by time.
 
-    Each key's history is cut into time slices so a busy key spreads over many
-    tasks; the first row of a slice takes the last value of the key's previous
-    non-empty slice, found among one row per (key, slice).  Keys must not be NULL.
+    Each key's history is cut into time slices of at most ``max_rows`` rows
+    (the unit is chosen from a pre-aggregated count), so a busy key spreads over
+    many tasks; the first row of a slice takes the last value of the key's
+    previous non-empty slice, found among one row per (key, slice).  Keys must
+    not be NULL.
     """
-    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(time)))
+    unit = _slice_unit(df, keys, time, max_rows)
+    sliced = df.withColumn("_slice", F.date_trunc(unit, F.col(time)))
     w = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
     inner = sliced.withColumn("_before", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w))
     last = sliced.groupBy(*keys, "_slice").agg(

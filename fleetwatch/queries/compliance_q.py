@@ -28,12 +28,14 @@ def ver(expr: str) -> str:
     return f"CAST(string_split({expr}, '.') AS INT[])"
 
 
-TARGETS = values([r for r in R.SETTING_TARGETS if r[3] == "live"], "g(name, target_value, check_id, state, min_version, max_version)")
+TARGETS = values([r for r in R.SETTING_TARGETS if r[3] == "live"], "g(name, target_value, check_id, state, min_version, max_version, applies_to)")
+LEVELS = " ".join(f"WHEN setting = 'filestream access level' AND v = {n} THEN '{w}'" for n, w in R.FILESTREAM_LEVELS)
 SETTINGS_SQL = fsql(
     f"(SELECT s.server_id, s.name AS setting, s.value_in_use AS v, g.target_value AS tv FROM v_settings s JOIN {TARGETS} ON g.name = s.name "
-    f"AND (min_version IS NULL OR {ver('product_version')} >= {ver('min_version')}) AND (max_version IS NULL OR {ver('product_version')} < {ver('max_version')}))",
+    f"AND (min_version IS NULL OR {ver('product_version')} >= {ver('min_version')}) AND (max_version IS NULL OR {ver('product_version')} < {ver('max_version')}) "
+    "AND (applies_to IS NULL OR applies_to = CASE WHEN is_clustered THEN 'clustered' ELSE 'single' END OR applies_to = CASE WHEN uses_replication THEN 'replicated' ELSE 'unreplicated' END))",
     "settings", "=setting", severity="CASE WHEN v = tv THEN 0 ELSE 1 END", current="v", target="tv", achieved="v = tv",
-    details=f"CASE WHEN v = tv THEN {FINE} ELSE concat('set ', setting, ' to ', tv) END")
+    details=f"CASE WHEN v = tv THEN {FINE} {LEVELS} ELSE concat('set ', setting, ' to ', tv) END")
 
 
 def settings(t):

@@ -195,6 +195,19 @@ def _(t):
     return M.chk_last_good(t("command_log"), t("databases"))
 
 
+@query("chk_eligible", """
+SELECT server_id, database_name, r AS replicas, state_desc = 'ONLINE' AND NOT (user_access = 'SINGLE_USER' AND NOT is_accessible)
+  AND COALESCE(replica_role IS NULL OR replica_role = 'PRIMARY' OR (replica_role = 'SECONDARY' AND secondary_connections = 'ALL'), FALSE)
+  AND (availability_group IS NULL OR r = 'ALL' OR COALESCE(replica_role = r, FALSE) OR (r = 'PREFERRED_BACKUP_REPLICA' AND is_preferred_replica)) AS check_eligible
+FROM v_databases, (VALUES ('ALL'), ('PRIMARY'), ('SECONDARY'), ('PREFERRED_BACKUP_REPLICA')) AS m(r)""")
+def _(t):
+    parts = [
+        M.chk_eligible(t("databases"), r).select("server_id", "database_name", F.lit(r).alias("replicas"), "check_eligible")
+        for r in ("ALL", "PRIMARY", "SECONDARY", "PREFERRED_BACKUP_REPLICA")
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("cmd_outcome", """
 SELECT command_type, CASE WHEN error_number IS NULL THEN 'Not Executed' WHEN error_number = 0 THEN 'Succeeded' ELSE 'Failed' END AS status, COUNT(*) AS n,
   CAST(SUM(date_diff('second', start_time, end_time)) AS BIGINT) AS total_seconds,

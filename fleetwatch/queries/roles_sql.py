@@ -158,15 +158,18 @@ SELECT concat('s', {s('p_size % 4')}) AS schema_name, concat('t_', {s('p_partkey
   CASE WHEN p_size % 3 = 0 THEN 'int' ELSE 'varchar' END AS type_name, CASE p_size % 2 WHEN 0 THEN 255 ELSE 50 END AS max_length
 FROM {{part}}""",
     "settings": f"""
-SELECT {srv('l_suppkey')} AS server_id, {PRODUCT.format(k='l_suppkey')} AS product_version,
-  CASE l_partkey % 10 WHEN 0 THEN 'xp_cmdshell' WHEN 1 THEN 'clr enabled' WHEN 2 THEN 'default trace enabled'
+SELECT {srv('l_suppkey')} AS server_id, {PRODUCT.format(k='l_suppkey')} AS product_version, l_suppkey % 4 = 0 AS is_clustered,
+  l_suppkey % 5 = 0 AS uses_replication,
+  CASE l_partkey % 13 WHEN 0 THEN 'xp_cmdshell' WHEN 1 THEN 'clr enabled' WHEN 2 THEN 'default trace enabled'
     WHEN 3 THEN 'backup compression default' WHEN 4 THEN 'Ole Automation Procedures' WHEN 5 THEN 'remote access'
     WHEN 6 THEN 'max degree of parallelism' WHEN 7 THEN 'max server memory (MB)' WHEN 8 THEN 'cost threshold for parallelism'
+    WHEN 9 THEN 'remote admin connections' WHEN 10 THEN 'scan for startup procs' WHEN 11 THEN 'filestream access level'
     ELSE 'locks' END AS name,
-  CASE l_partkey % 10 WHEN 6 THEN {i('l_suppkey % 12')} WHEN 7 THEN {i('4096 + (l_suppkey % 40) * 1024')}
-    WHEN 8 THEN {i('l_suppkey % 9 - 8')} ELSE {i('(l_suppkey * (l_partkey % 10 + 1)) % 2')} END AS value_in_use,
+  CASE l_partkey % 13 WHEN 6 THEN {i('l_suppkey % 12')} WHEN 7 THEN {i('4096 + (l_suppkey % 40) * 1024')}
+    WHEN 8 THEN {i('l_suppkey % 9 - 8')} WHEN 11 THEN {i('l_suppkey % 4')}
+    ELSE {i('(l_suppkey * (l_partkey % 13 + 1)) % 2')} END AS value_in_use,
   COUNT(*) AS samples
-FROM {{lineitem}} GROUP BY 1, 2, 3, 4""",
+FROM {{lineitem}} GROUP BY 1, 2, 3, 4, 5, 6""",
     "principals": f"""
 SELECT {srv('c_custkey % 3')} AS server_id, c_custkey AS principal_id, concat('s', {s('c_custkey')}) AS sid,
   CASE c_custkey % 20 WHEN 0 THEN concat('BUILTIN/g', {s('c_custkey')}) WHEN 1 THEN concat('HOST', {s('c_custkey % 3')}, '/g', {s('c_custkey')})
@@ -268,7 +271,7 @@ SELECT {srv('c_custkey % 3')} AS server_id, {db('c_custkey')} AS database_name,
   c_custkey % 41 = 0 AS is_in_standby, c_custkey % 5 = 0 AS is_read_only,
   CASE WHEN c_custkey % 4 = 0 THEN 'ag1' ELSE NULL END AS availability_group,
   CASE c_custkey % 12 WHEN 0 THEN 'PRIMARY' WHEN 4 THEN 'SECONDARY' ELSE NULL END AS replica_role,
-  c_custkey % 8 = 0 AS is_preferred_replica,
+  c_custkey % 8 = 0 AS is_preferred_replica, CASE c_custkey % 16 WHEN 0 THEN 'ALL' WHEN 4 THEN 'NO' ELSE NULL END AS secondary_connections,
   CASE WHEN c_custkey % 15 = 0 THEN 'PRIMARY' ELSE NULL END AS log_shipping_role,
   CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_custkey * 10 END AS log_lsn,
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey * 9 END AS differential_base_lsn, c_custkey % 14 = 0 AS base_is_snapshot,

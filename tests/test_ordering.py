@@ -70,6 +70,8 @@ def test_previous_value_equals_lag(spark):
     want = df.withColumn("prev", F.lag("counter_value").over(w))
     key = lambda d: sorted((r.reading_id, -1 if r.prev is None else r.prev) for r in d.collect())
     assert key(got) == key(want)
+    # Slices of one row: every value crosses a slice border.
+    assert key(O.previous_value(df, ["server_id", "key"], "reading_time", "reading_id", "counter_value", "prev", max_rows=0)) == key(want)
 
 
 def test_counter_reset_counts_from_zero(spark):
