@@ -113,7 +113,6 @@ def sink_report_rows(all_findings: DataFrame, lines_per_row: int = 1000) -> Data
             ).alias("report_text")
         )
     )
-    # The numbered rows are stored, so the status does not run the checks again.
     return parts.join(hc_traffic_light(numbered), "server_id").select(
         "server_id", "status", "part_no", "report_text"
     )

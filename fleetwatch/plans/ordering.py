@@ -21,16 +21,31 @@ def _sort_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc() if isinstance(o, str) else o for o in order]
 
 
+def largest_group(df: DataFrame, groups: Sequence[str | Column]) -> int:
+    """Rows of the largest group, from a pre-aggregated count."""
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] or 0
+
+
 def rank_in_group(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], out: str
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str | Column],
+    out: str,
+    max_rows: int = 1_000_000,
 ) -> DataFrame:
-    """``row_number() over (partition by groups order by order)`` by range partitions.
-
-    The sorted ranges are written to the shared folder, so both passes (counts,
-    then numbers) see the same ranges even when executors are lost, and the
-    first pass reads only the group columns.  ``order`` must end in a unique key
-    to make the numbering stable and to let the ranges split ties.
+    """``row_number() over (partition by groups order by order)`` without a huge task.
+
+    When a count proves every group to hold at most ``max_rows`` rows, the plain
+    window is used.  Beyond that the rows are ranked by range partitions: the
+    sorted ranges are written to the shared folder, so both passes (counts, then
+    numbers) see the same ranges even when executors are lost, and the first
+    pass reads only the group columns.  ``order`` must end in a unique key to
+    make the numbering stable and to let the ranges split ties.
     """
+    if largest_group(df, groups) <= max_rows:
+        w = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*_sort_columns(order))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     spark = df.sparkSession
     keys = [F.col(g).asc() for g in groups] + _sort_columns(order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -86,12 +101,15 @@ def running_sum(df: DataFrame, position: str, value: str, out: str, block: int =
     )
 
 
-def _slice_unit(df: DataFrame, keys: Sequence[str], time: str, max_rows: int) -> str:
-    """Coarsest time unit whose fullest (key, unit) slice stays below ``max_rows``."""
+def _slice_unit(df: DataFrame, keys: Sequence[str], time: str, max_rows: int) -> str | None:
+    """Coarsest time unit whose fullest (key, unit) slice stays below ``max_rows``.
+
+    None when whole keys stay below it.
+    """
+    if largest_group(df, keys) <= max_rows:
+        return None
     for unit in ("DAY", "HOUR", "MINUTE"):
-        sizes = df.groupBy(*keys, F.date_trunc(unit, F.col(time)).alias("_s")).count()
-        largest = sizes.agg(F.max("count")).first()[0]
-        if (largest or 0) <= max_rows:
+        if largest_group(df, [*keys, F.date_trunc(unit, F.col(time)).alias("_s")]) <= max_rows:
             return unit
     return "SECOND"
 
@@ -103,17 +121,19 @@ def previous_value(
     tie: str,
     value: str,
     out: str,
-    max_rows: int = 5_000_000,
+    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """``lag(value) over (partition by keys order by time, tie)`` sliced by time.
 
-    Each key's history is cut into time slices of at most ``max_rows`` rows
+    A key beyond ``max_rows`` rows is cut into time slices of at most ``max_rows`` rows
     (the unit is chosen from a pre-aggregated count), so a busy key spreads over
     many tasks; the first row of a slice takes the last value of the key's
     previous non-empty slice, found among one row per (key, slice).  Keys must
     not be NULL.
     """
     unit = _slice_unit(df, keys, time, max_rows)
+    if unit is None:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
     sliced = df.withColumn("_slice", F.date_trunc(unit, F.col(time)))
     w = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
     inner = sliced.withColumn("_before", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w))

@@ -11,7 +11,7 @@ from fleetwatch.operators import logs as L
 from fleetwatch.plans import reports
 from fleetwatch.queries.core import CAUSES, CAUSES_SQL, E, O, REASONS_SQL, noise_sql
 from fleetwatch.queries.findings_sql import fsql, stamp
-from fleetwatch.queries.registry import query
+from fleetwatch.queries.registry import QUERIES, query
 from fleetwatch.session import literal_table
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
 
@@ -358,7 +358,22 @@ def _(t):
     return sort_report(_mixed(t))
 
 
-@query("run_health")
+HEALTH_CHECKS = """hc_backup_user hc_backup_system hc_volume_warn hc_volume_critical hc_file_growth hc_login_failed hc_filegroup_full hc_system_task
+hc_failed_to_start hc_terminating_task hc_dispatcher hc_insufficient_memory hc_allocation_failure hc_jobs_disabled hc_agent_errors hc_jobs_failed hc_mail_failed
+hc_trace_errors hc_connections_peak hc_cpu_engine hc_cpu_other hc_deadlocks hc_unknown_activity hc_web_traffic hc_auto_close hc_auto_shrink
+hc_auto_create_stats hc_auto_update_stats hc_async_stats""".split()
+
+
+def health_sql() -> str:
+    """All checks at one time, their highest severity per server of the inventory."""
+    parts = [QUERIES[k].oracle.replace(O, E).replace("AND name NOT IN ('job_9') ", "") for k in HEALTH_CHECKS]
+    checks = " UNION ALL ".join(f"SELECT server_id, severity FROM ({p})" for p in parts)
+    return f"""WITH worst AS (SELECT server_id, MAX(severity) AS s FROM ({checks}) GROUP BY 1)
+SELECT d.server_id, CASE WHEN s >= 2 THEN 'RED' WHEN s = 1 THEN 'YELLOW' ELSE 'GREEN' END AS status
+FROM (SELECT DISTINCT server_id FROM v_databases) d LEFT JOIN worst w ON w.server_id = d.server_id"""
+
+
+@query("run_health", health_sql())
 def _(t):
     """Whole health report from its roles, one status per server."""
     return reports.run_health({r: t(r) for r in reports.HEALTH_ROLES}, AS_OF_EVENTS)
