@@ -274,9 +274,9 @@ def _(t):
     return H.hc_low_disk_percent(t("volumes"))
 
 
-@query("hc_cert_expiring", fsql("v_certs", "cert.expiring", "Certificate expires", where=f"not_after >= {O} AND not_after <= {O} + INTERVAL 30 DAY AND subject ILIKE '%erfurt%'", scope="subject", at="not_after"))
+@query("hc_cert_expiring", fsql("v_certs", "cert.expiring", "Certificate expires", where=f"not_after >= {O} AND not_after <= {O} + INTERVAL 30 DAY AND subject ILIKE '%campus%'", scope="subject", at="not_after"))
 def _(t):
-    return H.hc_cert_expiring(t("certs"), AS_OF_ORDERS, subject="%erfurt%")
+    return H.hc_cert_expiring(t("certs"), AS_OF_ORDERS, subject="%campus%")
 
 
 @query("hc_cert_expired", fsql("v_certs", "cert.expired", "Certificate expired", where=f"not_after < {O}", scope="subject", at="not_after"))

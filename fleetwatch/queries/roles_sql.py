@@ -358,7 +358,7 @@ SELECT {EV_SRV} AS server_id, concat('acct', {s('user_id')}) AS name, ts AS modi
 SELECT {srv('c_custkey % 100')} AS server_id, concat('op', {s('c_custkey')}) AS name, c_custkey % 3 = 0 AS enabled FROM {{customer}}""",
     "expected_operator": "SELECT server_id, MIN(name) AS expected_name FROM v_operators WHERE enabled GROUP BY server_id",
     "certs": f"""
-SELECT {srv('o_custkey % 3')} AS server_id, concat('CN=', CASE o_custkey % 4 WHEN 0 THEN 'erfurt' ELSE 'other' END, {s('o_orderkey')}) AS subject,
+SELECT {srv('o_custkey % 3')} AS server_id, concat('CN=', CASE o_custkey % 4 WHEN 0 THEN 'campus' ELSE 'other' END, {s('o_orderkey')}) AS subject,
   o_orderdate + INTERVAL '45' DAY AS not_after FROM {{orders}}""",
     "activity": f"""
 SELECT {EV_SRV} AS server_id, ts AS login_time, concat('login', {s('user_id')}) AS login_name,

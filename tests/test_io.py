@@ -114,3 +114,13 @@ def test_counter_stream_equals_batch(spark, tmp_path):
     ST.str_counter_delta(stream, str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination()
     key = lambda df: sorted((r.reading_id, str(r.delta)) for r in df.collect())
     assert key(spark.read.parquet(str(tmp_path / "out"))) == key(ST.counter_delta(spark.createDataFrame(rows, schema)))
+
+
+def test_delete_files_needs_apply(spark, tmp_path):
+    from fleetwatch.operators.retention import delete_files
+
+    old = tmp_path / "a_b_c.txt"
+    old.write_text("x")
+    rows = spark.createDataFrame([(f"file:{old}", 40)], "path string, age_days bigint")
+    assert [r.deleted for r in delete_files(rows).collect()] == [False] and old.exists()
+    assert [r.deleted for r in delete_files(rows, apply=True).collect()] == [True] and not old.exists()
