@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetwatch.llm import langid, lines, mix, pieces, simhash
+from fleetwatch.llm.common import where_computed
 from fleetwatch.llm.queries import language_model, piece_file, table
 from fleetwatch.session import work_path
 
@@ -26,13 +27,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_model(docs)
     judged = docs.select(*_columns(docs), langid.predict(F.col("text"), model).alias(WORK))
     keep = (F.col(f"`{WORK}`.lang_pred") != "und") & (F.col(f"`{WORK}`.score") >= MIN_SCORE)
-    return judged.where(keep).select(*_columns(docs))
+    return where_computed(judged, keep).select(*_columns(docs))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the rules reject, and the failing lines of the others; n_chars is that of the text left."""
     plain = docs.select(F.struct(*_columns(docs)).alias(WORK), F.col("text"))
-    judged = lines.judge_lines(plain).where("kept")
+    judged = where_computed(lines.judge_lines(plain), F.col("kept"))
     columns = []
     for c in docs.columns:
         if c == "text":

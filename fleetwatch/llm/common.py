@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A word is a run of characters other than space, tab, line feed, vertical tab, form feed, return.
@@ -25,3 +25,12 @@ def id_remainder(col: Column, divisor: int) -> Column:
 def uniform(*cols: Column) -> Column:
     """A number in [0, 1) that depends on the values alone, so reruns and retries agree."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11)).cast("double") / float(1 << 53)
+
+
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Filters by columns that were costly to compute, without computing them again.
+
+    A plain filter is pushed below the projections and carries a copy of every expression behind its columns with it. A
+    filter that also reads the partition's number stays above.
+    """
+    return df.withColumn("#partition", F.spark_partition_id()).where(condition & (F.col("#partition") >= 0)).drop("#partition")

@@ -121,16 +121,14 @@ cov AS (SELECT r, sum(least({WINDOW}, coalesce(nxt - i, {WINDOW}))) AS n
 ln AS (SELECT r, unnest(lines) AS line FROM w),
 judged AS (SELECT r, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
                   len(regexp_extract_all(line, '{SEPARATORS}')) AS bars FROM ln),
-lost AS (SELECT r, sum(n) AS n FROM judged
-         WHERE n > 0 AND NOT (regexp_matches(right({trimmed}, 8), '{ends}') AND NOT (bars >= 2 AND bars * 4 >= n)
-                              AND NOT (n <= {BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{phrases}')))
-         GROUP BY r),
+lines AS (SELECT r, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines,
+        sum(n) FILTER (NOT (regexp_matches(right({trimmed}, 8), '{ends}') AND NOT (bars >= 2 AND bars * 4 >= n)
+                            AND NOT (n <= {BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{phrases}')))) AS n_lost
+      FROM judged GROUP BY r),
 m AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(t, {strip}, '', 'g')) AS word_chars,
-        length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')) AS n_symbols,
-        len(list_filter(lines, x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
-          - len(list_distinct(list_filter(lines, x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
-        coalesce(cov.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_lost
-      FROM w LEFT JOIN cov USING (r) LEFT JOIN lost USING (r)),
+        length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')) AS n_symbols, n_dup_lines,
+        coalesce(cov.n, 0) AS n_repeat_words, coalesce(n_lost, 0) AS n_lost
+      FROM w LEFT JOIN cov USING (r) LEFT JOIN lines USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,

@@ -173,11 +173,14 @@ def apply_mix(docs: DataFrame, copies: DataFrame, text: str = "text", source: st
     plan = copies.select(
         F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
     ).where("_copies > 0").distinct()
-    marked = docs.withColumn("_words", size)
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"),
+        F.col(source).cast("string").alias("source"), size.alias("words"),
+    )
     same = (
-        F.col(key).eqNullSafe(F.col("_key"))
-        & F.col(source).cast("string").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))
+        F.col("key").eqNullSafe(F.col("_key"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("words") == F.col("_size"))
     )
-    copied = marked.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return copied.select(*[F.col(f"`{c}`") for c in docs.columns])
+    copied = marked.join(plan, same).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return copied.select(*[F.col(f"row.`{c}`") for c in docs.columns])
