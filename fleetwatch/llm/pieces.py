@@ -15,7 +15,7 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import sentencepiece
@@ -23,7 +23,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 CACHE_LENGTH = 64
 BLOCK_CHARS = 1_000_000
 
@@ -49,41 +49,64 @@ class PieceCodec:
         apart = not any(MARK in piece.lstrip(MARK) for piece in self.id)
         self.words = re.compile(f"{MARK}+[^{MARK}]*" if apart else "(?s).+")
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}") if apart else re.compile(r"(?!)")
+        self.touching = {pair for piece in self.id for pair in map(str.__add__, piece, piece[1:])}
         self._reset()
 
     def _reset(self) -> None:
         self.ids: dict[str, bytes] = {}
-        self.plain: dict[str, str] = {}
-
-    def word(self, word: str) -> list[int]:
-        """Ids of one marked word by the agenda."""
-        rank = self.rank
-        symbols = list(word)
-        n = len(symbols)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+        self.parts: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """Ids of one marked word as 32-bit integers. Where no piece holds two neighbouring characters nothing can merge, so parts between
+        such places are encoded by themselves, and parts met before are not encoded again."""
+        touching, parts, known = self.touching, [], self.parts
+        start = 0
+        for i, pair in enumerate(map(str.__add__, word, word[1:]), 1):
+            if pair not in touching:
+                parts.append(word[start:i])
+                start = i
+        parts.append(word[start:])
+        out: list[bytes] = []
+        for part in parts:
+            ids = known.get(part)
+            if ids is None:
+                ids = array("I", self.agenda(part)).tobytes()  # bytes, which Python's garbage collector need not visit
+                if len(part) <= CACHE_LENGTH:
+                    known[part] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def agenda(self, part: str) -> list[int]:
+        """Ids of one run of characters by the agenda of adjacent pairs."""
+        rank, n = self.rank, len(part)
+        symbols: list[str] = list(part)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = []
-        for i in range(n - 1):
-            score = rank.get(symbols[i] + symbols[i + 1])
+        for i, pair in enumerate(map(str.__add__, part, part[1:])):
+            score = rank.get(pair)
             if score is not None:
-                agenda.append((score, i, i + 1, symbols[i] + symbols[i + 1]))
+                agenda.append((score, i, pair))
         heapq.heapify(agenda)
         while agenda:
-            _, i, j, merged = heapq.heappop(agenda)
-            # An entry is stale if either symbol was merged meanwhile; merged symbols never shrink back.
-            if right[i] != j or not symbols[i] or symbols[i] + symbols[j] != merged:
+            _, i, merged = heapq.heappop(agenda)
+            j = right[i]
+            # An entry is stale if one of its symbols has been merged meanwhile.
+            if j >= n or not symbols[i] or symbols[i] + symbols[j] != merged:
                 continue
             symbols[i], symbols[j] = merged, ""
             k = right[i] = right[j]
-            if k >= 0:
+            if k < n:
                 left[k] = i
-                score = rank.get(merged + symbols[k])
+                pair = merged + symbols[k]
+                score = rank.get(pair)
                 if score is not None:
-                    heapq.heappush(agenda, (score, i, k, merged + symbols[k]))
+                    heapq.heappush(agenda, (score, i, pair))
             k = left[i]
             if k >= 0:
-                score = rank.get(symbols[k] + merged)
+                pair = symbols[k] + merged
+                score = rank.get(pair)
                 if score is not None:
-                    heapq.heappush(agenda, (score, k, i, symbols[k] + merged))
+                    heapq.heappush(agenda, (score, k, pair))
         out: list[int] = []
         for symbol in symbols:
             if symbol:
@@ -91,11 +114,11 @@ class PieceCodec:
                 out += [one] if one is not None else [self.byte[b] for b in symbol.encode()]
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """Text of ids: byte pieces join to UTF-8, marks are spaces, the first mark goes, begin and end are silent."""
         return self._spaced(ids).removeprefix(" ")
 
-    def _spaced(self, ids: list[int]) -> str:
+    def _spaced(self, ids: Sequence[int]) -> str:
         parts: list[str] = []
         run = bytearray()
         for i in ids:
@@ -115,17 +138,22 @@ class PieceCodec:
         return "".join(parts)
 
     def _learn(self, words: list[str]) -> None:
-        """Encodes new words and checks all of them against the library in one call."""
-        theirs = self.library.encode([w[1:].replace(MARK, " ") for w in words])
+        """Encodes and decodes new words; all of them are checked against the library in one call."""
+        theirs = self.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
         for word, expected in zip(words, theirs, strict=True):
             ids = self.word(word)
-            if ids != expected and word != MARK:  # the library has no ids for the empty text
+            if ids != array("I", expected).tobytes() and word != MARK:  # the library has no ids for the empty text
                 raise ValueError(f"encoding of {word!r} differs from the library's")
-            self.ids[word] = array("I", ids).tobytes()
-            self.plain[word] = self._spaced(ids)
+            if self._spaced(array("I", ids)) != word.replace(MARK, " "):
+                raise ValueError(f"decoding of {word!r} does not give the word")
+            self.ids[word] = ids
 
     def blocks(self, text: str) -> Iterator[tuple[bytes, str]]:
-        """Ids as little-endian 32-bit integers, and decoded text with the first mark, block by block."""
+        """Ids as little-endian 32-bit integers, and decoded text with the first mark, block by block.
+
+        Every word of a block decodes to itself, as ``_learn`` has made sure, so their texts one behind the other are the
+        block.
+        """
         if not text:
             return
         text = MARK + text.replace(" ", MARK)
@@ -133,16 +161,19 @@ class PieceCodec:
         while at < len(text):
             cut = self.cut.search(text, at + BLOCK_CHARS) if len(text) - at > BLOCK_CHARS else None
             end = cut.start() if cut else len(text)
-            words = self.words.findall(text[at:end] if at or cut else text)
+            block = text[at:end] if at or cut else text
+            words = self.words.findall(block)
             at = end
-            if len(self.ids) > CACHE_WORDS:
+            known = self.ids
+            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
                 self._reset()
-            new = {w for w in words if w not in self.ids}
+                known = self.ids
+            new = {w for w in words if w not in known}
             self._learn(list(new))
-            yield b"".join([self.ids[w] for w in words]), "".join([self.plain[w] for w in words])
+            yield b"".join([known[w] for w in words]), block.replace(MARK, " ")
             for w in new:
                 if len(w) > CACHE_LENGTH:
-                    del self.ids[w], self.plain[w]
+                    del known[w]
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids with begin and end, digest of the ids, digest of the decoded text."""
