@@ -142,9 +142,9 @@ def _local_links(batches: Iterator[pd.DataFrame], distance: int) -> Iterator[pd.
             elif hi - lo > 2:
                 part = np.sort(fps[lo:hi])
                 near = np.bitwise_count(part[:, None] ^ part[None, :]) <= distance
-                label = np.arange(len(part))
+                label = np.arange(len(part), dtype=np.int32)
                 while True:
-                    least = np.where(near, label[None, :], len(part)).min(axis=1)
+                    least = np.where(near, label[None, :], np.int32(len(part))).min(axis=1)
                     least = least[least]
                     if (least == label).all():
                         break
@@ -166,7 +166,7 @@ def _local_links(batches: Iterator[pd.DataFrame], distance: int) -> Iterator[pd.
         yield solve(pd.concat(held, ignore_index=True))
 
 
-def near_links(fps: DataFrame, distance: int = 2, bucket: int = 256, sample_rows: int = 8192) -> DataFrame:
+def near_links(fps: DataFrame, distance: int = 2, bucket: int = 2048, sample_rows: int = 8192) -> DataFrame:
     """Links (a, b) between distinct fingerprints that connect every pair within ``distance`` bits.
 
     ``fps`` has one column fp of distinct values. Zero and negative numbers are fingerprints like any other.
@@ -268,7 +268,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2, bucket: int = 256
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2, bucket: int = 2048
 ) -> DataFrame:
     """(key, fingerprint, component_id) for every row; the component is that of the graph of links within ``distance``.
 
