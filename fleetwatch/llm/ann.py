@@ -23,8 +23,8 @@ from fleetwatch.llm.common import uniform
 from fleetwatch.session import settled
 
 BRANCHES = 8
-ROWS_BLOCK = 2000
-QUERIES_BLOCK = 2000
+ROWS_BLOCK = 4000
+QUERIES_BLOCK = 1000
 
 
 @dataclass
@@ -57,15 +57,16 @@ class Tree:
                         work.append((after, part))
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of a lifted query, best bin first."""
+    def visits(self, query: np.ndarray, most: int, rows: dict[int, int] | None = None, need: int = 0) -> list[int]:
+        """The first ``most`` leaves of a lifted query, best bin first; further ones until they hold ``need`` of ``rows``."""
         if not self.centres:
             return [0]
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < need):
             _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-1 - node)
+                held += rows.get(-1 - node, 0) if rows else 0
                 continue
             c = self.centres[node]
             for gap, after in zip(((c - query) ** 2).sum(axis=1).tolist(), self.children[node], strict=True):
@@ -114,13 +115,19 @@ def fit_tree(sample: np.ndarray, norm: float, leaf_rows: float, seed: int = 5) -
     return tree
 
 
-def _best(queries: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _best(
+    queries: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, open_: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query its k best rows of a block: place of the query, rows, scores. Equal scores: smaller id first.
 
+    ``open_`` says which rows a query looks at (all, if it is left out).
+
     A matrix product picks; the scores of those picked are summed anew row by row, so equal vectors have equal scores.
     """
     rough = queries @ x.T
     rough[own[:, None] == ids[None, :]] = -np.inf
+    if open_ is not None:
+        rough[~open_] = -np.inf
     k = min(k, rough.shape[1])
     edge = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k]
     for i in range(len(queries)):
@@ -136,7 +143,7 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def nearest(
-    vectors: DataFrame, is_query: str, k: int = 20, key: str = "vec_id", vector: str = "embedding", target_recall: float = 0.97,
+    vectors: DataFrame, is_query: str, k: int = 20, key: str = "vec_id", vector: str = "embedding", target_recall: float = 0.95,
     sample_rows: int = 16384, calibration: int = 200, rows_per_leaf: int = 512,
 ) -> DataFrame:
     """(query_id, rank, key, score): the nearest found of every row for which the expression ``is_query`` holds.
@@ -179,44 +186,56 @@ def nearest(
     some = queries.where(uniform(F.col("id"), F.lit("calibrate")) < min(1.0, calibration / asked)).orderBy("id").toPandas()
     visits = _calibrated(index, some, tree, k, target_recall)
 
+    # Leaves next to each other in the tree share a group of bounded size; a larger leaf is dealt over several groups.
+    groups, first, parts, held, sizes_of = -1, {}, {}, ROWS_BLOCK, {}
+    for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).orderBy("leaf").collect():
+        sizes_of[r["leaf"]] = r["n"]
+        parts[r["leaf"]] = -(-r["n"] // ROWS_BLOCK)
+        if held + r["n"] > ROWS_BLOCK:
+            groups, held = groups + 1, 0
+        first[r["leaf"]] = groups
+        groups += parts[r["leaf"]] - 1
+        held += r["n"] if parts[r["leaf"]] == 1 else ROWS_BLOCK
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row per query and group, with the leaves that the query visits there."""
         tree = sent.value
         for batch in batches:
+            out = []
             x = _matrix(batch["v"])
-            lists = [tree.visits(q, visits) for q in np.hstack([x, np.zeros((len(x), 1))])] if len(batch) else []
-            at = np.repeat(np.arange(len(batch)), [len(s) for s in lists])
-            yield pd.DataFrame({
-                "leaf": np.array([s for one in lists for s in one], np.int64),
-                "id": batch["id"].to_numpy()[at], "v": batch["v"].to_numpy()[at],
-            })
-
-    # A leaf's rows, and the queries that visit it, meet in blocks of bounded size.
-    routed = settled(queries.mapInPandas(route, "leaf long, id long, v array<double>"), "ann-routed")
-    shape = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).join(
-        routed.groupBy("leaf").agg(F.count(F.lit(1)).alias("q")), "leaf"
-    ).select(
-        F.col("leaf"), F.ceil(F.col("n") / ROWS_BLOCK).cast("int").alias("rb"),
-        F.ceil(F.col("q") / QUERIES_BLOCK).cast("int").alias("qb"),
-    )
-    shape = settled(shape, "ann-shape")
-
-    def spread(df: DataFrame, own: str, other: str) -> DataFrame:
-        """Each row in one block of its own side, and with every block of the other."""
-        lot = F.pmod(F.xxhash64("id", F.lit(own)), F.col(own)).cast("int").alias("lot")
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("every")
-        return df.join(shape, "leaf").select("leaf", lot, every, "id", "v").withColumnsRenamed({"lot": own, "every": other})
+            for i, q in enumerate(np.hstack([x, np.zeros((len(x), 1))]) if len(batch) else []):
+                seen: dict[int, list[int]] = {}
+                for leaf in tree.visits(q, visits, sizes_of, k + 1):
+                    for group in range(first.get(leaf, 0), first.get(leaf, 0) + parts.get(leaf, 0)):
+                        seen.setdefault(group, []).append(leaf)
+                out += [(g, batch["id"].iat[i], batch["v"].iat[i], np.sort(leaves)) for g, leaves in seen.items()]
+            yield pd.DataFrame(out, columns=["grp", "id", "v", "leaves"])
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            leaf, id_ = batch["leaf"], batch["id"]
+            lot = [first[s] + i % parts[s] for s, i in zip(leaf, id_, strict=True)]
+            yield pd.DataFrame({"grp": np.array(lot, np.int64), "leaf": leaf, "id": id_, "v": batch["v"]})
 
-    left = spread(index, "rb", "qb").groupBy("leaf", "rb", "qb")
-    right = spread(routed, "qb", "rb").groupBy("leaf", "rb", "qb")
+    routed = settled(queries.mapInPandas(route, "grp long, id long, v array<double>, leaves array<long>"), "ann-routed")
+    shape = routed.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / QUERIES_BLOCK).cast("int").alias("blocks"))
+    shape = settled(shape, "ann-shape")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    lot = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+    dealt = index.mapInPandas(deal, "grp long, leaf long, id long, v array<double>")
+    left = dealt.join(shape, "grp").select("grp", every, "leaf", "id", "v").groupBy("grp", "block")
+    right = routed.join(shape, "grp").select("grp", lot, "id", "v", "leaves").groupBy("grp", "block")
 
     def search(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if len(part) and len(asked):
             x, ids = _matrix(part["v"]), part["id"].to_numpy()
+            kinds, kind = np.unique(part["leaf"].to_numpy(), return_inverse=True)
+            visited = np.array([np.isin(kinds, leaves) for leaves in asked["leaves"]])
             own = asked["id"].to_numpy()
-            for i, at, scores in _best(_matrix(asked["v"]), own, x, ids, k):
-                out.append(pd.DataFrame({"query_id": own[i], "id": ids[at], "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
+            for i, at, scores in _best(_matrix(asked["v"]), own, x, ids, k, visited[:, kind]):
+                out.append((np.full(len(at), own[i]), ids[at], scores))
+        return pd.DataFrame({n: np.concatenate([o[j] for o in out]) for j, n in enumerate(("query_id", "id", "score"))})
 
     found = left.cogroup(right).applyInPandas(search, "query_id long, id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
@@ -236,8 +255,12 @@ def _calibrated(index: DataFrame, some: pd.DataFrame, tree: Tree, k: int, target
             ids, leaf = batch["id"].to_numpy(), batch["leaf"].to_numpy()
             for i in range(0, len(batch), ROWS_BLOCK):
                 block = slice(i, i + ROWS_BLOCK)
-                for q, at, scores in _best(queries, own, _matrix(batch["v"][block]), ids[block], k):
-                    yield pd.DataFrame({"query_id": own[q], "id": ids[block][at], "leaf": leaf[block][at], "score": scores})
+                near = list(_best(queries, own, _matrix(batch["v"][block]), ids[block], k))
+                at = np.concatenate([rows for _, rows, _ in near])
+                yield pd.DataFrame({
+                    "query_id": np.repeat(own, [len(rows) for _, rows, _ in near]), "id": ids[block][at],
+                    "leaf": leaf[block][at], "score": np.concatenate([scores for _, _, scores in near]),
+                })
 
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     true = index.mapInPandas(exact, "query_id long, id long, leaf long, score double")
