@@ -1,8 +1,8 @@
 """Sharded WARC archives: a deterministic writer and a reader.
 
-Records are ordered by key. A first pass over keys, digests and sizes gives every record its shard: the shard number is
-the sum of all earlier payload sizes divided by the shard size, so it depends on the table alone and not on how Spark cut
-it. One task writes the records of a shard in order, one gzip member a record, and starts a further file when the
+Records are ordered by key. A first pass over keys, digests and sizes cuts the keys into shards: a key's shard number is the
+sum of all payload sizes before it divided by the shard size, so it depends on the table alone and not on how Spark cut
+it. Pages and the plan of their record types then meet in one shuffle by shard. One task writes the records of a shard in order, one gzip member a record, and starts a further file when the
 compressed size is reached. A file gets a name of its own attempt, and its final name when it is whole; the manifest,
 written last by Spark's committer, lists the files that count. A task that runs again makes the same bytes.
 """
@@ -14,9 +14,11 @@ import hashlib
 import posixpath
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,14 +40,14 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def plan_records(
-    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
-    shard_bytes: int = 64 << 20, min_revisit_bytes: int = 0,
-) -> DataFrame:
-    """One row per (key, digest): payload_bytes, record_type, refers_to, shard.
+    pages: DataFrame, key: str = "page_id", payload: str = "html", shard_bytes: int = 64 << 20, min_revisit_bytes: int = 0
+) -> tuple[DataFrame, list]:
+    """A table with one row per (key, digest): payload_bytes, record_type, refers_to; and the first key of each shard.
 
     Among records of equal payload the one with the largest key is the response and the others revisit it; rows that
     repeat that key and payload are responses too. Payloads below ``min_revisit_bytes`` are responses all. Null payload
-    is empty; null keys come first, and a payload with null keys only is a response.
+    is empty; null keys come first, and a payload with null keys only is a response. The list of shards is what reaches
+    the driver.
     """
     spark = pages.sparkSession
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
@@ -53,27 +55,29 @@ def plan_records(
         F.col(key).alias("key"), base32_sha1(body).alias("digest"), F.length(body).cast("long").alias("bytes")
     )
     rows = settled(rows.groupBy("key", "digest", "bytes").agg(F.count(F.lit(1)).alias("rows")), "warc-keys")
-    first = rows.groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes")).agg(F.max("key").alias("_first"))
     # Range partitions give the order; sums per partition reach the driver, sums inside one come from a window.
     path = work_path(spark, "warc-order")
-    cut = rows.repartitionByRange(F.col("key").asc_nulls_first(), F.col("digest"))
-    cut.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    sizes = rows.where("key IS NOT NULL").groupBy("key").agg(F.sum(F.col("bytes") * F.col("rows")).alias("bytes"))
+    sizes.repartitionByRange("key").withColumn("part", F.spark_partition_id()).write.parquet(path)
     cut = spark.read.parquet(path)
     starts, before = [], 0
-    for r in cut.groupBy("part").agg(F.sum(F.col("bytes") * F.col("rows")).alias("n")).orderBy("part").collect():
+    for r in cut.groupBy("part").agg(F.sum("bytes").alias("n")).orderBy("part").collect():
         starts += [F.lit(r["part"]), F.lit(before)]
         before += r["n"]
-    order = Window.partitionBy("part").orderBy(F.col("key").asc_nulls_first(), "digest")
-    earlier = F.coalesce(F.sum(F.col("bytes") * F.col("rows")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    order = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("bytes").over(order), F.lit(0))
     offset = F.create_map(*starts)[F.col("part")] if starts else F.lit(0)
-    cut = cut.withColumn("shard", F.floor((earlier + offset) / F.lit(shard_bytes)).cast("long"))
-    joined = cut.join(first, (F.col("digest") == F.col("_digest")) & (F.col("bytes") == F.col("_bytes")))
+    shard = F.floor((earlier + offset) / F.lit(shard_bytes)).cast("long")
+    bounds = cut.select("key", shard.alias("shard")).groupBy("shard").agg(F.min("key").alias("key")).orderBy("shard").collect()
+    first = rows.groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes")).agg(F.max("key").alias("_first"))
+    joined = rows.join(first, (F.col("digest") == F.col("_digest")) & (F.col("bytes") == F.col("_bytes")))
     revisit = (F.col("bytes") >= min_revisit_bytes) & ~F.col("key").eqNullSafe(F.col("_first"))
-    return joined.select(
+    plan = joined.select(
         "key", "digest", F.col("bytes").alias("payload_bytes"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_first")).alias("refers_to"), "shard",
+        F.when(revisit, F.col("_first")).cast("string").alias("refers_to"),
     )
+    return plan, [r["key"] for r in bounds]
 
 
 def _record_id(key, digest: str) -> str:
@@ -172,27 +176,44 @@ def write_warc(
     manifest.
     """
     spark = pages.sparkSession
-    plan = settled(plan_records(pages, key, url, payload, shard_bytes, min_revisit_bytes), "warc-plan")
-    plan = plan.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "payload_bytes", "record_type", "refers_to", "shard")
+    plan, bounds = plan_records(pages, key, payload, shard_bytes, min_revisit_bytes)
+    tasks = max(1, min(len(bounds), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
+    none = F.lit(None).cast("string")
     rows = pages.select(
-        F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload"), base32_sha1(body).alias("digest")
-    )
-    rows = rows.join(plan, F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest")))
-    shards = (plan.agg(F.max("shard").alias("n")).first()["n"] or 0) + 1
-    tasks = min(shards, max(1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ordered = (
-        rows.repartitionByRange(tasks, "shard")
-        .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", "url")
-        .select("shard", F.col("key").cast("string").alias("key"), "url", "payload", "digest", "payload_bytes",
-                "record_type", F.col("refers_to").cast("string").alias("refers_to"))
+        F.col(key).alias("key"), base32_sha1(body).alias("digest"), F.col(url).alias("url"), F.col(payload).alias("payload"),
+        F.lit(None).cast("long").alias("payload_bytes"), none.alias("record_type"), none.alias("refers_to"), F.lit(True).alias("page"),
     )
+    plan = plan.select("key", "digest", none.alias("url"), none.alias("payload"), "payload_bytes", "record_type", "refers_to",
+                       F.lit(False).alias("page"))
+    fields = "digest string, url string, payload string, payload_bytes long, record_type string, refers_to string, page boolean"
+    kind = pages.schema[key].dataType.simpleString()
+    sent = spark.sparkContext.broadcast(bounds)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds the shard, the last one that begins at or before the key."""
+        for batch in batches:
+            shards = [max(0, bisect_right(sent.value, k) - 1) if k is not None else 0 for k in batch.column("key").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), *batch.columns], ["shard", *batch.schema.names])
+
+    placed = rows.unionByName(plan).mapInArrow(place, f"shard long, key {kind}, {fields}")
+    ordered = (
+        placed.repartition(tasks, "shard")
+        .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", "page", "url")
+        .withColumn("key", F.col("key").cast("string"))
+    )
     target = folder if "://" in folder or folder.startswith("/") else folder.replace("file:", "", 1)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, shard = [], None
+        files, shard, plan = [], None, None
         for batch in batches:
             for row in batch.itertuples(index=False):
+                if not row.page:  # what is planned for the pages that follow
+                    plan = row
+                    continue
+                if plan is None or plan.digest != row.digest or not (plan.key == row.key or pd.isna(plan.key) and pd.isna(row.key)):
+                    raise ValueError(f"no plan for page {row.key}")
+                row = row._replace(payload_bytes=int(plan.payload_bytes), record_type=plan.record_type, refers_to=plan.refers_to)
                 if shard is None or shard.shard != row.shard:
                     files += [shard.close()] if shard is not None and shard.out else []
                     shard = _Shard(target, row.shard, roll_bytes)
@@ -276,6 +297,6 @@ def read_warc(spark: SparkSession, folder: str, key_type: str = "long") -> DataF
                 yield pd.DataFrame(rows, columns=columns)
 
     schema = "key string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary"
-    files = manifest.repartition(F.col("file"))
+    files = manifest.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file")
     out = files.mapInPandas(read, schema)
     return out.withColumns({"key": F.col("key").cast(key_type), "refers_to": F.col("refers_to").cast(key_type)})
