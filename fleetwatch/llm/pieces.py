@@ -23,7 +23,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
+CACHE_PARTS = 250_000
 CACHE_LENGTH = 64
 BLOCK_CHARS = 1_000_000
 
@@ -165,7 +166,7 @@ class PieceCodec:
             words = self.words.findall(block)
             at = end
             known = self.ids
-            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_PARTS:
                 self._reset()
                 known = self.ids
             new = {w for w in words if w not in known}
