@@ -66,7 +66,7 @@ def mnt_analyze(spark: SparkSession, table: str, columns: Sequence[str] | None =
     try:
         spark.sql(command)
     except Exception as error:  # the audit log records the failure of one command
-        number, message = 1, str(error)[:4000]
+        number, message = 1, str(error)
     return [
         {
             "object_name": table,
@@ -84,18 +84,23 @@ def export_full(df: DataFrame, path: str) -> str:
 
 
 def _row_hash(columns: Sequence[str]):
-    return F.xxhash64(*[F.col(c) for c in sorted(columns)])
+    """Hash of the values and of which of them are NULL, which the value hash skips."""
+    names = sorted(columns)
+    return F.xxhash64(*[F.col(c) for c in names], *[F.col(c).isNull() for c in names])
 
 
 def export_diff(df: DataFrame, base_path: str, keys: Sequence[str], path: str) -> str:
     """Rows inserted, updated or deleted since the full export, with ``change`` I, U or D."""
     base = df.sparkSession.read.schema(df.schema).parquet(base_path)
     rest = [c for c in df.columns if c not in keys]
-    now = df.withColumn("_now", _row_hash(rest))
-    old = base.select(*keys, _row_hash(rest).alias("_old"))
+    whole = F.struct(F.lit(True), *[F.col(c) for c in rest])
+    now = df.withColumn("_now", whole)
+    old = base.select(*keys, whole.alias("_old"))
     joined = now.join(old, list(keys), "full")
     change = (
-        F.when(F.col("_old").isNull(), "I").when(F.col("_now").isNull(), "D").when(F.col("_now") != F.col("_old"), "U")
+        F.when(F.col("_old").isNull(), "I")
+        .when(F.col("_now").isNull(), "D")
+        .when(~F.col("_now").eqNullSafe(F.col("_old")), "U")
     )
     joined.withColumn("change", change).filter("change IS NOT NULL").drop("_now", "_old").write.parquet(path)
     return path

@@ -348,7 +348,7 @@ def hc_trace_errors(trace: DataFrame, as_of) -> DataFrame:
         severity=F.when(F.col("event_class") == 22, WARN).otherwise(OK),
         scope=F.col("database_name"),
         current=F.col("event_class"),
-        details=S.text(F.col("application_name"), ": ", F.substring("text_data", 1, 200)),
+        details=S.text(F.col("application_name"), ": ", F.col("text_data")),
         observed_at="start_time",
     )
 

@@ -212,7 +212,7 @@ def join_scalar_counts(tables: DataFrame, indexes: DataFrame, columns: DataFrame
 
 
 def join_asof_state(logs: DataFrame, base_backups: DataFrame) -> DataFrame:
-    """Per log-chain row (database_name, base_lsn): start of the newest safe base backup.
+    """Per log-chain row (server_id, database_name, base_lsn): start of the newest safe base backup.
 
     Safe: undamaged, and a full or differential backup, or a log backup that ends
     before the chain's base.  Log ends and chain rows share one running maximum
@@ -221,26 +221,26 @@ def join_asof_state(logs: DataFrame, base_backups: DataFrame) -> DataFrame:
     ok = base_backups.filter(~F.col("is_damaged"))
     full = (
         ok.filter(F.col("type").isin("D", "I"))
-        .groupBy("database_name")
+        .groupBy("server_id", "database_name")
         .agg(F.max("backup_start_date").alias("_base"))
     )
     ends = (
         ok.filter(F.col("type") == "L")
-        .groupBy("database_name", F.col("last_lsn").alias("_lsn"))
+        .groupBy("server_id", "database_name", F.col("last_lsn").alias("_lsn"))
         .agg(F.max("backup_start_date").alias("_start"))
     )
-    points = logs.select("database_name", F.col("base_lsn").alias("_lsn")).distinct()
+    points = logs.select("server_id", "database_name", F.col("base_lsn").alias("_lsn")).distinct()
     # At equal positions the chain row sorts first: only strictly earlier ends count.
     line = ends.withColumn("_kind", F.lit(1)).unionByName(
         points.withColumn("_kind", F.lit(0)).withColumn("_start", F.lit(None).cast("timestamp_ntz"))
     )
-    running = running_max(line, ["database_name"], "_lsn", "_kind", "_start", "_log")
+    running = running_max(line, ["server_id", "database_name"], "_lsn", "_kind", "_start", "_log")
     chain = running.filter(F.col("_kind") == 0).select(
-        "database_name", F.col("_lsn").alias("base_lsn"), "_log"
+        "server_id", "database_name", F.col("_lsn").alias("base_lsn"), "_log"
     )
     return (
-        logs.join(full, "database_name", "left")
-        .join(chain, ["database_name", "base_lsn"], "left")
+        logs.join(full, ["server_id", "database_name"], "left")
+        .join(chain, ["server_id", "database_name", "base_lsn"], "left")
         .withColumn("latest_safe", F.greatest("_base", "_log"))
         .drop("_base", "_log")
     )

@@ -234,23 +234,23 @@ def bkp_file_count(
 
 
 def bkp_failed_latest(command_log: DataFrame, command_type: str) -> DataFrame:
-    """Databases whose newest logged command of the type failed, as a list for a retry."""
+    """Databases whose newest logged command of the type failed, as one list per server for a retry."""
     newest = latest_row(
-        command_log.filter(F.col("command_type") == command_type).select("database_name", "id", "error_number"),
-        ["database_name"],
+        command_log.filter(F.col("command_type") == command_type).select("server_id", "database_name", "id", "error_number"),
+        ["server_id", "database_name"],
         ["id"],
     )
-    return string_list(newest.filter(F.col("error_number") != 0), [], "database_name", "names", ",")
+    return string_list(newest.filter(F.col("error_number") != 0), ["server_id"], "database_name", "names", ",")
 
 
 def chk_last_good(command_log: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Last error-free check per database of the inventory; never checked gives NULL."""
+    """Last error-free check per server and database of the inventory; never checked gives NULL."""
     good = (
         command_log.filter((F.col("command_type") == "DBCC_CHECKDB") & (F.col("error_number") == 0))
-        .groupBy("database_name")
+        .groupBy("server_id", "database_name")
         .agg(F.max("start_time").alias("last_good"))
     )
-    return inventory.select("database_name").distinct().join(good, "database_name", "left")
+    return inventory.select("server_id", "database_name").distinct().join(good, ["server_id", "database_name"], "left")
 
 
 def chk_eligible(databases: DataFrame, replicas: str = "ALL") -> DataFrame:

@@ -147,6 +147,7 @@ def retention_cutoff(plans: DataFrame, base_backups: DataFrame, as_of, hours: in
     by_age = S.minus(as_of, hours, "HOUR")
     state = join_asof_state(plans, base_backups)
     return state.select(
+        "server_id",
         "database_name",
         "backup_type",
         F.when(

@@ -325,9 +325,9 @@ def _(t):
 
 ASOF_SQL = """
 WITH safe AS (
-  SELECT c.database_name, c.base_lsn, c.backup_type, MAX(b.backup_start_date) AS latest_safe FROM v_log_chains c LEFT JOIN v_backupset b
-    ON b.database_name = c.database_name AND NOT b.is_damaged AND (b.type IN ('D', 'I') OR (b.type = 'L' AND b.last_lsn < c.base_lsn))
-  GROUP BY 1, 2, 3)
+  SELECT c.server_id, c.database_name, c.base_lsn, c.backup_type, MAX(b.backup_start_date) AS latest_safe FROM v_log_chains c LEFT JOIN v_backupset b
+    ON b.server_id = c.server_id AND b.database_name = c.database_name AND NOT b.is_damaged AND (b.type IN ('D', 'I') OR (b.type = 'L' AND b.last_lsn < c.base_lsn))
+  GROUP BY 1, 2, 3, 4)
 """
 
 

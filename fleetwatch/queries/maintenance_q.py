@@ -67,7 +67,7 @@ def _(t):
 
 
 @query("retention_cutoff", ASOF_SQL + f"""
-SELECT database_name, backup_type, CASE WHEN backup_type <> 'LOG' THEN {O} - INTERVAL 48 HOUR WHEN latest_safe IS NOT NULL THEN LEAST(latest_safe, {O} - INTERVAL 48 HOUR) END AS cutoff FROM safe""")
+SELECT server_id, database_name, backup_type, CASE WHEN backup_type <> 'LOG' THEN {O} - INTERVAL 48 HOUR WHEN latest_safe IS NOT NULL THEN LEAST(latest_safe, {O} - INTERVAL 48 HOUR) END AS cutoff FROM safe""")
 def _(t):
     return RT.retention_cutoff(t("log_chains"), t("backupset"), AS_OF_ORDERS, 48)
 
@@ -181,16 +181,17 @@ def _(t):
 
 
 @query("bkp_failed_latest", """
-WITH n AS (SELECT *, row_number() OVER (PARTITION BY database_name ORDER BY id DESC) AS rn FROM v_command_log WHERE command_type = 'DBCC_CHECKDB'),
-k AS (SELECT database_name, (row_number() OVER (ORDER BY database_name) - 1) // 1000 AS chunk_no FROM n WHERE rn = 1 AND error_number <> 0)
-SELECT chunk_no, string_agg(database_name, ',' ORDER BY database_name) AS names, COUNT(*) AS n FROM k GROUP BY 1""")
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY server_id, database_name ORDER BY id DESC) AS rn FROM v_command_log WHERE command_type = 'DBCC_CHECKDB'),
+k AS (SELECT server_id, database_name, (row_number() OVER (PARTITION BY server_id ORDER BY database_name) - 1) // 1000 AS chunk_no FROM n WHERE rn = 1 AND error_number <> 0)
+SELECT server_id, chunk_no, string_agg(database_name, ',' ORDER BY database_name) AS names, COUNT(*) AS n FROM k GROUP BY 1, 2""")
 def _(t):
     return M.bkp_failed_latest(t("command_log"), "DBCC_CHECKDB")
 
 
 @query("chk_last_good", """
-SELECT d.database_name, g.last_good FROM (SELECT DISTINCT database_name FROM v_databases) d LEFT JOIN (
-  SELECT database_name, MAX(start_time) AS last_good FROM v_command_log WHERE command_type = 'DBCC_CHECKDB' AND error_number = 0 GROUP BY 1) g ON g.database_name = d.database_name""")
+SELECT d.server_id, d.database_name, g.last_good FROM (SELECT DISTINCT server_id, database_name FROM v_databases) d LEFT JOIN (
+  SELECT server_id, database_name, MAX(start_time) AS last_good FROM v_command_log WHERE command_type = 'DBCC_CHECKDB' AND error_number = 0 GROUP BY 1, 2) g
+  ON g.server_id = d.server_id AND g.database_name = d.database_name""")
 def _(t):
     return M.chk_last_good(t("command_log"), t("databases"))
 

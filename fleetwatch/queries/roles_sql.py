@@ -433,7 +433,7 @@ SELECT {db('p_partkey % 50')} AS db, concat('s', {s('p_size % 4')}) AS schema, c
 SELECT {srv('c_custkey % 3')} AS server_id, {db('c_custkey')} AS database_name,
   CASE WHEN c_custkey % 2 = 0 THEN 'isSharePointDatabase' ELSE 'other' END AS property_name, {s('c_custkey % 3')} AS property_value FROM {{customer}}""",
     "log_chains": f"""
-SELECT DISTINCT {db('c_custkey % 50')} AS database_name, c_custkey * 10 AS base_lsn,
+SELECT DISTINCT CASE WHEN c_custkey % 3 = 0 THEN 'srv9' ELSE concat('srv', CAST((c_custkey % 50) % 3 AS STRING)) END AS server_id, {db('c_custkey % 50')} AS database_name, c_custkey * 10 AS base_lsn,
   CASE WHEN c_custkey % 2 = 0 THEN 'LOG' ELSE 'FULL' END AS backup_type FROM {{customer}}""",
     "directories": f"""
 SELECT {i('s_nationkey % 2')} AS mirror, s_suppkey AS id, concat('/backup/', {s('s_suppkey')}) AS directory_path FROM {{supplier}}""",

@@ -30,14 +30,14 @@ def get_session(app: str = "fleetwatch", cpus: int | None = None) -> SparkSessio
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only an unset value (a bare local session) gets a temporary folder.
+    Only an unset value (a bare local session) gets a temporary folder, which the
+    session's checkpoint directory then names.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="fleetwatch-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path

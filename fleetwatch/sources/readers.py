@@ -61,19 +61,17 @@ def src_trace(
     classes: Sequence[int] = (22, 92, 93, 94, 95, 116),
     min_severity: int = 17,
     min_duration: int = 15_000_000,
-    cap: int | None = None,
 ) -> DataFrame:
     """Exported trace rows of all rollover files of a directory.
 
     Errors below the severity and growth events below the duration are left
-    out.  ``cap`` keeps the newest rows of that number, for an interactive look.
+    out.
     """
-    rows = spark.read.schema(ROLES["trace"]).parquet(path).filter(
+    return spark.read.schema(ROLES["trace"]).parquet(path).filter(
         F.col("event_class").isin(list(classes))
         & ((F.col("event_class") != 22) | (F.col("severity") >= min_severity))
         & (~F.col("event_class").isin(92, 93) | (F.col("duration") > min_duration))
     )
-    return rows if cap is None else rows.orderBy(F.col("start_time").desc()).limit(cap)
 
 
 TICKS_TO_EPOCH = 62135596800

@@ -89,7 +89,7 @@ def test_asof_state_uses_strictly_earlier_log_ends(spark):
         [("d", "L", "2024-01-01", 10, False), ("d", "L", "2024-01-02", 15, False), ("d", "L", "2024-01-09", 16, True), ("d", "D", "2023-12-31", 99, False)],
         "database_name string, type string, backup_start_date string, last_lsn bigint, is_damaged boolean",
     ).withColumn("backup_start_date", F.col("backup_start_date").cast("timestamp_ntz"))
-    got = {(r.database_name, r.base_lsn): str(r.latest_safe) for r in join_asof_state(logs, base).collect()}
+    got = {(r.database_name, r.base_lsn): str(r.latest_safe) for r in join_asof_state(logs.withColumn("server_id", F.lit("s1")), base.withColumn("server_id", F.lit("s1"))).collect()}
     assert got == {("d", 10): "2023-12-31 00:00:00", ("d", 20): "2024-01-02 00:00:00", ("e", 5): "None"}
 
 
