@@ -28,6 +28,7 @@ BITS = 64
 SEED = 42
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 BLOCK = 1 << 16
+PROBE_COST = 500.0  # a shuffled and sorted key against one comparison of two fingerprints in an array
 
 
 def fingerprint_of(text: str, shingle: int = 3) -> int:
@@ -113,7 +114,7 @@ def plan_partitions(sample: np.ndarray, rows: int, distance: int = 2) -> list[tu
             for t in range(distance + 1):
                 keys = sum(math.comb(len(group), j) for j in range(t + 1))
                 near = max(float((apart <= t).mean()) if len(apart) else 0.0, keys / 2.0 ** len(group))
-                row.append(rows * keys + near * rows * rows / 2)
+                row.append(PROBE_COST * rows * keys + near * rows * rows / 2)
             cost.append(row)
         value, chosen = _allocate(cost, distance - m + 1)
         if best is None or value < best[0]:
