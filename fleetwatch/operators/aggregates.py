@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetwatch.functions import semantics as S
 from fleetwatch.operators.filters import flt_system_objects, flt_trailing_year
-from fleetwatch.operators.joins import join_inner_history
+from fleetwatch.operators.joins import join_inner_history, own_keys
 from fleetwatch.plans.ordering import string_list
 
 
@@ -25,28 +25,29 @@ def full_data_files(backupset: DataFrame, backupfile: DataFrame, as_of=None) ->
 def agg_monthly_average_pivot(
     backupset: DataFrame, backupfile: DataFrame, as_of, months: int = 12
 ) -> DataFrame:
-    """Mean full-backup size (MB) per database, one column per month ago."""
+    """Mean full-backup size (MB) per server and database, one column per month ago."""
     rows = full_data_files(backupset, backupfile, as_of).withColumn(
         "months_ago", S.datediff_boundary("MONTH", "backup_start_date", S.ts(as_of))
     )
     mean = F.sum("file_size").cast("double") / F.count("file_size") / S.MB
     return (
-        rows.groupBy("database_name")
+        rows.groupBy("server_id", "database_name")
         .pivot("months_ago", list(range(months + 1)))
         .agg(F.round(mean, 1))
-        .select("database_name", *[F.col(str(m)).alias(f"m{m}") for m in range(months + 1)])
+        .select("server_id", "database_name", *[F.col(str(m)).alias(f"m{m}") for m in range(months + 1)])
     )
 
 
 def agg_throughput(backupset: DataFrame, backupfile: DataFrame, as_of=None) -> DataFrame:
-    """Size, duration and MB/s per database and backup; zero seconds gives NULL."""
+    """Size, duration and MB/s per server, database and backup; zero seconds gives NULL."""
     rows = full_data_files(backupset, backupfile, as_of).select(
+        "server_id",
         "database_name",
         F.round(F.col("file_size") / S.MB, 1).alias("size_mb"),
         S.seconds_between("backup_start_date", "backup_finish_date").alias("seconds"),
         "file_size",
     )
-    return rows.groupBy("database_name", "size_mb", "seconds").agg(
+    return rows.groupBy("server_id", "database_name", "size_mb", "seconds").agg(
         F.try_divide(
             F.sum("file_size").cast("double") / F.count("file_size") / S.MB, F.col("seconds")
         ).alias("mb_per_sec")
@@ -69,8 +70,8 @@ def agg_free_space_share(buffer_pages: DataFrame) -> DataFrame:
 
 
 def agg_record_duration(rows: DataFrame) -> DataFrame:
-    """Size and longest run per table, index and command."""
-    return rows.groupBy("table_name", "index_name", "command").agg(
+    """Size and longest run per table, index and command (and server, where the rows name it)."""
+    return rows.groupBy(*own_keys(["table_name"], rows), "index_name", "command").agg(
         (F.sum("used_pages") * 8 / 1024).alias("mb"), F.max("seconds").alias("max_seconds")
     )
 

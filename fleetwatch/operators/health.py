@@ -13,7 +13,7 @@ from fleetwatch.operators.aggregates import agg_having_latest_age, agg_size_tota
 from fleetwatch.operators.findings import CRITICAL, OK, WARN, findings
 from fleetwatch.operators.windows import top_peak_sample
 from fleetwatch.operators.workload import wait_signal_ratio, wait_top_cause
-from fleetwatch.plans.ordering import latest_row, top_k
+from fleetwatch.plans.ordering import latest_row, rank_in_group, top_k
 
 # Databases the user-backup check leaves out.
 BACKUP_SYSTEM_NAMES = ("master", "msdb", "model", "usage", "distribution", "tempdb")
@@ -438,14 +438,21 @@ def hc_cpu_other(cpu_samples: DataFrame, as_of, limit: int = 70) -> DataFrame:
     return _cpu(cpu_samples, "other_cpu", as_of, limit, "10.8", "Other CPU")
 
 
-def hc_memory_low(memory_samples: DataFrame, memory_tree: DataFrame, as_of, top: int = 16) -> DataFrame:
-    """10.9 newest low-memory sample per server in 24 h, with the largest memory-tree counters attached."""
+def hc_memory_low(memory_samples: DataFrame, memory_tree: DataFrame, as_of, per_row: int = 1000) -> DataFrame:
+    """10.9 newest low-memory sample per server in 24 h, with the memory tree of the server's newest snapshot attached.
+
+    All counters are listed, largest first, ``per_row`` to a finding; a larger tree becomes several findings.
+    """
     low = memory_samples.filter(
         (F.col("physical_low") | F.col("virtual_low")) & S.in_last("event_time", as_of, 24, "HOUR")
     )
     newest = latest_row(low, ["server_id"], ["event_time", "sample_id"])
-    largest = top_k(memory_tree, ["server_id"], [F.col("value_mb").desc(), F.col("counter_name")], top, "_rn")
-    listed = largest.groupBy("server_id").agg(
+    known = memory_tree.filter(F.col("snapshot_ts") <= S.ts(as_of))
+    last = known.groupBy("server_id").agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    tree = known.join(last, ["server_id", "snapshot_ts"]).join(newest.select("server_id"), "server_id", "left_semi")
+    ranked = rank_in_group(tree, ["server_id"], [F.col("value_mb").desc(), F.col("counter_name")], "_rn")
+    chunk = F.floor((F.col("_rn") - 1) / per_row).alias("_chunk")
+    listed = ranked.groupBy("server_id", chunk).agg(
         F.array_join(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("_rn", "counter_name", "value_mb"))),

@@ -16,8 +16,13 @@ from fleetwatch.plans.ordering import latest_row, running_max
 from fleetwatch.session import settled
 
 
+def own_keys(names: Sequence[str], *tables: DataFrame) -> list[str]:
+    """``names`` behind server_id, which tables of one server may leave out: ids and names repeat from server to server."""
+    return [*["server_id"] * all("server_id" in t.columns for t in tables), *names]
+
+
 def join_inner_history(backupset: DataFrame, backupfile: DataFrame) -> DataFrame:
-    return backupset.join(backupfile, "backup_set_id").select(
+    return backupset.join(backupfile, own_keys(["backup_set_id"], backupset, backupfile)).select(
         "server_id",
         "database_name",
         "type",
@@ -36,19 +41,21 @@ def join_three_way(command_log: DataFrame, backupset: DataFrame, backupfile: Dat
     """
     newest = (
         backupset.filter(F.col("type") == "D")
-        .groupBy("database_name")
+        .groupBy("server_id", "database_name")
         .agg(F.max(F.struct("backup_start_date", "backup_set_id")).alias("_b"))
-        .select("database_name", F.col("_b.backup_set_id").alias("backup_set_id"))
+        .select("server_id", "database_name", F.col("_b.backup_set_id").alias("backup_set_id"))
     )
     sizes = (
-        newest.join(backupfile.filter(F.col("file_type") == "D"), "backup_set_id")
-        .groupBy("database_name")
+        newest.join(backupfile.filter(F.col("file_type") == "D"), own_keys(["backup_set_id"], newest, backupfile))
+        .groupBy("server_id", "database_name")
         .agg(F.sum("file_size").alias("file_size"))
     )
     checks = command_log.select(
-        "id", "database_name", S.seconds_between("start_time", "end_time").alias("seconds")
+        "id", "server_id", "database_name", S.seconds_between("start_time", "end_time").alias("seconds")
+    )
+    return checks.join(sizes, ["server_id", "database_name"]).select(
+        "id", "server_id", "database_name", "file_size", "seconds"
     )
-    return checks.join(sizes, "database_name").select("id", "database_name", "file_size", "seconds")
 
 
 def join_multi_key(
@@ -59,17 +66,20 @@ def join_multi_key(
     command_log: DataFrame,
 ) -> DataFrame:
     """index x partitions x allocation x tables x logged command, one row per index and command."""
+    container = allocation.withColumnRenamed("container_id", "partition_id")
+    place = own_keys(["object_id", "index_id"], indexes, partitions)
     pages = (
-        partitions.join(allocation, partitions.partition_id == allocation.container_id)
-        .groupBy("object_id", "index_id")
+        partitions.join(container, own_keys(["partition_id"], partitions, allocation))
+        .groupBy(*place)
         .agg(F.sum("used_pages").alias("used_pages"))
     )
-    logged = command_log.select("index_name", "command").distinct()
+    key = own_keys(["index_name"], indexes, command_log)
+    logged = command_log.select(*key, "command").distinct()
     return (
-        indexes.join(pages, ["object_id", "index_id"])
-        .join(tables.filter(~F.col("is_ms_shipped")), "object_id")
-        .join(logged, "index_name")
-        .select("table_name", "index_name", "used_pages", "command")
+        indexes.join(pages, place)
+        .join(tables.filter(~F.col("is_ms_shipped")), own_keys(["object_id"], indexes, tables))
+        .join(logged, key)
+        .select(*own_keys(["table_name"], indexes, tables), "index_name", "used_pages", "command")
     )
 
 

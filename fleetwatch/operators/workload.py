@@ -154,9 +154,10 @@ def integrity_check_speed(
     )
     recent = backupset.filter(S.trailing_year("backup_start_date", as_of))
     rows = J.join_three_way(checks, recent, backupfile)
-    return rows.groupBy("database_name", "file_size", "seconds").agg(
+    return rows.groupBy("server_id", "database_name", "file_size", "seconds").agg(
         F.count(F.lit(1)).alias("runs")
     ).select(
+        "server_id",
         "database_name",
         F.round(F.col("file_size") / S.MB, 1).alias("size_mb"),
         "seconds",
@@ -166,14 +167,15 @@ def integrity_check_speed(
 
 
 def index_maintenance_cost(command_log: DataFrame, indexes: DataFrame) -> DataFrame:
-    """Index size against its longest maintenance run."""
+    """Index size against its longest maintenance run on the same server."""
+    key = J.own_keys(["index_name"], command_log, indexes)
     runs = (
         flt_system_objects(command_log.filter(F.col("command_type").contains("INDEX")), "database_name")
-        .groupBy("index_name", F.col("command_type").alias("command"))
+        .groupBy(*key, F.col("command_type").alias("command"))
         .agg(F.max(S.seconds_between("start_time", "end_time")).alias("seconds"))
     )
-    sizes = indexes.groupBy("table_name", "index_name").agg(F.sum("used_pages").alias("used_pages"))
-    return A.agg_record_duration(sizes.join(runs, "index_name"))
+    sizes = indexes.groupBy("table_name", *key).agg(F.sum("used_pages").alias("used_pages"))
+    return A.agg_record_duration(sizes.join(runs, key))
 
 
 def cache_free_space(

@@ -154,9 +154,9 @@ def _(t):
 
 
 @query("join_three_way", """
-WITH newest AS (SELECT database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D' GROUP BY 1),
-sizes AS (SELECT database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1)
-SELECT c.id, c.database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (database_name)""")
+WITH newest AS (SELECT server_id, database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D' GROUP BY 1, 2),
+sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2)
+SELECT c.id, server_id, database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (server_id, database_name)""")
 def _(t):
     return J.join_three_way(t("command_log"), t("backupset"), t("backupfile"))
 
@@ -339,16 +339,16 @@ def _(t):
 # ---- aggregates ------------------------------------------------------------
 FULL_SQL = f"""
 WITH full_files AS (
-  SELECT b.database_name, b.backup_start_date, b.backup_finish_date, f.file_size FROM v_backupset b JOIN v_backupfile f USING (backup_set_id)
+  SELECT b.server_id, b.database_name, b.backup_start_date, b.backup_finish_date, f.file_size FROM v_backupset b JOIN v_backupfile f USING (backup_set_id)
   WHERE b.type = 'D' AND f.file_type = 'D' AND b.database_name NOT IN {SYS} AND b.backup_start_date BETWEEN {O} - INTERVAL 1 YEAR AND {O})
 """
-PIVOT_SQL = FULL_SQL + "SELECT database_name, " + ", ".join(
+PIVOT_SQL = FULL_SQL + "SELECT server_id, database_name, " + ", ".join(
     f"ROUND(CAST(SUM(file_size) FILTER (WHERE m = {m}) AS DOUBLE) / COUNT(*) FILTER (WHERE m = {m}) / 1048576, 1) AS m{m}" for m in range(13)
-) + f" FROM (SELECT *, date_diff('month', backup_start_date, {O}) AS m FROM full_files) GROUP BY 1"
+) + f" FROM (SELECT *, date_diff('month', backup_start_date, {O}) AS m FROM full_files) GROUP BY 1, 2"
 SPEED_SQL = FULL_SQL + """
-SELECT database_name, size_mb, seconds, CASE WHEN seconds = 0 THEN NULL ELSE CAST(SUM(file_size) AS DOUBLE) / COUNT(*) / 1048576 / seconds END AS mb_per_sec
-FROM (SELECT database_name, ROUND(file_size / 1048576, 1) AS size_mb, date_diff('second', backup_start_date, backup_finish_date) AS seconds, file_size FROM full_files)
-GROUP BY 1, 2, 3"""
+SELECT server_id, database_name, size_mb, seconds, CASE WHEN seconds = 0 THEN NULL ELSE CAST(SUM(file_size) AS DOUBLE) / COUNT(*) / 1048576 / seconds END AS mb_per_sec
+FROM (SELECT server_id, database_name, ROUND(file_size / 1048576, 1) AS size_mb, date_diff('second', backup_start_date, backup_finish_date) AS seconds, file_size FROM full_files)
+GROUP BY 1, 2, 3, 4"""
 
 
 @query("agg_monthly_average_pivot", PIVOT_SQL)
@@ -846,13 +846,13 @@ def _(t):
 
 
 @query("integrity_check_speed", f"""
-WITH newest AS (SELECT database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D'
-  AND backup_start_date BETWEEN {O} - INTERVAL 1 YEAR AND {O} GROUP BY 1),
-sizes AS (SELECT database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1),
-r AS (SELECT c.database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (database_name)
+WITH newest AS (SELECT server_id, database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D'
+  AND backup_start_date BETWEEN {O} - INTERVAL 1 YEAR AND {O} GROUP BY 1, 2),
+sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2),
+r AS (SELECT server_id, database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (server_id, database_name)
   WHERE c.command_type = 'DBCC_CHECKDB' AND c.database_name NOT IN {SYS})
-SELECT database_name, ROUND(file_size / 1048576, 1) AS size_mb, seconds, COUNT(*) AS runs, CASE WHEN seconds = 0 THEN NULL ELSE file_size / 1048576 / seconds END AS mb_per_sec
-FROM r GROUP BY database_name, file_size, seconds""")
+SELECT server_id, database_name, ROUND(file_size / 1048576, 1) AS size_mb, seconds, COUNT(*) AS runs, CASE WHEN seconds = 0 THEN NULL ELSE file_size / 1048576 / seconds END AS mb_per_sec
+FROM r GROUP BY server_id, database_name, file_size, seconds""")
 def _(t):
     return WL.integrity_check_speed(t("command_log"), t("backupset"), t("backupfile"), AS_OF_ORDERS)
 

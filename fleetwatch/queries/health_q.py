@@ -221,8 +221,9 @@ def _(t):
 @query("hc_memory_low", fsql(
     f"""(WITH low AS (SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY event_time DESC, sample_id DESC) AS rn FROM v_memory_samples
         WHERE (physical_low OR virtual_low) AND event_time > {DAY24} AND event_time <= {E}),
-      big AS (SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY value_mb DESC, counter_name) AS rn FROM v_memory_rows),
-      txt AS (SELECT server_id, string_agg(concat(counter_name, '=', printf('%.2f', value_mb)), '; ' ORDER BY rn) AS tree FROM big WHERE rn <= 16 GROUP BY 1)
+      newest AS (SELECT *, max(snapshot_ts) OVER (PARTITION BY server_id) AS last_ts FROM v_memory_rows WHERE snapshot_ts <= {E}),
+      big AS (SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY value_mb DESC, counter_name) AS rn FROM newest WHERE snapshot_ts = last_ts),
+      txt AS (SELECT server_id, string_agg(concat(counter_name, '=', printf('%.2f', value_mb)), '; ' ORDER BY rn) AS tree FROM big GROUP BY server_id, (rn - 1) // 1000)
       SELECT low.server_id, physical_used, event_time, tree FROM low LEFT JOIN txt ON txt.server_id = low.server_id WHERE rn = 1)""",
     "10.9", "Memory low", current="physical_used", details="tree", at="event_time"))
 def _(t):

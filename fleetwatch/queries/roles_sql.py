@@ -76,8 +76,9 @@ FROM {{events}} GROUP BY 1, 2, 3, 4, 5""",
 SELECT {srv('CAST(FLOOR(user_id / 15) AS BIGINT) % 3')} AS server_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_ts,
   user_id AS used_memory_kb FROM {{events}}""",
     "memory_rows": f"""
-SELECT {EV_SRV} AS server_id, concat(event_type, ' ', {s('user_id % 10')}) AS counter_name,
-  CAST(SUM(CAST(ROUND(value) AS BIGINT)) AS DOUBLE) AS value_mb FROM {{events}} GROUP BY 1, 2""",
+SELECT {EV_SRV} AS server_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_ts,
+  concat(event_type, ' ', {s('user_id % 10')}) AS counter_name,
+  CAST(SUM(CAST(ROUND(value) AS BIGINT)) AS DOUBLE) AS value_mb FROM {{events}} GROUP BY 1, 2, 3""",
     "error_log": f"""
 SELECT event_id AS id, {EV_SRV} AS server_id, ts AS log_date, concat('spid', {s('user_id')}) AS process_info,
   CASE event_id % 11

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from fleetwatch.operators import export, maintenance, retention
-from fleetwatch.operators.health import hc_trace_errors
+from fleetwatch.operators import aggregates, export, joins, maintenance, retention, workload
+from fleetwatch.operators.health import hc_memory_low, hc_trace_errors
 
 BACKUP = "server_id string, database_name string, type string, is_damaged boolean, last_lsn long, backup_start_date timestamp_ntz"
 CHAIN = "server_id string, database_name string, base_lsn long, backup_type string"
@@ -50,3 +50,49 @@ def test_trace_text_is_whole(spark):
     row = (22, 20, 1, datetime(2024, 1, 31), "db", "app", "x" * 900, "s1", None, 1, None, None, None)
     out = hc_trace_errors(spark.createDataFrame([row], schema), "2024-01-31 01:00:00").collect()
     assert "x" * 900 in out[0].details
+
+
+SETS = "server_id string, backup_set_id long, database_name string, type string, backup_start_date timestamp_ntz, backup_finish_date timestamp_ntz"
+FILES = "server_id string, backup_set_id long, file_type string, file_size long"
+
+
+def test_backups_of_two_servers_stay_apart(spark):
+    day, later = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 10)
+    sets = spark.createDataFrame([("s1", 1, "sales", "D", day, later), ("s2", 1, "sales", "D", day, later)], SETS)
+    files = spark.createDataFrame([("s1", 1, "D", 10 << 20), ("s2", 1, "D", 40 << 20)], FILES)
+    assert sorted((r.server_id, r.file_size >> 20) for r in joins.join_inner_history(sets, files).collect()) == [("s1", 10), ("s2", 40)]
+    speed = aggregates.agg_throughput(sets, files).collect()
+    assert sorted((r.server_id, r.mb_per_sec) for r in speed) == [("s1", 1.0), ("s2", 4.0)]
+    months = aggregates.agg_monthly_average_pivot(sets, files, "2024-01-31 00:00:00").collect()
+    assert sorted((r.server_id, r.m0) for r in months) == [("s1", 10.0), ("s2", 40.0)]
+    log = spark.createDataFrame(
+        [(1, "s1", "sales", "DBCC_CHECKDB", day, later), (2, "s2", "sales", "DBCC_CHECKDB", day, later)],
+        "id long, server_id string, database_name string, command_type string, start_time timestamp_ntz, end_time timestamp_ntz",
+    )
+    checks = workload.integrity_check_speed(log, sets, files, "2024-01-31 00:00:00").collect()
+    assert sorted((r.server_id, r.size_mb, r.mb_per_sec) for r in checks) == [("s1", 10.0, 1.0), ("s2", 40.0, 4.0)]
+
+
+def test_index_runs_stay_on_their_server(spark):
+    day = datetime(2024, 1, 1)
+    log = spark.createDataFrame(
+        [("s1", "sales", "ix", "ALTER_INDEX", day, datetime(2024, 1, 1, 0, 1)), ("s2", "sales", "ix", "ALTER_INDEX", day, datetime(2024, 1, 1, 1))],
+        "server_id string, database_name string, index_name string, command_type string, start_time timestamp_ntz, end_time timestamp_ntz",
+    )
+    sizes = spark.createDataFrame([("s1", "t", "ix", 128), ("s2", "t", "ix", 256)], "server_id string, table_name string, index_name string, used_pages long")
+    cost = workload.index_maintenance_cost(log, sizes).collect()
+    assert sorted((r.server_id, r.mb, r.max_seconds) for r in cost) == [("s1", 1.0, 60), ("s2", 2.0, 3600)]
+
+
+def test_memory_tree_is_the_newest_snapshot_and_whole(spark):
+    samples = spark.createDataFrame(
+        [("s1", 1, 100, True, False, datetime(2024, 1, 31))],
+        "server_id string, sample_id long, physical_used long, physical_low boolean, virtual_low boolean, event_time timestamp_ntz",
+    )
+    rows = [("s1", datetime(2024, 1, 30), f"c{i:02}", float(i)) for i in range(20)]
+    rows += [("s1", datetime(2024, 1, 29), "c00", 9.0), ("s1", datetime(2024, 2, 2), "c00", 9.0), ("s2", datetime(2024, 1, 30), "c00", 9.0)]
+    tree = spark.createDataFrame(rows, "server_id string, snapshot_ts timestamp_ntz, counter_name string, value_mb double")
+    whole = [f"c{i:02}={i}.00" for i in reversed(range(20))]
+    assert [r.details for r in hc_memory_low(samples, tree, "2024-01-31 01:00:00").collect()] == ["; ".join(whole)]
+    parts = hc_memory_low(samples, tree, "2024-01-31 01:00:00", per_row=8).collect()
+    assert sorted(r.details for r in parts) == sorted("; ".join(whole[i : i + 8]) for i in (0, 8, 16))
