@@ -57,7 +57,7 @@ def agg_throughput(backupset: DataFrame, backupfile: DataFrame, as_of=None) -> D
 def agg_free_space_share(buffer_pages: DataFrame) -> DataFrame:
     """Buffer-cache pages and free space per object."""
     return (
-        buffer_pages.groupBy("object_name", "type_desc")
+        buffer_pages.groupBy(*own_keys(["object_name", "type_desc"], buffer_pages))
         .agg(
             F.count(F.lit(1)).alias("pages"),
             F.sum("free_space_in_bytes").alias("_free"),
@@ -172,7 +172,7 @@ def agg_count_over_threshold(df: DataFrame, key: str, n: int = 10) -> DataFrame:
 
 def agg_extent_totals(space: DataFrame) -> DataFrame:
     return (
-        space.groupBy("database_name")
+        space.groupBy(*own_keys(["database_name"], space))
         .agg(
             F.sum("allocated_extent_page_count").alias("allocated"),
             F.sum("modified_extent_page_count").alias("modified"),

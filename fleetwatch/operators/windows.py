@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.operators.joins import join_left_flag
+from fleetwatch.operators.joins import join_left_flag, own_keys
 from fleetwatch.operators.selectors import parse_list
 from fleetwatch.plans.ordering import latest_row, rank_in_group, top_k, with_group_total
 
@@ -113,18 +113,18 @@ def win_last_in_list(files: DataFrame, group: str = "database_name", order: str
 
 def top_lock_escalations(index_operational: DataFrame, k: int = 3) -> DataFrame:
     order = [F.col("index_lock_promotion_count").desc(), F.col("object_name").asc()]
-    return top_k(index_operational, ["database_name"], order, k)
+    return top_k(index_operational, own_keys(["database_name"], index_operational), order, k)
 
 
 def top_page_lock_waits(index_operational: DataFrame, missing: DataFrame, k: int = 3) -> DataFrame:
     order = [F.col("page_lock_wait_count").desc(), F.col("object_name").asc()]
-    top = top_k(index_operational, ["database_name"], order, k)
-    return join_left_flag(top, missing, ["database_name", "object_name"], "missing_index")
+    top = top_k(index_operational, own_keys(["database_name"], index_operational), order, k)
+    return join_left_flag(top, missing, own_keys(["database_name", "object_name"], top, missing), "missing_index")
 
 
 def top_page_splits(index_operational: DataFrame, k: int = 10) -> DataFrame:
     order = [F.col("leaf_allocation_count").desc(), F.col("object_name").asc()]
-    return top_k(index_operational, ["database_name"], order, k)
+    return top_k(index_operational, own_keys(["database_name"], index_operational), order, k)
 
 
 def top_processes(processes: DataFrame, metric: str, k: int = 3) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from fleetwatch.operators import aggregates, export, joins, maintenance, retention, workload
+from fleetwatch.operators import aggregates, export, joins, maintenance, retention, windows, workload
 from fleetwatch.operators.health import hc_memory_low, hc_trace_errors
 
 BACKUP = "server_id string, database_name string, type string, is_damaged boolean, last_lsn long, backup_start_date timestamp_ntz"
@@ -96,3 +96,23 @@ def test_memory_tree_is_the_newest_snapshot_and_whole(spark):
     assert [r.details for r in hc_memory_low(samples, tree, "2024-01-31 01:00:00").collect()] == ["; ".join(whole)]
     parts = hc_memory_low(samples, tree, "2024-01-31 01:00:00", per_row=8).collect()
     assert sorted(r.details for r in parts) == sorted("; ".join(whole[i : i + 8]) for i in (0, 8, 16))
+
+
+def test_space_and_top_lists_are_per_server(spark):
+    use = spark.createDataFrame(
+        [(s, "sales", f"t{i}", 10 * n + i, i, i) for n, s in enumerate(("s1", "s2")) for i in range(5)],
+        "server_id string, database_name string, object_name string, index_lock_promotion_count long, page_lock_wait_count long, leaf_allocation_count long",
+    )
+    top = [(s, f"t{i}") for s in ("s1", "s2") for i in (2, 3, 4)]
+    assert sorted((r.server_id, r.object_name) for r in windows.top_lock_escalations(use).collect()) == top
+    missing = spark.createDataFrame([("s2", "sales", "t4")], "server_id string, database_name string, object_name string")
+    waits = windows.top_page_lock_waits(use, missing).collect()
+    assert sorted((r.server_id, r.object_name) for r in waits) == top
+    assert [(r.server_id, r.object_name) for r in waits if r.missing_index == "Y"] == [("s2", "t4")]
+    space = spark.createDataFrame(
+        [("s1", "sales", 8, 4), ("s2", "sales", 8, 2)],
+        "server_id string, database_name string, allocated_extent_page_count long, modified_extent_page_count long",
+    )
+    assert sorted((r.server_id, r.change_pct) for r in aggregates.agg_extent_totals(space).collect()) == [("s1", 50.0), ("s2", 25.0)]
+    pages = spark.createDataFrame([("s1", "t", "U", 5), ("s2", "t", "U", 6)], "server_id string, object_name string, type_desc string, free_space_in_bytes long")
+    assert sorted((r.server_id, r.pages) for r in aggregates.agg_free_space_share(pages).collect()) == [("s1", 1), ("s2", 1)]
