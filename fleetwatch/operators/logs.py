@@ -119,7 +119,7 @@ def log_archive_errors(error_log: DataFrame, as_of) -> DataFrame:
     """Yesterday's error and filegroup-full rows."""
     return error_log.filter(
         S.previous_day("log_date", as_of) & S.any_ilike("text", LOG_PATTERNS)
-    ).select("log_date", "process_info", "text")
+    ).select("server_id", "log_date", "process_info", "text")
 
 
 def log_archive_failures(error_log: DataFrame, as_of=None) -> DataFrame:
@@ -127,13 +127,13 @@ def log_archive_failures(error_log: DataFrame, as_of=None) -> DataFrame:
     rows = error_log.filter(S.any_ilike("text", FAILURE_PATTERNS))
     if as_of is not None:
         rows = rows.filter(S.previous_day("log_date", as_of))
-    return rows.select("log_date", "process_info", "text").dropDuplicates()
+    return rows.select("server_id", "log_date", "process_info", "text").dropDuplicates()
 
 
 def log_archive_agent(agent_log: DataFrame, as_of) -> DataFrame:
     return agent_log.filter(
         S.previous_day("log_date", as_of) & S.any_ilike("text", AGENT_PATTERNS)
-    ).select("log_date", "error_level", "text")
+    ).select("server_id", "log_date", "error_level", "text")
 
 
 def log_deadlocks(xml_events: DataFrame) -> DataFrame:

@@ -384,7 +384,7 @@ def _(t):
 PREV = f"log_date >= {YESTERDAY} AND log_date < {TODAY}"
 
 
-@query("log_archive_errors", f"SELECT log_date, process_info, text FROM v_error_log WHERE {PREV} AND (text ILIKE '%Error%' OR text ILIKE '%filegroup is full%' OR text ILIKE '%voll ist%')")
+@query("log_archive_errors", f"SELECT server_id, log_date, process_info, text FROM v_error_log WHERE {PREV} AND (text ILIKE '%Error%' OR text ILIKE '%filegroup is full%' OR text ILIKE '%voll ist%')")
 def _(t):
     return L.log_archive_errors(t("error_log"), AS_OF_EVENTS)
 
@@ -392,12 +392,12 @@ def _(t):
 ANY_SQL = " OR ".join(f"text ILIKE '{p}'" for p in L.FAILURE_PATTERNS)
 
 
-@query("log_archive_failures", f"SELECT DISTINCT log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
+@query("log_archive_failures", f"SELECT DISTINCT server_id, log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
 def _(t):
     return L.log_archive_failures(t("error_log"))
 
 
-@query("log_archive_agent", f"SELECT log_date, error_level, text FROM v_agent_log WHERE {PREV} AND (text ILIKE '%Error%' OR text ILIKE '%Fehler%')")
+@query("log_archive_agent", f"SELECT server_id, log_date, error_level, text FROM v_agent_log WHERE {PREV} AND (text ILIKE '%Error%' OR text ILIKE '%Fehler%')")
 def _(t):
     return L.log_archive_agent(t("agent_log"), AS_OF_EVENTS)
 

@@ -134,13 +134,13 @@ def _(t):
 ANY_SQL = " OR ".join(f"text ILIKE '{p}'" for p in L.FAILURE_PATTERNS)
 
 
-@query("sink_archive_append", f"SELECT DISTINCT log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
+@query("sink_archive_append", f"SELECT DISTINCT server_id, log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
 def _(t):
     """The second run appends nothing."""
     path = work_path(t.spark, "archive")
     rows = L.log_archive_failures(t("error_log"))
     for _run in range(2):
-        SK.sink_archive_append(rows, path, ["log_date", "process_info", "text"])
+        SK.sink_archive_append(rows, path, ["server_id", "log_date", "process_info", "text"])
     return t.spark.read.schema(rows.schema).parquet(path)
 
 
@@ -169,7 +169,7 @@ def _run(t, stream, name):
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
-@query("str_log_classify", f"SELECT DISTINCT log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
+@query("str_log_classify", f"SELECT DISTINCT server_id, log_date, process_info, text FROM v_error_log WHERE {ANY_SQL}")
 def _(t):
     return _run(t, ST.str_log_classify(_stream(t, "error_log", "str-log")), "str-log")
 

@@ -31,9 +31,9 @@ def str_log_classify(
     return (
         _event_time(log, "log_date")
         .filter(S.any_ilike("text", patterns))
-        .select("log_date", "process_info", "text")
+        .select("server_id", "log_date", "process_info", "text")
         .withWatermark("log_date", watermark)
-        .dropDuplicatesWithinWatermark(["log_date", "process_info", "text"])
+        .dropDuplicatesWithinWatermark(["server_id", "log_date", "process_info", "text"])
     )
 
 
