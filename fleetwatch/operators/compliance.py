@@ -94,10 +94,20 @@ class PresenceRule:
     severity: int = WARN
 
 
-def cmp_presence(rules: Sequence[PresenceRule], inputs: Mapping[str, DataFrame]) -> DataFrame:
+def _every_server(counted: DataFrame, servers: DataFrame | None) -> DataFrame:
+    """Adds the inventory's servers that have no row in a rule's own input; their other columns are NULL."""
+    if servers is None:
+        return counted
+    return servers.select("server_id").distinct().join(counted, "server_id", "full")
+
+
+def cmp_presence(
+    rules: Sequence[PresenceRule], inputs: Mapping[str, DataFrame], servers: DataFrame | None = None
+) -> DataFrame:
     """One finding per server and rule with the number of violating rows and one example.
 
-    All rules over the same input share one scan and one partial aggregation.
+    All rules over the same input share one scan and one partial aggregation. Without an inventory of ``servers``, only
+    those with a row in the rule's input are reported.
     """
     by_role: dict[str, list[PresenceRule]] = defaultdict(list)
     for rule in rules:
@@ -109,7 +119,8 @@ def cmp_presence(rules: Sequence[PresenceRule], inputs: Mapping[str, DataFrame])
             bad = F.coalesce(F.expr(rule.violates), F.lit(False))
             aggs.append(F.count_if(bad).alias(f"n{i}"))
             aggs.append(F.min(F.when(bad, F.expr(rule.example).cast("string"))).alias(f"e{i}"))
-        wide = inputs[role].groupBy("server_id").agg(*aggs)
+        wide = _every_server(inputs[role].groupBy("server_id").agg(*aggs), servers)
+        wide = wide.fillna(0, [f"n{i}" for i in range(len(group))])
         results = F.array(
             *[
                 F.struct(
@@ -189,7 +200,7 @@ def cmp_version(servers: DataFrame, version_map: DataFrame | None = None) -> Dat
     )
 
 
-def cmp_protocols(registry: DataFrame) -> DataFrame:
+def cmp_protocols(registry: DataFrame, servers: DataFrame) -> DataFrame:
     """20: named pipes off, shared memory on, tcp on."""
     on = lambda suffix: F.coalesce(
         F.max(
@@ -201,6 +212,7 @@ def cmp_protocols(registry: DataFrame) -> DataFrame:
         F.lit(False),
     )
     flags = registry.groupBy("server_id").agg(on("np").alias("np"), on("sm").alias("sm"), on("tcp").alias("tcp"))
+    flags = _every_server(flags, servers).fillna(False, ["np", "sm", "tcp"])
     ok = ~F.col("np") & F.col("sm") & F.col("tcp")
     return findings(
         flags, "20", "Unnecessary protocols", severity=F.when(ok, OK).otherwise(WARN),
@@ -302,13 +314,16 @@ def cmp_password_policy(principals: DataFrame) -> DataFrame:
     return _per_server(logins, ~F.col("is_policy_checked") & ~F.col("is_disabled"), "29", "Password policy", F.col("name"))
 
 
-def cmp_log_files(registry: DataFrame, at_least: int = 12) -> DataFrame:
+def _registry_number(registry: DataFrame, value_name: str, servers: DataFrame) -> DataFrame:
+    """Numeric registry value ``n`` of every server, -1 where it is not set."""
+    value = F.when(F.col("value_name") == value_name, F.col("value_data").try_cast("int"))
+    found = registry.groupBy("server_id").agg(F.max(value).alias("n"))
+    return _every_server(found, servers).fillna(-1, ["n"])
+
+
+def cmp_log_files(registry: DataFrame, servers: DataFrame, at_least: int = 12) -> DataFrame:
     """30: number of kept error logs."""
-    n = registry.groupBy("server_id").agg(
-        F.coalesce(
-            F.max(F.when(F.col("value_name") == "NumErrorLogs", F.col("value_data").try_cast("int"))), F.lit(-1)
-        ).alias("n")
-    )
+    n = _registry_number(registry, "NumErrorLogs", servers)
     ok = F.col("n") >= at_least
     return findings(
         n, "30", "Error log files", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"),
@@ -316,13 +331,9 @@ def cmp_log_files(registry: DataFrame, at_least: int = 12) -> DataFrame:
     )
 
 
-def cmp_login_audit(registry: DataFrame, level: int = 3) -> DataFrame:
+def cmp_login_audit(registry: DataFrame, servers: DataFrame, level: int = 3) -> DataFrame:
     """32: failed and successful logins are audited."""
-    n = registry.groupBy("server_id").agg(
-        F.coalesce(
-            F.max(F.when(F.col("value_name") == "AuditLevel", F.col("value_data").try_cast("int"))), F.lit(-1)
-        ).alias("n")
-    )
+    n = _registry_number(registry, "AuditLevel", servers)
     ok = F.col("n") == level
     return findings(
         n, "32", "Login auditing", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"), target=level, achieved=ok
@@ -333,13 +344,14 @@ def cmp_login_audit(registry: DataFrame, level: int = 3) -> DataFrame:
 AUDIT_ACTIONS = ("AUDIT_CHANGE_GROUP", "FAILED_LOGIN_GROUP", "SUCCESSFUL_LOGIN_GROUP")
 
 
-def cmp_audit_spec(audit_details: DataFrame) -> DataFrame:
-    """33: change, failed and successful logins are audited."""
+def cmp_audit_spec(audit_details: DataFrame, servers: DataFrame) -> DataFrame:
+    """33: change, failed and successful logins are audited; a server without any audit covers none."""
     n = audit_details.groupBy("server_id").agg(
         F.count_distinct(
             F.when(F.col("is_enabled") & F.col("action_name").isin(*AUDIT_ACTIONS), F.col("action_name"))
         ).alias("n")
     )
+    n = _every_server(n, servers).fillna(0, ["n"])
     ok = F.col("n") == len(AUDIT_ACTIONS)
     return findings(
         n, "33", "Audit specification", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"),
@@ -368,12 +380,13 @@ def cmp_asymmetric_keys(keys: DataFrame, bits: int = 2048) -> DataFrame:
     return _per_server(rows, F.col("key_length") < bits, "36", "Asymmetric keys", F.col("key_name"))
 
 
-def cmp_toolset_version(objects: DataFrame, expected: DataFrame) -> DataFrame:
-    """37: every expected object is present at its expected version."""
+def cmp_toolset_version(objects: DataFrame, expected: DataFrame, servers: DataFrame) -> DataFrame:
+    """37: every expected object is present at its expected version; a server without objects has none."""
     total = expected.count()
     good = objects.join(expected, "object_name", "left").groupBy("server_id").agg(
         F.count_distinct(F.when(F.col("version") == F.col("expected_version"), F.col("object_name"))).alias("_good")
     )
+    good = _every_server(good, servers).fillna(0, ["_good"])
     ok = F.col("_good") == total
     return findings(
         good, "37", "Maintenance objects", severity=F.when(ok, OK).otherwise(WARN), current=F.col("_good"),
@@ -557,9 +570,13 @@ def cmp_integrity_errors(command_log: DataFrame, advice: DataFrame, as_of, days:
     )
 
 
-def cmp_backup_24h(backupset: DataFrame, as_of) -> DataFrame:
-    """47: no full backup in the past 24 hours."""
-    rows = agg_having_latest_age(backupset, as_of, 24)
+def cmp_backup_24h(backupset: DataFrame, databases: DataFrame, as_of) -> DataFrame:
+    """47: no full backup in the past 24 hours, or none at all (tempdb needs none)."""
+    keys = ["server_id", "database_name"]
+    late = agg_having_latest_age(backupset, as_of, 24)
+    full = backupset.filter("type = 'D'").select(*keys).distinct()
+    never = databases.filter("database_name <> 'tempdb'").select(*keys).distinct().join(full, keys, "left_anti")
+    rows = late.select(*keys, "last_full", "hours").unionByName(never, allowMissingColumns=True)
     return findings(
         rows, "47", "Full backup within 24 hours", scope=F.col("database_name"), current=F.col("hours"), target=24,
         details=S.text("last full backup at ", S.stamp("last_full")), observed_at="last_full",

@@ -2,61 +2,182 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from fleetwatch.operators import compliance as C
+from fleetwatch.operators import compliance_rules as R
 from fleetwatch.operators import health as H
-from fleetwatch.operators.findings import hc_traffic_light, union_findings
-
-HEALTH_ROLES = (
-    "backupset",
-    "databases",
-    "volumes",
-    "trace",
-    "database_files",
-    "error_log",
-    "jobs",
-    "agent_log",
-    "job_history",
-    "job_activity",
-    "mail_items",
-    "perf_counters",
-    "cpu_samples",
-    "deadlocks",
-    "activity",
-    "access_log",
+from fleetwatch.operators.findings import cmp_report, hc_traffic_light, union_findings
+from fleetwatch.session import literal_table
+
+# (check, its roles in the order of its parameters, whether it takes the time of the report)
+HEALTH_CHECKS = (
+    (H.hc_patch_level, ("servers", "version_map"), True),
+    (H.hc_backup_user, ("backupset", "databases"), True),
+    (H.hc_backup_system, ("backupset", "databases"), True),
+    (H.hc_volume_warn, ("volumes",), False),
+    (H.hc_volume_critical, ("volumes",), False),
+    (H.hc_file_growth, ("trace", "database_files", "volumes"), True),
+    (H.log_findings, ("error_log",), True),
+    (H.hc_jobs_disabled, ("jobs",), False),
+    (H.hc_agent_errors, ("agent_log",), True),
+    (H.hc_jobs_failed, ("jobs", "job_history", "job_activity"), True),
+    (H.hc_mail_failed, ("mail_items",), True),
+    (H.hc_operator_changed, ("operators", "expected_operator"), False),
+    (H.hc_trace_errors, ("trace",), True),
+    (H.hc_connections_peak, ("perf_counters",), False),
+    (H.hc_cpu_engine, ("cpu_samples",), True),
+    (H.hc_cpu_other, ("cpu_samples",), True),
+    (H.hc_memory_low, ("memory_samples", "memory_rows"), True),
+    (H.hc_cpu_pressure, ("wait_stats", "causes"), False),
+    (H.hc_deadlocks, ("deadlocks",), True),
+    (H.hc_unknown_activity, ("activity", "cpu_samples"), True),
+    (H.hc_web_traffic, ("access_log",), True),
+    (H.option_findings, ("databases",), False),
+    (H.hc_recent_restart, ("servers",), True),
+    (H.hc_disk_free_10gb, ("volumes",), False),
+    (H.hc_low_disk_percent, ("volumes",), False),
+    (H.hc_cert_expiring, ("certs",), True),
+    (H.hc_cert_expired, ("certs",), True),
+    (H.hc_service_stopped, ("services",), False),
+    (H.hc_patches_recent, ("hotfixes",), True),
+    (H.hc_patch_failed, ("os_events",), True),
 )
+MAIL_CHECKS = (H.hc_mail_account_changed, H.hc_mail_profile_changed)
 
+COMPLIANCE_RULES = (
+    (C.cmp_settings, ("settings", "setting_targets"), False),
+    (C.cmp_cost_threshold, ("settings",), False),
+    (C.cmp_version, ("servers",), False),
+    (C.cmp_protocols, ("registry", "servers"), False),
+    (C.cmp_admin_login, ("principals",), False),
+    (C.cmp_guest_connect, ("permissions",), False),
+    (C.cmp_orphaned_users, ("db_users", "principals"), False),
+    (C.cmp_public_permissions, ("permissions",), False),
+    (C.cmp_builtin_groups, ("principals", "permissions"), False),
+    (C.cmp_local_groups, ("principals", "permissions"), False),
+    (C.cmp_proxy_public, ("proxies", "db_users"), False),
+    (C.cmp_password_expiration, ("principals", "role_members", "permissions"), False),
+    (C.cmp_password_policy, ("principals",), False),
+    (C.cmp_log_files, ("registry", "servers"), False),
+    (C.cmp_login_audit, ("registry", "servers"), False),
+    (C.cmp_audit_spec, ("audit_details", "servers"), False),
+    (C.cmp_assemblies, ("assemblies",), False),
+    (C.cmp_symmetric_keys, ("crypto_keys",), False),
+    (C.cmp_asymmetric_keys, ("crypto_keys",), False),
+    (C.cmp_toolset_version, ("toolset", "expected_toolset", "servers"), False),
+    (C.cmp_parallelism, ("schedulers", "servers", "settings"), False),
+    (C.cmp_flags_missing, ("expected_flags", "flags_enabled"), False),
+    (C.cmp_flags_advice, ("flags_enabled", "servers", "flag_advice"), False),
+    (C.cmp_logins_without_permission, ("principals", "login_permissions", "role_members", "db_users"), False),
+    (C.cmp_service_isolation, ("services",), False),
+    (C.cmp_job_steps, ("job_steps", "maint_jobs"), False),
+    (C.cmp_integrity_errors, ("command_log", "error_advice"), True),
+    (C.cmp_backup_24h, ("backupset", "databases"), True),
+    (C.cmp_endpoint_owner, ("endpoints", "services"), False),
+    (C.cmp_32bit, ("servers",), False),
+    (C.cmp_startup_options, ("registry",), False),
+    (C.cmp_evaluation, ("servers",), False),
+    (C.cmp_memory_limit, ("servers", "settings"), False),
+    (C.cmp_memory_state, ("servers",), False),
+    (C.cmp_trustworthy, ("databases",), False),
+    (C.cmp_auto_close, ("databases",), False),
+    (C.cmp_percent_growth, ("database_files",), False),
+    (C.cmp_single_temp_file, ("temp_files",), False),
+    (C.cmp_log_files_same_drive, ("database_files",), False),
+    (C.cmp_uneven_growth, ("database_files",), False),
+    (C.cmp_small_growth, ("database_files",), False),
+    (C.cmp_corruption, ("suspect_pages", "page_repairs", "databases"), True),
+    (C.cmp_files_on_c, ("database_files",), False),
+    (C.cmp_log_fragments, ("log_fragments",), False),
+    (C.cmp_user_tables_in_system, ("user_tables", "system_table_allow"), False),
+    (C.cmp_slow_reads, ("file_stats", "database_files"), False),
+    (C.cmp_slow_writes, ("file_stats", "database_files"), False),
+    (C.cmp_linked_servers, ("linked",), False),
+    (C.cmp_stale_statistics, ("stats_dates",), True),
+)
 
-def health_findings(roles: Mapping[str, DataFrame], as_of) -> DataFrame:
-    """Findings of all health checks whose inputs are given."""
-    r = roles
-    parts = [
-        H.hc_backup_user(r["backupset"], r["databases"], as_of),
-        H.hc_backup_system(r["backupset"], r["databases"], as_of),
-        H.hc_volume_warn(r["volumes"]),
-        H.hc_volume_critical(r["volumes"]),
-        H.hc_file_growth(r["trace"], r["database_files"], r["volumes"], as_of),
-    ]
-    parts += [
-        H.log_findings(r["error_log"], as_of),
-        H.hc_jobs_disabled(r["jobs"]),
-        H.hc_agent_errors(r["agent_log"], as_of),
-        H.hc_jobs_failed(r["jobs"], r["job_history"], r["job_activity"], as_of),
-        H.hc_mail_failed(r["mail_items"], as_of),
-        H.hc_trace_errors(r["trace"], as_of),
-        H.hc_connections_peak(r["perf_counters"]),
-        H.hc_cpu_engine(r["cpu_samples"], as_of),
-        H.hc_cpu_other(r["cpu_samples"], as_of),
-        H.hc_deadlocks(r["deadlocks"], as_of),
-        H.hc_unknown_activity(r["activity"], r["cpu_samples"], as_of),
-        H.hc_web_traffic(r["access_log"], as_of),
-        H.option_findings(r["databases"]),
+# Tables of rules: those of the library, and those that only the caller can give.
+LOOKUPS = ("setting_targets", "expected_toolset", "expected_flags", "flag_advice", "error_advice", "system_table_allow")
+GIVEN = ("version_map", "causes")
+
+
+def _roles(checks) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(r for _, needs, _ in checks for r in needs if r not in (*LOOKUPS, *GIVEN)))
+
+
+HEALTH_ROLES = (*_roles(HEALTH_CHECKS), "mail_objects")
+COMPLIANCE_ROLES = _roles(COMPLIANCE_RULES)
+
+
+def _run(checks, roles: Mapping[str, DataFrame], as_of) -> list[DataFrame]:
+    return [
+        check(*[roles[r] for r in needs], *([as_of] if timed else []))
+        for check, needs, timed in checks
+        if all(r in roles for r in needs)
     ]
+
+
+def skipped_checks(roles: Mapping[str, DataFrame]) -> dict[str, list[str]]:
+    """Health checks that ``run_health`` leaves out, each with the roles that are absent."""
+    needs = {check.__name__: roles_ for check, roles_, _ in HEALTH_CHECKS} | {m.__name__: ("mail_objects",) for m in MAIL_CHECKS}
+    absent = {name: [r for r in wanted if r not in roles] for name, wanted in needs.items()}
+    return {name: lacking for name, lacking in absent.items() if lacking}
+
+
+def health_findings(
+    roles: Mapping[str, DataFrame], as_of, mail_accounts: Sequence[str] = (), mail_profiles: Sequence[str] = ()
+) -> DataFrame:
+    """Findings of all health checks whose roles are given; ``skipped_checks`` names the others.
+
+    ``mail_accounts`` and ``mail_profiles`` are the names that may change without a finding.
+    """
+    parts = _run(HEALTH_CHECKS, roles, as_of)
+    if "mail_objects" in roles:
+        allowed = (mail_accounts, mail_profiles)
+        parts += [check(roles["mail_objects"], list(a), as_of) for check, a in zip(MAIL_CHECKS, allowed, strict=True)]
+    return union_findings(*parts)
+
+
+def run_health(roles: Mapping[str, DataFrame], as_of, **options) -> DataFrame:
+    """Status per server of the database and server inventories given."""
+    inventory = [roles[r].select(F.col("server_id").cast("string")) for r in ("databases", "servers") if r in roles]
+    found = health_findings(roles, as_of, **options)
+    servers = None
+    for part in inventory:
+        servers = part if servers is None else servers.unionByName(part)
+    return hc_traffic_light(found, servers)
+
+
+def compliance_findings(
+    roles: Mapping[str, DataFrame], as_of, presence: Sequence[C.PresenceRule] = ()
+) -> DataFrame:
+    """Findings of all compliance rules whose roles are given, and of the ``presence`` rules.
+
+    Targets, expected objects and flags, and advice come from the library's rule tables unless ``roles`` brings them.
+    """
+    spark = next(iter(roles.values())).sparkSession
+    lookups = {
+        "setting_targets": C.setting_targets(spark),
+        "expected_toolset": literal_table(spark, R.TOOLSET_EXPECTED, "object_name string, expected_version string"),
+        "flag_advice": C.flag_advice(spark),
+        "error_advice": C.error_advice(spark),
+        "system_table_allow": literal_table(spark, R.SYSTEM_TABLE_ALLOW, "database_name string, table_name string"),
+    }
+    if "servers" in roles:
+        matches = F.col("major_version") == F.col("major")
+        lookups["expected_flags"] = roles["servers"].join(C.expected_flags(spark), matches)
+    given = lookups | dict(roles)
+    parts = _run(COMPLIANCE_RULES, given, as_of)
+    rules = [rule for rule in presence if rule.role in roles]
+    if rules:
+        parts.append(C.cmp_presence(rules, roles, roles.get("servers")))
     return union_findings(*parts)
 
 
-def run_health(roles: Mapping[str, DataFrame], as_of) -> DataFrame:
-    """Status per server of the database inventory."""
-    return hc_traffic_light(health_findings(roles, as_of), roles["databases"])
+def run_compliance(roles: Mapping[str, DataFrame], as_of, presence: Sequence[C.PresenceRule] = ()) -> DataFrame:
+    """The whole compliance report, rules that are not achieved first."""
+    return cmp_report(compliance_findings(roles, as_of, presence))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from fleetwatch.operators import compliance as C
 from fleetwatch.operators import compliance_rules as R
+from fleetwatch.plans import reports
 from fleetwatch.queries.core import E, O
 from fleetwatch.queries.findings_sql import fsql, stamp
-from fleetwatch.queries.registry import query
+from fleetwatch.queries.registry import QUERIES, query
 from fleetwatch.session import literal_table
 from fleetwatch.queries.roles_sql import AS_OF_EVENTS, AS_OF_ORDERS
 
@@ -60,6 +61,10 @@ def per_server(source, bad, check, name, example="NULL", severity=1):
                 details=f"CASE WHEN n = 0 THEN {FINE} ELSE concat(n, ' violating, first: ', COALESCE(e, 'N/A')) END")
 
 
+def every_server(role):
+    return f"(SELECT DISTINCT server_id FROM v_servers) FULL JOIN v_{role} USING (server_id)"
+
+
 PRESENCE = [
     C.PresenceRule("24.guest", "No guest grants", "permissions", "grantee_name = 'guest' AND state_desc = 'GRANT'", "database_name"),
     C.PresenceRule("28.sa", "No CONTROL SERVER", "permissions", "permission_name = 'CONTROL SERVER'", "grantee_name", 2),
@@ -67,11 +72,11 @@ PRESENCE = [
     C.PresenceRule("72", "No auto close", "databases", "is_auto_close_on AND database_name <> 'master'", "database_name"),
     C.PresenceRule("99", "Nothing on drive Z", "database_files", "physical_name LIKE 'Z%'", "physical_name"),
 ]
-PRESENCE_SQL = " UNION ALL ".join(f"SELECT * FROM ({per_server('v_' + r.role, r.violates, r.check_id, r.name, r.example, r.severity)})" for r in PRESENCE)
+PRESENCE_SQL = " UNION ALL ".join(f"SELECT * FROM ({per_server(f'(SELECT * FROM {every_server(r.role)})', r.violates, r.check_id, r.name, r.example, r.severity)})" for r in PRESENCE)
 
 
 def presence(t):
-    return C.cmp_presence(PRESENCE, {r: t(r) for r in ("permissions", "databases", "database_files")})
+    return C.cmp_presence(PRESENCE, {r: t(r) for r in ("permissions", "databases", "database_files")}, t("servers"))
 
 
 @query("cmp_presence", PRESENCE_SQL)
@@ -79,18 +84,6 @@ def _(t):
     return presence(t)
 
 
-@query("cmp_report", f"SELECT * FROM ({SETTINGS_SQL}) UNION ALL SELECT * FROM ({PRESENCE_SQL}) ORDER BY achieved, name, server_id, scope, details")
-def _(t):
-    return C.cmp_report(settings(t), presence(t))
-
-
-@query("cmp_score", f"""
-SELECT server_id, split_part(check_id, '.', 1) AS section, COUNT(*) FILTER (WHERE achieved) AS achieved_rules, COUNT(*) AS rules,
-  CAST(COUNT(*) FILTER (WHERE achieved) AS DOUBLE) * 100 / COUNT(*) AS pct FROM (SELECT * FROM ({SETTINGS_SQL}) UNION ALL SELECT * FROM ({PRESENCE_SQL})) GROUP BY 1, 2""")
-def _(t):
-    return C.cmp_score(settings(t).unionByName(presence(t)))
-
-
 @query("cmp_version", fsql(
     f"(SELECT s.server_id, s.update_level, COALESCE(m.product, 'unknown') AS product, COALESCE(m.latest, 'unknown') AS latest FROM v_servers s LEFT JOIN {values(R.VERSION_NAMES, 'm(prefix, product, latest)')} ON left(s.product_version, 4) = m.prefix)",
     "10", "=concat('Version: ', product)", severity="0", current="update_level", target="latest", achieved="update_level = latest",
@@ -104,10 +97,10 @@ def _on(suffix):
 
 
 @query("cmp_protocols", fsql(
-    f"(SELECT server_id, NOT {_on('np')} AND {_on('sm')} AND {_on('tcp')} AS ok FROM v_registry GROUP BY 1)", "20", "Unnecessary protocols", severity="CASE WHEN ok THEN 0 ELSE 1 END",
+    f"(SELECT server_id, NOT {_on('np')} AND {_on('sm')} AND {_on('tcp')} AS ok FROM {every_server('registry')} GROUP BY 1)", "20", "Unnecessary protocols", severity="CASE WHEN ok THEN 0 ELSE 1 END",
     current="CASE WHEN ok THEN 0 ELSE 1 END", target="0", achieved="ok", details=f"CASE WHEN ok THEN {FINE} ELSE 'enable only required protocols' END"))
 def _(t):
-    return C.cmp_protocols(t("registry"))
+    return C.cmp_protocols(t("registry"), t("servers"))
 
 
 @query("cmp_admin_login", fsql("v_principals", "21", "Built-in login disabled", where="principal_id = 1", scope="v_principals.name", severity="CASE WHEN is_disabled THEN 0 ELSE 1 END",
@@ -170,24 +163,24 @@ def _(t):
 
 
 def _registry_number(name):
-    return f"(SELECT server_id, COALESCE(MAX(CASE WHEN value_name = '{name}' THEN CAST(value_data AS INT) END), -1) AS n FROM v_registry GROUP BY 1)"
+    return f"(SELECT server_id, COALESCE(MAX(CASE WHEN value_name = '{name}' THEN CAST(value_data AS INT) END), -1) AS n FROM {every_server('registry')} GROUP BY 1)"
 
 
 @query("cmp_log_files", fsql(_registry_number("NumErrorLogs"), "30", "Error log files", severity="CASE WHEN n >= 12 THEN 0 ELSE 1 END", current="n", target="12", achieved="n >= 12"))
 def _(t):
-    return C.cmp_log_files(t("registry"))
+    return C.cmp_log_files(t("registry"), t("servers"))
 
 
 @query("cmp_login_audit", fsql(_registry_number("AuditLevel"), "32", "Login auditing", severity="CASE WHEN n = 3 THEN 0 ELSE 1 END", current="n", target="3", achieved="n = 3"))
 def _(t):
-    return C.cmp_login_audit(t("registry"))
+    return C.cmp_login_audit(t("registry"), t("servers"))
 
 
 @query("cmp_audit_spec", fsql(
-    "(SELECT server_id, COUNT(DISTINCT action_name) FILTER (WHERE is_enabled AND action_name <> 'OTHER_GROUP') AS n FROM v_audit_details GROUP BY 1)", "33", "Audit specification",
+    f"(SELECT server_id, COUNT(DISTINCT action_name) FILTER (WHERE is_enabled AND action_name <> 'OTHER_GROUP') AS n FROM {every_server('audit_details')} GROUP BY 1)", "33", "Audit specification",
     severity="CASE WHEN n = 3 THEN 0 ELSE 1 END", current="n", target="3", achieved="n = 3"))
 def _(t):
-    return C.cmp_audit_spec(t("audit_details"))
+    return C.cmp_audit_spec(t("audit_details"), t("servers"))
 
 
 @query("cmp_assemblies", per_server("(SELECT * FROM v_assemblies WHERE is_user_defined)", "permission_set <> 'SAFE_ACCESS'", "34", "Assemblies", "assembly_name"))
@@ -209,10 +202,10 @@ def _(t):
 
 
 @query("cmp_toolset_version", fsql(
-    f"(SELECT t.server_id, COUNT(DISTINCT CASE WHEN t.version = x.expected THEN t.object_name END) AS n FROM v_toolset t LEFT JOIN {values(R.TOOLSET_EXPECTED, 'x(object_name, expected)')} ON x.object_name = t.object_name GROUP BY 1)",
+    f"(SELECT t.server_id, COUNT(DISTINCT CASE WHEN t.version = x.expected THEN t.object_name END) AS n FROM (SELECT * FROM {every_server('toolset')}) t LEFT JOIN {values(R.TOOLSET_EXPECTED, 'x(object_name, expected)')} ON x.object_name = t.object_name GROUP BY 1)",
     "37", "Maintenance objects", severity="CASE WHEN n = 4 THEN 0 ELSE 1 END", current="n", target="4", achieved="n = 4"))
 def _(t):
-    return C.cmp_toolset_version(t("toolset"), literal_table(t.spark, R.TOOLSET_EXPECTED, "object_name string, expected_version string"))
+    return C.cmp_toolset_version(t("toolset"), literal_table(t.spark, R.TOOLSET_EXPECTED, "object_name string, expected_version string"), t("servers"))
 
 
 @query("cmp_parallelism", fsql(
@@ -293,10 +286,11 @@ def _(t):
 
 
 @query("cmp_backup_24h", fsql(
-    f"(SELECT server_id, database_name, MAX(backup_finish_date) AS f FROM v_backupset WHERE type = 'D' GROUP BY 1, 2)", "47", "Full backup within 24 hours", where=f"f < {O} - INTERVAL 24 HOUR",
+    "(SELECT * FROM (SELECT DISTINCT server_id, database_name FROM v_databases WHERE database_name <> 'tempdb') FULL JOIN (SELECT server_id, database_name, MAX(backup_finish_date) AS f FROM v_backupset WHERE type = 'D' GROUP BY 1, 2) USING (server_id, database_name))",
+    "47", "Full backup within 24 hours", where=f"(f IS NULL OR f < {O} - INTERVAL 24 HOUR)",
     scope="database_name", current=f"date_diff('hour', f, {O})", target="24", details=f"concat('last full backup at ', {stamp('f')})", at="f"))
 def _(t):
-    return C.cmp_backup_24h(t("backupset"), AS_OF_ORDERS)
+    return C.cmp_backup_24h(t("backupset"), t("databases"), AS_OF_ORDERS)
 
 
 @query("cmp_endpoint_owner", fsql(
@@ -429,3 +423,32 @@ def _(t):
     "90", "Statistics out of date", where="rn <= 5", scope="table_name", details=f"concat('statistics ', stats_id, ' updated ', {stamp('last_updated')})", at="last_updated"))
 def _(t):
     return C.cmp_stale_statistics(t("stats_dates"), AS_OF_EVENTS)
+
+
+# ---- all rules ---------------------------------------------------------------
+ALL_RULES_SQL = " UNION ALL ".join(f"SELECT * FROM ({q.oracle.replace(O, E)})" for k, q in QUERIES.items() if k.startswith("cmp_"))
+
+
+def all_rules(t):
+    return reports.compliance_findings({r: t(r) for r in reports.COMPLIANCE_ROLES}, AS_OF_EVENTS, PRESENCE)
+
+
+REPORT_SQL = f"SELECT * FROM ({ALL_RULES_SQL}) ORDER BY achieved, name, server_id, scope, details"
+
+
+@query("cmp_report", REPORT_SQL)
+def _(t):
+    return C.cmp_report(all_rules(t))
+
+
+@query("cmp_score", f"""
+SELECT server_id, split_part(check_id, '.', 1) AS section, COUNT(*) FILTER (WHERE achieved) AS achieved_rules, COUNT(*) AS rules,
+  CAST(COUNT(*) FILTER (WHERE achieved) AS DOUBLE) * 100 / COUNT(*) AS pct FROM ({ALL_RULES_SQL}) GROUP BY 1, 2""")
+def _(t):
+    return C.cmp_score(all_rules(t))
+
+
+@query("run_compliance", REPORT_SQL)
+def _(t):
+    """The report by its one entry function."""
+    return reports.run_compliance({r: t(r) for r in reports.COMPLIANCE_ROLES}, AS_OF_EVENTS, PRESENCE)

@@ -362,22 +362,26 @@ def _(t):
 HEALTH_CHECKS = """hc_backup_user hc_backup_system hc_volume_warn hc_volume_critical hc_file_growth hc_login_failed hc_filegroup_full hc_system_task
 hc_failed_to_start hc_terminating_task hc_dispatcher hc_insufficient_memory hc_allocation_failure hc_jobs_disabled hc_agent_errors hc_jobs_failed hc_mail_failed
 hc_trace_errors hc_connections_peak hc_cpu_engine hc_cpu_other hc_deadlocks hc_unknown_activity hc_web_traffic hc_auto_close hc_auto_shrink
-hc_auto_create_stats hc_auto_update_stats hc_async_stats""".split()
+hc_auto_create_stats hc_auto_update_stats hc_async_stats hc_patch_level hc_operator_changed hc_mail_account_changed hc_mail_profile_changed hc_memory_low
+hc_cpu_pressure hc_recent_restart hc_disk_free_10gb hc_low_disk_percent hc_cert_expiring hc_cert_expired hc_service_stopped hc_patches_recent
+hc_patch_failed""".split()
 
 
 def health_sql() -> str:
     """All checks at one time, their highest severity per server of the inventory."""
-    parts = [QUERIES[k].oracle.replace(O, E).replace("AND name NOT IN ('job_9') ", "") for k in HEALTH_CHECKS]
+    parts = [QUERIES[k].oracle.replace(O, E).replace("AND name NOT IN ('job_9') ", "").replace(" AND subject ILIKE '%campus%'", "") for k in HEALTH_CHECKS]
     checks = " UNION ALL ".join(f"SELECT server_id, severity FROM ({p})" for p in parts)
     return f"""WITH worst AS (SELECT server_id, MAX(severity) AS s FROM ({checks}) GROUP BY 1)
 SELECT d.server_id, CASE WHEN s >= 2 THEN 'RED' WHEN s = 1 THEN 'YELLOW' ELSE 'GREEN' END AS status
-FROM (SELECT DISTINCT server_id FROM v_databases) d LEFT JOIN worst w ON w.server_id = d.server_id"""
+FROM (SELECT server_id FROM v_databases UNION SELECT server_id FROM v_servers) d LEFT JOIN worst w ON w.server_id = d.server_id"""
 
 
 @query("run_health", health_sql())
 def _(t):
     """Whole health report from its roles, one status per server."""
-    return reports.run_health({r: t(r) for r in reports.HEALTH_ROLES}, AS_OF_EVENTS)
+    given = {r: t(r) for r in reports.HEALTH_ROLES}
+    given |= {"version_map": version_map(t), "causes": literal_table(t.spark, CAUSES, "wait_type string, cause string")}
+    return reports.run_health(given, AS_OF_EVENTS, mail_accounts=["acct1", "acct2"], mail_profiles=["acct7"])
 
 
 # ---- logs ------------------------------------------------------------------
