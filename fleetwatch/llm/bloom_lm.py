@@ -5,8 +5,9 @@ bits of the hash; a count c is held as its level 1 + floor(log2 c), by storing t
 Probing level after level until one is missing gives the level back (never less, seldom more). The words' and the pairs'
 counts read this way give an interpolated probability of each word after the one before it.
 
-The filter never exceeds ``filter_bytes``, whatever the corpus: a segment grows with its n-grams up to its share, and
-beyond that keeps the most frequent ones that fit, so a larger corpus loses its rarest pairs first. The exact unigram base
+The filter holds every n-gram, whatever the corpus: a segment grows with its n-grams. As long as all segments together
+have at most ``filter_bytes``, the filter is broadcast. A larger one stays a table: the distinct n-grams of each block of
+tokens are dealt to their segments, and the levels found there go back to the block. The exact unigram base
 score needs no bound: counts of the most frequent words are broadcast (a bounded list), all other words meet their exact
 count in a shuffle by word. Words are compared by 63-bit hashes.
 """
@@ -16,11 +17,12 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -138,18 +140,15 @@ def _estimate(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (3 * low - 1) / 2, 0.0)
 
 
-def _build(batches: Iterator[pd.DataFrame], segment_bytes: int, listed: int) -> Iterator[pd.DataFrame]:
-    """Segments from rows (segment, h, n), frequent first inside a segment; then the most frequent words and totals."""
-    limit = segment_bytes * 8
-    now, keys, levels, used = -1, [], [], 0
+def _build(batches: Iterator[pd.DataFrame], listed: int) -> Iterator[pd.DataFrame]:
+    """Segments from rows (segment, h, n), sorted by segment; then the most frequent words and totals."""
+    now, keys, levels = -1, [], []
     top_h, top_n, types, tokens = np.empty(0, U), np.empty(0, np.int64), 0, 0
 
     def segment() -> pd.DataFrame:
         h, q = np.concatenate(keys), np.concatenate(levels)
         need = q.sum() * PROBES / FILL
-        bits = min(limit, 1 << max(6, math.ceil(math.log2(max(1, need)))))
-        keep = np.searchsorted(np.cumsum(q) * PROBES / FILL, bits, "right") if need > bits else len(h)
-        h, q = h[:keep], q[:keep]
+        bits = 1 << max(6, math.ceil(math.log2(max(1, need))))
         held = np.zeros(bits, np.uint8)
         for j in range(1, int(q.max(initial=0)) + 1):
             for at in _slots(h[q >= j], j, U(bits)):
@@ -175,11 +174,9 @@ def _build(batches: Iterator[pd.DataFrame], segment_bytes: int, listed: int) ->
             if of[lo] != now:
                 if now >= 0:
                     yield segment()
-                now, keys, levels, used = int(of[lo]), [], [], 0
-            if used <= limit:  # beyond, the segment is full of more frequent n-grams
-                keys.append(h[lo:hi])
-                levels.append(level[lo:hi])
-                used += int(level[lo:hi].sum()) * PROBES
+                now, keys, levels = int(of[lo]), [], []
+            keys.append(h[lo:hi])
+            levels.append(level[lo:hi])
     if now >= 0:
         yield segment()
     if len(top_h) > listed:
@@ -196,6 +193,7 @@ class Model:
     counts: np.ndarray
     tokens: int
     types: int
+    segments: DataFrame | None = None  # (h, n, data) of a filter that is too large to be broadcast; ``filter`` is then empty
 
     def log10(self, hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
         """log10 probability of each token after the token before it, from counts in the filter.
@@ -205,8 +203,10 @@ class Model:
         """
         both, place = np.unique(np.concatenate([hashes, before]), return_inverse=True)
         single = _estimate(self.filter.levels(word_keys(both)))[place]
-        own, context = single[: len(hashes)], single[len(hashes) :]
         pair = _estimate(self.filter.levels(pair_keys(before, hashes)))
+        return self.mixed(single[: len(hashes)], single[len(hashes) :], pair)
+
+    def mixed(self, own: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
         base = (own + 0.5) / (self.tokens + 0.5 * (self.types + 1))
         follow = np.minimum(1.0, pair / np.maximum(context, 1.0))
         weight = np.where(context > 0, WEIGHT, 0.0)
@@ -215,7 +215,7 @@ class Model:
 
 def fit(training: DataFrame, text: str = "text", filter_bytes: int = 64 << 20, common_words: int = 1 << 16) -> Model:
     """Model of all rows of ``training``; null texts are empty. The filter and the frequent words are all that is
-    collected: at most ``filter_bytes``, and about twice ``common_words`` rows."""
+    collected: at most ``filter_bytes``, and about twice ``common_words`` rows. A larger filter isn't collected."""
     spark = training.sparkSession
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -239,12 +239,13 @@ def fit(training: DataFrame, text: str = "text", filter_bytes: int = 64 << 20, c
     summed = counted.select(segment, "h", "n").repartition(partitions, "segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
     ordered = summed.sortWithinPartitions(F.col("segment"), F.col("n").desc(), F.col("h"))
     listed = max(64, 2 * common_words // partitions)
-    share = max(8, filter_bytes // SEGMENTS)
     built = ordered.select("segment", "h", "n").mapInPandas(
-        lambda it: _build(it, share, listed), "kind int, h long, n long, data binary"
+        lambda it: _build(it, listed), "kind int, h long, n long, data binary"
     )
     built = settled(built, "bloom-filter")
-    rows = built.where("kind = 0").select("h", "n", "data").toArrow()
+    segments = built.where("kind = 0").select("h", "n", "data")
+    large = (segments.agg(F.sum("n").alias("n")).first()["n"] or 0) > 8 * filter_bytes
+    rows = (segments.limit(0) if large else segments).toArrow()
     bits = np.zeros(SEGMENTS, U)
     for s, n in zip(rows["h"].to_pylist(), rows["n"].to_pylist(), strict=True):
         bits[s] = n
@@ -258,7 +259,80 @@ def fit(training: DataFrame, text: str = "text", filter_bytes: int = 64 << 20, c
     keys, counts = common["h"].to_numpy().astype(np.int64).view(U), common["n"].to_numpy().astype(np.int64)
     order = np.argsort(keys)
     total = built.where("kind = 2").agg(F.sum("h").alias("v"), F.sum("n").alias("n")).first()
-    return Model(Filter(data, starts, bits), keys[order], counts[order], total["n"] or 0, total["v"] or 0)
+    model = Model(Filter(data, starts, bits), keys[order], counts[order], total["n"] or 0, total["v"] or 0)
+    return replace(model, segments=segments if large else None)
+
+
+def _block_keys(hashes: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block's words, the words before them and their pairs, and the places of these three among them."""
+    previous = np.concatenate([np.array([before], U), hashes[:-1]])
+    return np.unique(
+        np.concatenate([word_keys(hashes), word_keys(previous), pair_keys(previous, hashes)]), return_inverse=True
+    )
+
+
+def _dealt_scores(blocks: DataFrame, probes: DataFrame, model: Model) -> DataFrame:
+    """(row, lm): sums of the log10 probabilities of each text in each block, with the filter's segments as a table.
+
+    ``blocks`` has (block, before, rows, lengths, hashes), ``probes`` (block, segment, data): a block's distinct keys there.
+    """
+    plain = replace(model, segments=None, filter=None, common=None, counts=None)
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = -1, None
+        for batch in batches:
+            segment, data = batch["segment"].to_numpy(), batch["data"].tolist()
+            block, bits = batch["block"].to_numpy(), batch["bits"].to_numpy()
+            out = []
+            cuts = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1, [len(segment)]])
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi > lo and segment[lo] != now:
+                    now, held = segment[lo], None
+                if hi > lo and bits[lo] > 0:  # the segment itself stands before its probes
+                    held = Filter(np.frombuffer(data[lo], np.uint8), np.zeros(SEGMENTS, U), np.full(SEGMENTS, bits[lo], U))
+                    lo += 1
+                if hi > lo:
+                    asked = np.frombuffer(b"".join(data[lo:hi]), U)
+                    level = held.levels(asked) if held else np.zeros(len(asked), np.int8)
+                    ends = np.cumsum([len(d) // 8 for d in data[lo:hi]])[:-1]
+                    out += zip(block[lo:hi], segment[lo:hi], [x.tobytes() for x in np.split(level, ends)], strict=True)
+            yield pd.DataFrame(out, columns=["block", "segment", "levels"])
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, tokens, parts = None, None, []
+
+        def scored() -> pd.DataFrame:
+            before, rows, lengths, hashes = tokens
+            hashes = np.frombuffer(hashes, U)
+            _, place = _block_keys(hashes, before & 0xFFFFFFFFFFFFFFFF)
+            own, context, pair = np.split(_estimate(np.frombuffer(b"".join(parts), np.int8))[place], 3)
+            lengths = np.frombuffer(lengths, np.int64)
+            of = np.repeat(np.arange(len(lengths)), lengths)
+            lm = np.bincount(of, plain.mixed(own, context, pair), minlength=len(lengths))
+            return pd.DataFrame({"row": np.frombuffer(rows, np.int64), "lm": lm})
+
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                if r.block != now:
+                    if tokens:
+                        yield scored()
+                    now, tokens, parts = r.block, (r.before, r.rows, r.lengths, r.hashes), []
+                else:
+                    parts.append(r.levels)
+        if tokens:
+            yield scored()
+
+    none = F.lit(None).cast("binary")
+    held = model.segments.select(F.col("h").cast("int").alias("segment"), F.lit(-1).cast("long").alias("block"), F.col("n").alias("bits"), "data")
+    asked = probes.select("segment", "block", F.lit(0).cast("long").alias("bits"), "data")
+    met = held.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "block")
+    found = met.mapInPandas(look, "block long, segment int, levels binary")
+    whole = blocks.select("block", F.lit(-1).alias("segment"), none.alias("levels"), "before", "rows", "lengths", "hashes")
+    found = found.select(
+        "block", "segment", "levels", F.lit(0).cast("long").alias("before"), none.alias("rows"), none.alias("lengths"), none.alias("hashes")
+    )
+    back = whole.unionByName(found).repartition("block").sortWithinPartitions("block", "segment")
+    return back.mapInPandas(gather, "row long, lm double")
 
 
 def score(docs: DataFrame, model: Model, held_out: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -269,16 +343,33 @@ def score(docs: DataFrame, model: Model, held_out: str, text: str = "text", key:
     the number of times each text has it; the training texts' numbers there add up to its exact count.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(replace(model, segments=None))
+    dealt = model.segments is not None
     tokens, types = model.tokens, model.types
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(held_out).alias("held"), F.col(text).alias("text"),
         F.col(key).cast("string").alias("key"),
     )
     schema = "h long, row long, n int, trained boolean, doc struct<key string, held boolean, n long, known long, base double, lm double>"
+    more = "block long, segment int, data binary, before long, rows binary, lengths binary, hashes binary"
+    blank = dict.fromkeys([c.split(" ")[0] for c in f"{schema.split(', doc')[0]}, doc x, {more}".split(", ")])
+
+    def block_rows(block: int, ids: np.ndarray, hashes: np.ndarray, own: np.ndarray, before: int) -> Iterator[pd.DataFrame]:
+        """A block's tokens, and its distinct keys by segment."""
+        lengths = np.bincount(own, minlength=len(ids)).astype(np.int64)
+        yield pd.DataFrame([blank | {
+            "block": block, "before": np.array([before], U).view(np.int64)[0], "rows": ids.astype(np.int64).tobytes(),
+            "lengths": lengths.tobytes(), "hashes": hashes.tobytes(),
+        }])
+        keys, _ = _block_keys(hashes, before)
+        segment = (keys >> U(64 - SEGMENT_BITS)).astype(np.int32)
+        start = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1])
+        data = [k.tobytes() for k in np.split(keys, start[1:])]
+        yield pd.DataFrame(blank | {"block": block, "segment": segment[start], "data": data})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.value
+        block = TaskContext.get().partitionId() << 33
         for batch in batches:
             ids, held = batch["row"].to_numpy(), batch["held"].to_numpy()
             n = np.zeros(len(batch), np.int64)
@@ -287,7 +378,11 @@ def score(docs: DataFrame, model: Model, held_out: str, text: str = "text", key:
                 width = int(own[-1]) + 1
                 span = slice(first, first + width)
                 n[span] += np.bincount(own, minlength=width)
-                lm[span] += np.bincount(own, model.log10(hashes, before), minlength=width)
+                if dealt:
+                    yield from block_rows(block, ids[span], hashes, own, int(before[0]))
+                    block += 1
+                else:
+                    lm[span] += np.bincount(own, model.log10(hashes, before), minlength=width)
                 keys = word_keys(hashes)
                 at = np.searchsorted(model.common, keys)
                 at[at == len(model.common)] = 0
@@ -303,23 +398,32 @@ def score(docs: DataFrame, model: Model, held_out: str, text: str = "text", key:
                 start = np.flatnonzero(new)
                 times = np.diff(np.append(start, len(rare_h)))
                 where = rare_own[start] + first
-                yield pd.DataFrame({
+                yield pd.DataFrame((blank if dealt else {}) | {
                     "h": rare_h[start].view(np.int64), "row": ids[where], "n": times.astype(np.int32),
                     "trained": ~held[where].astype(bool), "doc": None,
                 })
             doc = pd.DataFrame({"key": batch["key"], "held": held.astype(bool), "n": n, "known": known, "base": base, "lm": lm})
-            yield pd.DataFrame({
+            yield pd.DataFrame((blank if dealt else {}) | {
                 "h": ids * 2, "row": ids, "n": 0, "trained": False, "doc": doc.to_dict("records"),
             })
 
-    met = rows.mapInPandas(run, schema)
+    if dealt:  # written once, so that all parts see the same row numbers
+        made = settled(rows.mapInPandas(run, f"{schema}, {more}"), "bloom-probes")
+        met = made.where("block IS NULL").select("h", "row", "n", "trained", "doc")
+        blocks, probes = made.where("hashes IS NOT NULL"), made.where("segment IS NOT NULL")
+    else:
+        met = rows.mapInPandas(run, schema)
     count = F.sum(F.when(F.col("trained"), F.col("n")).otherwise(0)).over(Window.partitionBy("h"))
     met = met.withColumn("c", count)
+    met = met.withColumn("lm", F.col("doc.lm"))
+    if dealt:
+        scores = _dealt_scores(blocks, probes, model)
+        met = met.unionByName(scores.withColumns({"n": F.lit(0), "c": F.lit(0).cast("long")}), allowMissingColumns=True)
     word = F.col("doc").isNull()
     whole = met.groupBy("row").agg(
         F.sum(F.when(word, F.col("n") * F.log10(F.col("c") + 0.5)).otherwise(0.0)).alias("rare"),
         F.sum(F.when(word & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("found"),
-        F.first("doc", ignorenulls=True).alias("doc"),
+        F.sum("lm").alias("lm"), F.first("doc", ignorenulls=True).alias("doc"),
     )
     scale = math.log10(tokens + 0.5 * (types + 1))
     return whole.select(
@@ -327,5 +431,5 @@ def score(docs: DataFrame, model: Model, held_out: str, text: str = "text", key:
         F.col("doc.n").alias("n_tokens"), (F.col("doc.known") + F.col("found")).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("doc.base") + F.col("rare") - F.col("doc.n") * F.lit(scale)).alias("base_score"),
-        F.col("doc.lm").alias("score"),
+        F.col("lm").alias("score"),
     )

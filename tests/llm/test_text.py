@@ -194,6 +194,18 @@ def test_model_beats_unigrams_and_bounds_its_filter(spark, empty):
     assert bloom_lm.score(empty.withColumn("held", F.lit(True)), none, "held").count() == 0
 
 
+def test_a_filter_beyond_the_bound_keeps_every_ngram(spark):
+    rows = [(i, " ".join(f"w{i}x{j} the" if j % 3 else f"v{j}" for j in range(300)) if i % 50 else None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held", F.col("doc_id") % 5 == 1)
+    docs = docs.unionByName(docs.where("doc_id < 9"))
+    large, small = (bloom_lm.fit(docs.where("not held"), filter_bytes=n) for n in (64 << 20, 4096))
+    want, got = (
+        sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in bloom_lm.score(docs, m, "held").collect())
+        for m in (large, small)
+    )
+    assert got == want and len(got) == 209
+
+
 def test_tokens_in_blocks(monkeypatch):
     texts = [prose(1, "en", 300), None, "", "One two", prose(2, "de", 250)]
     def gather():
