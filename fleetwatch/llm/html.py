@@ -27,26 +27,29 @@ INLINE = (
     "strike strong sub sup time tt u var wbr br"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-SKIPPED = "head nav footer aside form dialog menu".split()
+SKIPPED = "head nav footer aside dialog menu".split()
 HINTS = (
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline-share comment comments commentlist "
     "consent cookie cookies copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
     "notice notification notifications pager pagination paywall popup promo promotion recommended related replies respond "
     "share sharing sidebar signup site-header site-footer skip-link social sponsor sponsored subscribe tags toolbar widget"
 ).split()
+LAYOUT = "area bar block box buttons container inner item items link links list message panel section slot unit wrap wrapper".split()
 ROLES = "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 FENCES = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "blockquote", "body", "html", "aside", "nav", "footer", "header", "form"}
 RATIO = 0.25
 MOST = 0.8
+WRAPS = 0.5  # share of the page's text from which a form, or a labelled element around an article, is a wrapper
+WHOLE = 0.95  # share from which any other labelled element is
 
-_RAW = "|".join(RAW)
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|[^\"'>])*+|[^>]*+)>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
@@ -58,6 +61,10 @@ class Node:
     skipped: bool
     content: bool = False  # an article or main element, or inside one
     chars: int = 0
+    labelled: bool = False  # a form, or named boilerplate by class, id or role
+    around: bool = False  # holds an article or main element
+    size: int = 0
+    dropped: bool | None = None
 
 
 @dataclass
@@ -68,24 +75,64 @@ class Block:
     text: str = ""
 
 
+def _hint(name: str) -> bool:
+    """A whole class or id name that is a hint, or is made of hints and words of layout alone (cookie-notice, ad-slot)."""
+    parts = re.split(r"[-_]", name)
+    return name in HINTS or (not set(parts).isdisjoint(HINTS) and set(parts) <= {*HINTS, *LAYOUT})
+
+
 def _open(tag: str, attributes: str, parent: Node) -> Node:
-    names, hidden = [], False
-    if attributes:
-        for kind, *values in ATTRIBUTE.findall(attributes):
-            value = next((v for v in values if v), "")
-            if kind.lower() == "hidden":
-                hidden = True
-            elif kind.lower() == "role":
-                hidden |= value.lower() in ROLES
-            else:
-                names += value.lower().split()
+    names, hidden, labelled, seen = [], False, False, set()
+    for kind, *values in ATTRIBUTE.findall(attributes or ""):
+        kind, value = kind.lower(), next((v for v in values if v), "")
+        if kind in seen:
+            continue
+        seen.add(kind)
+        if kind == "hidden":
+            hidden = True
+        elif kind == "role":
+            labelled |= value.lower() in ROLES
+        elif kind in ("class", "id"):
+            names += value.lower().split()
     content = parent.content or tag in ("article", "main")
-    words = {w for n in names for w in (n, *re.split(r"[-_]", n))}
-    boiler = tag in SKIPPED or (tag == "header" and not content) or hidden
+    skipped = tag in SKIPPED or (tag == "header" and not content) or hidden
     if tag not in ("html", "body", "article", "main"):
-        boiler |= not words.isdisjoint(HINTS) and not (content and words & set(HINTS) <= {"header"})
+        labelled |= tag == "form" or any(_hint(n) and not (content and n == "header") for n in names)
+    else:
+        labelled = False
     step = tag + "".join(f".{n}" for n in sorted(names))
-    return Node(tag, f"{parent.path}>{step}", parent, parent.skipped or boiler, content)
+    if tag in ("article", "main"):
+        above = parent
+        while above and not above.around:
+            above.around, above = True, above.parent
+    return Node(tag, f"{parent.path}>{step}", parent, parent.skipped or skipped, content, labelled=labelled)
+
+
+def _drop(blocks: list[Block]) -> list[Block]:
+    """Blocks outside labelled elements, where an element that holds most of the page's text is no boilerplate."""
+    total = 0
+    for b in blocks:
+        total += len(b.text)
+        node = b.node
+        while node:
+            node.size += len(b.text)
+            node = node.parent
+
+    def dropped(node: Node | None) -> bool:
+        way = []
+        while node and node.dropped is None:
+            way.append(node)
+            node = node.parent
+        found = bool(node and node.dropped)
+        for node in reversed(way):
+            if node.labelled and not found:
+                inside = node.parent.content
+                wraps = (node.tag == "form" or node.around) and node.size >= WRAPS * total
+                found = inside or not (wraps or node.size >= WHOLE * total)
+            node.dropped = found
+        return found
+
+    return [b for b in blocks if not dropped(b.node)]
 
 
 def _blocks(page: str) -> list[Block]:
@@ -117,19 +164,30 @@ def _blocks(page: str) -> list[Block]:
             if links:
                 block.linked += len(text)
 
-    for token in TOKEN.finditer(page):
+    endless = set()  # raw elements that nothing ends any more
+    while token := TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
-        tag = (token[3] or "").lower()
+        tag = (token[2] or "").lower()
         if not tag:
             continue
+        if tag in ENDS:
+            if not token[1]:
+                last = None if tag in endless else ENDS[tag].search(page, at)
+                if last:
+                    at = last.end()
+                elif tag in ("script", "style"):
+                    at = len(page)
+                else:
+                    endless.add(tag)
+            continue
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links + (-1 if token[2] else 1))
+                links = max(0, links + (-1 if token[1] else 1))
             elif tag == "br":
                 add(" ")
             continue
-        if token[2]:
+        if token[1]:
             if tag in VOID:
                 continue
             close({tag}, set())
@@ -137,7 +195,7 @@ def _blocks(page: str) -> list[Block]:
             close({"p"}, FENCES)
             if tag in CLOSED_BY:
                 close(CLOSED_BY[tag], FENCES)
-            open_.append(_open(tag, token[4], open_[-1]))
+            open_.append(_open(tag, token[3], open_[-1]))
             if tag in ("article", "body", "div", "p"):
                 links = 0
         end()
@@ -148,7 +206,7 @@ def _blocks(page: str) -> list[Block]:
 
 def main_text(page: str | None) -> str:
     """Main text of one page; empty for null, empty or text-free pages."""
-    blocks = [b for b in _blocks(page or "") if not b.node.skipped]
+    blocks = _drop([b for b in _blocks(page or "") if not b.node.skipped])
     if not blocks:
         return ""
     kinds: dict[str, list[float]] = defaultdict(lambda: [0, 0, 0, 0])  # blocks, characters, punctuation, linked characters

@@ -105,6 +105,22 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article style='overflow:hidden' title='hidden' aria-hidden='false' data-role='banner'>{ARTICLE}</article>",
+        *(f"<body><div class='{c}'><article>{ARTICLE}</article></div></body>" for c in ("page has-sidebar", "no-sidebar", "header-fixed")),
+        *(f"<body><div class='{c}'><div>{ARTICLE}</div></div></body>" for c in ("post category-social", "page sidebar", "x' role='form")),
+        f"<body><form action='/x'><div class='ad'>Buy.</div><div>{ARTICLE}</div></form></body>",
+        f"<body><form id='f'><article>{ARTICLE}</article><form class='search'><p>Find.</p></form></form></body>",
+        f"<body><select><article>{ARTICLE}</article></body>",
+        f"<body><article>{ARTICLE}</article><p hidden>Some words, hidden.</p><style>p {{}}<p>More.</p></body>",
+    ],
+)
+def test_labels_of_wrappers_lose_no_article(page):
+    assert html.main_text(page) == TEXT
+
+
 def test_main_text_without_article_element():
     body = "".join(f"<p>Paragraph {i}, which has some words, and ends here.</p>" for i in range(8))
     links = "".join(f"<li><a href='/{i}'>Entry {i}</a></li>" for i in range(20))
