@@ -3,9 +3,10 @@
 A page is cut into blocks of text; each has the path of open block elements (tag and classes) from the root. All blocks of
 one path are one kind: its ratio is text length per block, raised by punctuation per block and lowered by linked text.
 Ratios are smoothed with the ratio of everything under the same parent path, fused into one score, and paths above a
-share of the page's text-weighted mean score are content. Their blocks point to the content nodes (an article or main
-element that holds such blocks, else the deepest element with most of their text); the result is all text of these nodes
-outside elements that name themselves boilerplate, so short lines, headings and lists of the article stay.
+share of the page's text-weighted mean score are content. The weight of their blocks decides between the article and main
+elements (with a bonus) and the deepest element with most of the other text. The result is the text of the nodes so
+chosen, without paths of low ratio that are mostly linked and without labelled boilerplate, so short lines, headings
+and lists of the article stay. An element is labelled by its class or id (hints), its role, or as a form.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 FENCES = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "blockquote", "body", "html", "aside", "nav", "footer", "header", "form"}
 RATIO = 0.25
 MOST = 0.8
+BONUS = 2.0  # weight of text inside article and main elements
+LINKED = 0.5
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 WRAPS = 0.5  # share of the page's text from which a form, or a labelled element around an article, is a wrapper
 WHOLE = 0.95  # share from which any other labelled element is
 
@@ -229,8 +233,17 @@ def main_text(page: str | None) -> str:
     total = sum(k[1] for k in kinds.values())
     mean = sum(scores[p] * k[1] for p, k in kinds.items()) / total
     chosen = [b for b in blocks if scores[b.node.path] >= RATIO * mean]
-    if any(b.node.content for b in chosen):
+    notes = {p for p, k in kinds.items() if k[3] >= LINKED * k[1] and ratio(k) < RATIO * mean}
+    blocks = [b for b in blocks if b.node.tag in HEADINGS or b.node.path not in notes]
+    weight = [0.0, 0.0]
+    for b in chosen:
+        weight[b.node.content] += len(b.text) * (1 - min(b.linked, len(b.text)) / len(b.text))
+    content = bool(weight[1]) and BONUS * weight[1] >= weight[0]
+    if content:
         return "\n\n".join(b.text for b in blocks if b.node.content)
+    outside = [b for b in chosen if not b.node.content]
+    if weight[0]:
+        chosen, blocks = outside, [b for b in blocks if not b.node.content]
     held = 0
     for b in chosen:
         held += len(b.text)

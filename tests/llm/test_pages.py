@@ -121,6 +121,25 @@ def test_labels_of_wrappers_lose_no_article(page):
     assert html.main_text(page) == TEXT
 
 
+BODY = "".join(f"<p>Paragraph {i} of the story, which has some words, and ends here.</p>" for i in range(9))
+STORY = "\n\n".join(f"Paragraph {i} of the story, which has some words, and ends here." for i in range(9))
+CARDS = "".join(f"<article><h3><a href='/{i}'>Teaser {i}</a></h3><p>A short teaser, of one line.</p></article>" for i in range(3))
+LINKS = "".join(f"<li><a href='/{i}'>Another page {i}</a></li>" for i in range(12))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='post'>{BODY}</div><div class='more'>{CARDS}</div></body>",
+        f"<body><div class='more'>{CARDS}</div><div class='wrap'><div class='post'>{BODY}</div>{CARDS}</div></body>",
+        f"<body><article>{BODY}<ul>{LINKS}</ul></article></body>",
+        f"<body><div class='x'><p>A line outside.</p></div><main>{BODY}</main></body>",
+    ],
+)
+def test_weight_of_text_picks_the_content(page):
+    assert html.main_text(page) == STORY
+
+
 def test_main_text_without_article_element():
     body = "".join(f"<p>Paragraph {i}, which has some words, and ends here.</p>" for i in range(8))
     links = "".join(f"<li><a href='/{i}'>Entry {i}</a></li>" for i in range(20))
