@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fleetwatch.llm import langid, lines, mix, pieces, simhash
 from fleetwatch.llm.common import where_computed
 from fleetwatch.llm.queries import language_model, piece_file, table
-from fleetwatch.session import work_path
+from fleetwatch.session import settled, work_path
 
 MIN_SCORE = 0.5
 WORK = "#work"
@@ -46,12 +45,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component; of rows that repeat it, the first by text."""
-    found = simhash.near_duplicates(docs).select(F.col("doc_id").alias("#id"), F.col("component_id").alias("#component"))
-    first = found.where(F.col("`#id`").eqNullSafe(F.col("`#component`"))).select("`#id`").distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("`#id`"))).select(*_columns(docs))
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_last() for c in ("text", "source", "lang")])
-    return kept.withColumn(WORK, F.row_number().over(order)).where(F.col(f"`{WORK}`") == 1).drop(WORK)
+    """Keeps one row of each component: the one with the smallest doc_id (null last), of equal ones the first by text.
+
+    A row is known by its fingerprint's component, never by its doc_id, which may be null or repeat.
+    """
+    first = ["doc_id", "text", "source", "lang"]
+    order = [f for c in first for f in (F.col(c).isNull().alias(f"#no_{c}"), F.col(c).alias(f"#{c}"))]
+    rest = [F.col(f"`{c}`").alias(f"#{c}") for c in docs.columns if c not in first]
+    prints = docs.select(simhash.fingerprint(F.col("text")).alias("fp"), F.struct(*order, *rest).alias("row"))
+    least = settled(prints.groupBy("fp").agg(F.min("row").alias("row")), "pipeline-least")
+    roots = settled(simhash.components(simhash.near_links(least.select("fp"))), "pipeline-roots")
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
+    met = least.join(linked, F.col("fp") == F.col("node"))
+    kept = met.groupBy("root").agg(F.min(F.struct("row", "fp")).alias("best")).select("root", F.col("best.fp").alias("kept"))
+    losers = settled(linked.join(kept, "root").where("node <> kept").select("node"), "pipeline-losers")
+    left = least.join(losers, F.col("fp") == F.col("node"), "left_anti")
+    return left.select(*[F.col(f"row.`#{c}`").alias(c) for c in docs.columns])
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import corpus_pipeline
 from fleetwatch.llm import ann, langid, lines, simhash
 from fleetwatch.llm.common import where_computed
 from fleetwatch.llm.queries import ORACLES, QUERIES, language_model
+from tests.llm.conftest import TYPES, prose
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "vec_id long, embedding array<double>, label int"
@@ -125,6 +126,20 @@ def test_stages_act_on_their_decisions(spark, docs):
     assert ids(corpus_pipeline.dedup_stage(spark, docs, SF)) == firsts
 
 
+def test_dedup_keeps_one_row_of_each_text(spark):
+    ids = [None] * 20 + [7] * 10 + list(range(100, 110))
+    texts = [prose(i, ("en", "fr", "de")[i % 3], 80) for i in range(len(ids))]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts, strict=True)]
+    copies = [(None, texts[3], "de", "s", 1), (500, texts[4], "en", "s", 1), (100, texts[35], "en", "s", 1), (7, texts[22], "en", "s", 1)]
+    table = spark.createDataFrame(rows + copies, TYPES)
+    assert simhash.near_duplicates(table).select("fingerprint").distinct().count() == len(texts)
+    out = corpus_pipeline.dedup_stage(spark, table, SF)
+    assert out.columns == table.columns
+    kept = Counter((r.doc_id, r.text) for r in out.collect())
+    want = dict(zip(texts, ids, strict=True)) | {texts[4]: 500, texts[35]: 100}
+    assert kept == Counter((i, t) for t, i in want.items())
+
+
 def test_stages_on_odd_rows(spark, odd, clashing, empty):
     for table in (odd, clashing, empty):
         for name, stage in corpus_pipeline.STAGES:
