@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch.llm.common import WORD, uniform
+from fleetwatch.plans.ordering import rank_in_group
 from fleetwatch.session import settled, work_path
 
 CHUNK = 4096
@@ -96,8 +97,9 @@ def mix_copies(
 ) -> DataFrame:
     """Whole copies of every document: (doc_id, source, size, source_size, target, copies, taken).
 
-    Null text has size 0; documents of size 0 are taken 0 times, as are all of a source of size 0. Rows that repeat key,
-    source and size are one unit while rounding and share their copies. Draws come from hashes, so reruns agree.
+    Null text has size 0; documents of size 0 are taken 0 times, as are all of a source of size 0. Of n rows that repeat
+    key, source and size, floor(n p) get one more copy for certain, and the rest of n p is rounded as that of one row.
+    Draws come from hashes, so reruns agree.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(source).cast("string").alias("source"), size.alias("size"))
@@ -117,7 +119,7 @@ def mix_copies(
     whole = F.when(F.col("size") > 0, F.floor(F.col("ratio") + EXACT)).otherwise(0).cast("long")
     part = F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("ratio") - whole)).otherwise(0.0)
     fields = (
-        "key string, source string, size long, rows long, source_size long, target double, units long, base long, "
+        "key string, source string, size long, rows long, source_size long, target double, units long, base long, sure long, "
         "p double, u double, chunk long"
     )
     names = [f.split(" ")[0] for f in fields.split(", ")]
@@ -128,11 +130,11 @@ def mix_copies(
         return df.withColumns({"u": draw, "chunk": F.pmod(lot, F.ceil(left / F.lit(float(CHUNK))).cast("long"))}).select(*names)
 
     def step(frame: pd.DataFrame) -> pd.DataFrame:
-        weight = frame["size"] * frame["rows"]
-        out = _pivot(frame.assign(_size=frame["size"], size=weight))
-        return out.assign(size=out.pop("_size"))[names]
+        return _pivot(frame)[names]
 
-    start = units.withColumns({"base": whole, "p": part})
+    start = units.withColumns({"base": whole, "all": F.col("rows") * part})
+    start = start.withColumn("sure", F.floor(F.col("all") + EXACT).cast("long"))
+    start = start.withColumn("p", F.greatest(F.lit(0.0), F.col("all") - F.col("sure"))).drop("all")
     open_ = (F.col("p") > EXACT) & (F.col("p") < 1 - EXACT)
     done = start.where(~open_)
     todo = dealt(start.where(open_), F.col("units"), 0)
@@ -158,9 +160,10 @@ def mix_copies(
     out = closed[0]
     for more in closed[1:]:
         out = out.unionByName(more)
-    copies = (F.col("base") + F.round("p").cast("long")).alias("copies")
-    out = out.select("key", "source", "size", "source_size", "target", "rows", copies)
+    more = (F.col("sure") + F.round("p").cast("long")).alias("more")  # rows with one more copy
+    out = out.select("key", "source", "size", "source_size", "target", "rows", "base", more)
     out = out.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    out = out.withColumn("copies", F.col("base") + (F.col("_row") <= F.col("more")).cast("long"))
     return out.select(
         F.col("key").cast(docs.schema[key].dataType).alias("doc_id"), "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"),
@@ -168,11 +171,15 @@ def mix_copies(
 
 
 def apply_mix(docs: DataFrame, copies: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """The documents as the mix takes them: each row as often as it has copies, all its columns kept."""
+    """The documents as the mix takes them: each row as often as it has copies, all its columns kept.
+
+    Rows that share key, source and size but not their copies are numbered in the order of their columns.
+    """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    plan = copies.select(
-        F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
-    ).where("_copies > 0").distinct()
+    plan = copies.groupBy(F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
+        F.min("copies").alias("_copies"), (F.sum("copies") - F.count(F.lit(1)) * F.min("copies")).alias("_more")
+    )
+    plan = settled(plan.where("_copies > 0 OR _more > 0"), "mix-plan")
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"),
         F.col(source).cast("string").alias("source"), size.alias("words"),
@@ -182,5 +189,12 @@ def apply_mix(docs: DataFrame, copies: DataFrame, text: str = "text", source: st
         & F.col("source").eqNullSafe(F.col("_source"))
         & (F.col("words") == F.col("_size"))
     )
-    copied = marked.join(plan, same).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    met = marked.join(plan.where("_more = 0"), same).select("row", "_copies")
+    uneven = plan.where("_more > 0")
+    if not uneven.isEmpty():
+        parts = marked.join(uneven, same).select("row", "_key", "_source", "_size", "_copies", "_more")
+        parts = parts.withColumn("_tie", F.monotonically_increasing_id())
+        parts = rank_in_group(parts, ["_key", "_source", "_size"], ["row", "_tie"], "_rank")
+        met = met.unionByName(parts.select("row", (F.col("_copies") + (F.col("_rank") <= F.col("_more")).cast("long")).alias("_copies")))
+    copied = met.where("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return copied.select(*[F.col(f"row.`{c}`") for c in docs.columns])

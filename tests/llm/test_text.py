@@ -307,6 +307,21 @@ def test_mix_tree_keeps_words_and_expectations(spark, monkeypatch):
     assert abs(small["copies"].mean() - large["copies"].mean()) < 0.3  # size does not decide
 
 
+def test_rows_that_share_a_key_meet_the_target(spark):
+    rows = [(None, f"w{i} " * 10, "a") for i in range(101)] + [(i, "w " * (5 + i % 7), f"{'abc'[i % 3]}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = mix.mix_copies(docs)
+    out = copies.toPandas()
+    for _, g in out.groupby("source"):
+        assert abs(g["taken"].sum() - g["target"].iloc[0]) <= 11
+    taken = mix.apply_mix(docs, copies)
+    assert taken.count() == out["copies"].sum()
+    shared = out[out["doc_id"].isna()]["copies"]
+    assert 0 < (shared == shared.max()).sum() < 101  # some rows have one more copy than others
+    counts = Counter(r.text for r in taken.where("doc_id is null").collect())
+    assert sum(counts.values()) == shared.sum() and set(counts.values()) <= set(shared)
+
+
 def test_apply_mix_repeats_rows(spark, odd):
     copies = mix.mix_copies(odd)
     out = mix.apply_mix(odd, copies)
