@@ -57,6 +57,20 @@ def test_recall_on_a_tree(spark):
     assert all(exact.get((q, i), s) == pytest.approx(s, abs=1e-12) for q in got for i, s in got[q])
 
 
+def test_recall_with_production_parameters(spark):
+    df = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").select("vec_id", "embedding")
+    table = df.toPandas()
+    ids, x = table["vec_id"].to_numpy(), np.array(table["embedding"].tolist(), float)
+    got = ann.nearest(df, "vec_id % 20 = 0").select("query_id", "vec_id").toPandas().groupby("query_id")["vec_id"].agg(set)
+    asked = np.random.default_rng(0).choice(np.flatnonzero(ids % 20 == 0), 500, replace=False)
+    found = []
+    for i in asked:
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        found.append(len(set(ids[np.argpartition(-scores, 20)[:20]].tolist()) & got[ids[i]]) / 20)
+    assert np.mean(found) >= 0.96
+
+
 def test_ties_go_to_the_smaller_id(spark):
     rows = [(i, [1.0, 0.1, 3.3], 0) for i in range(100)] + [(200 + i, [float(i), 1.0, 0.0], 0) for i in range(50)]
     got = answers(ann.nearest(spark.createDataFrame(rows, SCHEMA), "vec_id % 20 = 0"))
