@@ -122,8 +122,8 @@ def mnt_plan_order(plan: DataFrame, mode: str = "LIST") -> DataFrame:
 
 
 def mnt_time_budget(plan: DataFrame, seconds: float, cost: str = "est_seconds") -> DataFrame:
-    """Work may start while the time used by earlier work is below the limit."""
-    used = running_sum(plan, "plan_order", cost, "used_seconds")
+    """Work may start while the time used by earlier work on the same server is below the limit."""
+    used = running_sum(plan, ["server_id"], ["plan_order"], cost, "used_seconds")
     return used.withColumn("start_allowed", (F.col("used_seconds") - F.col(cost)) < seconds)
 
 

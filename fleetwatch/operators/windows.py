@@ -71,12 +71,12 @@ def plan_sort(mode: str) -> list[Column]:
 
 
 def win_plan_order(inventory: DataFrame, mode: str = "LIST") -> DataFrame:
-    """Position of each database in the work plan."""
-    return rank_in_group(inventory, [], plan_sort(mode), "plan_order")
+    """Position of each database in the work plan of its server."""
+    return rank_in_group(inventory, ["server_id"], plan_sort(mode), "plan_order")
 
 
 def win_object_order(objects: DataFrame) -> DataFrame:
-    """Resumable work first, then list position, schema, object, indexes before statistics, and so on."""
+    """Work order within a server: resumable first, then list position, schema, object, indexes before statistics, and so on."""
     order = [
         F.coalesce(F.col("resumable"), F.lit(False)).desc(),
         F.col("start_position").asc(),
@@ -88,7 +88,7 @@ def win_object_order(objects: DataFrame) -> DataFrame:
         F.col("statistics_name").asc(),
         F.col("partition_number").asc(),
     ]
-    return rank_in_group(objects, [], order, "plan_order")
+    return rank_in_group(objects, ["server_id"], order, "plan_order")
 
 
 def win_action_priority(df: DataFrame, spec_col: str, group_col: str, delimiter: str = ",") -> DataFrame:

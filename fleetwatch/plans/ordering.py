@@ -7,10 +7,11 @@ holding a third of all rows is spread like any other range of keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from fleetwatch.session import settled, work_path
 
@@ -21,179 +22,94 @@ def _sort_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc() if isinstance(o, str) else o for o in order]
 
 
-def largest_group(df: DataFrame, groups: Sequence[str | Column]) -> int:
-    """Rows of the largest group, from a pre-aggregated count."""
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.agg(F.max("_n")).first()[0] or 0
+def ranges(df: DataFrame, keys: Sequence[Column], name: str = "ranged") -> DataFrame:
+    """The rows in sorted ranges, written once: ``_part`` is a row's range and ``_pos`` its place in it.
+
+    Range borders come from a sample of the keys, so a group of any size is spread over as many ranges as its share of
+    the rows.  Rows that agree in all keys stay together: ``keys`` should end in a unique one.  What is read later sees
+    the same ranges even when executors are lost, and reads only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    ranged.write.parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    place = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    return stored.withColumns({"_part": F.shiftright("_mid", _LOCAL_BITS), "_pos": place}).drop("_mid")
 
 
-def rank_in_group(
-    df: DataFrame,
-    groups: Sequence[str],
-    order: Sequence[str | Column],
-    out: str,
-    max_rows: int = 1_000_000,
+def _with_carry(
+    stored: DataFrame, rows: DataFrame, groups: Sequence[str], total: Column, carry: Callable[[WindowSpec], Column]
 ) -> DataFrame:
-    """``row_number() over (partition by groups order by order)`` without a huge task.
-
-    When a count proves every group to hold at most ``max_rows`` rows, the plain
-    window is used.  Beyond that the rows are ranked by range partitions: the
-    sorted ranges are written to the shared folder, so both passes (counts, then
-    numbers) see the same ranges even when executors are lost, and the first
-    pass reads only the group columns.  ``order`` must end in a unique key to
-    make the numbering stable and to let the ranges split ties.
+    """Adds to ``rows`` the first place ``_first`` of the row's group in its range, and ``_carry`` from the ranges before.
+
+    One row per (range, group) is all that crosses range borders: at most one per range plus one per group.
     """
-    if largest_group(df, groups) <= max_rows:
-        w = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*_sort_columns(order))
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    spark = df.sparkSession
-    keys = [F.col(g).asc() for g in groups] + _sort_columns(order)
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    path = work_path(spark, "ranged")
-    ranged.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
-    stored = spark.read.parquet(path)
-    tagged = stored.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    )
-    # One row per (range, group): at most one per range plus one per group.
-    pieces = tagged.groupBy("_part", *groups).agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = (
-        Window.partitionBy(*(groups or [F.lit(0)]))
-        .orderBy("_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = settled(
+    pieces = stored.groupBy("_part", *groups).agg(F.min("_pos").alias("_first"), total.alias("_total"))
+    along = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_part")
+    side = settled(
         pieces.select(
-            F.col("_part").alias("_op"),
-            *[F.col(g).alias(f"_o_{g}") for g in groups],
-            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+            F.col("_part").alias("_op"), *[F.col(g).alias(f"_o_{g}") for g in groups], "_first", carry(along).alias("_carry")
         ),
-        "offsets",
+        "carried",
     )
     cond = F.col("_part") == F.col("_op")
     for g in groups:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    return (
-        tagged.join(offsets, cond)
-        .withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("bigint"))
-        .select(*df.columns, out)
-    )
+    return rows.join(side, cond)
 
 
-def running_sum(df: DataFrame, position: str, value: str, out: str, block: int = 100_000) -> DataFrame:
-    """Running sum of ``value`` over a dense ``position`` (1..n).
+def _earlier(along: WindowSpec) -> WindowSpec:
+    return along.rowsBetween(Window.unboundedPreceding, -1)
 
-    Rows are summed inside blocks of ``block`` positions; only one total per
-    block crosses block borders.
+
+def rank_in_group(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], out: str) -> DataFrame:
+    """``row_number() over (partition by groups order by order)`` without a huge task, by one plan at every size.
+
+    Rows are numbered inside sorted ranges; the counts of the ranges before are added.  ``order`` must end in a unique
+    key to make the numbering stable and to let the ranges split ties.
     """
-    blocked = df.withColumn("_block", F.floor((F.col(position) - 1) / block))
-    totals = blocked.groupBy(F.col("_block").alias("_tb")).agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("_tb", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
-    inside = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        blocked.withColumn("_inner", F.sum(value).over(inside))
-        .join(carried, F.col("_block") == F.col("_tb"))
-        .withColumn(out, F.col("_inner") + F.col("_carry"))
-        .drop("_block", "_tb", "_inner", "_carry")
-    )
+    stored = ranges(df, [F.col(g).asc() for g in groups] + _sort_columns(order))
+    met = _with_carry(stored, stored, groups, F.count(F.lit(1)), lambda w: F.sum("_total").over(_earlier(w)))
+    rank = F.coalesce("_carry", F.lit(0)) + F.col("_pos") - F.col("_first") + 1
+    return met.withColumn(out, rank.cast("bigint")).select(*df.columns, out)
 
 
-def _slice_unit(df: DataFrame, keys: Sequence[str], time: str, max_rows: int) -> str | None:
-    """Coarsest time unit whose fullest (key, unit) slice stays below ``max_rows``.
+def running_sum(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], value: str, out: str) -> DataFrame:
+    """``sum(value) over (partition by groups order by order rows up to the current)`` in two levels.
 
-    None when whole keys stay below it.
+    Sums run inside (range, group); only one total of each crosses range borders.
     """
-    if largest_group(df, keys) <= max_rows:
-        return None
-    for unit in ("DAY", "HOUR", "MINUTE"):
-        if largest_group(df, [*keys, F.date_trunc(unit, F.col(time)).alias("_s")]) <= max_rows:
-            return unit
-    return "SECOND"
-
-
-def previous_value(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    tie: str,
-    value: str,
-    out: str,
-    max_rows: int = 1_000_000,
-) -> DataFrame:
-    """``lag(value) over (partition by keys order by time, tie)`` sliced by time.
+    stored = ranges(df, [F.col(g).asc() for g in groups] + _sort_columns(order))
+    inside = Window.partitionBy("_part", *groups).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = stored.withColumn("_inner", F.sum(value).over(inside))
+    met = _with_carry(stored, rows, groups, F.sum(value), lambda w: F.sum("_total").over(_earlier(w)))
+    return met.withColumn(out, F.col("_inner") + F.coalesce("_carry", F.lit(0))).select(*df.columns, out)
+
+
+def previous_value(df: DataFrame, keys: Sequence[str], time: str, tie: str, value: str, out: str) -> DataFrame:
+    """``lag(value) over (partition by keys order by time, tie)`` by ranges.
 
-    A key beyond ``max_rows`` rows is cut into time slices of at most ``max_rows`` rows
-    (the unit is chosen from a pre-aggregated count), so a busy key spreads over
-    many tasks; the first row of a slice takes the last value of the key's
-    previous non-empty slice, found among one row per (key, slice).  Keys must
-    not be NULL.
+    The first row of a key in a range takes the last value of the key in the ranges before, found among one row per
+    (range, key).
     """
-    unit = _slice_unit(df, keys, time, max_rows)
-    if unit is None:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
-    sliced = df.withColumn("_slice", F.date_trunc(unit, F.col(time)))
-    w = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
-    inner = sliced.withColumn("_before", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w))
-    last = sliced.groupBy(*keys, "_slice").agg(
-        F.max_by(F.col(value), F.struct(time, tie)).alias("_last")
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = last.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_s"),
-        F.lag("_last").over(across).alias("_carried"),
-    )
-    cond = F.col("_slice") == F.col("_s")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
-    return (
-        inner.join(carried, cond, "left")
-        .withColumn(out, F.when(F.col("_first") == 1, F.col("_carried")).otherwise(F.col("_before")))
-        .drop("_slice", "_before", "_first", "_s", "_carried", *[f"_k_{k}" for k in keys])
-    )
+    stored = ranges(df, [F.col(k).asc() for k in keys] + _sort_columns([time, tie]))
+    rows = stored.withColumn("_before", F.lag(value).over(Window.partitionBy("_part", *keys).orderBy("_pos")))
+    met = _with_carry(stored, rows, keys, F.max_by(F.col(value), "_pos"), lambda w: F.lag("_total").over(w))
+    first = F.col("_pos") == F.col("_first")
+    return met.withColumn(out, F.when(first, F.col("_carry")).otherwise(F.col("_before"))).select(*df.columns, out)
 
 
-def running_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    tie: str,
-    value: str,
-    out: str,
-    slices: int = 4096,
-) -> DataFrame:
-    """``max(value) over (partition by keys order by position, tie)`` sliced by position.
+def running_max(df: DataFrame, keys: Sequence[str], position: str, tie: str, value: str, out: str) -> DataFrame:
+    """``max(value) over (partition by keys order by position, tie)`` by ranges of rows.
 
-    ``position`` is numeric.  Its range (two numbers) is read first to cut each
-    key into equal slices; only slice maxima cross slice borders.
+    The ranges hold like numbers of rows however the positions cluster; only their maxima cross range borders.
     """
-    low, high = df.agg(F.min(position), F.max(position)).first()
-    width = max(((high or 0) - (low or 0)) // slices, 1)
-    sliced = df.withColumn("_slice", F.floor(F.col(position) / F.lit(width)))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(position, tie).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    peaks = sliced.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_s")).agg(
-        F.max(value).alias("_peak")
-    )
-    before = (
-        Window.partitionBy(*[f"_k_{k}" for k in keys])
-        .orderBy("_s")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = peaks.withColumn("_carry", F.max("_peak").over(before)).drop("_peak")
-    cond = F.col("_slice") == F.col("_s")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
-    return (
-        sliced.withColumn("_inner", F.max(value).over(inside))
-        .join(carried, cond, "left")
-        .withColumn(out, F.greatest("_inner", "_carry"))
-        .drop("_slice", "_s", "_inner", "_carry", *[f"_k_{k}" for k in keys])
-    )
+    stored = ranges(df, [F.col(k).asc() for k in keys] + _sort_columns([position, tie]))
+    inside = Window.partitionBy("_part", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = stored.withColumn("_inner", F.max(value).over(inside))
+    met = _with_carry(stored, rows, keys, F.max(value), lambda w: F.max("_total").over(_earlier(w)))
+    return met.withColumn(out, F.greatest("_inner", "_carry")).select(*df.columns, out)
 
 
 def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int, out: str = "rn") -> DataFrame:

@@ -602,12 +602,12 @@ def _plan(t):
 PLAN_COLS = "server_id, database_name, database_size, log_size, start_position, last_good_check, est_seconds"
 
 
-@query("win_plan_order", f"SELECT {PLAN_COLS}, row_number() OVER (ORDER BY database_size DESC, database_name) AS plan_order FROM v_databases")
+@query("win_plan_order", f"SELECT {PLAN_COLS}, row_number() OVER (PARTITION BY server_id ORDER BY database_size DESC, database_name) AS plan_order FROM v_databases")
 def _(t):
     return W.win_plan_order(_plan(t), "SIZE_DESC")
 
 
-@query("mnt_plan_order", f"SELECT {PLAN_COLS}, row_number() OVER (ORDER BY last_good_check ASC NULLS FIRST, database_name) AS plan_order FROM v_databases")
+@query("mnt_plan_order", f"SELECT {PLAN_COLS}, row_number() OVER (PARTITION BY server_id ORDER BY last_good_check ASC NULLS FIRST, database_name) AS plan_order FROM v_databases")
 def _(t):
     from fleetwatch.operators.maintenance import mnt_plan_order
 
@@ -615,7 +615,7 @@ def _(t):
 
 
 @query("win_object_order", """
-SELECT *, row_number() OVER (ORDER BY resumable DESC, start_position, schema_name, object_name, (index_type IS NULL), index_type, index_name, statistics_name, partition_number) AS plan_order
+SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY resumable DESC, start_position, schema_name, object_name, (index_type IS NULL), index_type, index_name, statistics_name, partition_number) AS plan_order
 FROM v_plan_objects""")
 def _(t):
     return W.win_object_order(t("plan_objects"))

@@ -115,19 +115,19 @@ def _(t):
 
 
 @query("mnt_time_budget", """
-WITH p AS (SELECT database_name, est_seconds, row_number() OVER (ORDER BY database_size DESC, database_name) AS plan_order FROM v_databases)
-SELECT *, CAST(SUM(est_seconds) OVER (ORDER BY plan_order) AS BIGINT) AS used_seconds, SUM(est_seconds) OVER (ORDER BY plan_order) - est_seconds < 7200 AS start_allowed FROM p""")
+WITH p AS (SELECT server_id, database_name, est_seconds, row_number() OVER (PARTITION BY server_id ORDER BY database_size DESC, database_name) AS plan_order FROM v_databases)
+SELECT *, CAST(SUM(est_seconds) OVER w AS BIGINT) AS used_seconds, SUM(est_seconds) OVER w - est_seconds < 7200 AS start_allowed FROM p WINDOW w AS (PARTITION BY server_id ORDER BY plan_order)""")
 def _(t):
-    plan = M.mnt_plan_order(t("databases").select("database_name", "est_seconds", "database_size"), "SIZE_DESC").drop("database_size")
+    plan = M.mnt_plan_order(t("databases").select("server_id", "database_name", "est_seconds", "database_size"), "SIZE_DESC").drop("database_size")
     return M.mnt_time_budget(plan, 7200)
 
 
 @query("mnt_plan", f"""
-WITH s AS (SELECT database_name, database_size, est_seconds, CAST(1 AS BIGINT) AS start_position FROM v_databases WHERE database_name NOT IN ('master', 'msdb', 'model', 'tempdb') AND database_name NOT ILIKE '%7'),
-p AS (SELECT *, row_number() OVER (ORDER BY database_size, database_name) AS plan_order FROM s)
-SELECT database_name, database_size, est_seconds, plan_order, SUM(est_seconds) OVER (ORDER BY plan_order) - est_seconds < 7200 AS start_allowed FROM p""")
+WITH s AS (SELECT server_id, database_name, database_size, est_seconds, CAST(1 AS BIGINT) AS start_position FROM v_databases WHERE database_name NOT IN ('master', 'msdb', 'model', 'tempdb') AND database_name NOT ILIKE '%7'),
+p AS (SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY database_size, database_name) AS plan_order FROM s)
+SELECT server_id, database_name, database_size, est_seconds, plan_order, SUM(est_seconds) OVER (PARTITION BY server_id ORDER BY plan_order) - est_seconds < 7200 AS start_allowed FROM p""")
 def _(t):
-    return mnt_plan(t("databases"), "USER_DATABASES,-%7", "SIZE_ASC", 7200).select("database_name", "database_size", "est_seconds", "plan_order", "start_allowed")
+    return mnt_plan(t("databases"), "USER_DATABASES,-%7", "SIZE_ASC", 7200).select("server_id", "database_name", "database_size", "est_seconds", "plan_order", "start_allowed")
 
 
 BKP = "server_id, database_name"

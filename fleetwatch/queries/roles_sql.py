@@ -393,7 +393,7 @@ SELECT concat('t_', {s('p_partkey % 400')}) AS table_name, concat('ix_', {s('p_p
 SELECT {EV_SRV} AS server_id, CASE WHEN event_type = 'signup' THEN NULL ELSE concat(event_type, '.', {s('user_id % 20')}) END AS alloc_unit_name,
   concat('LOP_', {s('event_id % 3')}) AS operation, {i('ROUND(value)')} AS record_length FROM {{events}}""",
     "plan_objects": f"""
-SELECT concat('s', {s('p_size % 4')}) AS schema_name, concat('t_', {s('p_partkey % 500')}) AS object_name,
+SELECT {srv('p_partkey % 3')} AS server_id, concat('s', {s('p_size % 4')}) AS schema_name, concat('t_', {s('p_partkey % 500')}) AS object_name,
   CASE WHEN p_size % 4 = 0 THEN NULL ELSE CAST(p_size % 4 AS INT) END AS index_type,
   concat('ix_', {s('p_partkey')}) AS index_name, concat('st_', {s('p_partkey')}) AS statistics_name, CAST(p_size % 3 AS INT) AS partition_number,
   p_partkey % 11 = 0 AS resumable, {i('p_partkey % 6')} AS start_position FROM {{part}}""",

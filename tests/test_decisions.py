@@ -84,11 +84,22 @@ def test_statistics_change_rule(spark, rows, mods, due):
 
 
 def test_time_budget_starts_work_below_the_limit(spark):
-    plan = spark.createDataFrame([(1, 60), (2, 60), (3, 60)], "plan_order bigint, est_seconds bigint")
+    plan = spark.createDataFrame([("s", 1, 60), ("s", 2, 60), ("s", 3, 60)], "server_id string, plan_order bigint, est_seconds bigint")
     got = [r.start_allowed for r in M.mnt_time_budget(plan, 120).orderBy("plan_order").collect()]
     assert got == [True, True, False]
 
 
+def test_every_server_has_its_own_plan_and_budget(spark):
+    from fleetwatch.plans.maintenance import mnt_plan
+
+    rows = [(s, f"db_{i}", "U", i, 3600) for s in ("s1", "s2", None) for i in range(4)]
+    dbs = spark.createDataFrame(rows, "server_id string, database_name string, database_type string, database_size bigint, est_seconds bigint")
+    got = mnt_plan(dbs, "USER_DATABASES", "SIZE_DESC", 7200).collect()
+    for server in ("s1", "s2", None):
+        own = sorted((r.plan_order, r.database_name, r.start_allowed) for r in got if r.server_id == server)
+        assert own == [(1, "db_3", True), (2, "db_2", True), (3, "db_1", False), (4, "db_0", False)]
+
+
 @pytest.mark.parametrize("gb, warn, critical", [(1.99, 0, 1), (2.0, 1, 0), (5.0, 1, 0), (5.01, 0, 0)])
 def test_volume_bands(spark, gb, warn, critical):
     df = spark.createDataFrame([("s", "d", "V:", 10**12, int(gb * 1073741824 + 0.5))], "server_id string, database_name string, volume_mount_point string, total_bytes bigint, available_bytes bigint")

@@ -24,17 +24,26 @@ def pairs(df, *cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-@pytest.mark.parametrize("max_rows", [0, 10_000])
-def test_rank_in_group_equals_window(spark, max_rows):
+@pytest.fixture
+def narrow(spark):
+    """Ranges stay as many as on a cluster."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_rank_in_group_equals_window(narrow):
+    spark = narrow
     df = skewed(spark)
-    got = O.rank_in_group(df, ["server_id"], [F.col("value").desc(), F.col("key").asc()], "rn", max_rows)
+    got = O.rank_in_group(df, ["server_id"], [F.col("value").desc(), F.col("key").asc()], "rn")
     w = Window.partitionBy("server_id").orderBy(F.desc("value"), "key")
     assert pairs(got, "key", "rn") == pairs(df.withColumn("rn", F.row_number().over(w)), "key", "rn")
 
 
 def test_global_rank_is_a_permutation(spark):
     df = skewed(spark)
-    got = O.rank_in_group(df, [], [F.col("value").desc(), F.col("key").asc()], "rn", 0)
+    got = O.rank_in_group(df, [], [F.col("value").desc(), F.col("key").asc()], "rn")
     assert [r.rn for r in got.orderBy("rn").collect()] == list(range(1, 3001))
     ordered = [(-r.value, r.key) for r in got.orderBy("rn").collect()]
     assert ordered == sorted(ordered)
@@ -42,17 +51,38 @@ def test_global_rank_is_a_permutation(spark):
 
 def test_rank_keeps_null_groups(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, key int")
-    assert pairs(O.rank_in_group(df, ["g"], ["key"], "rn", 0), "key", "rn") == [(1, 1), (2, 2), (3, 1)]
+    assert pairs(O.rank_in_group(df, ["g"], ["key"], "rn"), "key", "rn") == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_running_sum_in_two_levels(narrow):
+    df = skewed(narrow)
+    got = O.running_sum(df, ["server_id"], ["key"], "value", "total")
+    w = Window.partitionBy("server_id").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    assert pairs(got, "key", "total") == pairs(df.withColumn("total", F.sum("value").over(w)), "key", "total")
+
+
+def test_running_max_of_clustered_positions(narrow):
+    """99 % of the positions lie in 1 % of their range: no range of rows holds more than its share."""
+    df = narrow.range(20_000).select(
+        F.lit("s").alias("k"), F.when(F.col("id") % 100 == 0, F.col("id") * 1_000).otherwise(F.col("id")).alias("p"),
+        F.col("id").alias("t"), F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("v"),
+    )
+    got = O.running_max(df, ["k"], "p", "t", "v", "m")
+    w = Window.partitionBy("k").orderBy("p", "t").rowsBetween(Window.unboundedPreceding, 0)
+    assert pairs(got, "t", "m") == pairs(df.withColumn("m", F.max("v").over(w)), "t", "m")
+    sizes = [r["count"] for r in O.ranges(df, [F.col("k"), F.col("p"), F.col("t")]).groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+
+
+def test_one_plan_at_every_size(spark):
+    """Ten and ten thousand rows are ranked by the same operators."""
+    import re
 
+    def shape(n):
+        plan = O.rank_in_group(skewed(spark, n), ["server_id"], ["key"], "rn")._jdf.queryExecution().optimizedPlan().toString()
+        return re.findall(r"^\W*([A-Z]\w+)", plan, re.M)
 
-def test_running_sum_over_blocks(spark):
-    df = spark.range(1, 501).select(F.col("id").alias("pos"), (F.col("id") % 5).alias("v"))
-    got = O.running_sum(df, "pos", "v", "total", block=64)
-    want, total = [], 0
-    for i in range(1, 501):
-        total += i % 5
-        want.append((i, total))
-    assert pairs(got, "pos", "total") == want
+    assert shape(10) == shape(10_000)
 
 
 def counters(spark):
@@ -65,10 +95,9 @@ def counters(spark):
     )
 
 
-@pytest.mark.parametrize("max_rows", [0, 5, 30, 10_000])
-def test_previous_value_equals_lag(spark, max_rows):
-    df = counters(spark)
-    got = O.previous_value(df, ["server_id", "key"], "reading_time", "reading_id", "counter_value", "prev", max_rows)
+def test_previous_value_equals_lag(narrow):
+    df = counters(narrow)
+    got = O.previous_value(df, ["server_id", "key"], "reading_time", "reading_id", "counter_value", "prev")
     w = Window.partitionBy("server_id", "key").orderBy("reading_time", "reading_id")
     want = df.withColumn("prev", F.lag("counter_value").over(w))
     key = lambda d: sorted((r.reading_id, -1 if r.prev is None else r.prev) for r in d.collect())
