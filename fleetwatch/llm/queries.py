@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import ann, bloom_lm, html, langid, lines, mix, pieces, simhash, urls, warc
+from fleetwatch.llm import ann, bloom_lm, html, idfiles, langid, lines, merkle, mix, pieces, resample, simhash, urls, warc
 from fleetwatch.llm.common import id_remainder
 from fleetwatch.session import literal_table, work_path
 
@@ -29,6 +29,13 @@ def piece_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_file() -> str:
+    """Place of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def language_model(docs: DataFrame) -> langid.Model:
     """Learns from documents whose crc32(doc_id) modulo 4 is not 2."""
     training = docs.where(id_remainder(F.col("doc_id"), 4) != 2)
@@ -94,6 +101,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, tampered=merkle.every_fifth("doc_id")).drop("source")
+
+
+def op13_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "ids")
+    idfiles.write_ids(table(spark, sf_dir, "documents"), folder, byte_file())
+    return idfiles.read_checksums(spark, folder).withColumnRenamed("key", "doc_id")
+
+
 URL_SQL = """
 WITH u AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url FROM pages),
 p AS (SELECT r, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
@@ -112,6 +134,7 @@ QUERIES = {
     for f in (
         op1_language_id, op2_nearest_vectors, op3_mix_sources, op4_warc, op5_main_text, op6_line_rules, op7_url_rules,
         op8_lm_score, op9_pieces, op10_simhash,
+        op11_importance_resampling, op12_merkle_manifest, op13_id_files,
     )
 }
-ORACLES = {"op6_line_rules": lines.oracle_sql(), "op7_url_rules": URL_SQL}
+ORACLES = {"op6_line_rules": lines.oracle_sql(), "op7_url_rules": URL_SQL, "op12_merkle_manifest": merkle.oracle_sql()}
