@@ -21,17 +21,19 @@ import posixpath
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm.wordtable import WordTable
+from fleetwatch.llm.wordtable import WordTable, stretches
 from fleetwatch.plans.ordering import running_sum
 
 MAGIC = b"IDBLOCKS"
@@ -40,6 +42,7 @@ ROLL_IDS = 1 << 24
 ROLL_DOCS = 1 << 18
 TABLE_BYTES = 128 << 20
 BLOCK_CHARS = 1 << 20
+STRETCH_BYTES = 16 << 20
 READ_IDS = 1 << 20
 MANIFEST = "file string, part long, number long, docs long, ids long, bytes long, sha256 string"
 
@@ -153,20 +156,28 @@ class IdFile:
 
 
 class TextCodec:
-    """Encoder of one tokenizer file's content, with a table of what it has met before."""
+    """Encoder of one tokenizer file's content, with tables of what it has met before.
+
+    Texts are cut before a space that another character follows. Where many texts are encoded at once they are cut before
+    newlines, points and commas too, and those where that would cut a piece of the byte-level pattern, because white space
+    follows white space or a mark follows another, are encoded by themselves.
+    """
 
     CUT = re.compile(r" (?=\S)")
+    MARKS = "\n.,"
+    PLAIN = re.compile(r"([\n.,]?)([A-Za-zÀ-ÖØ-öø-ÿ]*)\Z")
 
     def __init__(self, content: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_str(content.decode())
         shape = json.loads(content)
         before, model = shape.get("pre_tokenizer") or {}, shape["model"]
         if shape.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or model.get("type") != "BPE":
             raise ValueError("not a byte-level vocabulary that leaves the text as it is")
-        if any(a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] for a in shape.get("added_tokens", [])):
+        if any(a["lstrip"] or a["rstrip"] or a["single_word"] or set(" \n") & set(a["content"]) for a in shape.get("added_tokens", [])):
             raise ValueError("an added token reaches over spaces")
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         added = {a["content"] for a in shape.get("added_tokens", [])}
@@ -174,7 +185,11 @@ class TextCodec:
         self.octets = np.zeros(self.size, np.int64)
         for token, i in vocabulary.items():
             self.octets[i] = len(token.encode()) if token in added else len(token)
-        self.words, self.heads = WordTable(TABLE_BYTES), WordTable(TABLE_BYTES // 16)
+        signs = [*map(chr, range(0xC0, 0x100)), " ", *self.MARKS]
+        self.signs = {ord(c): self.library.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in signs}
+        self.apart = Tokenizer(self.library.model)  # takes pieces in the vocabulary's own letters, a space between them
+        self.apart.pre_tokenizer = WhitespaceSplit()
+        self.words, self.units, self.heads = WordTable(TABLE_BYTES // 4), WordTable(TABLE_BYTES), WordTable(TABLE_BYTES // 16)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
@@ -183,25 +198,44 @@ class TextCodec:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words with the space before them, all in one call; none for those that begin with a space."""
-        open_ = [not w or w[0].isspace() for w in words]
-        joined = [f" {w}" for w, o in zip(words, open_, strict=True) if not o]
-        ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum(self.octets[ids])
-        wanted = np.cumsum([len(w.encode()) for w in joined], dtype=np.int64)
+    def _cut(self, ids: np.ndarray, lengths: list[int]) -> list[bytes]:
+        """The ids of texts that were encoded as one, cut where each ends by its number of bytes."""
+        ends, wanted = np.cumsum(self.octets[ids]), np.cumsum(lengths)
         at = np.searchsorted(ends, wanted)
-        if len(wanted) and (at[-1] >= len(ends) or (ends[at] != wanted).any()):
+        if len(at) and (at[-1] >= len(ends) or (ends[at] != wanted).any()):
             raise ValueError("a piece runs from one word into the next")
-        data, cuts, out = ids.tobytes(), iter((4 * (at + 1)).tolist()), []
-        start = 0
-        for o in open_:
-            if o:
-                out.append(b"")
-            else:
-                end = next(cuts)
-                out.append(data[start:end])
-                start = end
+        data, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the space before them, all in one call."""
+        joined = [f" {w}" for w in words]
+        ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, "<u4")
+        return self._cut(ids, [len(w.encode()) for w in joined])
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of words with the space before them, or with the mark that they begin with; none if white space follows white space."""
+        out: list[bytes] = [b""] * len(units)
+        plain, pieces, rest, alone = [], [], [], []
+        for i, unit in enumerate(units):
+            m = self.PLAIN.match(unit)
+            if m and unit != "\n" and unit:
+                mark, letters = m.groups()
+                if not letters.isascii():
+                    letters = letters.translate(self.signs)
+                space, newline = self.signs[32], self.signs[10]
+                plain.append(i)
+                pieces.append(space + letters if not mark else (newline if mark == "\n" else mark) + " " * bool(letters) + letters)
+            elif unit and unit[0] in ".," or len(unit) > 1 and unit[0] == "\n" and not unit[1].isspace():
+                alone.append(i)
+            elif unit and not unit[0].isspace():
+                rest.append(i)
+        groups = [" ".join(pieces[at : at + 200]) for at in range(0, len(pieces), 200)]
+        told = [np.array(e.ids, "<u4") for e in self.apart.encode_batch_fast(groups, add_special_tokens=False)]
+        parts = self._cut(np.concatenate([np.zeros(0, "<u4"), *told]), [len(p) - (" " in p) for p in pieces])
+        for where, found in ((plain, parts), (rest, self._words([units[i] for i in rest]) if rest else []), (alone, self._heads([units[i] for i in alone]))):
+            for i, ids in zip(where, found, strict=True):
+                out[i] = ids
         return out
 
     def blocks(self, text: str) -> Iterator[np.ndarray]:
@@ -210,16 +244,50 @@ class TextCodec:
         while at < len(text):
             cut = self.CUT.search(text, at + BLOCK_CHARS) if len(text) - at > BLOCK_CHARS else None
             end = cut.start() if cut else len(text)
-            block = text[at:end]
-            parts = block.split(" ")
-            found = self.words.all(parts[1:], self._words)
-            if b"" in found:  # a space before a space: both belong to the word in front
-                parts = self.CUT.split(block)
-                found = self.words.all(parts[1:], self._words)
-            head = self.heads.all(parts[:1], self._heads) if parts[0] else [b""]
-            yield np.frombuffer(b"".join(head + found), "<u4")
+            head, *words = self.CUT.split(text[at:end])
+            found = self.heads.all([head], self._heads) if head else []
+            yield np.frombuffer(b"".join(found + self.words.all(words, self._words)), "<u4")
             at = end
 
+    def _soft(self, word: str) -> bool:
+        """Whether a mark behind the word is a piece of its own: the word ends in a letter or digit."""
+        return not word or word[-1] < "\u0530" and word[-1].isalnum()
+
+    def texts(self, texts: pa.Array) -> Iterator[Iterable[np.ndarray]]:
+        """For every text (null: empty) its ids in one or more arrays. Words are cut and looked up for many texts at once."""
+        for part in stretches(pc.fill_null(texts, ""), STRETCH_BYTES):
+            if len(part) == 1:
+                yield self.blocks(part[0].as_py())
+                continue
+            spaced = part
+            for mark in self.MARKS:
+                spaced = pc.replace_substring(spaced, mark, f" {mark}")
+            lists = pc.split_pattern(spaced, " ")
+            words, first = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            heads = words.take(pa.array(first[:-1])).to_pylist()
+            inner = np.ones(len(words), bool)
+            inner[first[:-1]] = False
+            coded = pc.dictionary_encode(words.filter(pa.array(inner)))
+            ids, ends = self.units.ids(coded, self._units)
+            distinct, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+            mark = np.array([w[:1] in (".", ",") for w in distinct], bool)[code]
+            soft = np.array(list(map(self._soft, distinct)), bool)[code]
+            stops = first[1:] - np.arange(1, len(first))  # of each text among the inner words
+            begins = np.concatenate([[0], stops[:-1]])
+            ends = np.concatenate([[0], ends])
+            odd = ends[1:] == ends[:-1]
+            odd[1:] |= mark[1:] & ~soft[:-1]
+            full = stops > begins
+            odd[begins[full]] = odd[begins[full]] & (ends[1:] == ends[:-1])[begins[full]]
+            odd[begins[full]] |= mark[begins[full]] & ~np.array(list(map(self._soft, heads)), bool)[full]
+            odds = np.concatenate([[0], np.cumsum(odd)])
+            found = self.heads.all(heads, self._heads)
+            for i, (begin, stop) in enumerate(zip(begins.tolist(), stops.tolist(), strict=True)):
+                if odds[stop] > odds[begin]:
+                    yield self.blocks(part[i].as_py())
+                else:
+                    yield np.frombuffer(found[i], "<u4"), ids[ends[begin] : ends[stop]]
+
 
 _CODECS: dict[str, TextCodec] = {}
 
@@ -274,16 +342,16 @@ def write_ids(
             files.append({"file": final, "part": part, "number": len(files)} | told)
 
         for batch in batches:
-            keys, texts = batch.column("key").to_pylist(), batch.column("text")
-            for i, k in enumerate(keys):
-                value = texts[i].as_py() or ""
+            texts = batch.column("text")
+            for i, (k, blocks) in enumerate(zip(batch.column("key").to_pylist(), codec.texts(texts), strict=True)):
                 if out is None:
                     store.create_dir(path, recursive=True)
                     temp = posixpath.join(path, f"_temporary-{uuid.uuid4().hex}")
                     out = IdWriter(store.open_output_stream(temp, compression=None), bits, block_ids)
-                blocks = list(codec.blocks(value)) if not i else codec.blocks(value)
-                if not i and not np.array_equal(np.concatenate([np.zeros(0, "<u4"), *blocks]), codec.whole(value)):
-                    raise ValueError("a text's encoding differs from the library's")
+                if not i:
+                    blocks = list(blocks)
+                    if not np.array_equal(np.concatenate([np.zeros(0, "<u4"), *blocks]), codec.whole(texts[i].as_py() or "")):
+                        raise ValueError("a text's encoding differs from the library's")
                 for block in blocks:
                     out.ids(block)
                 out.ids(last)

@@ -11,6 +11,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -286,9 +287,13 @@ def test_codec_on_white_space(monkeypatch, chars):
         codec = idfiles.TextCodec(f.read())
     rng = np.random.default_rng(0)
     made = ["".join(rng.choice(list("ab' \n\t.1é"), 40)) for _ in range(300)]
-    for text in [*TEXTS, *made, *TEXTS]:
-        got = np.concatenate([np.zeros(0, "<u4"), *codec.blocks(text)])
-        assert got.tolist() == codec.whole(text).tolist(), repr(text)
+    plain = ["".join(rng.choice(list("abÉß漢 \n.,'"), 9)) for _ in range(2000)]
+    texts = [*TEXTS, *made, *plain, None, *TEXTS]
+    together = codec.texts(pa.array(texts, pa.string()))
+    for text, blocks in zip(texts, together, strict=True):
+        want = codec.whole(text or "").tolist()
+        assert np.concatenate([np.zeros(0, "<u4"), *blocks]).tolist() == want, repr(text)
+        assert np.concatenate([np.zeros(0, "<u4"), *codec.blocks(text or "")]).tolist() == want, repr(text)
 
 
 def test_word_table_keeps_frequent_words_within_its_bound():
