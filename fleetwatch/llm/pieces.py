@@ -17,16 +17,21 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwatch.llm.wordtable import WordTable, stretches
+
 MARK = "▁"
-CACHE_WORDS = 400_000
-CACHE_PARTS = 250_000
-CACHE_LENGTH = 64
+WORD_BYTES = 96 << 20
+PART_BYTES = 24 << 20
 BLOCK_CHARS = 1_000_000
+STRETCH_BYTES = 16 << 20
 
 
 class PieceCodec:
@@ -48,19 +53,17 @@ class PieceCodec:
         if p.encode(" a  b ", out_type=str) and p.decode(p.encode(" a  b ")) != " a  b ":
             raise ValueError("the vocabulary changes white space")
         apart = not any(MARK in piece.lstrip(MARK) for piece in self.id)
+        self.apart = apart
         self.words = re.compile(f"{MARK}+[^{MARK}]*" if apart else "(?s).+")
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}") if apart else re.compile(r"(?!)")
         self.touching = {pair for piece in self.id for pair in map(str.__add__, piece, piece[1:])}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.ids: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.breaks = not any("\n" in piece for piece in self.id)
+        self.known, self.units, self.parts = WordTable(WORD_BYTES // 4), WordTable(WORD_BYTES), WordTable(PART_BYTES)
 
     def word(self, word: str) -> bytes:
         """Ids of one marked word as 32-bit integers. Where no piece holds two neighbouring characters nothing can merge, so parts between
         such places are encoded by themselves, and parts met before are not encoded again."""
-        touching, parts, known = self.touching, [], self.parts
+        touching, parts, known = self.touching, [], self.parts.young.get
         start = 0
         for i, pair in enumerate(map(str.__add__, word, word[1:]), 1):
             if pair not in touching:
@@ -69,11 +72,13 @@ class PieceCodec:
         parts.append(word[start:])
         out: list[bytes] = []
         for part in parts:
-            ids = known.get(part)
+            ids = known(part)
+            if ids is None:
+                ids = self.parts.get(part)
             if ids is None:
                 ids = array("I", self.agenda(part)).tobytes()  # bytes, which Python's garbage collector need not visit
-                if len(part) <= CACHE_LENGTH:
-                    known[part] = ids
+                self.parts.put({part: ids})
+                known = self.parts.young.get
             out.append(ids)
         return b"".join(out)
 
@@ -138,16 +143,35 @@ class PieceCodec:
             parts.append(run.decode("utf-8", "replace"))
         return "".join(parts)
 
-    def _learn(self, words: list[str]) -> None:
-        """Encodes and decodes new words; all of them are checked against the library in one call."""
-        theirs = self.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
+    def _checked(self, words: list[str], theirs: list[Sequence[int]]) -> list[bytes]:
+        """Ids of new words, which the library's and the decoded words must equal."""
+        out, text = [], self.text.__getitem__
         for word, expected in zip(words, theirs, strict=True):
             ids = self.word(word)
-            if ids != array("I", expected).tobytes() and word != MARK:  # the library has no ids for the empty text
+            expected = array("I", expected)
+            if ids != expected.tobytes() and word != MARK:  # the library has no ids for the empty text
                 raise ValueError(f"encoding of {word!r} differs from the library's")
-            if self._spaced(array("I", ids)) != word.replace(MARK, " "):
+            if "".join(map(text, expected)) != word and self._spaced(array("I", ids)) != word.replace(MARK, " "):
                 raise ValueError(f"decoding of {word!r} does not give the word")
-            self.ids[word] = ids
+            out.append(ids)
+        return out
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of marked words; all of them are checked against the library in one call."""
+        return self._checked(words, self.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1))
+
+    def _learn_units(self, units: list[str]) -> list[bytes]:
+        """Ids of words without their mark, or with the newline that they begin with; none for empty and marked ones."""
+        theirs = self.library.encode(units, num_threads=1)
+        out = [b""] * len(units)
+        good = [i for i, u in enumerate(units) if u and MARK not in u]
+        lines = {i for i in good if units[i][0] == "\n" and self.breaks}
+        if any(theirs[i][:1] != [self.id[MARK]] for i in lines):
+            raise ValueError("a newline is no symbol of its own")
+        words = [units[i] if i in lines else MARK + units[i] for i in good]
+        for i, ids in zip(good, self._checked(words, [theirs[i][1:] if i in lines else theirs[i] for i in good]), strict=True):
+            out[i] = ids
+        return out
 
     def blocks(self, text: str) -> Iterator[tuple[bytes, str]]:
         """Ids as little-endian 32-bit integers, and decoded text with the first mark, block by block.
@@ -165,16 +189,7 @@ class PieceCodec:
             block = text[at:end] if at or cut else text
             words = self.words.findall(block)
             at = end
-            known = self.ids
-            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_PARTS:
-                self._reset()
-                known = self.ids
-            new = {w for w in words if w not in known}
-            self._learn(list(new))
-            yield b"".join([known[w] for w in words]), block.replace(MARK, " ")
-            for w in new:
-                if len(w) > CACHE_LENGTH:
-                    del known[w]
+            yield b"".join(self.known.all(words, self._learn)), block.replace(MARK, " ")
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids with begin and end, digest of the ids, digest of the decoded text."""
@@ -188,6 +203,30 @@ class PieceCodec:
         ids.update(self.eos.to_bytes(4, "little"))
         return n, ids.hexdigest(), plain.hexdigest()
 
+    def digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str]]:
+        """``digest`` of every text (null: empty); words are cut and looked up for many texts at once.
+
+        Texts with a mark of their own or a space beside another one, at their begin or end, go one by one.
+        """
+        begin_id, end_id = self.bos.to_bytes(4, "little"), self.eos.to_bytes(4, "little")
+        for part in stretches(pc.fill_null(texts, ""), STRETCH_BYTES):
+            if len(part) == 1 or not self.apart:
+                yield from map(self.digest, part.to_pylist())
+                continue
+            spaced = pc.replace_substring(part, "\n", " \n") if self.breaks else part
+            lists = pc.split_pattern(spaced, " ")
+            stops = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            ids, ends = self.units.ids(pc.dictionary_encode(lists.flatten()), self._learn_units)
+            ends = np.concatenate([[0], ends])
+            odds = np.concatenate([[0], np.cumsum(ends[1:] == ends[:-1])])
+            for i, (begin, stop) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)):
+                text = part[i].as_py()
+                if odds[stop] > odds[begin]:
+                    yield self.digest(text)
+                    continue
+                own = ids[ends[begin] : ends[stop]]
+                yield len(own) + 2, hashlib.sha256(begin_id + own.tobytes() + end_id).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
     def encode(self, text: str) -> list[int]:
         data = array("I")
         for part, _ in self.blocks(text):
@@ -228,17 +267,20 @@ def token_digests(col: Column, model_file: str) -> Column:
     """Column of structs (n_tokens, ids_sha256, decoded_sha256); null and empty text have the two ids begin and end."""
     sent = _broadcast(model_file)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(sent.value)
         for texts in batches:
-            texts = [t if isinstance(t, str) else "" for t in texts]
-            rows = [codec.digest(t) for t in texts]
-            for text, row in zip(texts[:1], rows, strict=False):
-                ids = codec.library.encode(text, add_bos=True, add_eos=True)
+            rows = list(codec.digests(texts))
+            for text, row in zip(texts[:1].to_pylist(), rows, strict=False):
+                ids = codec.library.encode(text or "", add_bos=True, add_eos=True)
                 theirs = codec.library.decode(ids)
                 expected = len(ids), array("I", ids), theirs
                 if row != (expected[0], hashlib.sha256(expected[1].tobytes()).hexdigest(), hashlib.sha256(theirs.encode()).hexdigest()):
                     raise ValueError("a text's encoding differs from the library's")
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = zip(*rows, strict=True) if rows else ([], [], [])
+            kinds = pa.int64(), pa.string(), pa.string()
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["n_tokens", "ids_sha256", "decoded_sha256"]
+            )
 
-    return F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(col)
+    return F.arrow_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(col)
