@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -48,10 +48,10 @@ WRAPS = 0.5  # share of the page's text from which a form, or a labelled element
 WHOLE = 0.95  # share from which any other labelled element is
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|[^\"'>])*+|[^>]*+)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)",
     re.S | re.I,
 )
+INSIDE = re.compile(r">|=\s*+([\"'])")
 ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
@@ -60,7 +60,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 @dataclass
 class Node:
     tag: str
-    path: str
+    path: int  # number of the path of tags and classes from the root
     parent: Node | None
     skipped: bool
     content: bool = False  # an article or main element, or inside one
@@ -68,7 +68,8 @@ class Node:
     labelled: bool = False  # a form, or named boilerplate by class, id or role
     around: bool = False  # holds an article or main element
     size: int = 0
-    dropped: bool | None = None
+    dropped: bool = False
+    under: bool = False  # is the chosen node, or lies in it
 
 
 @dataclass
@@ -85,9 +86,10 @@ def _hint(name: str) -> bool:
     return name in HINTS or (not set(parts).isdisjoint(HINTS) and set(parts) <= {*HINTS, *LAYOUT})
 
 
-def _open(tag: str, attributes: str, parent: Node) -> Node:
-    names, hidden, labelled, seen = [], False, False, set()
-    for kind, *values in ATTRIBUTE.findall(attributes or ""):
+def _attributes(text: str) -> tuple[list[str], bool, bool]:
+    """Names of class and id, whether the element is hidden, and whether its role labels it."""
+    names, hidden, role, seen = [], False, False, set()
+    for kind, *values in ATTRIBUTE.findall(text or ""):
         kind, value = kind.lower(), next((v for v in values if v), "")
         if kind in seen:
             continue
@@ -95,9 +97,14 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
         if kind == "hidden":
             hidden = True
         elif kind == "role":
-            labelled |= value.lower() in ROLES
+            role = value.lower() in ROLES
         elif kind in ("class", "id"):
             names += value.lower().split()
+    return names, hidden, role
+
+
+def _open(tag: str, attributes: str, parent: Node, paths: dict[tuple[int, str], int]) -> Node:
+    names, hidden, labelled = _attributes(attributes)
     content = parent.content or tag in ("article", "main")
     skipped = tag in SKIPPED or (tag == "header" and not content) or hidden
     if tag not in ("html", "body", "article", "main"):
@@ -109,43 +116,61 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
         above = parent
         while above and not above.around:
             above.around, above = True, above.parent
-    return Node(tag, f"{parent.path}>{step}", parent, parent.skipped or skipped, content, labelled=labelled)
+    path = paths.setdefault((parent.path, step), len(paths) + 1)
+    return Node(tag, path, parent, parent.skipped or skipped, content, labelled=labelled)
 
 
-def _drop(blocks: list[Block]) -> list[Block]:
+def _drop(blocks: list[Block], nodes: list[Node]) -> list[Block]:
     """Blocks outside labelled elements, where an element that holds most of the page's text is no boilerplate."""
     total = 0
     for b in blocks:
         total += len(b.text)
-        node = b.node
-        while node:
-            node.size += len(b.text)
-            node = node.parent
-
-    def dropped(node: Node | None) -> bool:
-        way = []
-        while node and node.dropped is None:
-            way.append(node)
-            node = node.parent
-        found = bool(node and node.dropped)
-        for node in reversed(way):
-            if node.labelled and not found:
-                inside = node.parent.content
-                wraps = (node.tag == "form" or node.around) and node.size >= WRAPS * total
-                found = inside or not (wraps or node.size >= WHOLE * total)
-            node.dropped = found
-        return found
-
-    return [b for b in blocks if not dropped(b.node)]
-
-
-def _blocks(page: str) -> list[Block]:
-    root = Node("", "", None, False)
-    open_: list[Node] = [root]
+        b.node.size += len(b.text)
+    for node in reversed(nodes):  # a node stands behind its parent
+        if node.parent:
+            node.parent.size += node.size
+    for node in nodes:
+        found = bool(node.parent) and node.parent.dropped
+        if node.labelled and not found:
+            inside = node.parent.content
+            wraps = (node.tag == "form" or node.around) and node.size >= WRAPS * total
+            found = inside or not (wraps or node.size >= WHOLE * total)
+        node.dropped = found
+    return [b for b in blocks if not b.node.dropped]
+
+
+class _Tags:
+    """Ends of tags in a page: the first ``>`` outside quoted values, found in one pass whatever their length."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.lost = page, set()
+
+    def end(self, at: int) -> int:
+        """Place behind the tag whose name ends at ``at``; -1 if nothing ends it."""
+        while m := INSIDE.search(self.page, at):
+            if not m[1]:
+                return m.end()
+            close = -1 if m[1] in self.lost else self.page.find(m[1], m.end())
+            if close < 0:  # a quote that nothing closes is no quote, here and further on
+                self.lost.add(m[1])
+                at = m.end()
+            else:
+                at = close + 1
+        return -1
+
+
+def _blocks(page: str) -> tuple[list[Block], list[Node]]:
+    """Blocks of text in page order, and all nodes, parents first."""
+    root = Node("", 0, None, False)
+    open_, nodes, paths = [root], [root], {}
+    counts: Counter = Counter()  # of open elements by tag
+    tags = _Tags(page)
     blocks, block, links, at = [], Block(root), 0, 0
+    muted, depth = "", 0  # an inline element that is hidden or labelled, and how many of its tag are open in it
 
     def end() -> None:
-        nonlocal block
+        nonlocal block, depth
+        depth = 0
         if block.parts:
             text = "".join(block.parts)
             block.text = " ".join((entities.unescape(text) if "&" in text else text).split())
@@ -155,26 +180,33 @@ def _blocks(page: str) -> list[Block]:
 
     def close(tags: set[str], fences: set[str]) -> None:
         """Closes the innermost open element among ``tags``, not beyond a fence."""
+        if not any(counts[t] for t in tags):
+            return
         for k in range(len(open_) - 1, 0, -1):
             if open_[k].tag in tags:
+                counts.subtract(n.tag for n in open_[k:])
                 del open_[k:]
                 return
             if open_[k].tag in fences:
                 return
 
     def add(text: str) -> None:
-        if text and not open_[-1].skipped:
+        if text and not depth and not open_[-1].skipped:
             block.parts.append(text)
             if links:
                 block.linked += len(text)
 
     endless = set()  # raw elements that nothing ends any more
     while token := TOKEN.search(page, at):
-        add(page[at : token.start()])
-        at = token.end()
         tag = (token[2] or "").lower()
+        stop = tags.end(token.end()) if tag else token.end()
+        if stop < 0:
+            break
+        add(page[at : token.start()])
+        at = stop
         if not tag:
             continue
+        attributes = page[token.end() : stop - 1]
         if tag in ENDS:
             if not token[1]:
                 last = None if tag in endless else ENDS[tag].search(page, at)
@@ -190,6 +222,12 @@ def _blocks(page: str) -> list[Block]:
                 links = max(0, links + (-1 if token[1] else 1))
             elif tag == "br":
                 add(" ")
+            if depth:
+                depth += (tag == muted) * (-1 if token[1] else 1)
+            elif attributes and not token[1] and tag not in VOID:
+                names, hidden, role = _attributes(attributes)
+                if hidden or role or any(_hint(n) for n in names):
+                    muted, depth = tag, 1
             continue
         if token[1]:
             if tag in VOID:
@@ -199,25 +237,28 @@ def _blocks(page: str) -> list[Block]:
             close({"p"}, FENCES)
             if tag in CLOSED_BY:
                 close(CLOSED_BY[tag], FENCES)
-            open_.append(_open(tag, token[3], open_[-1]))
+            open_.append(_open(tag, attributes, open_[-1], paths))
+            nodes.append(open_[-1])
+            counts[tag] += 1
             if tag in ("article", "body", "div", "p"):
                 links = 0
         end()
     add(page[at:])
     end()
-    return blocks
+    return blocks, nodes
 
 
 def main_text(page: str | None) -> str:
     """Main text of one page; empty for null, empty or text-free pages."""
-    blocks = _drop([b for b in _blocks(page or "") if not b.node.skipped])
+    blocks, nodes = _blocks(page or "")
+    blocks = _drop([b for b in blocks if not b.node.skipped], nodes)
     if not blocks:
         return ""
-    kinds: dict[str, list[float]] = defaultdict(lambda: [0, 0, 0, 0])  # blocks, characters, punctuation, linked characters
-    parents: dict[str, list[float]] = defaultdict(lambda: [0, 0, 0, 0])
+    kinds: dict[int, list[float]] = defaultdict(lambda: [0, 0, 0, 0])  # blocks, characters, punctuation, linked characters
+    parents: dict[int, list[float]] = defaultdict(lambda: [0, 0, 0, 0])
     for b in blocks:
         size = len(b.text)
-        for sums in (kinds[b.node.path], parents[b.node.parent.path if b.node.parent else ""]):
+        for sums in (kinds[b.node.path], parents[b.node.parent.path if b.node.parent else -1]):
             for i, v in enumerate((1, size, len(PUNCTUATION.findall(b.text)), min(b.linked, size))):
                 sums[i] += v
 
@@ -228,7 +269,7 @@ def main_text(page: str | None) -> str:
     scores = {}
     for b in blocks:
         if b.node.path not in scores:
-            above = b.node.parent.path if b.node.parent else ""
+            above = b.node.parent.path if b.node.parent else -1
             scores[b.node.path] = (ratio(kinds[b.node.path]) + ratio(parents[above])) / 2
     total = sum(k[1] for k in kinds.values())
     mean = sum(scores[p] * k[1] for p, k in kinds.items()) / total
@@ -247,29 +288,26 @@ def main_text(page: str | None) -> str:
     held = 0
     for b in chosen:
         held += len(b.text)
-        node = b.node
-        while node:
-            node.chars += len(b.text)
-            node = node.parent
-    inside: set[int] = set()
+        b.node.chars += len(b.text)
+    for node in reversed(nodes):
+        if node.parent:
+            node.parent.chars += node.chars
     first = max(chosen, key=lambda b: len(b.text)).node
     while first.parent and first.chars < MOST * held:
         first = first.parent
     if first.parent and first.tag in ("p", "li", "pre", "h1", "h2", "h3"):
         first = first.parent  # one long paragraph is not the whole node
-    for b in blocks:
-        node, seen = b.node, []
-        while node and id(node) not in inside and node is not first:
-            seen.append(id(node))
-            node = node.parent
-        if node:
-            inside.update(seen)
-            inside.add(id(first))
-    return "\n\n".join(b.text for b in blocks if id(b.node) in inside or b.node is first)
+    for node in nodes:
+        node.under = node is first or (bool(node.parent) and node.parent.under)
+    return "\n\n".join(b.text for b in blocks if b.node.under)
 
 
 def extract(col: Column) -> Column:
-    """Column of main texts. Null and empty pages, and pages without main text, give the empty text."""
+    """Column of main texts. Null and empty pages, and pages without main text, give the empty text.
+
+    A page's text depends on the page alone, so repeated rows agree; very long pages, values and paths of any depth take
+    time in proportion to their length. Equal scores keep the page's order.
+    """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages in batches:

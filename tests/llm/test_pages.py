@@ -148,6 +148,33 @@ def test_main_text_without_article_element():
     assert out[0] == "Head" and len(out) == 9 and "Entry" not in " ".join(out)
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<img alt="a > b {}">', "<img alt='a > b {}'>", '<img data-x = "{} > c" hidden>', '<span class="ad">BUY {}</span>', "<span hidden>x<span>y</span>{}</span>",
+        '<b id="cookie-notice">We use {}</b>', '<i role="alert">{}</i>',
+    ],
+)
+def test_values_and_labelled_inline_elements_are_no_text(inner):
+    page = f"<article><p>One sentence here, and more.</p><p>Two {inner.format('y' * 10_000)}words.</p></article>"
+    assert html.main_text(page) == "One sentence here, and more.\n\nTwo words."
+
+
+def test_quotes_that_nothing_closes():
+    page = "<p title=it's>It's <a href=x title=\"open>fine</a> and good" + "<i title='>x</i>" * 3
+    assert html.main_text(page) == "It's fine and goodxx"  # the second value runs from the first quote to the next
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    start = time.process_time()
+    assert len(html.main_text("<div>x" * 50_000)) == 3 * 50_000 - 2
+    assert html.main_text("<div>" * 50_000 + "</x>" * 50_000 + "words") == "words"
+    assert html.main_text("<p title=" * 50_000).startswith("<p title=")  # no tag ends
+    assert time.process_time() - start < 6
+
+
 def test_main_text_survives_odd_markup():
     for page in ("<" * 5000, "<p " * 2000, "<a href=\"" * 500, "<div>" * 3000 + "deep" + "</div>" * 3000, "&" * 1000, "<script>" + "x" * 9999):
         assert isinstance(html.main_text(page), str)
