@@ -1,9 +1,10 @@
 """Language identification by unigram pieces, marginalised over segmentations.
 
-A word is a run of at most 32 letters (longer runs continue as further words) with a word-start mark in front. Its
-probability in a language is the sum over all ways to cut it into vocabulary pieces, each piece with its probability in
-that language; a character outside the vocabulary is a piece of its own. The forward recursion computes that sum for a
-whole block of words of equal length at once. A text's log probability is the sum over its words.
+A word is a run of letters with a word-start mark in front (what follows ``RUN`` letters without a break is a further word,
+which bounds the memory that a run of any length takes). Its probability in a language is the sum over all ways to cut it
+into vocabulary pieces, each piece with its probability in that language; a character outside the vocabulary is a piece of
+its own. The forward recursion computes that sum for a whole block of words of equal length at once, scaled every few
+characters so that long words stay within a double. A text's log probability is the sum over its words.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from fleetwatch.llm.common import uniform
 from fleetwatch.session import settled
 
 MARK = "▁"
-RUN = 32
+RUN = 4096
+RESCALE = 8  # characters; the least probability of a piece to this power, and a piece's length more, stays a double
 LETTERS = regex.compile(r"\p{L}{1,%d}" % RUN)
 FLOOR = 1e-9
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -94,34 +96,56 @@ def _lattice(words: list[str], vocabulary: Vocabulary) -> list[np.ndarray]:
     return out
 
 
-def _forward(lattice: list[np.ndarray], probs: np.ndarray) -> list[np.ndarray]:
-    """alpha[i]: summed probability of all segmentations of the first i characters, per word and language."""
+def _forward(lattice: list[np.ndarray], probs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | float]]:
+    """For i from 0: summed probability of all segmentations of the first i characters, per word and language.
+
+    Each is a pair whose value times exp(scale) is that sum.
+    """
     words, n = lattice[0].shape
-    alpha = [np.ones((words, probs.shape[1]))]
+    window: list[np.ndarray] = [np.ones((words, probs.shape[1]))]
+    scale: np.ndarray | float = 0.0
+    yield window[0], scale
     for i in range(1, n + 1):
-        total = np.zeros_like(alpha[0])
+        total = np.zeros_like(window[0])
         for length in range(1, min(i, len(lattice)) + 1):
-            total += alpha[i - length] * probs[lattice[length - 1][:, i - length]]
-        alpha.append(total)
-    return alpha
+            total += window[-length] * probs[lattice[length - 1][:, i - length]]
+        window = [*window[-len(lattice) + 1 :], total] if len(lattice) > 1 else [total]
+        if i % RESCALE == 0 and i < n:
+            scale = scale + np.log(total)
+            window = [w / total for w in window]
+        yield window[-1], scale
+
+
+def _log_sums(words: list[str], vocabulary: Vocabulary, probs: np.ndarray) -> np.ndarray:
+    """Log probability of each marked word in each language; words of equal length."""
+    for value, scale in _forward(_lattice(words, vocabulary), probs):  # noqa: B007
+        pass
+    return np.log(value) + scale
 
 
 def _expected(words: list[str], counts: np.ndarray, probs: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """Expected number of uses of each piece in words of one language (one column of ``probs``)."""
     lattice = _lattice(words, vocabulary)
-    alpha = _forward(lattice, probs)
+    alpha = list(_forward(lattice, probs))
     n = lattice[0].shape[1]
-    beta = [np.empty(0)] * n + [np.ones((len(words), 1))]
+    whole, whole_scale = alpha[n]
     used = np.zeros(probs.shape[0])
+    after = [np.ones((len(words), 1))]  # of the places behind, the nearest last, all with one scale
+    scale: np.ndarray | float = 0.0
     for i in range(n - 1, -1, -1):
         total = np.zeros((len(words), 1))
+        value, own = alpha[i]
+        exponent = own + scale - whole_scale
+        weight = value / whole * (np.exp(exponent) if np.ndim(exponent) else 1.0)
         for length in range(1, min(n - i, len(lattice)) + 1):
             pieces = lattice[length - 1][:, i]
-            after = probs[pieces] * beta[i + length]
-            total += after
-            share = (alpha[i] * after / alpha[n])[:, 0] * counts
-            used += np.bincount(pieces, share, minlength=len(used))
-        beta[i] = total
+            part = probs[pieces] * after[-length]
+            total += part
+            used += np.bincount(pieces, (weight * part)[:, 0] * counts, minlength=len(used))
+        after = [*after[-len(lattice) + 1 :], total] if len(lattice) > 1 else [total]
+        if (n - i) % RESCALE == 0:
+            scale = scale + np.log(total)
+            after = [a / total for a in after]
     return used
 
 
@@ -153,7 +177,7 @@ class Scorer:
             self.table = np.concatenate([self.table, np.zeros((need, self.probs.shape[1]))])
         for group in _by_length(words):
             rows = np.arange(len(self.index), len(self.index) + len(group))
-            self.table[rows] = np.log(_forward(_lattice([MARK + w for w in group], self.vocabulary), self.probs)[-1])
+            self.table[rows] = _log_sums([MARK + w for w in group], self.vocabulary, self.probs)
             self.index.update(zip(group, rows.tolist(), strict=True))
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
@@ -206,26 +230,26 @@ def fit(
 ) -> Model:
     """Piece probabilities per language by expectation maximisation.
 
-    The sample is bounded: about ``fit_rows`` labelled texts of each language, chosen by a hash of the key. The model has
-    (languages x pieces) numbers, which is what reaches the driver. Rows with null text or lang teach nothing; without
+    The sample is bounded: about ``fit_rows`` different labelled texts of each language, chosen by a hash of key and text;
+    texts that repeat count as often. The model has (languages x pieces) numbers, which is what reaches the driver. Rows with null text or lang teach nothing; without
     any labelled row the model has no language.
     """
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), uniform(F.col(key), F.lit("fit")).alias("u")
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), uniform(F.col(key), F.col(text), F.lit("fit")).alias("u")
     )
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((vocabulary.none + 1, 0)), vocabulary)
     limit = F.create_map(*[F.lit(x) for k in languages for x in (k, fit_rows / sizes[k])])
-    sample = labelled.where(F.col("u") < limit[F.col("lang")]).select("lang", "text")
+    sample = labelled.where(F.col("u") < limit[F.col("lang")]).groupBy("lang", "text").agg(F.count(F.lit(1)).alias("rows"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts: Counter = Counter()
-            for one, body in zip(batch["lang"], batch["text"], strict=True):
+            for one, body, rows in zip(batch["lang"], batch["text"], batch["rows"], strict=True):
                 for w, n in Counter(LETTERS.findall(body.lower())).items():
-                    counts[one, w] += n
+                    counts[one, w] += n * rows
             yield pd.DataFrame([(a, b, n) for (a, b), n in counts.items()], columns=["lang", "word", "n"])
 
     words = settled(
