@@ -14,7 +14,7 @@ from fleetwatch.llm.common import SPACES, WORD
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 # Fixed values of the line rules.
-ENDS = r"[.!?…。！？؟।:;][\"'”’»)\]]*$|[\"”]$"
+ENDS, CLOSERS, QUOTES = ".!?…。！？؟।:;", "\"'”’»)]", "\"”"
 SEPARATORS = r"[|»›•→¦]"
 BOILERPLATE = (
     "all rights reserved", "accept cookies", "accept all cookies", "cookie policy", "uses cookies", "use cookies",
@@ -33,7 +33,8 @@ def line_passes(line: Column) -> Column:
     """True for a line that stays; lines without a word stay."""
     trimmed = F.rtrim(line, F.lit(SPACES))
     words = F.regexp_count(line, F.lit(WORD))
-    ends = F.right(trimmed, F.lit(8)).rlike(ENDS)
+    last = F.right(F.rtrim(trimmed, F.lit(CLOSERS)), F.lit(1))
+    ends = last.isin(*ENDS) | F.right(trimmed, F.lit(1)).isin(*QUOTES)
     bars = F.regexp_count(line, F.lit(SEPARATORS))
     navigation = (bars >= 2) & (bars * 4 >= words)
     phrases = F.lower(line).rlike("|".join(BOILERPLATE))
@@ -51,8 +52,9 @@ def judge_lines(
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "cleaned"]
     # Work columns stand in structs under one name each, so that no column of the input can clash.
-    columns = [F.col(f"`{c}`") for c in docs.columns if c not in own]
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    name = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    columns = [name(c) for c in docs.columns if c not in own]
+    body = F.coalesce(name(text), F.lit(""))
     step = docs.select(*columns, body.alias("#body"), word_list(body).alias("#words"), F.split(body, "\n").alias("#lines"))
     n = F.size("#words")
     windows = F.when(
@@ -108,7 +110,8 @@ def oracle_sql() -> str:
     words = "regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')"
     trimmed = "rtrim(line, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13))"
     phrases = "|".join(BOILERPLATE)
-    ends = ENDS.replace("'", "''")
+    closers = CLOSERS.replace("'", "''")
+    ends = f"contains('{ENDS}', right(rtrim({trimmed}, '{closers}'), 1)) AND rtrim({trimmed}, '{closers}') <> '' OR right({trimmed}, 1) IN ('\"', '”')"
     strip = "'[\\x20\\x09-\\x0D]+'"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
@@ -122,7 +125,7 @@ ln AS (SELECT r, unnest(lines) AS line FROM w),
 judged AS (SELECT r, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
                   len(regexp_extract_all(line, '{SEPARATORS}')) AS bars FROM ln),
 lines AS (SELECT r, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines,
-        sum(n) FILTER (NOT (regexp_matches(right({trimmed}, 8), '{ends}') AND NOT (bars >= 2 AND bars * 4 >= n)
+        sum(n) FILTER (NOT (({ends}) AND NOT (bars >= 2 AND bars * 4 >= n)
                             AND NOT (n <= {BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{phrases}')))) AS n_lost
       FROM judged GROUP BY r),
 m AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(t, {strip}, '', 'g')) AS word_chars,
