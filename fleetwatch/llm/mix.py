@@ -4,23 +4,29 @@ A source that is to give r times its words gives each document r copies on avera
 fraction is rounded. Two documents with fractional copies meet, and words move at random from one to the other, so that
 the expected copies of both and their summed words stay as they are, until one of them has whole copies; the other stays
 fractional and meets the next. One document at most stays fractional in each chunk of a source; the chunks' residuals
-meet in the next level of a reduction tree, until a source has one, which is rounded by its probability. So a source's
-words differ from its target by less than the size of one document.
+meet in the next level of a reduction tree, until a source has one, which is rounded by its probability. In a chunk the
+largest document meets the next smaller ones as one, then the next does, so that a small one stays fractional: a source's
+words differ from its target by about the size of one of its smallest documents, unless one outweighs the others.
 """
 
 from __future__ import annotations
 
 import math
+import random
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.llm.common import WORD, uniform
+from fleetwatch.llm.common import WORD, uniform, where_computed
+from fleetwatch.llm.rowvectors import decided, identity, stored, write_vectors
 from fleetwatch.plans.ordering import rank_in_group
 from fleetwatch.session import settled, work_path
 
 CHUNK = 4096
+GROUP = 256
+HEAVY = 0.01
 EXACT = 1e-9
 
 
@@ -67,26 +73,41 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), m
 
 
 def _pivot(rows: pd.DataFrame) -> pd.DataFrame:
-    """One chunk, largest documents first; each row leaves with whole copies, but for one."""
+    """One chunk, largest documents first; each row leaves with whole copies, but for one of the smallest.
+
+    A document meets the next ``GROUP`` smaller ones as one: words move between it and them until it has whole copies or
+    they can move no more. Each of them takes part by its distance from whole copies, in the same proportions both ways,
+    so that every document's expected copies stay as they are. A document of more than ``HEAVY`` of the chunk's words that
+    they can balance on one side only takes that side: the source's words come before its own chance.
+    """
     rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
     size, p, u = rows["size"].to_numpy(float), rows["p"].to_numpy(float).copy(), rows["u"].to_numpy()
-    held = -1
-    for j in range(len(rows)):
-        if p[j] <= EXACT or p[j] >= 1 - EXACT:
-            p[j] = round(p[j])
-            continue
-        if held < 0:
-            held = j
-            continue
-        i = held
-        up = min((1 - p[i]) * size[i], p[j] * size[j])  # words that i can take from j
-        down = min(p[i] * size[i], (1 - p[j]) * size[j])
-        move = up if u[j] * (up + down) < down else -down
-        p[i] += move / size[i]
-        p[j] -= move / size[j]
-        open_i, open_j = EXACT < p[i] < 1 - EXACT, EXACT < p[j] < 1 - EXACT
-        p[i], p[j] = (p[i] if open_i else round(p[i])), (p[j] if open_j else round(p[j]))
-        held = i if open_i else j if open_j else -1
+    near = (p <= EXACT) | (p >= 1 - EXACT)
+    p[near] = np.round(p[near])
+    open_ = np.flatnonzero(~near)
+    sizes, own = size[open_], p[open_]
+    heavy = HEAVY * size.sum()
+    for k, i in enumerate(open_):
+        others, more = slice(k + 1, k + 1 + GROUP), None
+        while EXACT < own[k] < 1 - EXACT:
+            q = own[others]
+            part = np.minimum(q, 1 - q)
+            words = float(part @ sizes[others])
+            if words <= EXACT * sizes[k]:
+                break
+            lacks, has = (1 - own[k]) * sizes[k], own[k] * sizes[k]
+            up, down = min(lacks, words), min(has, words)
+            more = more or random.Random(float(u[i]))
+            if sizes[k] > heavy and (up < lacks) != (down < has):  # only one side can be balanced
+                move = up if up == lacks else -down
+            else:
+                move = up if more.random() * (up + down) < down else -down
+            own[k] += move / sizes[k]
+            q = q - part * (move / words)
+            own[others] = np.where(q <= EXACT, 0.0, np.where(q >= 1 - EXACT, 1.0, q))
+        if not EXACT < own[k] < 1 - EXACT:
+            own[k] = round(own[k])
+    p[open_] = own
     rows["p"] = p
     return rows
 
@@ -101,8 +122,17 @@ def mix_copies(
     key, source and size, floor(n p) get one more copy for certain, and the rest of n p is rounded as that of one row.
     Draws come from hashes, so reruns agree.
     """
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(source).cast("string").alias("source"), size.alias("size"))
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(source).cast("string").alias("source"), words_in(text).alias("size"))
+    out = copies_of(rows, weights, most, seed)
+    return out.withColumnRenamed("key", "doc_id").withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType))
+
+
+def words_in(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def copies_of(rows: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
+    """``mix_copies`` of rows (key, source, size): adds source_size, target, copies, taken."""
     units = settled(rows.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-units")
     sources = units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("units")
@@ -165,36 +195,41 @@ def mix_copies(
     out = out.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     out = out.withColumn("copies", F.col("base") + (F.col("_row") <= F.col("more")).cast("long"))
     return out.select(
-        F.col("key").cast(docs.schema[key].dataType).alias("doc_id"), "source", "size", "source_size", "target", "copies",
-        (F.col("size") * F.col("copies")).alias("taken"),
-    )
+        "key", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+    )
 
 
-def apply_mix(docs: DataFrame, copies: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+def mix(
+    docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
+    weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7,
+) -> DataFrame:
     """The documents as the mix takes them: each row as often as it has copies, all its columns kept.
 
-    Rows that share key, source and size but not their copies are numbered in the order of their columns.
+    Slim rows decide: what each row is taken becomes vectors by file and row, which the scan of the documents looks up.
+    Of rows that share key, source and size but not their copies those with the least hash of the text come first.
     """
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    plan = copies.groupBy(F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
-        F.min("copies").alias("_copies"), (F.sum("copies") - F.count(F.lit(1)) * F.min("copies")).alias("_more")
-    )
-    plan = settled(plan.where("_copies > 0 OR _more > 0"), "mix-plan")
-    marked = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"),
-        F.col(source).cast("string").alias("source"), size.alias("words"),
+    docs = stored(docs, "mix-docs")
+    name = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    slim = docs.select(
+        name(key).cast("string").alias("key"), name(source).cast("string").alias("source"), words_in(f"`{text}`").alias("size"),
+        F.xxhash64(name(text)).alias("lot"), *identity(docs),
     )
-    same = (
-        F.col("key").eqNullSafe(F.col("_key"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("words") == F.col("_size"))
+    slim = settled(slim, "mix-slim")
+    plan = copies_of(slim.select("key", "source", "size"), weights, most, seed)
+    plan = plan.groupBy(F.col("key").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
+        F.min("copies").alias("_copies"), (F.sum("copies") - F.count(F.lit(1)) * F.min("copies")).alias("_more")
     )
-    met = marked.join(plan.where("_more = 0"), same).select("row", "_copies")
+    plan = settled(plan, "mix-plan")
+    same = F.col("key").eqNullSafe(F.col("_key")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
+    met = slim.join(plan.where("_more = 0"), same).select("file", "row", F.col("_copies").alias("n"))
     uneven = plan.where("_more > 0")
     if not uneven.isEmpty():
-        parts = marked.join(uneven, same).select("row", "_key", "_source", "_size", "_copies", "_more")
-        parts = parts.withColumn("_tie", F.monotonically_increasing_id())
-        parts = rank_in_group(parts, ["_key", "_source", "_size"], ["row", "_tie"], "_rank")
-        met = met.unionByName(parts.select("row", (F.col("_copies") + (F.col("_rank") <= F.col("_more")).cast("long")).alias("_copies")))
-    copied = met.where("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return copied.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+        parts = slim.join(uneven, same).select("file", "row", "lot", "_key", "_source", "_size", "_copies", "_more")
+        parts = rank_in_group(parts, ["_key", "_source", "_size"], ["lot", "file", "row"], "_rank")
+        met = met.unionByName(parts.select("file", "row", (F.col("_copies") + (F.col("_rank") <= F.col("_more")).cast("long")).alias("n")))
+    vectors = write_vectors(met, "mix-vectors")
+    columns = [name(c) for c in docs.columns]
+    counted = docs.select(F.struct(*columns).alias("row"), decided(docs, vectors).alias("copies"))
+    copied = where_computed(counted, F.col("copies") > 0)
+    copied = copied.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return copied.select(*[F.col(f"row.`{c.replace('`', '``')}`") for c in docs.columns])

@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.llm.common import uniform
+from fleetwatch.llm.common import uniform, where_computed
+from fleetwatch.llm.rowvectors import decided, identity, stored, write_vectors
 from fleetwatch.session import settled
 
 BITS = 64
@@ -286,3 +287,27 @@ def near_duplicates(
     named = settled(rooted.join(names, "root").select(F.col("fp").alias("_fp"), "component_id"), "simhash-named")
     out = prints.join(named, F.col("fp") == F.col("_fp"))
     return out.select(F.col("key").alias(key), fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2, bucket: int = 2048
+) -> DataFrame:
+    """One row of each component: that with the smallest key (null last), of equal ones that with the least hash of the text.
+
+    Slim rows with fingerprints decide; the rows kept become vectors by file and row, which the scan of the documents
+    looks up. A row is known by its place, never by its key, which may be null or repeat. All columns are kept.
+    """
+    docs = stored(docs, "simhash-docs")
+    name = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    slim = docs.select(
+        fingerprint(name(text), shingle).alias("fp"), name(key).alias("key"), F.xxhash64(name(text)).alias("lot"), *identity(docs)
+    )
+    slim = settled(slim, "simhash-slim")
+    first = F.struct(F.col("key").isNull().alias("none"), "key", "lot", "file", "row")
+    least = settled(slim.groupBy("fp").agg(F.min(first).alias("first")), "simhash-least")
+    linked = components(near_links(least.select("fp"), distance, bucket))
+    rooted = least.join(linked, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.file", "first.row", F.lit(1).alias("n"))
+    vectors = write_vectors(slim.select("file", "row", F.lit(0).alias("n")).unionByName(kept), "simhash-vectors")
+    chosen = docs.select(F.struct(*[name(c) for c in docs.columns]).alias("row"), decided(docs, vectors).alias("kept"))
+    return where_computed(chosen, F.col("kept") > 0).select(*[F.col(f"row.`{c.replace('`', '``')}`") for c in docs.columns])

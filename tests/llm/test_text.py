@@ -11,6 +11,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -51,8 +52,34 @@ def test_forward_sums_all_segmentations():
         return total
 
     for word in ("▁the", "▁thermal", "▁漢字x"):
-        alpha = langid._forward(langid._lattice([word], vocabulary), probs)[-1][0]
-        assert alpha == pytest.approx([brute(word, 0), brute(word, 1)])
+        logs = langid._log_sums([word], vocabulary, probs)[0]
+        assert np.exp(logs) == pytest.approx([brute(word, 0), brute(word, 1)])
+
+
+@pytest.mark.parametrize("length", [1, 7, 8, 9, 33, 43, 400])
+def test_long_words_are_summed_in_logs(length):
+    """The scaled recursion against one in exact fractions, at the least probabilities too; and it sums for posteriors."""
+    from fractions import Fraction
+
+    vocabulary = langid.load_vocabulary(piece_file())
+    rng = np.random.default_rng(length)
+    probs = np.maximum(rng.random((vocabulary.none + 1, 1)) ** 30, langid.FLOOR)
+    probs[vocabulary.none] = 0
+    word = "▁" + "".join(rng.choice(list("donaudampfschiffß漢"), length))
+    lattice = langid._lattice([word], vocabulary)
+    sums = [Fraction(1)]
+    for i in range(1, len(word) + 1):
+        ways = range(1, min(i, len(lattice)) + 1)
+        sums.append(sum(sums[i - k] * Fraction(float(probs[lattice[k - 1][0, i - k], 0])) for k in ways))
+    want = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+    assert langid._log_sums([word], vocabulary, probs)[0, 0] == pytest.approx(want, rel=1e-9)
+    used = langid._expected([word], np.array([2.0]), probs, vocabulary)
+    lengths = np.zeros(len(used))
+    for k, row in enumerate(lattice, 1):
+        lengths[row[0]] = k
+    lengths[vocabulary.unknown] = 1
+    lengths[vocabulary.none] = 0
+    assert used @ lengths == pytest.approx(2.0 * len(word))  # every character is in one piece of each segmentation
 
 
 def test_expected_counts_cover_every_letter():
@@ -131,6 +158,13 @@ def test_line_passes(spark, line, stays):
     assert df.first()[0] is stays
 
 
+@pytest.mark.parametrize("closers, stays", [(0, True), (7, True), (8, True), (9, True), (500, True)])
+def test_any_number_of_closers(spark, closers, stays):
+    lines_ = [("He said so." + ")" * closers, stays), ("He said so" + ")" * closers, False), (")" * (closers + 1), False)]
+    df = spark.createDataFrame([(x,) for x, _ in lines_], "line string")
+    assert [r[0] for r in df.select(lines.line_passes(F.col("line"))).collect()] == [y for _, y in lines_]
+
+
 def test_cleaned_text_and_lost_share(spark):
     good = "The river runs to the sea and the sea is wide and green today."
     text = "\n".join([good, "menu", good.replace("sea", "lake")])
@@ -250,12 +284,24 @@ def test_pieces_on_random_text():
 
 def test_pieces_in_blocks(monkeypatch):
     monkeypatch.setattr(pieces, "BLOCK_CHARS", 50)
-    monkeypatch.setattr(pieces, "CACHE_WORDS", 10)
+    monkeypatch.setattr(pieces, "WORD_BYTES", 2000)
     codec = pieces.PieceCodec(open(piece_file(), "rb").read())
     texts = [prose(4, "fr", 400), "  " * 200 + "a", "x" * 300, ""]
     assert [codec.digest(t) for t in texts] == list(library_rows(texts))
 
 
+def test_pieces_of_many_texts_at_once(monkeypatch):
+    codec = pieces.PieceCodec(open(piece_file(), "rb").read())
+    rng = np.random.default_rng(2)
+    signs = list("abcdei .,\n\n   ▁Éß漢😀")
+    texts = ["".join(rng.choice(signs, n)) for n in (1, 2, 5, 9, 30) for _ in range(200)]
+    texts += ["\n", "a\nb", "a\n\nb.", "a \nb", "\na", "a ", " a", "", "▁a b", "x" * 300, "<0x0A> <s>", prose(3, "de", 300)]
+    for most in (1 << 20, 50):
+        monkeypatch.setattr(pieces, "STRETCH_BYTES", most)
+        got = list(codec.digests(pa.array([*texts, None], pa.string())))
+        assert got == list(library_rows([*texts, ""]))
+
+
 # Mix
 
 
@@ -314,7 +360,7 @@ def test_rows_that_share_a_key_meet_the_target(spark):
     out = copies.toPandas()
     for _, g in out.groupby("source"):
         assert abs(g["taken"].sum() - g["target"].iloc[0]) <= 11
-    taken = mix.apply_mix(docs, copies)
+    taken = mix.mix(docs)
     assert taken.count() == out["copies"].sum()
     shared = out[out["doc_id"].isna()]["copies"]
     assert 0 < (shared == shared.max()).sum() < 101  # some rows have one more copy than others
@@ -322,11 +368,48 @@ def test_rows_that_share_a_key_meet_the_target(spark):
     assert sum(counts.values()) == shared.sum() and set(counts.values()) <= set(shared)
 
 
-def test_apply_mix_repeats_rows(spark, odd):
+def test_mix_repeats_rows(spark, odd):
     copies = mix.mix_copies(odd)
-    out = mix.apply_mix(odd, copies)
+    out = mix.mix(odd)
     assert out.columns == odd.columns
     assert out.count() == copies.agg(F.sum("copies")).first()[0]
+    assert Counter(rows_of(out)) == Counter(rows_of(mix.mix(odd)))
+
+
+def test_every_source_ends_near_its_target(spark):
+    """Sources of a few dozen documents too: what is left to round is a small document."""
+    out = mix.mix_copies(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
+    for _, g in out.groupby("source", dropna=False):
+        assert abs(g["taken"].sum() / g["target"].iloc[0] - 1) <= 0.02
+
+
+def test_a_chunk_keeps_its_words_and_expectations(monkeypatch):
+    import pandas as pd
+
+    rng = np.random.default_rng(0)
+    monkeypatch.setattr(mix, "HEAVY", 2.0)
+    sizes, p = np.exp(rng.normal(4, 2, 40)).astype(int) + 1, rng.uniform(0, 1, 40)
+    total = np.zeros(40)
+    for _ in range(4000):
+        rows = pd.DataFrame({"key": [f"{i:02d}" for i in range(40)], "size": sizes, "p": p, "u": rng.uniform(0, 1, 40)})
+        out = mix._pivot(rows).sort_values("key")["p"].to_numpy()
+        assert abs(out @ sizes - p @ sizes) < 1e-6 * sizes.sum()
+        assert (np.minimum(out, 1 - out) > mix.EXACT).sum() <= 2
+        total += out
+    assert np.abs(total / 4000 - p).max() < 0.04
+
+
+def test_rows_without_a_decision_are_an_error(spark, tmp_path):
+    from fleetwatch.llm import rowvectors
+
+    spark.range(50).write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+    some = docs.select(*rowvectors.identity(docs), F.col("id").alias("n"))
+    right = rowvectors.write_vectors(some, "some")
+    assert {(r.id, r.n) for r in docs.select("id", rowvectors.decided(docs, right).alias("n")).collect()} == {(i, i) for i in range(50)}
+    lacking = rowvectors.write_vectors(some.where("n <> 7"), "lacking")
+    with pytest.raises(Exception, match="no decision"):
+        docs.select(rowvectors.decided(docs, lacking).alias("n")).collect()
 
 
 # SimHash

@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,7 +59,11 @@ def test_recall_on_a_tree(spark):
 
 
 def test_recall_with_production_parameters(spark):
-    df = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").select("vec_id", "embedding")
+    """24,000 vectors of 64 numbers, many leaves."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 64))
+    x = centres[rng.integers(60, size=24_000)] + 0.8 * rng.normal(size=(24_000, 64))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(24_000), "embedding": x.tolist()}), "vec_id long, embedding array<float>")
     table = df.toPandas()
     ids, x = table["vec_id"].to_numpy(), np.array(table["embedding"].tolist(), float)
     got = ann.nearest(df, "vec_id % 20 = 0").select("query_id", "vec_id").toPandas().groupby("query_id")["vec_id"].agg(set)
@@ -154,6 +159,22 @@ def test_dedup_keeps_one_row_of_each_text(spark):
     assert kept == Counter((i, t) for t, i in want.items())
 
 
+def test_stages_keep_columns_of_any_name_and_type(spark, odd):
+    names = ["no_doc_id", "#no_text", "#kept", "file", "row", "copies", "a`b", "_metadata", "_key"]
+    table = odd.withColumns({c: F.lit("x") for c in names}).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns and out.count() > 0
+        assert {r.no_doc_id for r in out.collect()} == {"x"}
+
+
+def test_dedup_and_mix_shuffle_no_text(spark, docs):
+    """The scan of the documents goes through to the result; what is shuffled are slim rows."""
+    for _, stage in corpus_pipeline.STAGES[2:4]:
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_stages_on_odd_rows(spark, odd, clashing, empty):
     for table in (odd, clashing, empty):
         for name, stage in corpus_pipeline.STAGES:
