@@ -11,22 +11,22 @@ from pyspark.sql import functions as F
 from fleetwatch.llm import langid, lines, mix, pieces, simhash
 from fleetwatch.llm.common import where_computed
 from fleetwatch.llm.queries import language_model, piece_file, table
-from fleetwatch.session import settled, work_path
+from fleetwatch.session import work_path
 
 MIN_SCORE = 0.5
 WORK = "#work"
 
 
 def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+    return [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose best language has a posterior below one half."""
     model = language_model(docs)
-    judged = docs.select(*_columns(docs), langid.predict(F.col("text"), model).alias(WORK))
-    keep = (F.col(f"`{WORK}`.lang_pred") != "und") & (F.col(f"`{WORK}`.score") >= MIN_SCORE)
-    return where_computed(judged, keep).select(*_columns(docs))
+    judged = docs.select(F.struct(*_columns(docs)).alias(WORK), langid.predict(F.col("text"), model).alias("p"))
+    keep = (F.col("p.lang_pred") != "und") & (F.col("p.score") >= MIN_SCORE)
+    return where_computed(judged, keep).select(*[F.col(f"`{WORK}`.`{c.replace('`', '``')}`") for c in docs.columns])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,32 +40,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         elif c == "n_chars":
             columns.append(F.length("cleaned").cast(docs.schema[c].dataType).alias(c))
         else:
-            columns.append(F.col(f"`{WORK}`.`{c}`").alias(c))
+            columns.append(F.col(f"`{WORK}`.`{c.replace('`', '``')}`").alias(c))
     return judged.select(*columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each component: the one with the smallest doc_id (null last), of equal ones the first by text.
-
-    A row is known by its fingerprint's component, never by its doc_id, which may be null or repeat.
-    """
-    first = ["doc_id", "text", "source", "lang"]
-    order = [f for c in first for f in (F.col(c).isNull().alias(f"#no_{c}"), F.col(c).alias(f"#{c}"))]
-    rest = [F.col(f"`{c}`").alias(f"#{c}") for c in docs.columns if c not in first]
-    prints = docs.select(simhash.fingerprint(F.col("text")).alias("fp"), F.struct(*order, *rest).alias("row"))
-    least = settled(prints.groupBy("fp").agg(F.min("row").alias("row")), "pipeline-least")
-    roots = settled(simhash.components(simhash.near_links(least.select("fp"))), "pipeline-roots")
-    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
-    met = least.join(linked, F.col("fp") == F.col("node"))
-    kept = met.groupBy("root").agg(F.min(F.struct("row", "fp")).alias("best")).select("root", F.col("best.fp").alias("kept"))
-    losers = settled(linked.join(kept, "root").where("node <> kept").select("node"), "pipeline-losers")
-    left = least.join(losers, F.col("fp") == F.col("node"), "left_anti")
-    return left.select(*[F.col(f"row.`#{c}`").alias(c) for c in docs.columns])
+    """Keeps one row of each component of near duplicates, that with the smallest doc_id."""
+    return simhash.keep_one(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mix.apply_mix(docs, mix.mix_copies(docs))
+    return mix.mix(docs)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
