@@ -40,9 +40,9 @@ MAGIC = b"IDBLOCKS"
 BLOCK_IDS = 4096
 ROLL_IDS = 1 << 24
 ROLL_DOCS = 1 << 18
-TABLE_BYTES = 128 << 20
+TABLE_BYTES = 96 << 20
 BLOCK_CHARS = 1 << 20
-STRETCH_BYTES = 16 << 20
+STRETCH_BYTES = 8 << 20
 READ_IDS = 1 << 20
 MANIFEST = "file string, part long, number long, docs long, ids long, bytes long, sha256 string"
 
@@ -287,6 +287,8 @@ class TextCodec:
                     yield self.blocks(part[i].as_py())
                 else:
                     yield np.frombuffer(found[i], "<u4"), ids[ends[begin] : ends[stop]]
+            del spaced, lists, words, inner, coded, distinct, code, mark, soft, odd, odds
+            pa.default_memory_pool().release_unused()
 
 
 _CODECS: dict[str, TextCodec] = {}

@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from fleetwatch.llm.wordtable import WordTable, stretches
 
 MARK = "▁"
-WORD_BYTES = 96 << 20
+WORD_BYTES = 64 << 20
 PART_BYTES = 24 << 20
 BLOCK_CHARS = 1_000_000
-STRETCH_BYTES = 16 << 20
+STRETCH_BYTES = 4 << 20
 
 
 class PieceCodec:
@@ -226,6 +226,8 @@ class PieceCodec:
                     continue
                 own = ids[ends[begin] : ends[stop]]
                 yield len(own) + 2, hashlib.sha256(begin_id + own.tobytes() + end_id).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+            del spaced, lists, ids, ends, odds
+            pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> list[int]:
         data = array("I")
