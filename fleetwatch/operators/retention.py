@@ -25,23 +25,24 @@ class PurgeResult:
     counts: DataFrame
 
 
-# Dependents of an execution, child of child first, with their key column.
+# The tables that hang on an execution, children first: table, its key to the parent, the parent, and the
+# parent's column that the key refers to.
 CASCADE_KEYS = (
-    ("event_message_context", "event_message_id"),
-    ("event_messages", "operation_id"),
-    ("executable_statistics", "execution_id"),
-    ("execution_data_statistics", "execution_id"),
-    ("execution_component_phases", "execution_id"),
-    ("execution_data_taps", "execution_id"),
-    ("execution_parameter_values", "execution_id"),
-    ("execution_property_override_values", "execution_id"),
-    ("executions", "execution_id"),
-    ("operation_messages", "operation_id"),
-    ("extended_operation_info", "operation_id"),
-    ("operation_os_sys_info", "operation_id"),
-    ("validations", "validation_id"),
-    ("operation_permissions", "object_id"),
-    ("operations", "operation_id"),
+    ("event_message_context", "event_message_id", "event_messages", "event_message_id"),
+    ("event_messages", "operation_id", "executions", "execution_id"),
+    ("executable_statistics", "execution_id", "executions", "execution_id"),
+    ("execution_data_statistics", "execution_id", "executions", "execution_id"),
+    ("execution_component_phases", "execution_id", "executions", "execution_id"),
+    ("execution_data_taps", "execution_id", "executions", "execution_id"),
+    ("execution_parameter_values", "execution_id", "executions", "execution_id"),
+    ("execution_property_override_values", "execution_id", "executions", "execution_id"),
+    ("executions", "execution_id", None, "execution_id"),
+    ("operation_messages", "operation_id", "executions", "execution_id"),
+    ("extended_operation_info", "operation_id", "executions", "execution_id"),
+    ("operation_os_sys_info", "operation_id", "executions", "execution_id"),
+    ("validations", "validation_id", "executions", "execution_id"),
+    ("operation_permissions", "object_id", "executions", "execution_id"),
+    ("operations", "operation_id", "executions", "execution_id"),
 )
 
 
@@ -63,32 +64,33 @@ def _split(name: str, table: DataFrame, expired: DataFrame, key: str, guard=None
 
 
 def purge_cascade(
-    tables: Mapping[str, DataFrame], roots: DataFrame, as_of, days: int, enabled: bool = True
+    tables: Mapping[str, DataFrame], roots: DataFrame, as_of, days: int, enabled: bool = True, partial: bool = False
 ) -> dict[str, PurgeResult]:
     """Remove expired executions and everything that hangs on them.
 
-    Children two levels down are matched through ``event_messages`` before that
-    table itself is reduced.  Each table is one left join with the expired keys.
+    The frontier of expired keys is carried from parent to child along ``CASCADE_KEYS``: a table's expired rows give the
+    keys that its children are matched with, read before that table itself is reduced.  Each table is one left join with
+    its parent's frontier.  All tables must be given unless ``partial``; then those absent stay as they are.
     """
-    expired = expired_keys(roots, as_of, days, enabled)
-    out = {}
-    for name, key in CASCADE_KEYS:
-        if name not in tables:
-            continue
-        table = tables[name]
-        if name == "event_message_context":
-            dead = (
-                tables["event_messages"]
-                .join(expired, F.col("operation_id") == F.col("execution_id"), "left_semi")
-                .select(F.col("event_message_id").alias("execution_id"))
-                .distinct()
-            )
-            out[name] = _split(name, table, dead, key)
-        elif name == "operations":
-            out[name] = _split(name, table, expired, key, F.col("start_time").isNotNull())
-        else:
-            out[name] = _split(name, table, expired, key)
-    return out
+    absent = [name for name, *_ in CASCADE_KEYS if name not in tables]
+    if absent and not partial:
+        raise ValueError(f"tables not given: {', '.join(absent)}")
+    edges = {name: edge for name, *edge in CASCADE_KEYS}
+
+    def frontier(parent: str | None, column: str) -> DataFrame:
+        """Values of the parent's column in its expired rows; the expired executions at the top."""
+        if parent in (None, "executions"):
+            return expired_keys(roots, as_of, days, enabled)
+        key, above, referred = edges[parent]
+        gone = frontier(above, referred).withColumnRenamed("execution_id", key)
+        return tables[parent].join(gone, key, "left_semi").select(F.col(column).alias("execution_id")).distinct()
+
+    guard = {"operations": F.col("start_time").isNotNull()}
+    return {
+        name: _split(name, tables[name], frontier(parent, column), key, guard.get(name))
+        for name, key, parent, column in CASCADE_KEYS
+        if name in tables and (parent in (None, "executions") or parent in tables)
+    }
 
 
 def purge_parent_guard(parents: DataFrame, expired: DataFrame, key: str, start_col: str) -> DataFrame:
@@ -112,31 +114,36 @@ def purge_files(listing: DataFrame, pattern: str, as_of, days: int = 30) -> Data
 
 
 def delete_files(candidates: DataFrame, apply: bool = False) -> DataFrame:
-    """Delete candidates from the executors; only with ``apply=True``.
+    """Delete candidates; only with ``apply=True``.  Adds ``deleted`` and ``outcome``.
 
-    Paths are removed where the tasks run, through the Hadoop-visible shared
-    mount, so nothing is collected.
+    Paths are addresses that pyarrow knows (``file:``, plain paths, object stores); each is removed where its task runs,
+    so nothing is collected.  ``outcome`` is ``kept`` without ``apply``, else ``deleted``, ``not found``, ``not a file`` or
+    the error's text.  A retried task finds files that its first attempt removed: they count as ``not found``.
     """
     if not apply:
-        return candidates.withColumn("deleted", F.lit(False))
+        return candidates.withColumns({"deleted": F.lit(False), "outcome": F.lit("kept")})
 
     def remove(batches):
-        import os
+        from pyarrow import fs
 
         for pdf in batches:
-            done = []
+            told = []
             for path in pdf["path"]:
-                local = path[len("file:"):] if path.startswith("file:") else path
                 try:
-                    os.remove(local)
-                    done.append(True)
-                except FileNotFoundError:
-                    done.append(True)
-                except OSError:
-                    done.append(False)
-            yield pdf.assign(deleted=done)
-
-    return candidates.mapInPandas(remove, "path string, age_days bigint, deleted boolean")
+                    store, place = fs.FileSystem.from_uri(path)
+                    kind = store.get_file_info(place).type
+                    if kind == fs.FileType.NotFound:
+                        told.append("not found")
+                    elif kind != fs.FileType.File:
+                        told.append("not a file")
+                    else:
+                        store.delete_file(place)
+                        told.append("deleted")
+                except (OSError, ValueError) as error:
+                    told.append(str(error))
+            yield pdf.assign(deleted=[t == "deleted" for t in told], outcome=told)
+
+    return candidates.mapInPandas(remove, "path string, age_days bigint, deleted boolean, outcome string")
 
 
 def retention_cutoff(plans: DataFrame, base_backups: DataFrame, as_of, hours: int) -> DataFrame:

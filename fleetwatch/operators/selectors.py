@@ -74,10 +74,19 @@ def sel_name_list(inventory: DataFrame, spec: str, delimiter: str = ",") -> Data
     return _decide(kept, items).select(*inventory.columns, "selected", "start_position")
 
 
-def split_object_name(item: str, keyword: str = "ALL_INDEXES") -> tuple[str, str, str, str]:
-    """db, schema, object, index of a 3- or 4-part name; a missing index part means any."""
+# The forms of an object list: keyword for everything, the parts of a name, how many of them may be left out at its end.
+OBJECT_FORMS = {
+    "indexes": ("ALL_INDEXES", ("db", "schema", "object", "index"), 1),
+    "objects": ("ALL_OBJECTS", ("db", "schema", "object"), 0),
+    "filegroups": ("ALL_FILEGROUPS", ("db", "filegroup"), 0),
+}
+
+
+def split_object_name(item: str, form: str = "indexes") -> tuple[str, ...]:
+    """The parts of a dotted name; dots inside brackets belong to a part, parts that may be missing mean any."""
+    keyword, names, optional = OBJECT_FORMS[form]
     if item.upper() == keyword:
-        return ("%", "%", "%", "%")
+        return ("%",) * len(names)
     parts, depth, current = [], 0, ""
     for ch in item:
         if ch == "[":
@@ -90,24 +99,22 @@ def split_object_name(item: str, keyword: str = "ALL_INDEXES") -> tuple[str, str
         else:
             current += ch
     parts.append(_unbracket(current))
-    if len(parts) == 3:
-        parts.append("%")
-    if len(parts) != 4:
-        raise ValueError(f"expected db.schema.object[.index], got {item!r}")
-    return tuple(parts)  # type: ignore[return-value]
+    if not len(names) - optional <= len(parts) <= len(names):
+        raise ValueError(f"expected {'.'.join(names)}, got {item!r}")
+    return (*parts, *("%",) * (len(names) - len(parts)))
 
 
-def sel_object_list(objects: DataFrame, spec: str, delimiter: str = ",") -> DataFrame:
-    """Selection over (db, schema, object, index) rows."""
+def sel_object_list(objects: DataFrame, spec: str, delimiter: str = ",", form: str = "indexes") -> DataFrame:
+    """Selection over rows of (db, schema, object, index), (db, schema, object) or (db, filegroup), as ``form`` says."""
+    _, names, optional = OBJECT_FORMS[form]
     items = []
     for item, include, start in parse_list(spec, delimiter):
-        db, schema, obj, index = split_object_name(item)
-        cond = (
-            _matches(F.col("db"), db)
-            & _matches(F.col("schema"), schema)
-            & _matches(F.col("object"), obj)
-            & (F.lit(True) if index == "%" else F.coalesce(_matches(F.col("index"), index), F.lit(False)))
-        )
+        cond = F.lit(True)
+        for k, (name, part) in enumerate(zip(names, split_object_name(item, form), strict=True)):
+            if k < len(names) - optional:
+                cond = cond & _matches(F.col(name), part)
+            elif part != "%":
+                cond = cond & F.coalesce(_matches(F.col(name), part), F.lit(False))
         items.append((cond, include, start))
     return _decide(objects, items)
 

@@ -12,9 +12,9 @@ from fleetwatch.operators.selectors import parse_list
 from fleetwatch.plans.ordering import latest_row, rank_in_group, top_k, with_group_total
 
 
-def win_share_of_total(df: DataFrame, value: str, out: str = "pct") -> DataFrame:
-    """100 * value / total of the server."""
-    total = with_group_total(df, ["server_id"], F.sum(value), "_total")
+def win_share_of_total(df: DataFrame, value: str, out: str = "pct", once: bool = False) -> DataFrame:
+    """100 * value / total of the server; ``once``: the rows are an aggregate, to be computed once."""
+    total = with_group_total(df, ["server_id"], F.sum(value), "_total", once)
     share = F.try_divide(F.col(value).cast("double") * 100, F.col("_total"))
     return total.withColumn(out, share).drop("_total")
 

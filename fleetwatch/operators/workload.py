@@ -102,7 +102,7 @@ COUNTER_RENAMES = (
 def wait_stats(waits: DataFrame, benign: Iterable[str] = BENIGN_WAITS) -> DataFrame:
     """Seconds, tasks and share of the server's wait time per wait type, benign types removed."""
     kept = flt_exclusion_list(waits, "wait_type", benign, "wait_time_ms", 1)
-    return win_share_of_total(kept, "wait_time_ms").select(
+    return win_share_of_total(kept, "wait_time_ms", once=True).select(
         "server_id",
         "wait_type",
         (F.col("wait_time_ms") / 1000).alias("wait_seconds"),
@@ -204,7 +204,7 @@ def cache_free_space(
 
 
 def log_write_share(log_records: DataFrame) -> DataFrame:
-    return win_share_of_total(A.agg_coalesced_category(log_records), "bytes")
+    return win_share_of_total(A.agg_coalesced_category(log_records), "bytes", once=True)
 
 
 def index_usage(usage: DataFrame) -> DataFrame:

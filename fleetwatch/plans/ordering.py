@@ -125,12 +125,15 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 
-def with_group_total(df: DataFrame, groups: Sequence[str], total: Column, out: str) -> DataFrame:
+def with_group_total(df: DataFrame, groups: Sequence[str], total: Column, out: str, once: bool = False) -> DataFrame:
     """Attach an aggregate of the row's group.
 
     The totals (one row per group) are settled first, so the join knows their
-    size: small totals are broadcast and the rows never shuffle.
+    size: small totals are broadcast and the rows never shuffle.  ``once`` is for rows that are an
+    aggregate themselves: they are settled too, so that what is behind them is read and computed once.
     """
+    if once:
+        df = settled(df, "groups")
     totals = settled(
         df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in groups]).agg(total.alias(out)), "totals"
     )

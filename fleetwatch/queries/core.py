@@ -109,6 +109,25 @@ def _(t):
     return SEL.sel_object_list(t("object_names"), "db_10.s%.%,db_2%.s1.%.ix_1%,-%.s2.%.%")
 
 
+@query("sel_filegroup_list", r"""
+WITH m AS (
+  SELECT DISTINCT db, schema AS filegroup FROM v_object_names),
+k AS (SELECT *, db ILIKE 'db\_1%' ESCAPE '\' AS i1, db = 'db_20' AND filegroup = 's1' AS i2, filegroup = 's3' AS x FROM m)
+SELECT db, filegroup, (i1 OR i2) AND NOT x AS selected, CAST(CASE WHEN i1 THEN 1 WHEN i2 THEN 9 END AS BIGINT) AS start_position FROM k""")
+def _(t):
+    groups = t("object_names").select("db", F.col("schema").alias("filegroup")).distinct()
+    return SEL.sel_object_list(groups, "db_1%.%,[db_20].[s1],-%.s3", form="filegroups")
+
+
+@query("sel_check_objects", r"""
+WITH m AS (SELECT DISTINCT db, schema, object FROM v_object_names),
+k AS (SELECT *, db = 'master' AND object ILIKE 't\_1%' ESCAPE '\' AS x FROM m)
+SELECT db, schema, object, NOT x AS selected, CAST(1 AS BIGINT) AS start_position FROM k""")
+def _(t):
+    objects = t("object_names").select("db", "schema", "object").distinct()
+    return SEL.sel_object_list(objects, "ALL_OBJECTS,-master.%.t_1%", form="objects")
+
+
 @query("sel_missing_names", """
 SELECT string_agg(n, ', ' ORDER BY n) AS missing_names FROM (VALUES ('db_7'), ('nowhere'), ('lost'), ('db_9')) AS w(n)
 WHERE lower(n) NOT IN (SELECT lower(name) FROM v_names)""")

@@ -20,8 +20,18 @@ from fleetwatch.session import work_path
 PURGE_TABLES = {
     "event_message_context": "message_context",
     "event_messages": "event_messages",
+    "executable_statistics": "executable_statistics",
+    "execution_data_statistics": "data_statistics",
+    "execution_component_phases": "component_phases",
+    "execution_data_taps": "data_taps",
     "execution_parameter_values": "parameter_values",
+    "execution_property_override_values": "override_values",
     "executions": "executions",
+    "operation_messages": "operation_messages",
+    "extended_operation_info": "operation_info",
+    "operation_os_sys_info": "sys_info",
+    "validations": "validations",
+    "operation_permissions": "operation_permissions",
     "operations": "operations",
 }
 EXPIRED = f"(SELECT DISTINCT execution_id FROM v_executions WHERE created_time < {O} - INTERVAL 365 DAY)"
@@ -34,6 +44,16 @@ def _counts(table, view, gone):
 PURGE_SQL = " UNION ALL ".join((
     _counts("event_message_context", "v_message_context", f"event_message_id IN (SELECT event_message_id FROM v_event_messages WHERE operation_id IN {EXPIRED})"),
     _counts("event_messages", "v_event_messages", f"operation_id IN {EXPIRED}"),
+    _counts("executable_statistics", "v_executable_statistics", f"execution_id IN {EXPIRED}"),
+    _counts("execution_data_statistics", "v_data_statistics", f"execution_id IN {EXPIRED}"),
+    _counts("execution_component_phases", "v_component_phases", f"execution_id IN {EXPIRED}"),
+    _counts("execution_data_taps", "v_data_taps", f"execution_id IN {EXPIRED}"),
+    _counts("execution_property_override_values", "v_override_values", f"execution_id IN {EXPIRED}"),
+    _counts("operation_messages", "v_operation_messages", f"operation_id IN {EXPIRED}"),
+    _counts("extended_operation_info", "v_operation_info", f"operation_id IN {EXPIRED}"),
+    _counts("operation_os_sys_info", "v_sys_info", f"operation_id IN {EXPIRED}"),
+    _counts("validations", "v_validations", f"validation_id IN {EXPIRED}"),
+    _counts("operation_permissions", "v_operation_permissions", f"object_id IN {EXPIRED}"),
     _counts("execution_parameter_values", "v_parameter_values", f"execution_id IN {EXPIRED}"),
     _counts("executions", "v_executions", f"execution_id IN {EXPIRED}"),
     _counts("operations", "v_operations", f"operation_id IN {EXPIRED} AND start_time IS NOT NULL"),

@@ -415,6 +415,16 @@ SELECT concat('t_', {s('l_suppkey % 20')}) AS table_name, year(l_shipdate) AS pa
     "operations": """
 SELECT o_orderkey AS operation_id, CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderdate END AS start_time FROM {orders}""",
     "parameter_values": "SELECT l_orderkey AS execution_id, l_linenumber AS parameter_no, l_partkey AS parameter_value FROM {lineitem}",
+    "executable_statistics": "SELECT l_orderkey AS execution_id, l_suppkey AS executable_id FROM {lineitem}",
+    "data_statistics": "SELECT l_orderkey AS execution_id, CAST(l_quantity AS BIGINT) AS rows_sent FROM {lineitem}",
+    "component_phases": "SELECT l_orderkey + 1 AS execution_id, l_linenumber AS phase_id FROM {lineitem}",
+    "data_taps": "SELECT o_orderkey AS execution_id, o_custkey AS tap_id FROM {orders}",
+    "override_values": "SELECT o_orderkey * 2 AS execution_id, o_custkey AS property_id FROM {orders}",
+    "operation_messages": "SELECT l_orderkey AS operation_id, l_partkey AS message_id FROM {lineitem}",
+    "operation_info": "SELECT o_orderkey AS operation_id, o_custkey AS info_id FROM {orders}",
+    "sys_info": "SELECT o_orderkey + 3 AS operation_id, o_custkey AS memory_kb FROM {orders}",
+    "validations": "SELECT o_orderkey * 3 AS validation_id, o_custkey AS object_id FROM {orders}",
+    "operation_permissions": "SELECT o_custkey AS object_id, o_orderkey AS permission_id FROM {orders}",
     "queue": """
 SELECT user_id % 5 AS queue_id, CASE WHEN event_type = 'signup' THEN NULL ELSE ts END AS start_time,
   CASE WHEN event_type IN ('click', 'view') THEN ts ELSE NULL END AS end_time FROM {events}""",

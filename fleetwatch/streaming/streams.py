@@ -75,7 +75,11 @@ def str_ip_threat(
 def str_login_sessions(
     events: DataFrame, gap: str = "30 minutes", watermark: str = WATERMARK
 ) -> DataFrame:
-    """Sessions per user, closed by inactivity."""
+    """Sessions per user, closed by inactivity.
+
+    Sessions are merged inside each task before the shuffle, so that a busy account sends sessions, not its rows, to one task.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         _event_time(events, "event_time")
         .withWatermark("event_time", watermark)
@@ -113,7 +117,7 @@ def counter_share(counters: DataFrame) -> DataFrame:
         .groupBy("server_id", "key")
         .agg(F.coalesce(F.sum("delta"), F.lit(0)).alias("delta"))
     )
-    return win_share_of_total(grown, "delta")
+    return win_share_of_total(grown, "delta", once=True)
 
 
 def str_counter_delta(counters: DataFrame, out_path: str, state_path: str, checkpoint: str) -> StreamingQuery:

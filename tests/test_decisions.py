@@ -164,7 +164,7 @@ def _purge(spark, enabled=True, days=30):
         "executions": roots,
         "operations": spark.createDataFrame([(1, "x"), (2, "x"), (3, None)], "operation_id bigint, start_time string"),
     }
-    out = purge_cascade(tables, roots, AS_OF, days, enabled)
+    out = purge_cascade(tables, roots, AS_OF, days, enabled, partial=True)
     return {n: (r.counts.first().kept_count, r.counts.first().deleted_count, r.kept.count()) for n, r in out.items()}
 
 
@@ -172,6 +172,33 @@ def test_purge_cascade(spark):
     assert _purge(spark) == {"event_message_context": (1, 2, 1), "event_messages": (1, 1, 1), "executions": (1, 2, 1), "operations": (2, 1, 2)}
 
 
+def test_purge_names_the_tables_it_lacks(spark):
+    roots = spark.createDataFrame([(1, "2020-01-01 00:00:00")], "execution_id bigint, created_time string")
+    with pytest.raises(ValueError, match="operation_permissions"):
+        purge_cascade({"executions": roots}, roots, AS_OF, 30)
+
+
+@pytest.mark.parametrize(
+    "item, form, parts",
+    [
+        ("db1.fg", "filegroups", ("db1", "fg")), ("[my.db].[f g]", "filegroups", ("my.db", "f g")), ("ALL_FILEGROUPS", "filegroups", ("%", "%")),
+        ("a.b.c", "objects", ("a", "b", "c")), ("all_objects", "objects", ("%",) * 3), ("a.b.c", "indexes", ("a", "b", "c", "%")), ("a.b.c.d", "indexes", ("a", "b", "c", "d")),
+    ],
+)
+def test_object_names_of_all_forms(item, form, parts):
+    from fleetwatch.operators.selectors import split_object_name
+
+    assert split_object_name(item, form) == parts
+
+
+@pytest.mark.parametrize("item, form", [("a", "filegroups"), ("a.b.c", "filegroups"), ("a.b", "objects"), ("a.b.c.d", "objects"), ("a.b", "indexes")])
+def test_object_names_with_the_wrong_number_of_parts(item, form):
+    from fleetwatch.operators.selectors import split_object_name
+
+    with pytest.raises(ValueError):
+        split_object_name(item, form)
+
+
 @pytest.mark.parametrize("enabled, days", [(False, 30), (True, 0)])
 def test_purge_is_off_unless_enabled(spark, enabled, days):
     assert all(deleted == 0 for _, deleted, _ in _purge(spark, enabled, days).values())

@@ -124,3 +124,34 @@ def test_delete_files_needs_apply(spark, tmp_path):
     rows = spark.createDataFrame([(f"file:{old}", 40)], "path string, age_days bigint")
     assert [r.deleted for r in delete_files(rows).collect()] == [False] and old.exists()
     assert [r.deleted for r in delete_files(rows, apply=True).collect()] == [True] and not old.exists()
+    assert [r.outcome for r in delete_files(rows, apply=True).collect()] == ["not found"]
+
+
+def test_delete_files_tells_what_became_of_each_path(spark, tmp_path):
+    from fleetwatch.operators.retention import delete_files
+
+    plain, uri, folder = tmp_path / "plain.txt", tmp_path / "uri.txt", tmp_path / "folder"
+    plain.write_text("x")
+    uri.write_text("x")
+    folder.mkdir()
+    paths = [str(plain), uri.as_uri(), str(folder), str(tmp_path / "missing"), "nosuch://host/path"]
+    rows = spark.createDataFrame([(p, 40) for p in paths], "path string, age_days bigint")
+    got = {r.path: (r.deleted, r.outcome) for r in delete_files(rows, apply=True).collect()}
+    assert [got[p] for p in paths[:4]] == [(True, "deleted"), (True, "deleted"), (False, "not a file"), (False, "not found")]
+    assert not got[paths[4]][0] and "nosuch" in got[paths[4]][1]
+    assert not plain.exists() and not uri.exists() and folder.exists()
+
+
+def test_login_sessions_merge_before_the_shuffle(spark, tmp_path):
+    """One user holds half of the rows: what leaves a task are sessions."""
+    rows = [("busy" if i % 2 else f"u{i % 40}", f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00") for i in range(600)]
+    df = spark.createDataFrame(rows, "user string, event_time string").withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    query = ST.str_login_sessions(stream, "30 minutes", "1 minute").writeStream.format("memory").queryName("sessions")
+    query = query.outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning(user")
+    assert "MergingSessions" in plan[:shuffle] and "MergingSessions" in plan[shuffle:]  # the plan's end runs first
+    assert spark.table("sessions").where("user = 'busy'").count() <= 1

@@ -61,3 +61,26 @@ def test_health_runs_with_the_roles_given(spark):
     assert skipped["hc_patch_level"] == ["version_map"]
     assert skipped["hc_mail_account_changed"] == ["mail_objects"]
     assert "hc_recent_restart" not in skipped
+
+
+def test_rules_left_out_are_named(spark):
+    servers = spark.createDataFrame([("s1",)], "server_id string")
+    rule = C.PresenceRule(role="jobs", violates="true", example="name", check_id="99", name="x", severity=1)
+    left = reports.skipped_rules({"servers": servers}, [rule])
+    assert left["cmp_protocols"] == ["registry"] and left["cmp_flags_missing"] == ["flags_enabled"] and left["99 x"] == ["jobs"]
+    assert "cmp_version" not in left and "cmp_32bit" not in left
+    everything = dict.fromkeys((*reports.COMPLIANCE_ROLES, "jobs"), servers)
+    assert reports.skipped_rules(everything, [rule]) == {}
+
+
+def test_an_aggregate_is_computed_once(spark, tmp_path):
+    """Shares of groups: the rows behind them are read once."""
+    from fleetwatch.operators.workload import wait_stats
+
+    rows = [(f"s{i % 3}", f"W{i}", 1, i + 1, 1) for i in range(60)]
+    spark.createDataFrame(rows, "server_id string, wait_type string, waiting_tasks_count long, wait_time_ms long, signal_wait_time_ms long").write.parquet(
+        str(tmp_path / "waits")
+    )
+    waits = spark.read.parquet(str(tmp_path / "waits"))
+    plan = wait_stats(waits)._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "waits") not in plan  # what is left to do starts from the settled groups
