@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetwatch.functions import semantics as S
 from fleetwatch.operators import compliance_rules as R
 from fleetwatch.operators.aggregates import agg_having_distinct, agg_having_latest_age, agg_having_multi, agg_two_level
-from fleetwatch.operators.findings import CRITICAL, OK, WARN, cmp_report, cmp_score, findings
+from fleetwatch.operators.findings import CRITICAL, OK, WARN, cmp_report, cmp_score, findings, union_findings
 from fleetwatch.plans.ordering import string_list, top_k
 from fleetwatch.session import literal_table
 
@@ -112,7 +112,7 @@ def cmp_presence(
     by_role: dict[str, list[PresenceRule]] = defaultdict(list)
     for rule in rules:
         by_role[rule.role].append(rule)
-    out = None
+    parts = []
     for role, group in by_role.items():
         aggs = []
         for i, rule in enumerate(group):
@@ -148,8 +148,8 @@ def cmp_presence(
             .alias("details"),
             F.lit(None).cast("timestamp_ntz").alias("observed_at"),
         )
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(part)
+    return union_findings(*parts)
 
 
 def _per_server(

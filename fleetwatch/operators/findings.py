@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +60,11 @@ def findings(
 
 
 def union_findings(*parts: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """All parts, joined in pairs of halves: every part is analysed as often as the tree is deep, not once per part behind it."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return union_findings(*parts[:half]).unionByName(union_findings(*parts[half:]))
 
 
 def hc_traffic_light(all_findings: DataFrame, servers: DataFrame | None = None) -> DataFrame:
