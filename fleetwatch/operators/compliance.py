@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwatch.functions import semantics as S
 from fleetwatch.operators import compliance_rules as R
-from fleetwatch.operators.aggregates import agg_having_distinct, agg_having_latest_age, agg_having_multi, agg_two_level
-from fleetwatch.operators.findings import CRITICAL, OK, WARN, cmp_report, cmp_score, findings, union_findings
+from fleetwatch.operators.aggregates import agg_having_latest_age, agg_two_level
+from fleetwatch.operators.findings import CRITICAL, OK, WARN, cmp_report, cmp_score, findings
+from fleetwatch.operators.rule_scan import FINE, VIOLATING, Rule, judge, quoted, told
 from fleetwatch.plans.ordering import string_list, top_k
 from fleetwatch.session import literal_table
 
 __all__ = ["cmp_report", "cmp_score"]
 
-FINE = "no problem found"
-
 
 def setting_targets(spark: SparkSession, states: Sequence[str] = ("live",)) -> DataFrame:
     rows = [r for r in R.SETTING_TARGETS if r[3] in states]
@@ -72,14 +71,17 @@ def cmp_settings(settings: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def cost_threshold_rule(target: int = 5, slack: int = 10) -> Rule:
+    return Rule(
+        "39", "settings", "cost threshold for parallelism", each=True, where="name = 'cost threshold for parallelism'",
+        key={"value": "value_in_use"}, current="{value}", target=str(target),
+        achieved=f"cast({{value}} as double) >= {target - slack}",
+    )
+
+
 def cmp_cost_threshold(settings: DataFrame, target: int = 5, slack: int = 10) -> DataFrame:
     """Cost threshold for parallelism may lie up to ``slack`` below its target."""
-    rows = settings.filter(F.col("name") == "cost threshold for parallelism")
-    ok = F.col("value_in_use") >= target - slack
-    return findings(
-        rows, "39", F.col("name"), severity=F.when(ok, OK).otherwise(WARN),
-        current=F.col("value_in_use"), target=target, achieved=ok,
-    )
+    return judge([cost_threshold_rule(target, slack)], {"settings": settings})
 
 
 @dataclass(frozen=True)
@@ -106,69 +108,23 @@ def cmp_presence(
 ) -> DataFrame:
     """One finding per server and rule with the number of violating rows and one example.
 
-    All rules over the same input share one scan and one partial aggregation. Without an inventory of ``servers``, only
-    those with a row in the rule's input are reported.
+    All rules over the same input share one scan, and all inputs one aggregation. Without an inventory of ``servers``,
+    only those with a row in the rule's input are reported.
     """
-    by_role: dict[str, list[PresenceRule]] = defaultdict(list)
-    for rule in rules:
-        by_role[rule.role].append(rule)
-    parts = []
-    for role, group in by_role.items():
-        aggs = []
-        for i, rule in enumerate(group):
-            bad = F.coalesce(F.expr(rule.violates), F.lit(False))
-            aggs.append(F.count_if(bad).alias(f"n{i}"))
-            aggs.append(F.min(F.when(bad, F.expr(rule.example).cast("string"))).alias(f"e{i}"))
-        wide = _every_server(inputs[role].groupBy("server_id").agg(*aggs), servers)
-        wide = wide.fillna(0, [f"n{i}" for i in range(len(group))])
-        results = F.array(
-            *[
-                F.struct(
-                    F.lit(r.check_id).alias("check_id"),
-                    F.lit(r.name).alias("name"),
-                    F.lit(r.severity).alias("severity"),
-                    F.col(f"n{i}").alias("n"),
-                    F.col(f"e{i}").alias("example"),
-                )
-                for i, r in enumerate(group)
-            ]
-        )
-        long = wide.select("server_id", F.explode(results).alias("r")).select("server_id", "r.*")
-        part = long.select(
-            "server_id",
-            "check_id",
-            F.lit(None).cast("string").alias("scope"),
-            F.when(F.col("n") == 0, OK).otherwise(F.col("severity")).cast("int").alias("severity"),
-            "name",
-            F.col("n").cast("string").alias("current_value"),
-            F.lit("0").alias("target_value"),
-            (F.col("n") == 0).alias("achieved"),
-            F.when(F.col("n") == 0, FINE)
-            .otherwise(S.text(F.col("n"), " violating, first: ", F.col("example")))
-            .alias("details"),
-            F.lit(None).cast("timestamp_ntz").alias("observed_at"),
-        )
-        parts.append(part)
-    return union_findings(*parts)
+    return judge(presence_rules(rules), inputs, servers)
 
 
-def _per_server(
-    df: DataFrame, bad: Column, check_id: str, name: str, example: Column | None = None, severity: int = WARN
-) -> DataFrame:
-    """Achieved when no row of the server is bad."""
-    hit = F.coalesce(bad, F.lit(False))
-    shown = F.min(F.when(hit, example.cast("string"))) if example is not None else F.lit(None).cast("string")
-    counted = df.groupBy("server_id").agg(F.count_if(hit).alias("_n"), shown.alias("_e"))
-    ok = F.col("_n") == 0
-    return findings(
-        counted,
-        check_id,
-        name,
-        severity=F.when(ok, OK).otherwise(severity),
-        current=F.col("_n"),
-        target=0,
-        achieved=ok,
-        details=F.when(ok, FINE).otherwise(S.text(F.col("_n"), " violating, first: ", F.col("_e"))),
+def presence_rules(rules: Sequence[PresenceRule]) -> list[Rule]:
+    return [
+        _per_server(r.check_id, r.role, r.name, r.violates, r.example, level=r.severity, every_server=True) for r in rules
+    ]
+
+
+def _per_server(check_id: str, role: str, name: str, violates: str, example: str, **options) -> Rule:
+    """Achieved when no row of the server violates."""
+    return Rule(
+        check_id, role, name, violates=violates, example=example, current="bad", target="0", achieved="bad = 0",
+        details=VIOLATING, **options,
     )
 
 
@@ -176,73 +132,70 @@ def _violations(rows: DataFrame, check_id: str, name: str, scope=None, details=N
     return findings(rows, check_id, name, severity=severity, scope=scope, details=details, **kw)
 
 
-def cmp_version(servers: DataFrame, version_map: DataFrame | None = None) -> DataFrame:
-    """10: product name and whether the patch level is the latest of its version."""
+VERSION = Rule(
+    "10", "servers", "Version", each=True, level=OK,
+    key={"product": "coalesce(product, 'unknown')", "level": "update_level", "latest": "latest"},
+    named="concat('Version: ', {product})", current="{level}", target="coalesce({latest}, 'unknown')",
+    achieved="coalesce({level} = {latest}, false)",
+    details="CASE WHEN {level} = {latest} THEN '" + FINE + "' "
+    "ELSE concat('install ', coalesce({latest}, 'the latest level')) END",
+)
+
+
+def with_product(servers: DataFrame, version_map: DataFrame | None = None) -> DataFrame:
+    """Adds ``product`` and ``latest`` patch level of the server's version."""
     if version_map is None:
-        version_map = literal_table(
-        servers.sparkSession,
-            R.VERSION_NAMES, "prefix string, product string, latest string"
-        )
+        version_map = literal_table(servers.sparkSession, R.VERSION_NAMES, "prefix string, product string, latest string")
     prefix = F.substring("product_version", 1, 4)
-    rows = servers.withColumn("_prefix", prefix).join(
-        version_map, F.col("_prefix") == F.col("prefix"), "left"
-    )
-    ok = F.coalesce(F.col("update_level") == F.col("latest"), F.lit(False))
-    return findings(
-        rows,
-        "10",
-        S.text("Version: ", F.coalesce("product", F.lit("unknown"))),
-        severity=OK,
-        current=F.col("update_level"),
-        target=F.coalesce("latest", F.lit("unknown")),
-        achieved=ok,
-        details=F.when(ok, FINE).otherwise(S.text("install ", F.coalesce("latest", F.lit("the latest level")))),
-    )
+    return servers.withColumn("_prefix", prefix).join(version_map, F.col("_prefix") == F.col("prefix"), "left")
+
+
+def cmp_version(servers: DataFrame, version_map: DataFrame | None = None) -> DataFrame:
+    """10: product name and whether the patch level is the latest of its version."""
+    return judge([VERSION], {"servers": with_product(servers, version_map)})
+
+
+def _enabled(suffix: str, bit: int) -> str:
+    return f"if(registry_key ilike '%{suffix}' AND value_name = 'Enabled' AND value_data = '1', {bit}, 0)"
+
+
+PROTOCOLS = Rule(
+    "20", "registry", "Unnecessary protocols", every_server=True,
+    bits=f"{_enabled('np', 1)} + {_enabled('sm', 2)} + {_enabled('tcp', 4)}",
+    current="if(bits = 6, 0, 1)", target="0", achieved="bits = 6",
+    details=f"if(bits = 6, '{FINE}', 'enable only required protocols')",
+)
 
 
 def cmp_protocols(registry: DataFrame, servers: DataFrame) -> DataFrame:
     """20: named pipes off, shared memory on, tcp on."""
-    on = lambda suffix: F.coalesce(
-        F.max(
-            F.when(
-                F.col("registry_key").ilike(f"%{suffix}") & (F.col("value_name") == "Enabled"),
-                F.col("value_data") == "1",
-            )
-        ),
-        F.lit(False),
-    )
-    flags = registry.groupBy("server_id").agg(on("np").alias("np"), on("sm").alias("sm"), on("tcp").alias("tcp"))
-    flags = _every_server(flags, servers).fillna(False, ["np", "sm", "tcp"])
-    ok = ~F.col("np") & F.col("sm") & F.col("tcp")
-    return findings(
-        flags, "20", "Unnecessary protocols", severity=F.when(ok, OK).otherwise(WARN),
-        current=F.when(ok, 0).otherwise(1), target=0, achieved=ok,
-        details=F.when(ok, FINE).otherwise("enable only required protocols"),
+    return judge([PROTOCOLS], {"registry": registry}, servers)
+
+
+def admin_login_rule(admin_id: int = 1) -> Rule:
+    return Rule(
+        "21", "principals", "Built-in login disabled", each=True, where=f"principal_id = {admin_id}",
+        key={"login": "name", "off": "is_disabled"}, scope="{login}", current="cast(cast({off} as boolean) as int)",
+        target="1", achieved="cast({off} as boolean)",
     )
 
 
 def cmp_admin_login(principals: DataFrame, admin_id: int = 1) -> DataFrame:
     """21: the built-in administrator login (well-known id) is disabled."""
-    rows = principals.filter(F.col("principal_id") == admin_id)
-    ok = F.col("is_disabled")
-    return findings(
-        rows, "21", "Built-in login disabled", severity=F.when(ok, OK).otherwise(WARN), scope=F.col("name"),
-        current=ok.cast("int"), target=1, achieved=ok,
-    )
+    return judge([admin_login_rule(admin_id)], {"principals": principals})
+
+
+GUEST_CONNECT = Rule(
+    "22", "permissions", "Guest CONNECT", key={"database": "database_name"},
+    where="lower(grantee_name) = 'guest' AND startswith(state_desc, 'GRANT') AND permission_name = 'CONNECT' "
+    "AND database_name NOT IN ('master', 'tempdb', 'msdb')",
+    scope="{database}", details=told(quoted("revoke CONNECT from guest in "), "{database}"),
+)
 
 
 def cmp_guest_connect(permissions: DataFrame) -> DataFrame:
     """22: CONNECT granted to guest outside the system databases."""
-    rows = permissions.filter(
-        (F.lower("grantee_name") == "guest")
-        & F.col("state_desc").startswith("GRANT")
-        & (F.col("permission_name") == "CONNECT")
-        & ~F.col("database_name").isin("master", "tempdb", "msdb")
-    ).select("server_id", "database_name").distinct()
-    return _violations(
-        rows, "22", "Guest CONNECT", scope=F.col("database_name"),
-        details=S.text("revoke CONNECT from guest in ", F.col("database_name")),
-    )
+    return judge([GUEST_CONNECT], {"permissions": permissions})
 
 
 def cmp_orphaned_users(db_users: DataFrame, principals: DataFrame) -> DataFrame:
@@ -256,34 +209,78 @@ def cmp_orphaned_users(db_users: DataFrame, principals: DataFrame) -> DataFrame:
     )
 
 
+def _default_grant() -> str:
+    grants = [
+        f"permission_name = {quoted(permission)} AND class_desc = {quoted(kind)}"
+        + (f" AND major_id = {obj}" if kind == "ENDPOINT" else "")
+        for permission, kind, obj in R.PUBLIC_DEFAULTS
+    ]
+    return f"state_desc = 'GRANT' AND ({' OR '.join(f'({g})' for g in grants)})"
+
+
+PUBLIC_PERMISSIONS = _per_server(
+    "24", "permissions", "Public role permissions", f"NOT ({_default_grant()})", "permission_name",
+    where="lower(grantee_name) = 'public' AND startswith(state_desc, 'GRANT')",
+)
+
+
 def cmp_public_permissions(permissions: DataFrame) -> DataFrame:
     """24: grants to the public role beyond its defaults."""
-    default = F.lit(False)
-    for permission, kind, obj in R.PUBLIC_DEFAULTS:
-        match = (F.col("permission_name") == permission) & (F.col("class_desc") == kind)
-        if kind == "ENDPOINT":
-            match = match & (F.col("major_id") == obj)
-        default = default | (match & (F.col("state_desc") == "GRANT"))
-    public = permissions.filter((F.lower("grantee_name") == "public") & F.col("state_desc").startswith("GRANT"))
-    return _per_server(public, ~default, "24", "Public role permissions", F.col("permission_name"))
+    return judge([PUBLIC_PERMISSIONS], {"permissions": permissions})
+
+
+def login_facts(
+    principals: DataFrame, permissions: DataFrame | None = None, role_members: DataFrame | None = None
+) -> DataFrame:
+    """Principals with ``holds`` (any permission) and ``is_admin`` (by role or CONTROL SERVER); each input is read once."""
+    key = ["server_id", "principal_id"]
+    grants = []
+    if permissions is not None:
+        control = (F.col("permission_name") == "CONTROL SERVER") & F.col("state_desc").startswith("GRANT")
+        grants.append(
+            permissions.select(
+                "server_id", F.col("grantee_principal_id").alias("principal_id"), F.lit(True).alias("holds"),
+                control.alias("is_admin"),
+            )
+        )
+    if role_members is not None:
+        grants.append(
+            role_members.filter(F.col("role_name") == "sysadmin").select(
+                "server_id", F.col("member_principal_id").alias("principal_id"), F.lit(False).alias("holds"),
+                F.lit(True).alias("is_admin"),
+            )
+        )
+    if not grants:
+        return principals
+    held = reduce(DataFrame.union, grants).groupBy(*key).agg(
+        F.bool_or("holds").alias("holds"), F.bool_or("is_admin").alias("is_admin")
+    )
+    return principals.join(held, key, "left")
+
+
+BUILTIN_GROUPS = Rule(
+    "25", "principals", "BUILTIN group login", each=True, where="startswith(name, 'BUILTIN') AND holds",
+    key={"login": "name"}, scope="{login}", details=told(quoted("drop "), "{login}"),
+)
+LOCAL_GROUPS = Rule(
+    "26", "principals", "Local group login", each=True,
+    where="type_desc = 'WINDOWS_GROUP' AND startswith(name, machine_name) AND holds",
+    key={"login": "name"}, scope="{login}", details=told(quoted("drop "), "{login}"),
+)
+PASSWORD_EXPIRATION = Rule(
+    "28", "principals", "Password expiration", each=True, key={"login": "name"}, scope="{login}",
+    where="type_desc = 'SQL_LOGIN' AND NOT is_expiration_checked AND is_admin",
+)
 
 
 def cmp_builtin_groups(principals: DataFrame, permissions: DataFrame) -> DataFrame:
     """25: BUILTIN groups that hold permissions."""
-    held = permissions.select("server_id", F.col("grantee_principal_id").alias("principal_id")).distinct()
-    rows = principals.filter(F.col("name").startswith("BUILTIN")).join(
-        held, ["server_id", "principal_id"], "left_semi"
-    )
-    return _violations(rows, "25", "BUILTIN group login", scope=F.col("name"), details=S.text("drop ", F.col("name")))
+    return judge([BUILTIN_GROUPS], {"principals": login_facts(principals, permissions)})
 
 
 def cmp_local_groups(principals: DataFrame, permissions: DataFrame) -> DataFrame:
     """26: local Windows groups (named after the machine) that hold permissions."""
-    held = permissions.select("server_id", F.col("grantee_principal_id").alias("principal_id")).distinct()
-    rows = principals.filter(
-        (F.col("type_desc") == "WINDOWS_GROUP") & F.col("name").startswith(F.col("machine_name"))
-    ).join(held, ["server_id", "principal_id"], "left_semi")
-    return _violations(rows, "26", "Local group login", scope=F.col("name"), details=S.text("drop ", F.col("name")))
+    return judge([LOCAL_GROUPS], {"principals": login_facts(principals, permissions)})
 
 
 def cmp_proxy_public(proxies: DataFrame, db_principals: DataFrame) -> DataFrame:
@@ -295,89 +292,105 @@ def cmp_proxy_public(proxies: DataFrame, db_principals: DataFrame) -> DataFrame:
 
 def cmp_password_expiration(principals: DataFrame, role_members: DataFrame, permissions: DataFrame) -> DataFrame:
     """28: administrators (by role or CONTROL SERVER) without password expiration."""
-    by_role = role_members.filter(F.col("role_name") == "sysadmin").select(
-        "server_id", F.col("member_principal_id").alias("principal_id")
-    )
-    by_grant = permissions.filter(
-        (F.col("permission_name") == "CONTROL SERVER") & F.col("state_desc").startswith("GRANT")
-    ).select("server_id", F.col("grantee_principal_id").alias("principal_id"))
-    admins = by_role.union(by_grant).distinct()
-    rows = principals.filter((F.col("type_desc") == "SQL_LOGIN") & ~F.col("is_expiration_checked")).join(
-        admins, ["server_id", "principal_id"], "left_semi"
-    )
-    return _violations(rows, "28", "Password expiration", scope=F.col("name"))
+    return judge([PASSWORD_EXPIRATION], {"principals": login_facts(principals, permissions, role_members)})
+
+
+PASSWORD_POLICY = _per_server(
+    "29", "principals", "Password policy", "NOT is_policy_checked AND NOT is_disabled", "name",
+    where="type_desc = 'SQL_LOGIN'",
+)
 
 
 def cmp_password_policy(principals: DataFrame) -> DataFrame:
     """29: enabled logins without a password policy."""
-    logins = principals.filter(F.col("type_desc") == "SQL_LOGIN")
-    return _per_server(logins, ~F.col("is_policy_checked") & ~F.col("is_disabled"), "29", "Password policy", F.col("name"))
+    return judge([PASSWORD_POLICY], {"principals": principals})
+
+
+def _registry_number(check_id: str, name: str, value_name: str, achieved: str, target: int) -> Rule:
+    """Numeric registry value of every server, -1 where it is not set."""
+    number = "coalesce(cast(high as bigint), -1)"
+    return Rule(
+        check_id, "registry", name, every_server=True,
+        value=f"if(value_name = {quoted(value_name)}, try_cast(value_data as int), NULL)",
+        current=number, target=str(target), achieved=f"{number} {achieved} {target}",
+    )
 
 
-def _registry_number(registry: DataFrame, value_name: str, servers: DataFrame) -> DataFrame:
-    """Numeric registry value ``n`` of every server, -1 where it is not set."""
-    value = F.when(F.col("value_name") == value_name, F.col("value_data").try_cast("int"))
-    found = registry.groupBy("server_id").agg(F.max(value).alias("n"))
-    return _every_server(found, servers).fillna(-1, ["n"])
+def log_files_rule(at_least: int = 12) -> Rule:
+    return _registry_number("30", "Error log files", "NumErrorLogs", ">=", at_least)
+
+
+def login_audit_rule(level: int = 3) -> Rule:
+    return _registry_number("32", "Login auditing", "AuditLevel", "=", level)
 
 
 def cmp_log_files(registry: DataFrame, servers: DataFrame, at_least: int = 12) -> DataFrame:
     """30: number of kept error logs."""
-    n = _registry_number(registry, "NumErrorLogs", servers)
-    ok = F.col("n") >= at_least
-    return findings(
-        n, "30", "Error log files", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"),
-        target=at_least, achieved=ok,
-    )
+    return judge([log_files_rule(at_least)], {"registry": registry}, servers)
 
 
 def cmp_login_audit(registry: DataFrame, servers: DataFrame, level: int = 3) -> DataFrame:
     """32: failed and successful logins are audited."""
-    n = _registry_number(registry, "AuditLevel", servers)
-    ok = F.col("n") == level
-    return findings(
-        n, "32", "Login auditing", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"), target=level, achieved=ok
-    )
+    return judge([login_audit_rule(level)], {"registry": registry}, servers)
 
 
 # Actions an audit must cover.
 AUDIT_ACTIONS = ("AUDIT_CHANGE_GROUP", "FAILED_LOGIN_GROUP", "SUCCESSFUL_LOGIN_GROUP")
+AUDIT_SPEC = Rule(
+    "33", "audit_details", "Audit specification", every_server=True,
+    bits="CASE WHEN is_enabled THEN CASE action_name "
+    + " ".join(f"WHEN {quoted(a)} THEN {1 << i}" for i, a in enumerate(AUDIT_ACTIONS))
+    + " END END",
+    current="bit_count(bits)", target=str(len(AUDIT_ACTIONS)), achieved=f"bit_count(bits) = {len(AUDIT_ACTIONS)}",
+)
 
 
 def cmp_audit_spec(audit_details: DataFrame, servers: DataFrame) -> DataFrame:
     """33: change, failed and successful logins are audited; a server without any audit covers none."""
-    n = audit_details.groupBy("server_id").agg(
-        F.count_distinct(
-            F.when(F.col("is_enabled") & F.col("action_name").isin(*AUDIT_ACTIONS), F.col("action_name"))
-        ).alias("n")
-    )
-    n = _every_server(n, servers).fillna(0, ["n"])
-    ok = F.col("n") == len(AUDIT_ACTIONS)
-    return findings(
-        n, "33", "Audit specification", severity=F.when(ok, OK).otherwise(WARN), current=F.col("n"),
-        target=len(AUDIT_ACTIONS), achieved=ok,
-    )
+    return judge([AUDIT_SPEC], {"audit_details": audit_details}, servers)
+
+
+ASSEMBLIES = _per_server(
+    "34", "assemblies", "Assemblies", "permission_set <> 'SAFE_ACCESS'", "assembly_name", where="is_user_defined"
+)
 
 
 def cmp_assemblies(assemblies: DataFrame) -> DataFrame:
     """34: user assemblies are SAFE."""
-    users = assemblies.filter("is_user_defined")
-    return _per_server(users, F.col("permission_set") != "SAFE_ACCESS", "34", "Assemblies", F.col("assembly_name"))
+    return judge([ASSEMBLIES], {"assemblies": assemblies})
 
 
 STRONG_ALGORITHMS = ("AES_128", "AES_192", "AES_256")
 
 
+def _names(values: Sequence[str]) -> str:
+    return "(" + ", ".join(map(quoted, values)) + ")"
+
+
+def _user_keys(kind: str) -> str:
+    return f"kind = '{kind}' AND database_name NOT IN {_names(S.SYSTEM_DATABASES)}"
+
+
+SYMMETRIC_KEYS = _per_server(
+    "35", "crypto_keys", "Symmetric keys", f"algorithm NOT IN {_names(STRONG_ALGORITHMS)}", "key_name",
+    where=_user_keys("symmetric"),
+)
+
+
+def asymmetric_keys_rule(bits: int = 2048) -> Rule:
+    return _per_server(
+        "36", "crypto_keys", "Asymmetric keys", f"key_length < {bits}", "key_name", where=_user_keys("asymmetric")
+    )
+
+
 def cmp_symmetric_keys(keys: DataFrame) -> DataFrame:
     """35: symmetric keys outside system databases use AES."""
-    rows = keys.filter((F.col("kind") == "symmetric") & ~F.col("database_name").isin(*S.SYSTEM_DATABASES))
-    return _per_server(rows, ~F.col("algorithm").isin(*STRONG_ALGORITHMS), "35", "Symmetric keys", F.col("key_name"))
+    return judge([SYMMETRIC_KEYS], {"crypto_keys": keys})
 
 
 def cmp_asymmetric_keys(keys: DataFrame, bits: int = 2048) -> DataFrame:
     """36: asymmetric keys outside system databases have at least 2048 bits."""
-    rows = keys.filter((F.col("kind") == "asymmetric") & ~F.col("database_name").isin(*S.SYSTEM_DATABASES))
-    return _per_server(rows, F.col("key_length") < bits, "36", "Asymmetric keys", F.col("key_name"))
+    return judge([asymmetric_keys_rule(bits)], {"crypto_keys": keys})
 
 
 def cmp_toolset_version(objects: DataFrame, expected: DataFrame, servers: DataFrame) -> DataFrame:
@@ -507,13 +520,15 @@ def cmp_logins_without_permission(
     )
 
 
+SERVICE_ISOLATION = Rule(
+    "43", "services", "Service account isolation", key={"account": "service_account"}, having="n > 1",
+    scope="{account}", details=told("n", quoted(" services use "), "{account}"),
+)
+
+
 def cmp_service_isolation(services: DataFrame) -> DataFrame:
     """43: one account used by more than one service."""
-    rows = agg_having_multi(services, ["server_id", "service_account"])
-    return _violations(
-        rows, "43", "Service account isolation", scope=F.col("service_account"),
-        details=S.text(F.col("n"), " services use ", F.col("service_account")),
-    )
+    return judge([SERVICE_ISOLATION], {"services": services})
 
 
 def cmp_job_steps(job_steps: DataFrame, jobs: DataFrame, job_like: str = "%MAINTENANCE_ALL_DATABASES") -> DataFrame:
@@ -595,23 +610,32 @@ def cmp_endpoint_owner(endpoints: DataFrame, services: DataFrame) -> DataFrame:
     )
 
 
+ENGINE_64BIT = _per_server("52", "servers", "64-bit engine", "NOT contains(edition, '64')", "edition")
+STARTUP_OPTIONS = _per_server(
+    "53", "registry", "Startup options", "registry_key ilike '%MSSQLServer%Parameters' AND value_data = '-x'", "value_data"
+)
+
+
 def cmp_32bit(servers: DataFrame) -> DataFrame:
-    return _per_server(servers, ~F.col("edition").contains("64"), "52", "64-bit engine", F.col("edition"))
+    return judge([ENGINE_64BIT], {"servers": servers})
 
 
 def cmp_startup_options(registry: DataFrame) -> DataFrame:
-    bad = F.col("registry_key").ilike(r"%MSSQLServer%Parameters") & (F.col("value_data") == "-x")
-    return _per_server(registry, bad, "53", "Startup options", F.col("value_data"))
+    return judge([STARTUP_OPTIONS], {"registry": registry})
+
+
+def evaluation_rule(days: int = 180) -> Rule:
+    stops = "cast({stops} as timestamp_ntz)"
+    return Rule(
+        "54", "servers", "Evaluation edition", each=True, where="contains(edition, 'Evaluation')",
+        key={"stops": f"cast(timestampadd(DAY, {days}, installed_at) as timestamp_ntz)"},
+        details=told(quoted("stops on "), f"date_format({stops}, 'yyyy-MM-dd HH:mm:ss')"), observed_at=stops,
+    )
 
 
 def cmp_evaluation(servers: DataFrame, days: int = 180) -> DataFrame:
     """54: evaluation editions with their expiry."""
-    rows = servers.filter(F.col("edition").contains("Evaluation")).withColumn(
-        "_expires", F.timestamp_add("DAY", F.lit(days), F.col("installed_at")).cast("timestamp_ntz")
-    )
-    return _violations(
-        rows, "54", "Evaluation edition", details=S.text("stops on ", S.stamp("_expires")), observed_at="_expires"
-    )
+    return judge([evaluation_rule(days)], {"servers": servers})
 
 
 def cmp_memory_limit(servers: DataFrame, settings: DataFrame, reserve_mb: int = 4096) -> DataFrame:
@@ -626,71 +650,78 @@ def cmp_memory_limit(servers: DataFrame, settings: DataFrame, reserve_mb: int =
     )
 
 
+MEMORY_STATE = _per_server(
+    "56", "servers", "External memory conditions", "memory_state <> 'Available physical memory is high'", "memory_state"
+)
+TRUSTWORTHY = _per_server(
+    "71", "databases", "Trustworthy", "is_trustworthy_on AND database_name <> 'msdb'", "database_name"
+)
+AUTO_CLOSE = Rule(
+    "72", "databases", "Auto close", each=True, key={"database": "database_name", "on": "is_auto_close_on"},
+    scope="{database}", current="cast(cast({on} as boolean) as int)", target="0", achieved="NOT cast({on} as boolean)",
+)
+PERCENT_GROWTH = Rule(
+    "73", "database_files", "Percent file growth", where="is_percent_growth", key={"database": "database_name"},
+    scope="{database}",
+)
+SINGLE_TEMP_FILE = Rule(
+    "74", "temp_files", "Only one tempdb data file", where="database_name = 'tempdb' AND type_desc = 'ROWS'",
+    having="n = 1", current="n",
+)
+DRIVE = "upper(left(physical_name, 1))"
+LOG_FILES_SAME_DRIVE = Rule(
+    "75", "database_files", "Log files on one drive", where="type_desc = 'LOG' AND database_name <> 'tempdb'",
+    key={"database": "database_name", "drive": DRIVE}, having="n > 1", scope="{database}", current="n",
+    details=told("n", quoted(" log files on drive "), "{drive}"),
+)
+UNEVEN_GROWTH = Rule(
+    "76", "database_files", "Uneven file growth", where="type_desc = 'ROWS'", once=True,
+    key={"database": "database_name", "space": "data_space_id"}, value="growth",
+    bits="CASE WHEN is_percent_growth THEN 2 WHEN NOT is_percent_growth THEN 1 END", having="low <> high OR bits = 3",
+    scope="{database}",
+)
+SMALL_GROWTH = Rule(
+    "77", "database_files", "Small file growth", each=True,
+    where="NOT is_percent_growth AND growth = 128 AND size_pages >= 8192",
+    key={"database": "database_name", "file": "physical_name", "gb": "floor(size_pages * 8 / 1000000)"},
+    scope="{database}", details=told("{file}", quoted(" has "), "{gb}", quoted(" GB")),
+)
+
+
 def cmp_memory_state(servers: DataFrame) -> DataFrame:
-    bad = F.col("memory_state") != "Available physical memory is high"
-    return _per_server(servers, bad, "56", "External memory conditions", F.col("memory_state"))
+    return judge([MEMORY_STATE], {"servers": servers})
 
 
 def cmp_trustworthy(databases: DataFrame) -> DataFrame:
-    bad = F.col("is_trustworthy_on") & (F.col("database_name") != "msdb")
-    return _per_server(databases, bad, "71", "Trustworthy", F.col("database_name"))
+    return judge([TRUSTWORTHY], {"databases": databases})
 
 
 def cmp_auto_close(databases: DataFrame) -> DataFrame:
-    ok = ~F.col("is_auto_close_on")
-    return findings(
-        databases, "72", "Auto close", severity=F.when(ok, OK).otherwise(WARN), scope=F.col("database_name"),
-        current=(~ok).cast("int"), target=0, achieved=ok,
-    )
+    return judge([AUTO_CLOSE], {"databases": databases})
 
 
 def cmp_percent_growth(files: DataFrame) -> DataFrame:
-    rows = files.filter("is_percent_growth").select("server_id", "database_name").distinct()
-    return _violations(rows, "73", "Percent file growth", scope=F.col("database_name"))
+    return judge([PERCENT_GROWTH], {"database_files": files})
 
 
 def cmp_single_temp_file(files: DataFrame) -> DataFrame:
     """74: exactly one tempdb data file."""
-    rows = (
-        files.filter((F.col("database_name") == "tempdb") & (F.col("type_desc") == "ROWS"))
-        .groupBy("server_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") == 1)
-    )
-    return _violations(rows, "74", "Only one tempdb data file", current=F.col("n"))
+    return judge([SINGLE_TEMP_FILE], {"temp_files": files})
 
 
 def cmp_log_files_same_drive(files: DataFrame) -> DataFrame:
     """75: more than one log file of a database on one drive."""
-    logs = files.filter((F.col("type_desc") == "LOG") & (F.col("database_name") != "tempdb")).withColumn(
-        "drive", S.drive_letter("physical_name")
-    )
-    rows = agg_having_multi(logs, ["server_id", "database_name", "drive"])
-    return _violations(
-        rows, "75", "Log files on one drive", scope=F.col("database_name"), current=F.col("n"),
-        details=S.text(F.col("n"), " log files on drive ", F.col("drive")),
-    )
+    return judge([LOG_FILES_SAME_DRIVE], {"database_files": files})
 
 
 def cmp_uneven_growth(files: DataFrame) -> DataFrame:
     """76: data files of one filegroup grow by different amounts."""
-    rows = agg_having_distinct(
-        files.filter(F.col("type_desc") == "ROWS"),
-        ["server_id", "database_name", "data_space_id"],
-        ["growth", "is_percent_growth"],
-    )
-    return _violations(
-        rows.select("server_id", "database_name").distinct(), "76", "Uneven file growth", scope=F.col("database_name")
-    )
+    return judge([UNEVEN_GROWTH], {"database_files": files})
 
 
 def cmp_small_growth(files: DataFrame) -> DataFrame:
     """77: 1 MB growth on a file of 64 MB or more."""
-    rows = files.filter(~F.col("is_percent_growth") & (F.col("growth") == 128) & (F.col("size_pages") >= 8192))
-    return _violations(
-        rows, "77", "Small file growth", scope=F.col("database_name"),
-        details=S.text(F.col("physical_name"), " has ", F.floor(F.col("size_pages") * 8 / 1000000), " GB"),
-    )
+    return judge([SMALL_GROWTH], {"database_files": files})
 
 
 def cmp_corruption(suspect_pages: DataFrame, repairs: DataFrame, databases: DataFrame, as_of, days: int = 10) -> DataFrame:
@@ -712,29 +743,29 @@ def cmp_corruption(suspect_pages: DataFrame, repairs: DataFrame, databases: Data
     )
 
 
+FILES_ON_C = Rule(
+    "79", "database_files", "Database on C", where=f"{DRIVE} = 'C'", key={"database": "database_name"},
+    named="CASE WHEN {database} IN ('master', 'model', 'msdb') THEN 'System database on C' "
+    "WHEN {database} = 'tempdb' THEN 'Temp database on C' ELSE 'User database on C' END",
+    scope="{database}",
+)
+
+
 def cmp_files_on_c(files: DataFrame) -> DataFrame:
     """79, 80, 81: databases with files on drive C, by database class."""
-    rows = files.filter(S.drive_letter("physical_name") == "C").select("server_id", "database_name").distinct()
-    name = F.col("database_name")
-    label = (
-        F.when(name.isin("master", "model", "msdb"), "System database on C")
-        .when(name == "tempdb", "Temp database on C")
-        .otherwise("User database on C")
+    return judge([FILES_ON_C], {"database_files": files})
+
+
+def log_fragments_rule(most: int = 999) -> Rule:
+    return Rule(
+        "82", "log_fragments", "Virtual log files", key={"database": "database_name"}, having=f"n > {most}",
+        scope="{database}", current="n", target="200", details=told("n", quoted(" virtual log files")),
     )
-    return _violations(rows, "79", label, scope=name)
 
 
 def cmp_log_fragments(log_fragments: DataFrame, n: int = 999) -> DataFrame:
     """82: more than 999 virtual log files."""
-    rows = (
-        log_fragments.groupBy("server_id", "database_name")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > n)
-    )
-    return _violations(
-        rows, "82", "Virtual log files", scope=F.col("database_name"), current=F.col("n"), target=200,
-        details=S.text(F.col("n"), " virtual log files"),
-    )
+    return judge([log_fragments_rule(n)], {"log_fragments": log_fragments})
 
 
 def cmp_user_tables_in_system(tables: DataFrame, allow: DataFrame) -> DataFrame:
@@ -747,32 +778,52 @@ def cmp_user_tables_in_system(tables: DataFrame, allow: DataFrame) -> DataFrame:
     )
 
 
-def _slow(file_stats: DataFrame, files: DataFrame, stall: str, ops: str, ms: int, check_id: str, name: str, min_ops: int):
-    slow = file_stats.filter((F.col(ops) > min_ops) & (F.col(stall) / (F.col(ops) + 1) > ms))
-    rows = slow.join(files.select("server_id", "database_name", "file_id", "physical_name"),
-                     ["server_id", "database_name", "file_id"])
-    drive = rows.select("server_id", S.drive_letter("physical_name").alias("drive")).distinct()
-    return _violations(drive, check_id, name, scope=F.col("drive"), target=ms,
-                       details=S.text("drive ", F.col("drive"), " is slow"))
+def _slow(stall: str, ops: str, ms: int, min_ops: int) -> str:
+    return f"{ops} > {min_ops} AND {stall} / ({ops} + 1) > {ms}"
+
+
+def _slow_drives(check_id: str, name: str, ms: int, slow: str) -> Rule:
+    return Rule(
+        check_id, "slow_files", name, where=slow, key={"drive": DRIVE}, scope="{drive}", target=str(ms),
+        details=told(quoted("drive "), "{drive}", quoted(" is slow")),
+    )
+
+
+def slow_reads_rule(ms: int = 200, min_ops: int = 100_000) -> Rule:
+    return _slow_drives("86", "Slow reads", ms, _slow("io_stall_read_ms", "num_of_reads", ms, min_ops))
+
+
+def slow_writes_rule(ms: int = 100, min_ops: int = 100_000) -> Rule:
+    return _slow_drives("87", "Slow writes", ms, _slow("io_stall_write_ms", "num_of_writes", ms, min_ops))
+
+
+def slow_files(file_stats: DataFrame, files: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """File statistics that any of ``rules`` looks at, with the file's path."""
+    slow = file_stats.filter(" OR ".join(f"({r.where})" for r in rules))
+    key = ["server_id", "database_name", "file_id"]
+    return slow.join(files.select(*key, "physical_name"), key)
 
 
 def cmp_slow_reads(file_stats: DataFrame, files: DataFrame, ms: int = 200, min_ops: int = 100_000) -> DataFrame:
-    return _slow(file_stats, files, "io_stall_read_ms", "num_of_reads", ms, "86", "Slow reads", min_ops)
+    rules = [slow_reads_rule(ms, min_ops)]
+    return judge(rules, {"slow_files": slow_files(file_stats, files, rules)})
 
 
 def cmp_slow_writes(file_stats: DataFrame, files: DataFrame, ms: int = 100, min_ops: int = 100_000) -> DataFrame:
-    return _slow(file_stats, files, "io_stall_write_ms", "num_of_writes", ms, "87", "Slow writes", min_ops)
+    rules = [slow_writes_rule(ms, min_ops)]
+    return judge(rules, {"slow_files": slow_files(file_stats, files, rules)})
+
+
+LINKED_SERVERS = Rule(
+    "88", "linked", "Linked server", where="is_linked", key={"link": "linked_name", "remote": "remote_name"},
+    scope="{link}", achieved="NOT coalesce({remote} = 'sa', false)",
+    details="CASE WHEN {remote} = 'sa' THEN 'connects as the administrator' ELSE 'check its security configuration' END",
+)
 
 
 def cmp_linked_servers(linked: DataFrame) -> DataFrame:
     """88: every linked server, flagged when it connects as the administrator."""
-    rows = linked.filter("is_linked").select("server_id", "linked_name", "remote_name").distinct()
-    admin = F.coalesce(F.col("remote_name") == "sa", F.lit(False))
-    return findings(
-        rows, "88", "Linked server", severity=F.when(admin, WARN).otherwise(OK), scope=F.col("linked_name"),
-        achieved=~admin,
-        details=F.when(admin, "connects as the administrator").otherwise("check its security configuration"),
-    )
+    return judge([LINKED_SERVERS], {"linked": linked})
 
 
 def cmp_stale_statistics(stats: DataFrame, as_of, days: int = 10, k: int = 5) -> DataFrame:

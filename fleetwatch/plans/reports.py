@@ -11,6 +11,7 @@ from fleetwatch.operators import compliance as C
 from fleetwatch.operators import compliance_rules as R
 from fleetwatch.operators import health as H
 from fleetwatch.operators.findings import cmp_report, hc_traffic_light, union_findings
+from fleetwatch.operators.rule_scan import Rule, judge
 from fleetwatch.session import literal_table
 
 # (check, its roles in the order of its parameters, whether it takes the time of the report)
@@ -100,6 +101,43 @@ COMPLIANCE_RULES = (
     (C.cmp_stale_statistics, ("stats_dates",), True),
 )
 
+# Rules that share one scan per role and one aggregation over all roles.
+SHARED_RULES = {
+    C.cmp_cost_threshold: C.cost_threshold_rule(),
+    C.cmp_version: C.VERSION,
+    C.cmp_protocols: C.PROTOCOLS,
+    C.cmp_admin_login: C.admin_login_rule(),
+    C.cmp_guest_connect: C.GUEST_CONNECT,
+    C.cmp_public_permissions: C.PUBLIC_PERMISSIONS,
+    C.cmp_builtin_groups: C.BUILTIN_GROUPS,
+    C.cmp_local_groups: C.LOCAL_GROUPS,
+    C.cmp_password_expiration: C.PASSWORD_EXPIRATION,
+    C.cmp_password_policy: C.PASSWORD_POLICY,
+    C.cmp_log_files: C.log_files_rule(),
+    C.cmp_login_audit: C.login_audit_rule(),
+    C.cmp_audit_spec: C.AUDIT_SPEC,
+    C.cmp_assemblies: C.ASSEMBLIES,
+    C.cmp_symmetric_keys: C.SYMMETRIC_KEYS,
+    C.cmp_asymmetric_keys: C.asymmetric_keys_rule(),
+    C.cmp_service_isolation: C.SERVICE_ISOLATION,
+    C.cmp_32bit: C.ENGINE_64BIT,
+    C.cmp_startup_options: C.STARTUP_OPTIONS,
+    C.cmp_evaluation: C.evaluation_rule(),
+    C.cmp_memory_state: C.MEMORY_STATE,
+    C.cmp_trustworthy: C.TRUSTWORTHY,
+    C.cmp_auto_close: C.AUTO_CLOSE,
+    C.cmp_percent_growth: C.PERCENT_GROWTH,
+    C.cmp_single_temp_file: C.SINGLE_TEMP_FILE,
+    C.cmp_log_files_same_drive: C.LOG_FILES_SAME_DRIVE,
+    C.cmp_uneven_growth: C.UNEVEN_GROWTH,
+    C.cmp_small_growth: C.SMALL_GROWTH,
+    C.cmp_files_on_c: C.FILES_ON_C,
+    C.cmp_log_fragments: C.log_fragments_rule(),
+    C.cmp_slow_reads: C.slow_reads_rule(),
+    C.cmp_slow_writes: C.slow_writes_rule(),
+    C.cmp_linked_servers: C.LINKED_SERVERS,
+}
+
 # Tables of rules: those of the library, and those that only the caller can give.
 LOOKUPS = ("setting_targets", "expected_toolset", "expected_flags", "flag_advice", "error_advice", "system_table_allow")
 GIVEN = ("version_map", "causes")
@@ -183,13 +221,31 @@ def compliance_findings(
         matches = F.col("major_version") == F.col("major")
         lookups["expected_flags"] = roles["servers"].join(C.expected_flags(spark), matches)
     given = lookups | dict(roles)
-    parts = _run(COMPLIANCE_RULES, given, as_of)
-    rules = [rule for rule in presence if rule.role in roles]
-    if rules:
-        parts.append(C.cmp_presence(rules, roles, roles.get("servers")))
+    parts = _run([r for r in COMPLIANCE_RULES if r[0] not in SHARED_RULES], given, as_of)
+    shared = [SHARED_RULES[r] for r, needs, _ in COMPLIANCE_RULES if r in SHARED_RULES and all(n in roles for n in needs)]
+    shared += C.presence_rules([rule for rule in presence if rule.role in roles])
+    if shared:
+        parts.append(judge(shared, judged := _judged_roles(roles, shared), judged.get("servers")))
     return union_findings(*parts)
 
 
+def _judged_roles(roles: Mapping[str, DataFrame], rules: Sequence[Rule]) -> dict[str, DataFrame]:
+    """The roles with the columns that shared rules need of other roles."""
+    judged = dict(roles)
+    if C.VERSION in rules:
+        judged["servers"] = C.with_product(roles["servers"])
+    if "principals" in roles:
+        judged["principals"] = C.login_facts(
+            roles["principals"],
+            roles["permissions"] if C.BUILTIN_GROUPS in rules else None,
+            roles["role_members"] if C.PASSWORD_EXPIRATION in rules else None,
+        )
+    slow = [r for r in rules if r.role == "slow_files"]
+    if slow:
+        judged["slow_files"] = C.slow_files(roles["file_stats"], roles["database_files"], slow)
+    return judged
+
+
 def run_compliance(roles: Mapping[str, DataFrame], as_of, presence: Sequence[C.PresenceRule] = ()) -> DataFrame:
     """The whole compliance report, rules that are not achieved first; ``skipped_rules`` names those it leaves out."""
     return cmp_report(compliance_findings(roles, as_of, presence))
