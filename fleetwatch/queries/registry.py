@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,9 +17,17 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._views: dict[str, str] = {}
 
     def __call__(self, role: str) -> DataFrame:
-        return self.spark.sql(spark_sql(f"SELECT * FROM v_{role}", self.sf_dir))
+        return self.spark.sql(spark_sql(f"SELECT * FROM v_{role}", self.view))
+
+    def view(self, name: str) -> str:
+        """Temporary view of a driver table, whose files are listed and schema is read once for all roles."""
+        if name not in self._views:
+            self._views[name] = f"fleetwatch_{name}_{zlib.crc32(self.sf_dir.encode()):08x}"
+            self.table(name).createOrReplaceTempView(self._views[name])
+        return self._views[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

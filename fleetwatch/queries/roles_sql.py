@@ -7,6 +7,7 @@ expressions only map keys to names, they never drop rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 AS_OF_EVENTS = "2024-01-31 00:00:00"
 AS_OF_ORDERS = "2001-08-02 00:00:00"
@@ -473,15 +474,16 @@ def with_roles(sql: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def bind(sql: str, names: dict[str, str]) -> str:
+def bind(sql: str, name_of: Callable[[str], str]) -> str:
     for table in TABLES:
-        sql = sql.replace("{" + table + "}", names[table])
+        if "{" + table + "}" in sql:
+            sql = sql.replace("{" + table + "}", name_of(table))
     return sql
 
 
 def duckdb_sql(sql: str) -> str:
-    return bind(with_roles(sql), {t: t for t in TABLES})
+    return bind(with_roles(sql), lambda table: table)
 
 
-def spark_sql(sql: str, sf_dir: str) -> str:
-    return bind(with_roles(sql), {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}).replace('"user"', "user")
+def spark_sql(sql: str, name_of: Callable[[str], str]) -> str:
+    return bind(with_roles(sql), name_of).replace('"user"', "user")
