@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -98,16 +98,17 @@ def str_memory_trigger(samples: DataFrame, pressure: DataFrame, as_of) -> DataFr
     return samples.join(low.select("server_id").distinct(), "server_id", "left_semi")
 
 
+def _growth(value: Column, before: Column) -> Column:
+    return F.when(value < before, value).otherwise(value - before)
+
+
 def counter_delta(counters: DataFrame) -> DataFrame:
     """Difference to the previous reading per server and key; a lower value means a restart.
 
     The first reading of a key has no difference.
     """
     prev = previous_value(counters, ["server_id", "key"], "reading_time", "reading_id", "counter_value", "_prev")
-    delta = F.when(F.col("counter_value") < F.col("_prev"), F.col("counter_value")).otherwise(
-        F.col("counter_value") - F.col("_prev")
-    )
-    return prev.withColumn("delta", delta).drop("_prev")
+    return prev.withColumn("delta", _growth(F.col("counter_value"), F.col("_prev"))).drop("_prev")
 
 
 def counter_share(counters: DataFrame) -> DataFrame:
@@ -120,25 +121,85 @@ def counter_share(counters: DataFrame) -> DataFrame:
     return win_share_of_total(grown, "delta", once=True)
 
 
-def str_counter_delta(counters: DataFrame, out_path: str, state_path: str, checkpoint: str) -> StreamingQuery:
-    """Stream of counter readings to rows with ``delta``, written below ``out_path``.
+READING = ("reading_time", "reading_id", "counter_value")
+KEY = ("server_id", "key")
+EXPIRED, UNTIMED = "0 expired", "0 untimed"  # slices that sort before all times
+
+
+def _slice_ends(readings: DataFrame) -> DataFrame:
+    """First and last reading of every key and slice."""
+    reading = F.struct(*READING)
+    return readings.groupBy(*KEY, "slice").agg(F.min(reading).alias("head"), F.max(reading).alias("tail"))
+
 
-    Each micro-batch sees the last reading per key of the batch before it (one
-    row per key, written per batch id, so a replayed batch reads the same state
-    and replaces its own output).
+def _known_ends(ends: DataFrame, expired: str | None) -> DataFrame:
+    """Ends of all batches so far; of slices before ``expired`` only each key's last reading stays."""
+    old = F.coalesce(F.col("slice") < F.lit(expired), F.lit(False))
+    one = F.when(old, F.lit(EXPIRED)).otherwise(F.col("slice")).alias("slice")
+    merged = ends.groupBy(*KEY, one).agg(F.min("head").alias("head"), F.max("tail").alias("tail"))
+    head = F.when(F.col("slice") == EXPIRED, F.col("tail")).otherwise(F.col("head"))
+    return merged.withColumn("head", head)
+
+
+def str_counter_delta(
+    counters: DataFrame,
+    out_path: str,
+    state_path: str,
+    checkpoint: str,
+    slice_format: str = "yyyy-MM-dd",
+    lateness: str | None = None,
+) -> StreamingQuery:
+    """Stream of counter readings to rows with ``delta``, written per batch below ``out_path``; ``current_deltas`` reads them.
+
+    Readings may arrive in any order: a late one is compared with the reading before it in time, and the reading after
+    it is written again with its corrected ``delta``.  A batch reads the readings of the time slices (``slice_format``)
+    that it has rows in, and of all other slices only the first and last reading of each key, so its cost follows its own
+    rows and no key has to fit into a task.
+
+    With ``lateness`` (such as ``'7 days'``), readings older than that before the newest reading of earlier batches come
+    out with a NULL ``delta`` and correct nothing; slices before are no longer read, and of them only the last reading
+    per key is kept among the ends.  Readings without a time come before all others and are never late.  Slices must
+    sort by name in time order.  Batches and states are written under their batch id, so a replayed batch replaces its own
+    rows.  Columns other than key, reading and value are not carried.
     """
+    columns = [*KEY, *READING]
+    types = {c: counters.schema[c].dataType.simpleString() for c in columns}
+    keyed = "".join(f"{c} {types[c]}, " for c in KEY)
+    end = "struct<" + ", ".join(f"{c}: {types[c]}" for c in READING) + ">"
+    stored_schema = ", ".join(f"{c} {kind}" for c, kind in types.items()) + ", batch bigint, slice string"
+    ends_schema = f"{keyed}slice string, head {end}, tail {end}"
+    slice_of = F.coalesce(F.date_format("reading_time", slice_format), F.lit(UNTIMED)).alias("slice")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = batch.columns
-        rows = batch.withColumn("_new", F.lit(True))
-        if batch_id > 0:
-            last = spark.read.schema(batch.schema).parquet(f"{state_path}/batch={batch_id - 1}")
-            rows = rows.unionByName(last.withColumn("_new", F.lit(False)))
-        delta = counter_delta(rows).filter("_new").drop("_new")
-        delta.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        latest = latest_row(rows.drop("_new"), ["server_id", "key"], ["reading_time", "reading_id"])
-        latest.select(*columns).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+        ends_at = lambda number: f"{state_path}/ends/batch={number}"
+        batch = batch.select(*columns)
+        late, expired = F.lit(False), None
+        before = spark.read.schema(ends_schema).parquet(ends_at(batch_id - 1)) if batch_id > 0 else None
+        if lateness and before is not None:
+            newest = before.agg(F.max("tail.reading_time").alias("t")).select(F.expr(f"t - INTERVAL {lateness}").alias("t"))
+            cut, expired = newest.select("t", F.date_format("t", slice_format)).first()
+            if cut is not None:
+                late = F.coalesce(F.col("reading_time") < S.ts(cut), F.lit(False))
+        here = f"{state_path}/readings/batch={batch_id}"
+        batch.filter(~late).select("*", slice_of).write.mode("overwrite").partitionBy("slice").parquet(here)
+
+        stored = spark.read.schema(stored_schema).parquet(f"{state_path}/readings").filter(F.col("batch") <= batch_id)
+        fresh = F.col("batch") == batch_id
+        ends = _slice_ends(stored.filter(fresh))
+        _known_ends(ends if before is None else ends.unionByName(before), expired).write.mode("overwrite").parquet(ends_at(batch_id))
+
+        touched = [r.slice for r in stored.filter(fresh).select("slice").distinct().collect()]
+        inside = stored.filter(F.col("slice").isin(touched)).select(*columns, fresh.alias("_new"))
+        outside = spark.read.schema(ends_schema).parquet(ends_at(batch_id)).filter(~F.col("slice").isin(touched))
+        outside = outside.select(*KEY, F.explode(F.array_distinct(F.array("head", "tail"))).alias("r"))
+        rows = inside.unionByName(outside.select(*KEY, "r.*", F.lit(False).alias("_new")))
+        rows = rows.withColumn("_reading", F.struct("counter_value", "_new"))
+        rows = previous_value(rows, KEY, "reading_time", "reading_id", "_reading", "_before")
+        told = rows.filter(F.col("_new") | F.coalesce("_before._new", F.lit(False)))
+        told = told.select(*columns, _growth(F.col("counter_value"), F.col("_before.counter_value")).alias("delta"))
+        too_late = batch.filter(late).withColumn("delta", F.lit(None).cast(told.schema["delta"].dataType))
+        told.unionByName(too_late).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     return (
         counters.writeStream.foreachBatch(process)
@@ -148,6 +209,12 @@ def str_counter_delta(counters: DataFrame, out_path: str, state_path: str, check
     )
 
 
+def current_deltas(written: DataFrame) -> DataFrame:
+    """The newest ``delta`` of every reading, from all that ``str_counter_delta`` wrote; readings are known by server, key and id."""
+    key = [*KEY, "reading_id"]
+    return latest_row(written.select(*key, "delta", "batch"), key, ["batch"]).drop("batch")
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Run a stream over everything available and append its rows to a Parquet table."""
     query = (

@@ -116,6 +116,45 @@ def test_counter_stream_equals_batch(spark, tmp_path):
     assert key(spark.read.parquet(str(tmp_path / "out"))) == key(ST.counter_delta(spark.createDataFrame(rows, schema)))
 
 
+COUNTERS = "server_id string, key string, reading_id bigint, reading_time timestamp_ntz, counter_value bigint"
+
+
+def _counter_stream(spark, tmp_path, parts, **options):
+    for part in parts:
+        spark.createDataFrame(part, COUNTERS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(COUNTERS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    places = [str(tmp_path / p) for p in ("out", "state", "cp")]
+    ST.str_counter_delta(stream, *places, **options).awaitTermination()
+    return spark.read.parquet(places[0])
+
+
+def test_late_and_untimed_readings_are_corrected(spark, tmp_path):
+    rows = [("s", "abc"[i % 3], i, datetime(2024, 1, 1 + i // 12, i % 12), (i * 37) % 50) for i in range(72)]
+    rows += [("s", "a", 100, None, 7), ("s", "a", 101, None, 9), (None, "b", 102, datetime(2024, 1, 3), 1), (None, "b", 103, datetime(2024, 1, 9), 5)]
+    order = sorted(range(len(rows)), key=lambda i: (i * 31) % 77)
+    shuffled = [rows[i] for i in order]
+    written = _counter_stream(spark, tmp_path, [shuffled[:30], shuffled[30:50], shuffled[50:]])
+    key = lambda df: sorted((r.reading_id, str(r.delta)) for r in df.collect())
+    assert written.count() > len(rows)  # corrected successors come again
+    assert key(ST.current_deltas(written)) == key(ST.counter_delta(spark.createDataFrame(rows, COUNTERS)))
+
+
+def test_readings_beyond_the_lateness_correct_nothing(spark, tmp_path):
+    day = lambda d: datetime(2024, 1, d)
+    parts = [
+        [("s", "a", 1, day(1), 10), ("s", "a", 2, day(2), 20), ("s", "b", 3, day(1), 1)],
+        [("s", "a", 4, day(20), 50)],
+        [("s", "a", 5, day(3), 30), ("s", "a", 6, day(18), 45), ("s", "b", 7, day(19), 4)],
+    ]
+    written = _counter_stream(spark, tmp_path, parts, lateness="5 days")
+    got = {r.reading_id: r.delta for r in ST.current_deltas(written).collect()}
+    assert got == {1: None, 2: 10, 3: None, 4: 5, 5: None, 6: 25, 7: 3}
+    ends = spark.read.parquet(str(tmp_path / "state" / "ends" / "batch=2")).collect()
+    assert sorted((r.key, r.slice) for r in ends) == [
+        ("a", "0 expired"), ("a", "2024-01-18"), ("a", "2024-01-20"), ("b", "0 expired"), ("b", "2024-01-19"),
+    ]
+
+
 def test_delete_files_needs_apply(spark, tmp_path):
     from fleetwatch.operators.retention import delete_files
 
