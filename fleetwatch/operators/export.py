@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwatch.operators.aggregates import agg_having_multi
-from fleetwatch.session import work_path
+from fleetwatch.plans.ordering import running_sum
+from fleetwatch.session import settled, work_path
 
 
 def list_files(spark: SparkSession, path: str, table_name: str, partition_col: str) -> DataFrame:
@@ -24,37 +28,118 @@ def list_files(spark: SparkSession, path: str, table_name: str, partition_col: s
     ).withColumn("table_name", F.lit(table_name))
 
 
-def mnt_compact(
-    spark: SparkSession, path: str, partition_col: str, inventory: DataFrame, target_bytes: int = 256 << 20
-) -> DataFrame:
-    """Rewrite the partitions of ``inventory`` (partition_id, bytes) into files of about ``target_bytes``.
+def _chosen(partition_col: str, ids: Sequence) -> Column:
+    """Literal condition on the partition column, so that other partitions are not even listed for the scan."""
+    known = [i for i in ids if i is not None]
+    hit = F.col(partition_col).isin(known) if known else F.lit(False)
+    return hit | F.col(partition_col).isNull() if len(known) < len(ids) else hit
+
 
-    Rows are ranged by partition and old position into as many tasks as the
-    chosen bytes need files, so a large partition is written by many tasks.  The
-    new files are complete in a staging table before the old partitions are
-    replaced.  Returns the number of rows written per partition.
+def stage_compact(
+    spark: SparkSession, path: str, partition_col: str, inventory: DataFrame, target_bytes: int = 256 << 20
+) -> str | None:
+    """Write the partitions of ``inventory`` (partition_id, bytes) anew, beside the old files, and return the staging folder.
+
+    A partition of b bytes becomes ceil(b / target_bytes) files with equal numbers of rows in their old order.  The new
+    file of a row follows from its old file and place, so every new file is written whole by one task, and a large
+    partition by many.  The folder, hidden below the table, holds the new files and a manifest of what to move in and
+    what to drop; the table itself is unchanged until ``finish_compact``.  None if the inventory names no partition of
+    the table.
     """
-    chosen = inventory.select(F.col("partition_id").alias("_pid"), "bytes")
-    total = chosen.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    files = max(int(-(-total // target_bytes)), 1)
-    data = spark.read.parquet(path)
-    rows = data.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    staging = work_path(spark, "compact")
+    ids = [r.partition_id for r in inventory.select("partition_id").distinct().collect()]
+    if not ids:
+        return None
+    chosen = inventory.groupBy(F.col("partition_id").alias("_pid")).agg(F.sum("bytes").alias("bytes"))
+    data = spark.read.parquet(path).filter(_chosen(partition_col, ids))
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    listed = settled(
+        data.select(F.col(partition_col).alias("partition_id"), *at).groupBy("partition_id", "_file")
+        .agg(F.count(F.lit(1)).alias("file_rows")), "compact-files",
+    )
+    wanted = F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("bigint")
+    sizes = listed.groupBy("partition_id").agg(F.sum("file_rows").alias("rows"))
+    sizes = sizes.join(chosen, F.col("partition_id").eqNullSafe(F.col("_pid"))).drop("_pid")
+    sizes = sizes.withColumn("files", F.least(F.greatest(wanted, F.lit(1)), "rows"))
+    sizes = settled(running_sum(sizes, [], ["partition_id"], "files", "_to"), "compact-partitions")
+    total = sizes.agg(F.max("_to")).first()[0]
+    if total is None:
+        return None
+    sizes = sizes.withColumnRenamed("partition_id", "_pid")
+    before = running_sum(listed, ["partition_id"], ["_file"], "file_rows", "_rows_to")
+    places = settled(
+        before.join(sizes, F.col("partition_id").eqNullSafe(F.col("_pid")))
+        .select("_file", (F.col("_rows_to") - F.col("file_rows")).alias("_from"), "rows", "files", (F.col("_to") - F.col("files")).alias("_first")),
+        "compact-places",
+    )
+    name = f"_compact-{uuid.uuid4().hex}"
+    staging = f"{path.rstrip('/')}/{name}"
+    number = F.expr("_first + (_from + _row) * files div rows").cast("int")
     (
-        rows.join(chosen, F.col(partition_col) == F.col("_pid"))
-        .repartitionByRange(files, F.col(partition_col), F.col("_file"), F.col("_row"))
+        data.select("*", *at).join(places, "_file")
+        .repartitionById(total, number)
+        .sortWithinPartitions(partition_col, "_file", "_row")
         .select(*data.columns)
         .write.partitionBy(partition_col)
-        .parquet(staging)
+        .parquet(f"{staging}/files")
     )
-    ready = spark.read.schema(data.schema).parquet(staging)
-    (
-        ready.write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(partition_col)
-        .parquet(path)
+    new = spark.read.schema(data.schema).parquet(f"{staging}/files")
+    new = new.groupBy(F.col(partition_col).alias("partition_id"), F.col("_metadata.file_path").alias("source")).agg(
+        F.count(F.lit(1)).alias("file_rows")
+    )
+    add = new.select(
+        "partition_id", F.lit("add").alias("action"), "source",
+        F.replace("source", F.lit(f"/{name}/files/"), F.lit("/")).alias("target"), "file_rows",
     )
-    return ready.groupBy(F.col(partition_col).alias("partition_id")).agg(F.count(F.lit(1)).alias("rows_written"))
+    drop = listed.select(
+        "partition_id", F.lit("drop").alias("action"), F.col("_file").alias("source"), F.lit(None).cast("string").alias("target"), "file_rows"
+    )
+    add.unionByName(drop).write.parquet(f"{staging}/manifest")
+    return staging
+
+
+def _move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Moves new files in and drops old ones; done steps are passed over, so the task can run again."""
+    there = lambda store, place: store.get_file_info(place).type != fs.FileType.NotFound
+    for batch in batches:
+        for action, source, target in zip(batch["action"], batch["source"], batch["target"], strict=True):
+            store, place = fs.FileSystem.from_uri(source)
+            if action == "drop":
+                if there(store, place):
+                    store.delete_file(place)
+                continue
+            new = fs.FileSystem.from_uri(target)[1]
+            if not there(store, new):
+                store.move(place, new)
+        yield batch[["action"]]
+
+
+def finish_compact(spark: SparkSession, path: str, staging: str) -> DataFrame:
+    """Put the staged files of ``stage_compact`` in place of the old ones, and return the rows written per partition.
+
+    Partition by partition, new files are renamed into the table before the old ones are dropped: what is interrupted
+    loses no row, and is completed by calling this again.  Until then readers may see rows of a partition twice.
+    """
+    manifest = spark.read.parquet(f"{staging}/manifest")
+    steps = manifest.repartition("partition_id").sortWithinPartitions("partition_id", "action")
+    steps.mapInPandas(_move, "action string").groupBy("action").count().collect()
+    spark.catalog.refreshByPath(path)
+    return manifest.filter("action = 'add'").groupBy("partition_id").agg(F.sum("file_rows").alias("rows_written"))
+
+
+def mnt_compact(
+    spark: SparkSession, path: str, partition_col: str, inventory: DataFrame, target_bytes: int = 256 << 20
+) -> DataFrame:
+    """Rewrite the partitions of ``inventory`` (partition_id, bytes) into files of about ``target_bytes``.
+
+    The new files are complete in a hidden folder below the table before any old file goes; see ``stage_compact`` and
+    ``finish_compact``, which also completes an interrupted swap.  The folder's manifest stays as the record of the run.
+    Returns the number of rows written per partition.
+    """
+    staging = stage_compact(spark, path, partition_col, inventory, target_bytes)
+    if staging is None:
+        none = spark.read.parquet(path).select(F.col(partition_col).alias("partition_id"), F.lit(0).cast("bigint").alias("rows_written"))
+        return none.filter(F.lit(False))
+    return finish_compact(spark, path, staging)
 
 
 def mnt_analyze(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> list[dict]:
