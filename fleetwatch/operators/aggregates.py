@@ -81,7 +81,7 @@ def agg_having_ratio(
 ) -> DataFrame:
     """Tables whose largest modification counter exceeds frac * rows + base."""
     return (
-        table_stats.groupBy("schema_id", "table_name")
+        table_stats.groupBy(*own_keys(["schema_id", "table_name"], table_stats))
         .agg(
             F.max("row_count").alias("row_count"),
             F.max("modification_counter").alias("mods"),
@@ -122,7 +122,7 @@ def agg_conditional_count(columns: DataFrame, type_name: str = "varchar", length
     """Tables with more than one column of the given type and length."""
     hit = (F.lower("type_name") == type_name) & (F.col("max_length") == length)
     return (
-        columns.groupBy("schema_name", "table_name")
+        columns.groupBy(*own_keys(["schema_name", "table_name"], columns))
         .agg(F.count_if(hit).alias("num_cols"))
         .filter(F.col("num_cols") > 1)
     )

@@ -17,8 +17,14 @@ from fleetwatch.session import settled
 
 
 def own_keys(names: Sequence[str], *tables: DataFrame) -> list[str]:
-    """``names`` behind server_id, which tables of one server may leave out: ids and names repeat from server to server."""
-    return [*["server_id"] * all("server_id" in t.columns for t in tables), *names]
+    """``names`` behind server_id: ids and names repeat from server to server.
+
+    Tables of one server may all leave it out; if only some have it, rows of many servers would meet, so that raises ValueError.
+    """
+    named = ["server_id" in t.columns for t in tables]
+    if any(named) and not all(named):
+        raise ValueError(f"server_id is missing in one of the tables joined on {', '.join(names)}")
+    return [*["server_id"] * all(named), *names]
 
 
 def join_inner_history(backupset: DataFrame, backupfile: DataFrame) -> DataFrame:
@@ -93,17 +99,18 @@ def join_left_flag(left: DataFrame, right: DataFrame, keys: Sequence[str], out:
 
 
 def join_disjunctive(allocation: DataFrame, partitions: DataFrame) -> DataFrame:
-    """(container = hobt and type in 1, 3) or (container = partition and type = 2).
+    """(container = hobt and type in 1, 3) or (container = partition and type = 2), on one server.
 
     Two equi-joins instead of one OR condition, which would be a nested loop.
     """
-    in_row = allocation.filter(F.col("type").isin(1, 3)).join(
-        partitions, F.col("container_id") == F.col("hobt_id")
-    )
-    lob = allocation.filter(F.col("type") == 2).join(
-        partitions, F.col("container_id") == F.col("partition_id")
-    )
-    return in_row.unionByName(lob)
+    server = own_keys([], allocation, partitions)
+
+    def held(types: Sequence[int], container: str) -> DataFrame:
+        keyed = partitions.withColumn("container_id", F.col(container))
+        joined = allocation.filter(F.col("type").isin(*types)).join(keyed, [*server, "container_id"])
+        return joined.select(*allocation.columns, *[c for c in partitions.columns if c not in server])
+
+    return held((1, 3), "hobt_id").unionByName(held((2,), "partition_id"))
 
 
 def join_lateral_detail(base: DataFrame, detail: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,9 +127,10 @@ def join_left_anti(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def join_not_in_null_safe(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
-    """Rows of ``a`` with a known value that ``b`` lacks; NULLs in ``b`` do not empty the result."""
-    present = b.select(col).filter(F.col(col).isNotNull()).distinct()
-    return a.filter(F.col(col).isNotNull()).join(present, col, "left_anti")
+    """Rows of ``a`` with a known value that ``b`` lacks on the same server; NULLs in ``b`` do not empty the result."""
+    key = own_keys([col], a, b)
+    present = b.select(*key).filter(F.col(col).isNotNull()).distinct()
+    return a.filter(F.col(col).isNotNull()).join(present, key, "left_anti")
 
 
 def join_not_exists_later(failures: DataFrame, successes: DataFrame, key: str, ts: str) -> DataFrame:
@@ -212,11 +220,12 @@ def join_update_from(
 
 
 def join_scalar_counts(tables: DataFrame, indexes: DataFrame, columns: DataFrame) -> DataFrame:
-    n_index = indexes.groupBy("object_id").agg(F.count(F.lit(1)).alias("index_count"))
-    n_column = columns.groupBy("object_id").agg(F.count(F.lit(1)).alias("column_count"))
+    key = own_keys(["object_id"], tables, indexes, columns)
+    n_index = indexes.groupBy(*key).agg(F.count(F.lit(1)).alias("index_count"))
+    n_column = columns.groupBy(*key).agg(F.count(F.lit(1)).alias("column_count"))
     return (
-        tables.join(n_index, "object_id", "left")
-        .join(n_column, "object_id", "left")
+        tables.join(n_index, key, "left")
+        .join(n_column, key, "left")
         .fillna(0, ["index_count", "column_count"])
     )
 

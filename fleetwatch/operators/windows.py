@@ -107,7 +107,7 @@ def win_min_position(matches: DataFrame) -> DataFrame:
 
 def win_last_in_list(files: DataFrame, group: str = "database_name", order: str = "file_no") -> DataFrame:
     """Mark the last file of each list by comparing with the group's largest number."""
-    last = with_group_total(files, [group], F.max(order), "_last")
+    last = with_group_total(files, own_keys([group], files), F.max(order), "_last")
     return last.withColumn("is_last", F.col(order) == F.col("_last")).drop("_last")
 
 

@@ -13,7 +13,7 @@ from fleetwatch.operators import joins as J
 from fleetwatch.operators.filters import flt_exclusion_list, flt_system_objects
 from fleetwatch.operators.scalars import fn_first_word, fn_string_cleanup, fn_unit_conversion
 from fleetwatch.operators.windows import win_share_of_total
-from fleetwatch.plans.ordering import string_list, top_k
+from fleetwatch.plans.ordering import string_list, top_k, with_group_total
 from fleetwatch.session import literal_table, settled
 
 # Background wait types of the wait report.
@@ -186,15 +186,17 @@ def cache_free_space(
     Pages are counted per allocation unit before the joins, so the largest table
     meets the others as one row per allocation unit.
     """
-    per_unit = buffer_pages.groupBy("allocation_unit_id").agg(
+    unit = J.own_keys(["allocation_unit_id"], buffer_pages, allocation, partitions, objects)
+    owner = J.own_keys(["object_id"], allocation, objects)
+    per_unit = buffer_pages.groupBy(*unit).agg(
         F.count(F.lit(1)).alias("_pages"), F.sum("free_space_in_bytes").alias("_free")
     )
-    owned = J.join_disjunctive(allocation, partitions).select("allocation_unit_id", "object_id")
-    users = objects.filter(~F.col("is_ms_shipped")).select("object_id", "object_name", "type_desc")
+    owned = J.join_disjunctive(allocation, partitions).select(*unit, "object_id")
+    users = objects.filter(~F.col("is_ms_shipped")).select(*owner, "object_name", "type_desc")
     return (
-        per_unit.join(owned, "allocation_unit_id")
-        .join(users, "object_id")
-        .groupBy("object_id", "object_name", "type_desc")
+        per_unit.join(owned, unit)
+        .join(users, owner)
+        .groupBy(*owner, "object_name", "type_desc")
         .agg(F.sum("_pages").alias("pages"), F.sum("_free").alias("_bytes"))
         .withColumn("mb", F.col("pages") * 8 / 1024)
         .withColumn("free_mb", F.col("_bytes") / S.MB)
@@ -214,22 +216,24 @@ def index_usage(usage: DataFrame) -> DataFrame:
 
 
 def stale_stats_tables(table_stats: DataFrame, indexes: DataFrame, columns: DataFrame) -> DataFrame:
-    """Tables that need a statistics update, with kind and index / column / statistics counts."""
+    """Tables that need a statistics update, with kind, counts, and how many the server has."""
     grouped = settled(
         A.agg_having_ratio(table_stats).withColumn(
             "object_id", F.concat_ws(".", F.col("schema_id").cast("string"), "table_name")
         ),
         "stale",
     )
-    total = grouped.count()
+    key = J.own_keys(["object_id"], grouped, indexes, columns)
+    alike = J.own_keys(["_all"], grouped)
+    grouped = with_group_total(grouped.withColumn("_all", F.lit(0)), alike, F.count(F.lit(1)), "no_of_occurrences")
     counted = J.join_scalar_counts(grouped, indexes, columns)
-    clustered = indexes.groupBy("object_id").agg(F.max(F.col("is_clustered").cast("int")).alias("_c"))
+    clustered = indexes.groupBy(*key).agg(F.max(F.col("is_clustered").cast("int")).alias("_c"))
     kind = F.when(F.col("_c") == 1, "Clustered").when(F.col("_c") == 0, "Heap").otherwise("Indexed View")
-    return counted.join(clustered, "object_id", "left").select(
-        "schema_id",
+    return counted.join(clustered, key, "left").select(
+        *J.own_keys(["schema_id"], grouped),
         "table_name",
         "object_id",
-        F.lit(total).alias("no_of_occurrences"),
+        "no_of_occurrences",
         kind.alias("clustered_heap"),
         F.when(F.col("_c") == 0, F.col("index_count") - 1).otherwise(F.col("index_count")).alias("index_count"),
         "column_count",

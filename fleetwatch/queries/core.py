@@ -167,39 +167,39 @@ def _(t):
 # ---- joins -----------------------------------------------------------------
 @query("join_inner_history", """
 SELECT b.server_id, b.database_name, b.type, f.file_type, f.file_size, b.backup_start_date, b.backup_finish_date
-FROM v_backupset b JOIN v_backupfile f USING (backup_set_id)""")
+FROM v_backupset b JOIN v_backupfile f USING (server_id, backup_set_id)""")
 def _(t):
     return J.join_inner_history(t("backupset"), t("backupfile"))
 
 
 @query("join_three_way", """
 WITH newest AS (SELECT server_id, database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D' GROUP BY 1, 2),
-sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2)
+sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (server_id, backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2)
 SELECT c.id, server_id, database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (server_id, database_name)""")
 def _(t):
     return J.join_three_way(t("command_log"), t("backupset"), t("backupfile"))
 
 
 @query("join_multi_key", """
-SELECT tb.table_name, ix.index_name, pg.used_pages, c.command FROM v_plain_indexes ix
-JOIN (SELECT p.object_id, p.index_id, CAST(SUM(a.used_pages) AS BIGINT) AS used_pages FROM v_partitions p JOIN v_allocation a ON p.partition_id = a.container_id GROUP BY 1, 2) pg
-  ON pg.object_id = ix.object_id AND pg.index_id = ix.index_id
-JOIN v_plain_tables tb ON tb.object_id = ix.object_id AND NOT tb.is_ms_shipped
-JOIN (SELECT DISTINCT index_name, command FROM v_command_log) c ON c.index_name = ix.index_name""")
+SELECT server_id, tb.table_name, index_name, pg.used_pages, c.command FROM v_plain_indexes ix
+JOIN (SELECT p.server_id, p.object_id, p.index_id, CAST(SUM(a.used_pages) AS BIGINT) AS used_pages FROM v_partitions p JOIN v_allocation a ON p.server_id = a.server_id AND p.partition_id = a.container_id GROUP BY 1, 2, 3) pg
+  USING (server_id, object_id, index_id)
+JOIN (SELECT * FROM v_plain_tables WHERE NOT is_ms_shipped) tb USING (server_id, object_id)
+JOIN (SELECT DISTINCT server_id, index_name, command FROM v_command_log) c USING (server_id, index_name)""")
 def _(t):
     return J.join_multi_key(t("plain_indexes"), t("partitions"), t("allocation"), t("plain_tables"), t("command_log"))
 
 
 @query("join_left_flag", """
 SELECT o.*, CASE WHEN m.object_name IS NULL THEN 'N' ELSE 'Y' END AS flag FROM v_index_operational o
-LEFT JOIN (SELECT DISTINCT database_name, object_name FROM v_missing_index) m USING (database_name, object_name)""")
+LEFT JOIN (SELECT DISTINCT server_id, database_name, object_name FROM v_missing_index) m USING (server_id, database_name, object_name)""")
 def _(t):
-    return J.join_left_flag(t("index_operational"), t("missing_index"), ["database_name", "object_name"])
+    return J.join_left_flag(t("index_operational"), t("missing_index"), ["server_id", "database_name", "object_name"])
 
 
 @query("join_disjunctive", """
-SELECT a.*, p.* FROM v_allocation a JOIN v_partitions p
-  ON (a.container_id = p.hobt_id AND a.type IN (1, 3)) OR (a.container_id = p.partition_id AND a.type = 2)""")
+SELECT a.*, p.* EXCLUDE (server_id) FROM v_allocation a JOIN v_partitions p
+  ON a.server_id = p.server_id AND ((a.container_id = p.hobt_id AND a.type IN (1, 3)) OR (a.container_id = p.partition_id AND a.type = 2))""")
 def _(t):
     return J.join_disjunctive(t("allocation"), t("partitions"))
 
@@ -314,8 +314,8 @@ def _(t):
 
 
 @query("join_not_in_null_safe", """
-SELECT index_name, table_name, used_pages FROM v_index_sizes WHERE index_name IS NOT NULL AND index_name NOT IN (
-  SELECT index_name FROM v_command_log WHERE index_name IS NOT NULL AND command_type = 'BACKUP_DATABASE' AND error_number = 3201)""")
+SELECT server_id, index_name, table_name, used_pages FROM v_index_sizes z WHERE index_name IS NOT NULL AND index_name NOT IN (
+  SELECT index_name FROM v_command_log l WHERE l.server_id = z.server_id AND index_name IS NOT NULL AND command_type = 'BACKUP_DATABASE' AND error_number = 3201)""")
 def _(t):
     # A NULL among the excluded names must not empty the result.
     logged = t("command_log").filter("command_type = 'BACKUP_DATABASE'").withColumn(
@@ -334,11 +334,11 @@ def _(t):
 
 
 @query("join_scalar_counts", """
-WITH g AS (SELECT DISTINCT concat(CAST(schema_id AS STRING), '.', table_name) AS object_id FROM v_table_stats)
-SELECT object_id, (SELECT COUNT(*) FROM v_stat_indexes i WHERE i.object_id = g.object_id) AS index_count,
-  (SELECT COUNT(*) FROM v_stat_columns c WHERE c.object_id = g.object_id) AS column_count FROM g""")
+WITH g AS (SELECT DISTINCT server_id, concat(CAST(schema_id AS STRING), '.', table_name) AS object_id FROM v_table_stats)
+SELECT server_id, object_id, (SELECT COUNT(*) FROM v_stat_indexes i WHERE i.server_id = g.server_id AND i.object_id = g.object_id) AS index_count,
+  (SELECT COUNT(*) FROM v_stat_columns c WHERE c.server_id = g.server_id AND c.object_id = g.object_id) AS column_count FROM g""")
 def _(t):
-    tables = t("table_stats").select(F.concat_ws(".", F.col("schema_id").cast("string"), "table_name").alias("object_id")).distinct()
+    tables = t("table_stats").select("server_id", F.concat_ws(".", F.col("schema_id").cast("string"), "table_name").alias("object_id")).distinct()
     return J.join_scalar_counts(tables, t("stat_indexes"), t("stat_columns"))
 
 
@@ -358,7 +358,7 @@ def _(t):
 # ---- aggregates ------------------------------------------------------------
 FULL_SQL = f"""
 WITH full_files AS (
-  SELECT b.server_id, b.database_name, b.backup_start_date, b.backup_finish_date, f.file_size FROM v_backupset b JOIN v_backupfile f USING (backup_set_id)
+  SELECT b.server_id, b.database_name, b.backup_start_date, b.backup_finish_date, f.file_size FROM v_backupset b JOIN v_backupfile f USING (server_id, backup_set_id)
   WHERE b.type = 'D' AND f.file_type = 'D' AND b.database_name NOT IN {SYS} AND b.backup_start_date BETWEEN {O} - INTERVAL 1 YEAR AND {O})
 """
 PIVOT_SQL = FULL_SQL + "SELECT server_id, database_name, " + ", ".join(
@@ -391,29 +391,29 @@ def _(t):
 
 
 @query("agg_free_space_share", """
-SELECT object_name, type_desc, COUNT(*) AS pages, COUNT(*) * 8 / 1024 AS mb, SUM(free_space_in_bytes) / 1048576 AS free_mb,
-  ROUND((SUM(free_space_in_bytes) / 1048576) / (COUNT(*) * 8 / 1024) * 100, 2) AS free_pct FROM v_buffer_pages GROUP BY 1, 2""")
+SELECT server_id, object_name, type_desc, COUNT(*) AS pages, COUNT(*) * 8 / 1024 AS mb, SUM(free_space_in_bytes) / 1048576 AS free_mb,
+  ROUND((SUM(free_space_in_bytes) / 1048576) / (COUNT(*) * 8 / 1024) * 100, 2) AS free_pct FROM v_buffer_pages GROUP BY 1, 2, 3""")
 def _(t):
     return A.agg_free_space_share(t("buffer_pages"))
 
 
 COST_SQL = f"""
-WITH runs AS (SELECT index_name, command_type AS command, MAX(date_diff('second', start_time, end_time)) AS seconds FROM v_command_log
-  WHERE command_type LIKE '%INDEX%' AND database_name NOT IN {SYS} GROUP BY 1, 2)
-SELECT z.table_name, z.index_name, r.command, SUM(z.used_pages) * 8 / 1024 AS mb, MAX(r.seconds) AS max_seconds
-FROM v_index_sizes z JOIN runs r USING (index_name) GROUP BY 1, 2, 3"""
+WITH runs AS (SELECT server_id, index_name, command_type AS command, MAX(date_diff('second', start_time, end_time)) AS seconds FROM v_command_log
+  WHERE command_type LIKE '%INDEX%' AND database_name NOT IN {SYS} GROUP BY 1, 2, 3)
+SELECT server_id, z.table_name, index_name, r.command, SUM(z.used_pages) * 8 / 1024 AS mb, MAX(r.seconds) AS max_seconds
+FROM v_index_sizes z JOIN runs r USING (server_id, index_name) GROUP BY 1, 2, 3, 4"""
 
 
 @query("agg_record_duration", """
-SELECT z.table_name, z.index_name, r.command, SUM(z.used_pages) * 8 / 1024 AS mb, MAX(r.seconds) AS max_seconds
-FROM v_index_sizes z JOIN (SELECT index_name, command_type AS command, SUM(date_diff('second', start_time, end_time))::BIGINT AS seconds FROM v_command_log GROUP BY 1, 2) r USING (index_name) GROUP BY 1, 2, 3""")
+SELECT server_id, z.table_name, index_name, r.command, SUM(z.used_pages) * 8 / 1024 AS mb, MAX(r.seconds) AS max_seconds
+FROM v_index_sizes z JOIN (SELECT server_id, index_name, command_type AS command, SUM(date_diff('second', start_time, end_time))::BIGINT AS seconds FROM v_command_log GROUP BY 1, 2, 3) r USING (server_id, index_name) GROUP BY 1, 2, 3, 4""")
 def _(t):
     from fleetwatch.functions.semantics import seconds_between
 
-    runs = t("command_log").groupBy("index_name", F.col("command_type").alias("command")).agg(
+    runs = t("command_log").groupBy("server_id", "index_name", F.col("command_type").alias("command")).agg(
         F.sum(seconds_between("start_time", "end_time")).alias("seconds")
     )
-    return A.agg_record_duration(t("index_sizes").join(runs, "index_name"))
+    return A.agg_record_duration(t("index_sizes").join(runs, ["server_id", "index_name"]))
 
 
 @query("index_maintenance_cost", COST_SQL)
@@ -421,8 +421,8 @@ def _(t):
     return WL.index_maintenance_cost(t("command_log"), t("index_sizes"))
 
 
-RATIO_SQL = """SELECT schema_id, table_name, MAX(row_count) AS row_count, MAX(modification_counter) AS mods, COUNT(*) AS stat_count FROM v_table_stats
-GROUP BY 1, 2 HAVING MAX(row_count) > 500 AND MAX(modification_counter) > MAX(row_count) * 0.2 + 500"""
+RATIO_SQL = """SELECT server_id, schema_id, table_name, MAX(row_count) AS row_count, MAX(modification_counter) AS mods, COUNT(*) AS stat_count FROM v_table_stats
+GROUP BY 1, 2, 3 HAVING MAX(row_count) > 500 AND MAX(modification_counter) > MAX(row_count) * 0.2 + 500"""
 
 
 @query("agg_having_ratio", RATIO_SQL)
@@ -449,7 +449,7 @@ def _(t):
     return A.agg_having_multi(t("services"), ["server_id", "service_account"])
 
 
-VARCHAR_SQL = """SELECT schema_name, table_name, COUNT(*) FILTER (WHERE type_name = 'varchar' AND max_length = 255) AS num_cols FROM v_type_columns GROUP BY 1, 2
+VARCHAR_SQL = """SELECT server_id, schema_name, table_name, COUNT(*) FILTER (WHERE type_name = 'varchar' AND max_length = 255) AS num_cols FROM v_type_columns GROUP BY 1, 2, 3
 HAVING COUNT(*) FILTER (WHERE type_name = 'varchar' AND max_length = 255) > 1"""
 
 
@@ -520,8 +520,8 @@ def _(t):
 
 
 @query("agg_extent_totals", """
-SELECT database_name, CAST(SUM(allocated_extent_page_count) AS BIGINT) AS allocated, CAST(SUM(modified_extent_page_count) AS BIGINT) AS modified,
-  CAST(SUM(modified_extent_page_count) AS DOUBLE) / SUM(allocated_extent_page_count) * 100 AS change_pct FROM v_extents GROUP BY 1""")
+SELECT server_id, database_name, CAST(SUM(allocated_extent_page_count) AS BIGINT) AS allocated, CAST(SUM(modified_extent_page_count) AS BIGINT) AS modified,
+  CAST(SUM(modified_extent_page_count) AS DOUBLE) / SUM(allocated_extent_page_count) * 100 AS change_pct FROM v_extents GROUP BY 1, 2""")
 def _(t):
     return A.agg_extent_totals(t("extents"))
 
@@ -658,13 +658,13 @@ def _(t):
     return W.win_min_position(m)
 
 
-@query("win_last_in_list", "SELECT backup_set_id, file_number, file_size, file_number = MAX(file_number) OVER (PARTITION BY backup_set_id) AS is_last FROM v_backupfile")
+@query("win_last_in_list", "SELECT server_id, backup_set_id, file_number, file_size, file_number = MAX(file_number) OVER (PARTITION BY server_id, backup_set_id) AS is_last FROM v_backupfile")
 def _(t):
-    return W.win_last_in_list(t("backupfile").select("backup_set_id", "file_number", "file_size"), "backup_set_id", "file_number")
+    return W.win_last_in_list(t("backupfile").select("server_id", "backup_set_id", "file_number", "file_size"), "backup_set_id", "file_number")
 
 
 def _topk_sql(value, k, extra=""):
-    return f"SELECT * {extra} FROM (SELECT *, row_number() OVER (PARTITION BY database_name ORDER BY {value} DESC, object_name) AS rn FROM v_index_operational) o WHERE rn <= {k}"
+    return f"SELECT * {extra} FROM (SELECT *, row_number() OVER (PARTITION BY server_id, database_name ORDER BY {value} DESC, object_name) AS rn FROM v_index_operational) o WHERE rn <= {k}"
 
 
 @query("top_lock_escalations", _topk_sql("index_lock_promotion_count", 3))
@@ -672,7 +672,7 @@ def _(t):
     return W.top_lock_escalations(t("index_operational"))
 
 
-@query("top_page_lock_waits", _topk_sql("page_lock_wait_count", 3, ", CASE WHEN EXISTS (SELECT 1 FROM v_missing_index m WHERE m.database_name = o.database_name AND m.object_name = o.object_name) THEN 'Y' ELSE 'N' END AS missing_index"))
+@query("top_page_lock_waits", _topk_sql("page_lock_wait_count", 3, ", CASE WHEN EXISTS (SELECT 1 FROM v_missing_index m WHERE m.server_id = o.server_id AND m.database_name = o.database_name AND m.object_name = o.object_name) THEN 'Y' ELSE 'N' END AS missing_index"))
 def _(t):
     return W.top_page_lock_waits(t("index_operational"), t("missing_index"))
 
@@ -867,7 +867,7 @@ def _(t):
 @query("integrity_check_speed", f"""
 WITH newest AS (SELECT server_id, database_name, max(struct_pack(d := backup_start_date, b := backup_set_id)).b AS backup_set_id FROM v_backupset WHERE type = 'D'
   AND backup_start_date BETWEEN {O} - INTERVAL 1 YEAR AND {O} GROUP BY 1, 2),
-sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2),
+sizes AS (SELECT server_id, database_name, CAST(SUM(file_size) AS BIGINT) AS file_size FROM newest JOIN v_backupfile USING (server_id, backup_set_id) WHERE file_type = 'D' GROUP BY 1, 2),
 r AS (SELECT server_id, database_name, s.file_size, date_diff('second', c.start_time, c.end_time) AS seconds FROM v_command_log c JOIN sizes s USING (server_id, database_name)
   WHERE c.command_type = 'DBCC_CHECKDB' AND c.database_name NOT IN {SYS})
 SELECT server_id, database_name, ROUND(file_size / 1048576, 1) AS size_mb, seconds, COUNT(*) AS runs, CASE WHEN seconds = 0 THEN NULL ELSE file_size / 1048576 / seconds END AS mb_per_sec
@@ -877,10 +877,11 @@ def _(t):
 
 
 @query("cache_free_space", """
-WITH own AS (SELECT a.allocation_unit_id, p.object_id FROM v_allocation a JOIN v_partitions p ON (a.container_id = p.hobt_id AND a.type IN (1, 3)) OR (a.container_id = p.partition_id AND a.type = 2))
-SELECT o.object_name, o.type_desc, COUNT(*) AS pages, COUNT(*) * 8 / 1024 AS mb, SUM(b.free_space_in_bytes) / 1048576 AS free_mb,
+WITH own AS (SELECT a.server_id, a.allocation_unit_id, p.object_id FROM v_allocation a JOIN v_partitions p
+  ON a.server_id = p.server_id AND ((a.container_id = p.hobt_id AND a.type IN (1, 3)) OR (a.container_id = p.partition_id AND a.type = 2)))
+SELECT server_id, o.object_name, o.type_desc, COUNT(*) AS pages, COUNT(*) * 8 / 1024 AS mb, SUM(b.free_space_in_bytes) / 1048576 AS free_mb,
   ROUND((SUM(b.free_space_in_bytes) / 1048576) / (COUNT(*) * 8 / 1024) * 100, 2) AS free_pct
-FROM v_buffer_pages b JOIN own USING (allocation_unit_id) JOIN v_objects o USING (object_id) WHERE NOT o.is_ms_shipped GROUP BY o.object_id, 1, 2""")
+FROM v_buffer_pages b JOIN own USING (server_id, allocation_unit_id) JOIN v_objects o USING (server_id, object_id) WHERE NOT o.is_ms_shipped GROUP BY object_id, 1, 2, 3""")
 def _(t):
     return WL.cache_free_space(t("buffer_pages"), t("allocation"), t("partitions"), t("objects"))
 
@@ -892,10 +893,10 @@ def _(t):
 
 @query("stale_stats_tables", f"""
 WITH g AS (SELECT *, concat(CAST(schema_id AS STRING), '.', table_name) AS object_id FROM ({RATIO_SQL})),
-c AS (SELECT object_id, MAX(CAST(is_clustered AS INT)) AS c, COUNT(*) AS n FROM v_stat_indexes GROUP BY 1)
-SELECT schema_id, table_name, g.object_id, COUNT(*) OVER () AS no_of_occurrences, CASE c.c WHEN 1 THEN 'Clustered' WHEN 0 THEN 'Heap' ELSE 'Indexed View' END AS clustered_heap,
-  CASE WHEN c.c = 0 THEN COALESCE(c.n, 0) - 1 ELSE COALESCE(c.n, 0) END AS index_count, (SELECT COUNT(*) FROM v_stat_columns k WHERE k.object_id = g.object_id) AS column_count, stat_count, row_count, mods
-FROM g LEFT JOIN c ON c.object_id = g.object_id""")
+c AS (SELECT server_id, object_id, MAX(CAST(is_clustered AS INT)) AS c, COUNT(*) AS n FROM v_stat_indexes GROUP BY 1, 2)
+SELECT g.server_id, schema_id, table_name, g.object_id, COUNT(*) OVER (PARTITION BY g.server_id) AS no_of_occurrences, CASE c.c WHEN 1 THEN 'Clustered' WHEN 0 THEN 'Heap' ELSE 'Indexed View' END AS clustered_heap,
+  CASE WHEN c.c = 0 THEN COALESCE(c.n, 0) - 1 ELSE COALESCE(c.n, 0) END AS index_count, (SELECT COUNT(*) FROM v_stat_columns k WHERE k.server_id = g.server_id AND k.object_id = g.object_id) AS column_count, stat_count, row_count, mods
+FROM g LEFT JOIN c ON c.server_id = g.server_id AND c.object_id = g.object_id""")
 def _(t):
     return WL.stale_stats_tables(t("table_stats"), t("stat_indexes"), t("stat_columns"))
 

@@ -109,10 +109,10 @@ SELECT o_orderkey AS backup_set_id, {srv('(o_custkey % 50) % 3')} AS server_id,
   o_orderkey % 97 = 0 AS is_damaged, o_orderkey AS last_lsn
 FROM {{orders}}""",
     "backupfile": f"""
-SELECT l_orderkey AS backup_set_id, l_linenumber AS file_number,
+SELECT {srv('(o_custkey % 50) % 3')} AS server_id, l_orderkey AS backup_set_id, l_linenumber AS file_number,
   CASE l_returnflag WHEN 'A' THEN 'D' WHEN 'N' THEN 'L' ELSE 'F' END AS file_type,
   {i('FLOOR(l_extendedprice * 1000)')} AS file_size
-FROM {{lineitem}}""",
+FROM {{lineitem}} LEFT JOIN {{orders}} ON o_orderkey = l_orderkey""",
     "command_log": f"""
 SELECT event_id AS id, {EV_DBSRV} AS server_id, {EV_DB} AS database_name, concat('ix_', {s('user_id')}) AS index_name,
   CASE event_type WHEN 'click' THEN 'ALTER_INDEX' WHEN 'view' THEN 'UPDATE_STATISTICS'
@@ -137,26 +137,26 @@ SELECT user_id AS job_id, event_id % 7 AS session_id,
 SELECT {srv('s_nationkey % 3')} AS server_id, {db('s_suppkey % 50')} AS database_name, concat('V', {s('s_suppkey')}, ':') AS volume_mount_point,
   {i('107374182400')} AS total_bytes, {i('FLOOR(ABS(s_acctbal) * 10737418)')} AS available_bytes FROM {{supplier}}""",
     "index_operational": f"""
-SELECT {db('l_suppkey % 50')} AS database_name, concat('t_', {s('l_partkey')}) AS object_name, {i('COUNT(*)')} AS leaf_allocation_count,
+SELECT {srv('l_suppkey % 3')} AS server_id, {db('l_suppkey % 50')} AS database_name, concat('t_', {s('l_partkey')}) AS object_name, {i('COUNT(*)')} AS leaf_allocation_count,
   {i('SUM(CAST(l_quantity AS BIGINT))')} AS page_lock_wait_count,
   {i("SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)")} AS index_lock_promotion_count
-FROM {{lineitem}} GROUP BY 1, 2""",
+FROM {{lineitem}} GROUP BY 1, 2, 3""",
     "missing_index": f"""
-SELECT {db('l_suppkey % 50')} AS database_name, concat('t_', {s('l_partkey')}) AS object_name FROM {{lineitem}}
+SELECT {srv('l_suppkey % 3')} AS server_id, {db('l_suppkey % 50')} AS database_name, concat('t_', {s('l_partkey')}) AS object_name FROM {{lineitem}}
 WHERE CAST(ROUND(l_discount * 100) AS INT) >= 9""",
     "index_usage": f"""
 SELECT concat('t_', {s('p_partkey')}) AS object_name, {db('p_partkey % 50')} AS database_name, p_brand AS index_name,
   {i('p_partkey % 4')} AS user_seeks, {i('p_partkey % 3')} AS user_scans, {i('p_partkey % 2')} AS user_lookups,
   {i('p_size')} AS user_updates FROM {{part}}""",
     "table_stats": f"""
-SELECT CAST(p_size % 4 AS INT) AS schema_id, concat('t_', {s('p_partkey % 500')}) AS table_name, p_partkey AS stats_id,
+SELECT {srv('p_partkey % 3')} AS server_id, CAST(p_size % 4 AS INT) AS schema_id, concat('t_', {s('p_partkey % 500')}) AS table_name, p_partkey AS stats_id,
   {i('p_size * 100')} AS row_count, {i('(p_partkey % 37) * 100')} AS modification_counter FROM {{part}}""",
     "stat_indexes": f"""
-SELECT concat({s('p_size % 4')}, '.t_', {s('p_partkey % 500')}) AS object_id, p_partkey % 5 = 0 AS is_clustered FROM {{part}}""",
+SELECT {srv('p_partkey % 3')} AS server_id, concat({s('p_size % 4')}, '.t_', {s('p_partkey % 500')}) AS object_id, p_partkey % 5 = 0 AS is_clustered FROM {{part}}""",
     "stat_columns": f"""
-SELECT concat({s('l_linenumber % 4')}, '.t_', {s('l_partkey % 500')}) AS object_id, l_orderkey AS column_id FROM {{lineitem}}""",
+SELECT {srv('l_partkey % 3')} AS server_id, concat({s('l_linenumber % 4')}, '.t_', {s('l_partkey % 500')}) AS object_id, l_orderkey AS column_id FROM {{lineitem}}""",
     "type_columns": f"""
-SELECT concat('s', {s('p_size % 4')}) AS schema_name, concat('t_', {s('p_partkey % 500')}) AS table_name,
+SELECT {srv('p_partkey % 3')} AS server_id, concat('s', {s('p_size % 4')}) AS schema_name, concat('t_', {s('p_partkey % 500')}) AS table_name,
   CASE WHEN p_size % 3 = 0 THEN 'int' ELSE 'varchar' END AS type_name, CASE p_size % 2 WHEN 0 THEN 255 ELSE 50 END AS max_length
 FROM {{part}}""",
     "settings": f"""
@@ -372,24 +372,24 @@ SELECT {EV_SRV} AS server_id, ts AS event_time, concat('<deadlock id="', {s('eve
     "hotfixes": f"""
 SELECT {EV_SRV} AS server_id, concat('KB', {s('event_id')}) AS hotfix_id, 'Security-Update' AS description, ts AS installed_on FROM {{events}}""",
     "extents": f"""
-SELECT {db('l_suppkey % 50')} AS database_name, {i('l_quantity')} AS allocated_extent_page_count,
+SELECT {srv('(l_suppkey % 50) % 3')} AS server_id, {db('l_suppkey % 50')} AS database_name, {i('l_quantity')} AS allocated_extent_page_count,
   CASE WHEN l_returnflag = 'R' THEN {i('l_quantity')} ELSE {i('0')} END AS modified_extent_page_count FROM {{lineitem}}""",
     "buffer_pages": f"""
-SELECT l_partkey AS allocation_unit_id, {i('l_quantity * 100')} AS free_space_in_bytes, concat('t_', {s('l_partkey % 300')}) AS object_name,
+SELECT {srv('l_partkey % 7')} AS server_id, l_partkey AS allocation_unit_id, {i('l_quantity * 100')} AS free_space_in_bytes, concat('t_', {s('l_partkey % 300')}) AS object_name,
   'USER_TABLE' AS type_desc FROM {{lineitem}}""",
     "allocation": f"""
-SELECT p_partkey AS allocation_unit_id, p_partkey AS container_id, CAST(p_size % 4 AS INT) AS type, {i('p_size * 3')} AS used_pages FROM {{part}}""",
+SELECT {srv('p_partkey % 7')} AS server_id, p_partkey AS allocation_unit_id, p_partkey AS container_id, CAST(p_size % 4 AS INT) AS type, {i('p_size * 3')} AS used_pages FROM {{part}}""",
     "partitions": f"""
-SELECT p_partkey AS partition_id, p_partkey + 7 AS hobt_id, p_partkey % 300 AS object_id, p_partkey % 5 AS index_id FROM {{part}}""",
+SELECT {srv('p_partkey % 7')} AS server_id, p_partkey AS partition_id, p_partkey + 7 AS hobt_id, p_partkey % 300 AS object_id, p_partkey % 5 AS index_id FROM {{part}}""",
     "objects": f"""
-SELECT DISTINCT p_partkey % 300 AS object_id, concat('t_', {s('p_partkey % 300')}) AS object_name, 'USER_TABLE' AS type_desc,
+SELECT DISTINCT {srv('p_partkey % 7')} AS server_id, p_partkey % 300 AS object_id, concat('t_', {s('p_partkey % 300')}) AS object_name, 'USER_TABLE' AS type_desc,
   (p_partkey % 300) % 10 = 0 AS is_ms_shipped FROM {{part}}""",
     "plain_indexes": f"""
-SELECT DISTINCT p_partkey % 300 AS object_id, p_partkey % 5 AS index_id, concat('ix_', {s('p_partkey % 150')}) AS index_name FROM {{part}}""",
+SELECT DISTINCT {srv('p_partkey % 7')} AS server_id, p_partkey % 300 AS object_id, p_partkey % 5 AS index_id, concat('ix_', {s('p_partkey % 150')}) AS index_name FROM {{part}}""",
     "plain_tables": f"""
-SELECT DISTINCT p_partkey % 300 AS object_id, concat('t_', {s('p_partkey % 300')}) AS table_name, (p_partkey % 300) % 10 = 0 AS is_ms_shipped FROM {{part}}""",
+SELECT DISTINCT {srv('p_partkey % 7')} AS server_id, p_partkey % 300 AS object_id, concat('t_', {s('p_partkey % 300')}) AS table_name, (p_partkey % 300) % 10 = 0 AS is_ms_shipped FROM {{part}}""",
     "index_sizes": f"""
-SELECT concat('t_', {s('p_partkey % 400')}) AS table_name, concat('ix_', {s('p_partkey % 150')}) AS index_name, {i('p_size * 3')} AS used_pages FROM {{part}}""",
+SELECT {srv('p_partkey % 3')} AS server_id, concat('t_', {s('p_partkey % 400')}) AS table_name, concat('ix_', {s('p_partkey % 150')}) AS index_name, {i('p_size * 3')} AS used_pages FROM {{part}}""",
     "log_records": f"""
 SELECT {EV_SRV} AS server_id, CASE WHEN event_type = 'signup' THEN NULL ELSE concat(event_type, '.', {s('user_id % 20')}) END AS alloc_unit_name,
   concat('LOP_', {s('event_id % 3')}) AS operation, {i('ROUND(value)')} AS record_length FROM {{events}}""",

@@ -18,7 +18,7 @@ _DDL = {
     "agent_log": "server_id string, log_date timestamp_ntz, error_level string, text string",
     "backupset": "server_id string, backup_set_id bigint, database_name string, type string, "
     "backup_start_date timestamp_ntz, backup_finish_date timestamp_ntz, is_damaged boolean, last_lsn bigint",
-    "backupfile": "backup_set_id bigint, file_number int, file_type string, file_size bigint",
+    "backupfile": "server_id string, backup_set_id bigint, file_number int, file_type string, file_size bigint",
     "command_log": "id bigint, server_id string, database_name string, index_name string, command_type string, "
     "command string, start_time timestamp_ntz, end_time timestamp_ntz, error_number int, error_message string",
     "jobs": "server_id string, job_id bigint, name string, enabled boolean, environment string",

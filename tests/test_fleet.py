@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from fleetwatch.operators import aggregates, export, joins, maintenance, retention, windows, workload
 from fleetwatch.operators.health import hc_memory_low, hc_trace_errors
 
@@ -116,3 +119,32 @@ def test_space_and_top_lists_are_per_server(spark):
     assert sorted((r.server_id, r.change_pct) for r in aggregates.agg_extent_totals(space).collect()) == [("s1", 50.0), ("s2", 25.0)]
     pages = spark.createDataFrame([("s1", "t", "U", 5), ("s2", "t", "U", 6)], "server_id string, object_name string, type_desc string, free_space_in_bytes long")
     assert sorted((r.server_id, r.pages) for r in aggregates.agg_free_space_share(pages).collect()) == [("s1", 1), ("s2", 1)]
+
+
+def test_ids_of_two_servers_do_not_meet(spark):
+    units = spark.createDataFrame([("s1", 1, 1, 1, 4), ("s2", 1, 1, 2, 4)], "server_id string, allocation_unit_id long, container_id long, type int, used_pages long")
+    parts = spark.createDataFrame([("s1", 1, 1, 5, 1), ("s2", 1, 9, 6, 1)], "server_id string, partition_id long, hobt_id long, object_id long, index_id long")
+    owned = joins.join_disjunctive(units, parts)
+    assert sorted((r.server_id, r.object_id) for r in owned.collect()) == [("s1", 5), ("s2", 6)]
+    pages = spark.createDataFrame([("s1", 1, 5), ("s2", 1, 6), ("s2", 1, 6)], "server_id string, allocation_unit_id long, free_space_in_bytes long")
+    objects = spark.createDataFrame([("s1", 5, "a", "U", False), ("s2", 6, "b", "U", False), ("s2", 5, "c", "U", False)],
+                                    "server_id string, object_id long, object_name string, type_desc string, is_ms_shipped boolean")
+    cache = workload.cache_free_space(pages, units, parts, objects).collect()
+    assert sorted((r.server_id, r.object_name, r.pages) for r in cache) == [("s1", "a", 1), ("s2", "b", 2)]
+    stats = spark.createDataFrame(
+        [("s1", 1, "t", 1000, 900), ("s2", 1, "t", 1000, 900), ("s2", 1, "u", 2000, 1900)],
+        "server_id string, schema_id int, table_name string, row_count long, modification_counter long",
+    )
+    indexes = spark.createDataFrame([("s1", "1.t", True), ("s2", "1.t", False), ("s2", "1.t", False)], "server_id string, object_id string, is_clustered boolean")
+    columns = spark.createDataFrame([("s1", "1.t"), ("s1", "1.t"), ("s2", "1.u")], "server_id string, object_id string")
+    stale = workload.stale_stats_tables(stats, indexes, columns).collect()
+    assert sorted((r.server_id, r.table_name, r.no_of_occurrences, r.clustered_heap, r.index_count, r.column_count) for r in stale) == [
+        ("s1", "t", 1, "Clustered", 1, 2), ("s2", "t", 2, "Heap", 1, 0), ("s2", "u", 2, "Indexed View", 0, 1),
+    ]
+    one = workload.stale_stats_tables(*[d.filter("server_id = 's1'").drop("server_id") for d in (stats, indexes, columns)])
+    assert [(r.table_name, r.no_of_occurrences) for r in one.collect()] == [("t", 1)] and "server_id" not in one.columns
+
+
+def test_a_server_in_one_table_only_raises(spark):
+    with pytest.raises(ValueError, match="server_id"):
+        joins.own_keys(["x"], spark.range(1).withColumn("server_id", F.lit("s")), spark.range(1))

@@ -75,7 +75,7 @@ def test_zero_seconds_give_null_speed(spark):
         "server_id string, backup_set_id bigint, database_name string, type string, "
         "backup_start_date timestamp_ntz, backup_finish_date timestamp_ntz, is_damaged boolean",
     )
-    files = spark.createDataFrame([(1, "D", 1048576)], "backup_set_id bigint, file_type string, file_size bigint")
+    files = spark.createDataFrame([("s", 1, "D", 1048576)], "server_id string, backup_set_id bigint, file_type string, file_size bigint")
     assert agg_throughput(sets, files).first().mb_per_sec is None
 
 
