@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetwatch.functions import semantics as S
 from fleetwatch.plans.ordering import rank_in_group
+from fleetwatch.session import settled
 
 FINDING_COLUMNS = (
     "server_id",
@@ -82,8 +83,11 @@ def hc_traffic_light(all_findings: DataFrame, servers: DataFrame | None = None)
 
 
 def cmp_report(*parts: DataFrame) -> DataFrame:
-    """All rules, not achieved first, then by name."""
-    return union_findings(*parts).orderBy("achieved", "name", "server_id", "scope", "details")
+    """All rules, not achieved first, then by name.
+
+    The findings are written first: a sort reads its input once for the borders of its ranges and once to deal the rows.
+    """
+    return settled(union_findings(*parts), "findings").orderBy("achieved", "name", "server_id", "scope", "details")
 
 
 def cmp_score(all_findings: DataFrame) -> DataFrame:

@@ -1,15 +1,17 @@
 """Rules as data: all rules over one input share its scan, and all inputs share one aggregation.
 
 A scan turns every row into one small record per rule that looks at it.  The records of all inputs are grouped by
-(server, rule, key) with a partial aggregate before the shuffle, and each group is judged by its rule.  Servers of the
-inventory send a record without counts, so rules that judge every server need no join.
+(server, rule, key, example) with a partial aggregate before the shuffle; no text is aggregated there, so Spark hashes the
+records and sorts none of them.  What is left, one row per group and example, is grouped once more: the smallest example
+of a group, and findings that several groups give but once.  Servers of the inventory send a record without counts, so
+rules that judge every server need no join.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,9 +80,10 @@ class Rule:
         return expression
 
 
-def _record(number: int, rule: Rule) -> Column:
+def _record(number: int, rule: Rule) -> tuple[str, dict[str, str]]:
+    """The condition of a rule's record and its columns."""
     keys = ", ".join(f"cast({e} as string)" for e in rule.key.values())
-    parts = {
+    return rule.where, {
         "rule": str(number),
         "k": f"cast(array({keys}) as array<string>)",
         "rows": "1L",
@@ -90,22 +93,28 @@ def _record(number: int, rule: Rule) -> Column:
         "bits": f"cast(({rule.bits}) as bigint)",
         "at": f"cast(({rule.at}) as timestamp_ntz)",
     }
-    return F.when(F.expr(rule.where), F.struct(*[F.expr(e).alias(c) for c, e in parts.items()]))
 
 
-def _absent(number: int) -> Column:
+def _absent(number: int) -> tuple[str, dict[str, str]]:
     """The record of an inventory server, which adds no row to its group."""
-    none = {
+    return "true", {
         "rule": str(number), "k": "cast(array() as array<string>)", "rows": "0L", "bad": "false",
         "example": "cast(NULL as string)", "value": "cast(NULL as double)", "bits": "cast(NULL as bigint)",
         "at": "cast(NULL as timestamp_ntz)",
     }
-    return F.struct(*[F.expr(e).alias(c) for c, e in none.items()])
 
 
-def _records(df: DataFrame, records: Sequence[Column]) -> DataFrame:
-    found = F.explode(F.array_compact(F.array(*records))).alias("r")
-    return df.select(F.col("server_id").cast("string").alias("server_id"), found).select("server_id", "r.*")
+def _records(df: DataFrame, records: Sequence[tuple[str, dict[str, str]]]) -> DataFrame:
+    """One row per row and record; a single record is a filter, which may reach the files."""
+    server = F.col("server_id").cast("string").alias("server_id")
+    structs = [F.struct(*[F.expr(e).alias(c) for c, e in columns.items()]) for _, columns in records]
+    if len(records) == 1:
+        found = df.filter(F.expr(records[0][0])).select(server, structs[0].alias("r"))
+    else:
+        # Explode first and filter then: array_compact would take every expression out of code generation.
+        each = F.array(*[F.when(F.expr(where), r) for (where, _), r in zip(records, structs, strict=True)])
+        found = df.select(server, F.explode(each).alias("r")).filter(F.col("r").isNotNull())
+    return found.select("server_id", "r.*")
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -136,6 +145,58 @@ def _repeat(judged: DataFrame) -> DataFrame:
     return some.select(*columns, F.expr("explode(array_repeat(0, cast(_some as int)))").alias("_one")).select(*columns)
 
 
+def _finding(rule: Rule) -> dict[str, str]:
+    """What a rule's finding shows, by name of the field."""
+    return {
+        "named": rule.named or quoted(rule.name), "scope": rule.scope, "current": rule.current, "target": rule.target,
+        "achieved": rule.achieved, "details": rule.details, "observed_at": rule.observed_at,
+    }
+
+
+def _shown(rule: Rule) -> Rule:
+    """The rule over groups whose key is the text of their finding."""
+    fields = _finding(rule)
+    return replace(rule, key=fields, having="true", once=False, **{name: "{" + name + "}" for name in fields})
+
+
+def _smallest_examples(records: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """Groups by (server, rule, key) with their smallest example, and the rules as they read these groups.
+
+    Texts are part of the first key instead of being aggregated. The groups of a rule without example are whole then, so
+    one that gives equal findings once is judged there, and the second grouping is by its finding.
+    """
+    groups = records.groupBy("server_id", "rule", "k", F.when(F.col("bad"), F.col("example")).alias("example")).agg(
+        F.sum("rows").alias("n"),
+        F.count_if("bad").alias("bad"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.coalesce(F.bit_or("bits"), F.lit(0)).alias("bits"),
+        F.max("at").alias("latest"),
+    )
+    early = [r.once and not r.each and r.example == "NULL" for r in rules]
+    if not any(early) and all(r.example == "NULL" for r in rules):
+        return groups, rules
+    if any(early):
+        having = [r.having if now else "true" for r, now in zip(rules, early, strict=True)]
+        if any(h != "true" for h in having):
+            groups = groups.filter(_by_rule(rules, having, "boolean"))
+        keys = [
+            "array(" + ", ".join(f"cast({e} as string)" for e in _finding(r).values()) + ")" if now else "k"
+            for r, now in zip(rules, early, strict=True)
+        ]
+        groups = groups.withColumn("k", _by_rule(rules, keys, "array<string>"))
+    merged = groups.groupBy("server_id", "rule", "k").agg(
+        F.sum("n").alias("n"),
+        F.sum("bad").alias("bad"),
+        F.min("example").alias("example"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.bit_or("bits").alias("bits"),
+        F.max("latest").alias("latest"),
+    )
+    return merged, [_shown(r) if now else r for r, now in zip(rules, early, strict=True)]
+
+
 def judge(rules: Sequence[Rule], roles: Mapping[str, DataFrame], servers: DataFrame | None = None) -> DataFrame:
     """Findings of ``rules`` whose roles are given, with one scan per role and one aggregation over all of them.
 
@@ -146,7 +207,7 @@ def judge(rules: Sequence[Rule], roles: Mapping[str, DataFrame], servers: DataFr
     rules = [r for r in rules if r.role in roles]
     if not rules:
         raise ValueError("no rule has its role")
-    by_role: dict[str, list[Column]] = defaultdict(list)
+    by_role: dict[str, list[tuple[str, dict[str, str]]]] = defaultdict(list)
     for i, rule in enumerate(rules):
         by_role[rule.role].append(_record(i, rule))
     parts = dict(roles)
@@ -156,16 +217,7 @@ def judge(rules: Sequence[Rule], roles: Mapping[str, DataFrame], servers: DataFr
             name = "servers" if roles.get("servers") is servers else "_inventory"
             parts[name] = servers
             by_role[name] += inventory
-    records = _union([_records(parts[role], columns) for role, columns in by_role.items()])
-    groups = records.groupBy("server_id", "rule", "k").agg(
-        F.sum("rows").alias("n"),
-        F.count_if("bad").alias("bad"),
-        F.min(F.when(F.col("bad"), F.col("example"))).alias("example"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.coalesce(F.bit_or("bits"), F.lit(0)).alias("bits"),
-        F.max("at").alias("latest"),
-    )
+    groups, rules = _smallest_examples(_union([_records(parts[r], found) for r, found in by_role.items()]), rules)
     if any(r.having != "true" for r in rules):
         groups = groups.filter(_by_rule(rules, [r.having for r in rules], "boolean"))
     achieved = _by_rule(rules, [r.achieved for r in rules], "boolean")

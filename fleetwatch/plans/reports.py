@@ -12,7 +12,7 @@ from fleetwatch.operators import compliance_rules as R
 from fleetwatch.operators import health as H
 from fleetwatch.operators.findings import cmp_report, hc_traffic_light, union_findings
 from fleetwatch.operators.rule_scan import Rule, judge
-from fleetwatch.session import literal_table
+from fleetwatch.session import literal_table, settled
 
 # (check, its roles in the order of its parameters, whether it takes the time of the report)
 HEALTH_CHECKS = (
@@ -208,8 +208,11 @@ def compliance_findings(
     """Findings of all compliance rules whose roles are given, and of the ``presence`` rules.
 
     Targets, expected objects and flags, and advice come from the library's rule tables unless ``roles`` brings them.
+    Four rules look at the settings, each by its own filter; the settings are written once for all of them.
     """
     spark = next(iter(roles.values())).sparkSession
+    if "settings" in roles:
+        roles = dict(roles) | {"settings": settled(roles["settings"], "settings")}
     lookups = {
         "setting_targets": C.setting_targets(spark),
         "expected_toolset": literal_table(spark, R.TOOLSET_EXPECTED, "object_name string, expected_version string"),
@@ -221,7 +224,10 @@ def compliance_findings(
         matches = F.col("major_version") == F.col("major")
         lookups["expected_flags"] = roles["servers"].join(C.expected_flags(spark), matches)
     given = lookups | dict(roles)
-    parts = _run([r for r in COMPLIANCE_RULES if r[0] not in SHARED_RULES], given, as_of)
+    joined = _run([r for r in COMPLIANCE_RULES if r[0] not in SHARED_RULES], given, as_of)
+    # Every rule ends in as many partitions as a shuffle has; each would be a task that carries the plan of all rules.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [union_findings(*joined).coalesce(tasks)] if joined else []
     shared = [SHARED_RULES[r] for r, needs, _ in COMPLIANCE_RULES if r in SHARED_RULES and all(n in roles for n in needs)]
     shared += C.presence_rules([rule for rule in presence if rule.role in roles])
     if shared:

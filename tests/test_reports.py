@@ -84,3 +84,26 @@ def test_an_aggregate_is_computed_once(spark, tmp_path):
     waits = spark.read.parquet(str(tmp_path / "waits"))
     plan = wait_stats(waits)._jdf.queryExecution().executedPlan().toString()
     assert str(tmp_path / "waits") not in plan  # what is left to do starts from the settled groups
+
+
+def test_the_report_sorts_written_findings_and_reads_settings_once(spark, tmp_path, monkeypatch):
+    settings = [(f"s{i}", "allow updates", i % 2) for i in range(4)] + [("s0", "max server memory (MB)", 1)]
+    servers = [(f"s{i}", 8 << 20, 1, 1) for i in range(4)]
+    roles = {}
+    for name, rows, schema in (
+        ("settings", settings, "server_id string, name string, value_in_use bigint"),
+        ("servers", servers, "server_id string, physical_memory_kb bigint, instance_count bigint, major_version int"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        roles[name] = spark.read.parquet(str(tmp_path / name))
+    monkeypatch.setattr(
+        reports, "COMPLIANCE_RULES", [r for r in reports.COMPLIANCE_RULES if r[0] in (C.cmp_settings, C.cmp_memory_limit)]
+    )
+    found = reports.compliance_findings(roles, "2024-01-31 00:00:00")
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert str(tmp_path / "settings") not in plan  # both rules read what was written
+    assert "Coalesce" in plan  # no task per rule and partition of its shuffle
+    report = reports.run_compliance(roles, "2024-01-31 00:00:00")
+    assert str(tmp_path) not in report._jdf.queryExecution().sparkPlan().toString()  # nothing is computed twice for the sort
+    rows = [(r.achieved, r.name, r.server_id) for r in report.collect()]
+    assert rows == sorted([*[(i % 2 == 0, "allow updates", f"s{i}") for i in range(4)], (True, "Maximum memory limit", "s0")])

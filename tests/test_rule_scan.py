@@ -58,3 +58,44 @@ def test_one_scan_per_role_and_one_aggregation(spark, tmp_path):
     optimized = out._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("Aggregate [") == 2  # the groups, and findings given once
     assert Counter(r.check_id for r in out.collect()) == {"35": 1, "73": 1, "79": 1, "9": 1}
+
+
+def _nodes(df, *words):
+    """Plan nodes that begin with one of the words, from the result to the files."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    lines = [line.lstrip(" :+-*") for line in plan.splitlines()]
+    return [line.split("(")[0].split(" ")[0] for line in lines if line.startswith(words)]
+
+
+def test_records_are_hashed_not_sorted(spark, tmp_path):
+    """Only what is left of the records, one row per group and example, meets an aggregation of texts."""
+    rows = [("s1", f"db{i % 3}", "ROWS", f"C:/{i % 5}", 1, 1, i % 2 == 0, 1) for i in range(50)]
+    spark.createDataFrame(rows, FILES).write.parquet(str(tmp_path / "files"))
+    files = spark.read.parquet(str(tmp_path / "files"))
+    rules = [*C.presence_rules([C.PresenceRule("9", "none on C", "database_files", "physical_name > 'C:/1'", "physical_name")])]
+    rules += [C.UNEVEN_GROWTH, C.FILES_ON_C]
+    out = judge(rules, {"database_files": files})
+    assert _nodes(out, "HashAggregate", "SortAggregate", "ObjectHashAggregate")[-2:] == ["HashAggregate"] * 2
+    assert "array_compact" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.check_id, r.scope, r.current_value, r.details) for r in out.collect() if r.check_id == "9")
+    assert got == [("9", None, "30", "30 violating, first: C:/2")]
+    assert sorted((r.check_id, r.scope) for r in out.collect() if r.check_id != "9") == [
+        (c, f"db{i}") for c in ("76", "79") for i in range(3)
+    ]
+
+
+def test_once_with_an_example_or_for_each_row(spark):
+    schema = "server_id string, part string, what string, at timestamp_ntz"
+    rows = spark.createDataFrame([("s1", "a", "x", None), ("s1", "b", "x", None), ("s1", "c", "y", None), ("s1", "c", "w", None)], schema)
+    shown = dict(violates="true", example="what", details="example", once=True)
+    rules = [
+        Rule("1", "r", "example", key={"part": "part"}, **shown),
+        Rule("2", "r", "plain", key={"part": "part"}, having="n = 1", scope="'all'", current="n", achieved="n = 1", once=True),
+        Rule("3", "r", "each", key={"part": "part"}, each=True, scope="{part}"),
+    ]
+    got = sorted((r.check_id, r.scope or "", r.current_value, r.achieved, r.severity, r.details) for r in judge(rules, {"r": rows}).collect())
+    assert got == [
+        ("1", "", None, False, 1, "w"), ("1", "", None, False, 1, "x"), ("2", "all", "1", True, 0, None),
+        ("3", "a", None, False, 1, None), ("3", "b", None, False, 1, None), ("3", "c", None, False, 1, None),
+        ("3", "c", None, False, 1, None),
+    ]
